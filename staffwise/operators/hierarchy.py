@@ -5,16 +5,19 @@ round replaces the pointer with the ancestor's pointer (one equi-join of
 the unresolved rows against the state), so a chain of length L resolves in
 ``ceil(log2 L)`` rounds.  Nodes that reach the root get their depth; nodes
 whose chain breaks (missing or null manager) get null; nodes on or behind a
-cycle never resolve and are null once the round bound ``ceil(log2 n) + 2``
-is hit.  The state is checkpointed to the shared checkpoint folder each
+cycle never resolve and are null.  The state is checkpointed to the shared checkpoint folder each
 round: this cuts the self-join lineage (which would otherwise double per
 round) and lets a lost executor be recovered without recomputing earlier
 rounds.  Only a count per round reaches the driver.
+
+Early stop: while acyclic chains remain unresolved, every round settles at
+least one node (the deepest chain has a node at each depth, and a broken
+chain ends the round it reaches its gap).  So a round that settles nothing
+leaves only nodes on or behind cycles, and the loop ends there.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -38,14 +41,16 @@ def layer_depth(df: DataFrame, person: str, manager: str, root, by: Sequence[str
         F.when(is_root, F.lit(0)).otherwise(F.lit(1)).cast("long").alias("__dist"),
         (is_root | F.coalesce(F.col("__mgr") == F.lit(root), F.lit(False))).alias("__done"),
     )
-    state = cut_lineage(state)
+    state = cut_lineage(state, "layers")
     if max_rounds is None:
-        n = state.count()
-        max_rounds = math.ceil(math.log2(max(n, 2))) + 2
+        max_rounds = 64  # 2**64 hops exceeds any chain; the no-progress stop ends far earlier
+    prev_active = None
     for _ in range(max_rounds):
         active = state.filter(~F.col("__done") & F.col("__anc").isNotNull())
-        if active.limit(1).count() == 0:
+        n_active = active.count()
+        if n_active == 0 or n_active == prev_active:
             break
+        prev_active = n_active
         look = state.select(*[F.col(b).alias(f"__t_{b}") for b in by], F.col("__node").alias("__t_node"),
                             F.col("__anc").alias("__t_anc"), F.col("__dist").alias("__t_dist"),
                             F.col("__done").alias("__t_done"))
@@ -60,7 +65,7 @@ def layer_depth(df: DataFrame, person: str, manager: str, root, by: Sequence[str
             F.coalesce(F.col("__t_done"), F.lit(False)).alias("__done"),
         )
         settled = state.filter(F.col("__done") | F.col("__anc").isNull())
-        state = cut_lineage(settled.unionByName(stepped))
+        state = cut_lineage(settled.unionByName(stepped), "layers")
     depth = state.select(*[F.col(b).alias(f"__d_{b}") for b in by], F.col("__node").alias("__d_node"),
                          F.when(F.col("__done"), F.col("__dist")).alias(out))
     cond = df[person] == depth["__d_node"]

@@ -11,6 +11,8 @@ by value rules (never by dropping rows) where an operator needs them.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ from ..functions import dates as D
 from ..functions import flags as FL
 from ..functions import text as TX
 from ..functions.ids import canonical_id
-from ..functions.names import normalise_value
+from ..functions.names import normalise_name, normalise_value
 from ..operators import agg as A
 from ..operators import clean as C
 from ..operators import joins as J
@@ -484,10 +486,13 @@ def unpivot_single(spark, sf):
 
 
 def unpivot_groups(spark, sf):
+    """Grouped melt; the melted names are normalised once per name (the value
+    set of ``measure`` is the column list), not once per row."""
     li = _t(spark, sf, "lineitem")
     groups = {"price": ["l_extendedprice"], "rates": ["l_discount", "l_tax"], "volume": ["l_quantity"]}
     long = R.melt_groups(li, ["l_orderkey", "l_linenumber"], groups, "measure", "amount", "grp")
-    return long.withColumn("measure", normalise_value(F.regexp_replace("measure", "^l_", "L ")))
+    names = {c: normalise_name(re.sub(r"^l_", "L ", c)) for cs in groups.values() for c in cs}
+    return long.withColumn("measure", FL.map_values("measure", names))
 
 
 def union_by_name_missing(spark, sf):

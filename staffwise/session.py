@@ -4,6 +4,7 @@ resolving the shared checkpoint folder the cluster names."""
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +20,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "sta
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
@@ -47,7 +49,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "state") -> DataFrame:
+    """Write ``df`` as a parquet table under the shared checkpoint folder and
+    read it back.
+
+    One job, no recomputation (a reliable ``checkpoint()`` would run the plan
+    twice unless cached), columnar re-reads, and the written files survive the
+    loss of any executor.  ``localCheckpoint`` is never used.
+    """
+    base = checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/staffwise-{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
