@@ -72,10 +72,10 @@ def span_of_control(df: DataFrame, person: str, manager: str, by: Sequence[str]
     """Distinct direct reports per manager put on the manager's own rows (A9, J5);
     null (not 0) for persons with no reports."""
     reports = (df.filter(F.col(manager).isNotNull())
-               .groupBy(*by, F.col(manager).alias("__mgr"))
-               .agg(F.count_distinct(F.col(person)).alias(out)))
-    cond = df[person] == reports["__mgr"]
+               .groupBy(*[F.col(b).alias(f"__g_{b}") for b in by], F.col(manager).alias("__mgr"))
+               .agg(F.count_distinct(F.col(person)).alias("__span")))
+    cond = F.col(person) == F.col("__mgr")
     for b in by:
-        cond = cond & df[b].eqNullSafe(reports[b])
+        cond = cond & F.col(b).eqNullSafe(F.col(f"__g_{b}"))
     j = df.join(reports, cond, "left")
-    return j.select(*[df[c] for c in df.columns], reports[out])
+    return j.select(*[F.col(f"`{c}`") for c in df.columns], F.col("__span").alias(out))
