@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -50,20 +50,54 @@ def null_profile(df: DataFrame) -> DataFrame:
                     (F.col("__rows") > F.col("non_null")).alias("any_null")))
 
 
+def exact_quantiles(df: DataFrame, measure: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """Exact quantiles with linear interpolation (the ``percentile`` /
+    ``quantile_cont`` definition), computed without holding a group in memory.
+
+    Rows are first counted per (group, value) with a partial aggregate; a
+    cumulative count over the sorted distinct values (a window that spills to
+    disk, unlike the in-memory value map of ``percentile``) gives each value its
+    rank range; the two ranks around ``p * (n - 1)`` are picked with a
+    conditional ``max`` and interpolated.  Output: ``by..., n, q0, q1, ...``.
+    """
+    counts = (df.filter(F.col(measure).isNotNull())
+              .groupBy(*by, F.col(measure).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__c")))
+    order = Window.partitionBy(*by).orderBy("__v")
+    whole = Window.partitionBy(*by)
+    ranked = (counts.withColumn("__end", F.sum("__c").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+              .withColumn("__n", F.sum("__c").over(whole))
+              .withColumn("__start", F.col("__end") - F.col("__c")))
+    aggs = [F.max("__n").alias("n")]
+    for i, p in enumerate(probs):
+        pos = F.lit(float(p)) * (F.col("__n") - 1)
+        lo, hi = F.floor(pos), F.ceil(pos)
+        aggs += [F.max(F.when((F.col("__start") <= lo) & (lo < F.col("__end")), F.col("__v"))).alias(f"__lo{i}"),
+                 F.max(F.when((F.col("__start") <= hi) & (hi < F.col("__end")), F.col("__v"))).alias(f"__hi{i}"),
+                 F.max(pos).alias(f"__pos{i}")]
+    picked = ranked.groupBy(*by).agg(*aggs)
+    outs = []
+    for i in range(len(probs)):
+        lo_v, hi_v, pos = F.col(f"__lo{i}"), F.col(f"__hi{i}"), F.col(f"__pos{i}")
+        lo, hi = F.floor(pos), F.ceil(pos)
+        outs.append(F.when(lo == hi, lo_v).otherwise((hi - pos) * lo_v + (pos - lo) * hi_v).alias(f"q{i}"))
+    return picked.select(*by, "n", *outs)
+
+
 def five_number_summary(df: DataFrame, measure: str, by: Sequence[str] = (), exact: bool = True,
                         accuracy: int = 10000) -> DataFrame:
-    """min, q1, median, q3, max per group (A12; the box-plot figures as a table).
+    """n, min, q1, median, q3, max per group (A12; the box-plot figures as a table).
 
-    ``exact=True`` uses ``percentile`` (linear interpolation, like pandas);
-    ``exact=False`` uses ``percentile_approx`` which is bounded-memory per group.
+    ``exact=True``: :func:`exact_quantiles` (sort-based, spill-safe for hot groups).
+    ``exact=False``: ``percentile_approx`` (one pass, bounded memory per group).
     """
-    probs = F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75)])
     if exact:
-        q = F.percentile(F.col(measure), probs)
-    else:
-        q = F.percentile_approx(F.col(measure), probs, accuracy)
-    agg = df.groupBy(*by).agg(F.min(measure).alias("min"), q.alias("__q"), F.max(measure).alias("max"),
-                              F.count(F.col(measure)).alias("n"))
+        q = exact_quantiles(df, measure, [0.0, 0.25, 0.5, 0.75, 1.0], by)
+        return q.select(*by, "n", F.col("q0").alias("min"), F.col("q1").alias("q1"), F.col("q2").alias("median"),
+                        F.col("q3").alias("q3"), F.col("q4").alias("max"))
+    probs = F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75)])
+    agg = df.groupBy(*by).agg(F.count(F.col(measure)).alias("n"), F.min(measure).alias("min"),
+                              F.percentile_approx(F.col(measure), probs, accuracy).alias("__q"),
+                              F.max(measure).alias("max"))
     return agg.select(*by, "n", "min", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
                       F.col("__q")[2].alias("q3"), "max")
 
