@@ -75,13 +75,19 @@ def latest_per_key(df: DataFrame, key: Sequence[str] | str, date_col: str, null_
     return pick(df, keys, order, keep="first")
 
 
-def first_occurrence_flag(df: DataFrame, subset: Sequence[str], order: Sequence, out: str = "first_mark") -> DataFrame:
+def first_occurrence_flag(df: DataFrame, subset: Sequence[str], order: Sequence, out: str = "first_mark",
+                          method: str = "aggregate") -> DataFrame:
     """True on the first row of each ``subset`` group under ``order``.
 
     ``order`` must end in a unique tie-break so exactly one row per group is marked.
+
+    ``method="aggregate"`` (default): partial ``min`` of the sort key per group
+    joined back -- skew-safe, but the input is evaluated twice.
+    ``method="window"``: one pass with ``row_number``; use it when a group is
+    bounded by the data model (e.g. one row per person per snapshot).
     """
     order = [as_by(o) for o in order]
-    if len({o.ascending for o in order}) == 1:
+    if method == "aggregate" and len({o.ascending for o in order}) == 1:
         key = _sort_key(order)
         agg = F.max(key) if not order[0].ascending else F.min(key)
         firsts = df.groupBy(*[F.col(s).alias(f"__g_{s}") for s in subset]).agg(agg.alias("__k"))

@@ -56,17 +56,25 @@ def headcount_by_month(spark, sf):
 
 
 def snapshot_consolidation(spark, sf):
-    """Flagship slice: month-end snapshots, union of two differently shaped
-    slices, standardise, chained reference look-ups, tenure, joiner mark,
-    headcount by month x region x source."""
+    """Flagship slice: month-end snapshots, closed and open slices tagged by
+    source (the open slice carries no price), standardised text, chained
+    reference look-ups, tenure since the first order, joiner mark, headcount
+    by month x region x source.
+
+    Both slices come from one table, so they are one projection of one scan
+    (the union-by-name of different extracts is ``union_by_name_missing``).
+    The joiner mark uses the one-pass window form: after the month-end filter a
+    customer's rows are bounded by the number of snapshots.
+    """
     orders = _orders(spark, sf)
     snap = W.month_end_snapshot(
         orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority", "o_totalprice"),
         "o_orderdate")
-    closed = C.tag(snap.filter(F.col("o_orderstatus") == "F"), src="closed")
-    open_ = C.tag(snap.filter(F.col("o_orderstatus") != "F").drop("o_totalprice"), src="open")
-    listing = C.upper_strings(R.union_by_name(closed, open_), ["o_orderpriority"])
-    listing = listing.withColumn("eom", D.end_of_month("o_orderdate"))
+    closed = F.col("o_orderstatus") == "F"
+    listing = snap.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority",
+                          F.when(closed, F.col("o_totalprice")).alias("o_totalprice"),
+                          F.when(closed, F.lit("closed")).otherwise(F.lit("open")).alias("src"))
+    listing = C.upper_strings(listing, ["o_orderpriority"]).withColumn("eom", D.end_of_month("o_orderdate"))
     first = orders.groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_date"))
     cust = _t(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation = _t(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -76,7 +84,7 @@ def snapshot_consolidation(spark, sf):
     x = J.lookup(x, region, "n_regionkey", "r_regionkey")
     x = J.lookup(x, first, "o_custkey", null_safe=False, broadcast=False)
     x = x.withColumn("tenure", D.tenure_years("first_date", F.col("eom")))
-    x = W.first_occurrence_flag(x, ["o_custkey"], [By("eom"), By("o_orderkey")], out="joiner_mark")
+    x = W.first_occurrence_flag(x, ["o_custkey"], [By("eom"), By("o_orderkey")], out="joiner_mark", method="window")
     return (x.groupBy("eom", "r_name", "src")
             .agg(F.count_distinct("o_custkey").alias("headcount"),
                  F.sum(F.col("joiner_mark").cast("int")).alias("joiners"),
