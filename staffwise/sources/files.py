@@ -34,22 +34,33 @@ def latest_file(spark: SparkSession, pattern: str) -> str | None:
     return row[0] if row else None
 
 
-def header_of(spark: SparkSession, path: str, line_no: int = 1, sep: str = ",") -> list[str]:
-    """Cells of line ``line_no`` (1-based) of one file."""
-    lines = [r[0] for r in spark.read.text(path).limit(line_no).collect()]
-    if len(lines) < line_no:
-        return []
-    return next(csv.reader(io.StringIO(lines[line_no - 1]), delimiter=sep))
+def header_of(spark: SparkSession, path: str, record_no: int = 1, sep: str = ",",
+              max_lines: int = 50) -> tuple[list[str], bool]:
+    """Cells of CSV record ``record_no`` (1-based) of one file, and whether the
+    records up to it span more physical lines than records (quoted newlines).
+    Reads at most ``max_lines`` lines of the file."""
+    lines = [r[0] for r in spark.read.text(path).limit(max_lines).collect()]
+    reader = csv.reader(io.StringIO("\n".join(lines)), delimiter=sep)
+    cells: list[str] = []
+    for i, rec in enumerate(reader, start=1):
+        if i == record_no:
+            cells = rec
+            break
+    return cells, reader.line_num > record_no
 
 
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], sep: str = ",", title_line: bool = False,
-                   exclude: Iterable[str] = (), normalise: bool = True, encoding: str = "UTF-8") -> DataFrame:
+                   exclude: Iterable[str] = (), normalise: bool = True, encoding: str = "UTF-8",
+                   multi_line: bool | None = None) -> DataFrame:
     """Read delimited text files whose header is line 1, or line 2 after a title
     line (S1, S4).  Files with different headers are read per header group and
     unioned by name (missing columns null).  Adds ``_file`` (file name, S9) and
     ``_row`` (increasing within a file, for keep-first/last dedupes).
 
     ``exclude``: skip files whose name contains any of these substrings (S3).
+    ``multi_line``: parse quoted newlines inside values.  ``None`` turns it on
+    only for header groups whose header itself spans lines; otherwise files
+    stay splittable across tasks.
     """
     pattern_list = [paths] if isinstance(paths, str) else list(paths)
     files = []
@@ -59,19 +70,23 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], sep: str = "
     files = [f for f in files if not any(s in f.rsplit("/", 1)[-1] for s in skip)]
     if not files:
         raise FileNotFoundError(f"no files match {paths}")
-    line_no = 2 if title_line else 1
+    record_no = 2 if title_line else 1
     groups: dict[tuple, list[str]] = {}
+    spans: dict[tuple, bool] = {}
     for f in files:
-        head = tuple(header_of(spark, f, line_no, sep))
+        cells, spanned = header_of(spark, f, record_no, sep)
+        head = tuple(cells)
         if head:
             groups.setdefault(head, []).append(f)
+            spans[head] = spans.get(head, False) or spanned
     frames = []
     for head, group in groups.items():
+        ml = spans[head] if multi_line is None else multi_line
         names = [normalise_name(h) for h in head] if normalise else list(head)
         names = dedupe_names([n if n else "unnamed" for n in names])
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
         df = (spark.read.schema(schema).option("header", True).option("sep", sep).option("encoding", encoding)
-              .option("multiLine", True).option("mode", "PERMISSIVE").csv(group))
+              .option("multiLine", ml).option("mode", "PERMISSIVE").csv(group))
         if title_line:
             # the title line was consumed as "header"; the real header arrives as a row
             is_header = None

@@ -32,6 +32,13 @@ def test_title_line_csv_and_header_groups(spark, tmp_dir):
                    ("14", None, "x", "b_headcount.csv")]
 
 
+def test_header_with_quoted_newline_and_empty_file(spark, tmp_dir):
+    write(f"{tmp_dir}/n_x.csv", 'Title\n"Date\nJoined",Pers.No.\n01/01/2020,5\n')
+    write(f"{tmp_dir}/n_y.csv", "")
+    df = S.read_delimited(spark, f"{tmp_dir}/n_*.csv", title_line=True)
+    assert [(r["date_joined"], r["persno"]) for r in df.collect()] == [("01/01/2020", "5")]
+
+
 def test_latest_file_and_name_parts(spark, tmp_dir):
     write(f"{tmp_dir}/2023-01_leavers.csv", "x\n1\n")
     write(f"{tmp_dir}/2023-02_leavers.csv", "x\n2\n")
