@@ -59,7 +59,7 @@ y AS (
          row_number() OVER (PARTITION BY o_custkey ORDER BY eom, o_orderkey) = 1 AS joiner_mark
   FROM x)
 SELECT eom, r_name, src, count(DISTINCT o_custkey) AS headcount,
-       sum(CAST(joiner_mark AS INTEGER)) AS joiners, round(avg(tenure), 4) AS avg_tenure
+       CAST(sum(CAST(joiner_mark AS INTEGER)) AS BIGINT) AS joiners, round(avg(tenure), 4) AS avg_tenure
 FROM y GROUP BY eom, r_name, src""",
     "month_end_snapshot": f"""
 WITH o AS {_ORDERS}
@@ -109,7 +109,7 @@ SELECT "column", dtype, non_null, n - non_null AS nulls, n > non_null AS any_nul
     "scalar_aggs": f"""
 WITH o AS {_ORDERS}
 SELECT count(DISTINCT o_custkey) AS n_customers, round(sum(o_totalprice), 2) AS total,
-       round(avg(o_totalprice), 4) AS mean_total, sum(CAST(o_orderstatus = 'F' AS INTEGER)) AS n_closed,
+       round(avg(o_totalprice), 4) AS mean_total, CAST(sum(CAST(o_orderstatus = 'F' AS INTEGER)) AS BIGINT) AS n_closed,
        max(o_orderdate) AS last_date, min(o_orderdate) AS first_date
 FROM o WHERE o_orderdate BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'""",
     "grouped_aggs": """
@@ -315,7 +315,7 @@ FROM x""",
 WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events),
 g AS (SELECT user_id, day, CAST(datediff('day', lag(day) OVER (PARTITION BY user_id ORDER BY day), day) AS INTEGER) AS gap_days FROM d),
 r AS (SELECT *, COALESCE(gap_days > 1, false) AS gap,
-        sum(CASE WHEN gap_days IS NULL OR gap_days > 1 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY day ROWS UNBOUNDED PRECEDING) AS run_id
+        CAST(sum(CASE WHEN gap_days IS NULL OR gap_days > 1 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY day ROWS UNBOUNDED PRECEDING) AS BIGINT) AS run_id
       FROM g)
 SELECT user_id, day, gap_days, gap, run_id,
   CAST(row_number() OVER (PARTITION BY user_id, run_id ORDER BY day) - 1 AS INTEGER) AS streak
@@ -402,7 +402,7 @@ SELECT event_id, TRY_CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events
     "attrition_features": f"""
 WITH o AS {_ORDERS},
 per AS (SELECT o_custkey, count(*) AS n_orders, sum(CAST(round(o_totalprice * 100) AS BIGINT)) / 100 AS total_spend,
-               round(sum(CAST(round(o_totalprice * 100) AS BIGINT)) / count(*)) / 100 AS avg_price, sum(CAST(o_orderpriority = '1-URGENT' AS INTEGER)) AS n_urgent,
+               round(sum(CAST(round(o_totalprice * 100) AS BIGINT)) / count(*)) / 100 AS avg_price, CAST(sum(CAST(o_orderpriority = '1-URGENT' AS INTEGER)) AS BIGINT) AS n_urgent,
                max(o_orderdate) AS last_order FROM o GROUP BY 1)
 SELECT c.c_custkey, n_orders, total_spend, avg_price, n_urgent,
   CAST(COALESCE(c.c_nationkey IN (1, 2), false) AS INTEGER) AS local,
