@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -9,16 +10,26 @@ from pyspark.sql import DataFrame
 
 def write_table(df: DataFrame, path: str | None = None, table: str | None = None, mode: str = "overwrite",
                 partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
-    """Full refresh of a table (S17): one overwrite, empty input included
-    (an empty frame leaves an empty table, not the previous one).
+    """Full refresh of a table (S17), empty input included (an empty frame
+    leaves an empty table, not the previous one).
 
+    Catalog tables are refreshed through a staging table: the new data is
+    written completely first, then the old table is dropped and the staging
+    table renamed, so a failed load leaves the previous table in place.
     ``partition_by`` (e.g. ``["eom"]``) lets later reads prune snapshots.
     """
     w = df.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if table is not None:
-        w.saveAsTable(table)
+        spark = df.sparkSession
+        if mode != "overwrite" or not spark.catalog.tableExists(table):
+            w.saveAsTable(table)
+            return
+        staging = f"{table}__staging_{uuid.uuid4().hex[:8]}"
+        w.saveAsTable(staging)
+        spark.sql(f"DROP TABLE {table}")
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
     elif path is not None:
         w.save(path)
     else:

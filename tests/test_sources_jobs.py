@@ -67,6 +67,15 @@ def test_pipe_text_and_sink_roundtrip(spark, tmp_dir):
     assert spark.read.option("header", True).csv(f"{tmp_dir}/extract").count() == 4
 
 
+def test_table_full_refresh_swaps(spark):
+    spark.range(5).write.mode("overwrite").saveAsTable("refresh_t")
+    sinks.write_table(spark.range(3), table="refresh_t")
+    assert spark.read.table("refresh_t").count() == 3
+    sinks.write_table(spark.range(0), table="refresh_t")
+    assert spark.read.table("refresh_t").count() == 0
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("refresh_t")] == ["refresh_t"]
+
+
 def _hc_file(path, day, rows):
     lines = ["Headcount report", HC_HEADER] + [",".join(r + [day]) for r in rows]
     write(path, "\n".join(lines) + "\n")
