@@ -118,7 +118,14 @@ def load_stamp(instant_utc: Column, zone: str) -> Column:
     minute, as ``timestamp_ntz`` (D14).  Pass ``current_timestamp()`` (or a fixed
     instant in tests)."""
     local = F.convert_timezone(F.lit("UTC"), F.lit(zone), instant_utc.cast("timestamp_ntz"))
-    return F.date_trunc("minute", local).cast("timestamp_ntz")
+    # rebuilt from its parts: date_trunc would pass through the session zone
+    return F.make_timestamp_ntz(F.year(local), F.month(local), F.dayofmonth(local), F.hour(local),
+                                F.minute(local), F.lit(0))
+
+
+def utc_now() -> Column:
+    """The current instant as UTC wall-clock ``timestamp_ntz``, whatever the session zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.localtimestamp())
 
 
 def day_diff(end: Column | str, start: Column | str) -> Column:

@@ -131,7 +131,7 @@ def recruitment_checks(tracker: DataFrame, stamp: F.Column | None = None, zone:
     rules = [Q.Rule(label, [c for c in cols if c in present], cond) for label, cols, cond in RECRUITMENT_RULES
              if all(c in present for c in cols) and (cond is None or all(w in present for w in _cond_cols(cond)))]
     checked = Q.apply_rules(t, rules)
-    instant = stamp if stamp is not None else F.current_timestamp()
+    instant = stamp if stamp is not None else D.utc_now()
     checked = checked.withColumn("load_stamp", D.load_stamp(instant, zone))
     by = [c for c in report_by if c in present]
     return {
