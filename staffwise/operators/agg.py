@@ -50,22 +50,44 @@ def null_profile(df: DataFrame) -> DataFrame:
                     (F.col("__rows") > F.col("non_null")).alias("any_null")))
 
 
-def exact_quantiles(df: DataFrame, measure: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+def exact_quantiles(df: DataFrame, measure: str, probs: Sequence[float], by: Sequence[str] = (),
+                    partitions: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (the ``percentile`` /
-    ``quantile_cont`` definition), computed without holding a group in memory.
-
-    Rows are first counted per (group, value) with a partial aggregate; a
-    cumulative count over the sorted distinct values (a window that spills to
-    disk, unlike the in-memory value map of ``percentile``) gives each value its
-    rank range; the two ranks around ``p * (n - 1)`` are picked with a
-    conditional ``max`` and interpolated.  Output: ``by..., n, q0, q1, ...``.
+    ``quantile_cont`` definition), distributed even when one group holds most rows.
+
+    1. rows are counted per (group, value) -- a partial aggregate;
+    2. the counts are range-partitioned on (group, value) and written once to the
+       shared checkpoint folder, which pins each row's partition id: a group's
+       values now lie in consecutive, balanced segments (one per partition);
+    3. per-segment totals (at most groups + partitions rows) give each segment
+       its offset inside its group;
+    4. a running count inside each (group, segment) plus the offset gives every
+       value its global rank range, so no task ever sorts a whole group;
+    5. the two ranks around ``p * (n - 1)`` are picked with a conditional
+       ``max`` and interpolated.
+
+    Output: ``by..., n, q0, q1, ...`` (one ``q`` per probability).
     """
+    from ..session import cut_lineage
+
+    spark = df.sparkSession
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     counts = (df.filter(F.col(measure).isNotNull())
               .groupBy(*by, F.col(measure).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__c")))
-    order = Window.partitionBy(*by).orderBy("__v")
-    whole = Window.partitionBy(*by)
-    ranked = (counts.withColumn("__end", F.sum("__c").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("__n", F.sum("__c").over(whole))
+    ranged = cut_lineage(counts.repartitionByRange(n_parts, *[F.col(b) for b in by], F.col("__v"))
+                         .withColumn("__pid", F.spark_partition_id()), "quantiles")
+    seg = ranged.groupBy(*[F.col(b).alias(f"__s_{b}") for b in by], F.col("__pid").alias("__s_pid")).agg(
+        F.sum("__c").alias("__seg"))
+    seg_order = Window.partitionBy(*[f"__s_{b}" for b in by]).orderBy("__s_pid")
+    seg = (seg.withColumn("__off", F.coalesce(F.sum("__seg").over(seg_order.rowsBetween(Window.unboundedPreceding, -1)),
+                                              F.lit(0)))
+           .withColumn("__n", F.sum("__seg").over(Window.partitionBy(*[f"__s_{b}" for b in by]))))
+    cond = F.col("__pid") == F.col("__s_pid")
+    for b in by:
+        cond = cond & F.col(b).eqNullSafe(F.col(f"__s_{b}"))
+    within = Window.partitionBy(*by, "__pid").orderBy("__v")
+    ranked = (ranged.join(seg, cond, "inner")
+              .withColumn("__end", F.col("__off") + F.sum("__c").over(within.rowsBetween(Window.unboundedPreceding, 0)))
               .withColumn("__start", F.col("__end") - F.col("__c")))
     aggs = [F.max("__n").alias("n")]
     for i, p in enumerate(probs):
@@ -87,7 +109,8 @@ def five_number_summary(df: DataFrame, measure: str, by: Sequence[str] = (), exa
                         accuracy: int = 10000) -> DataFrame:
     """n, min, q1, median, q3, max per group (A12; the box-plot figures as a table).
 
-    ``exact=True``: :func:`exact_quantiles` (sort-based, spill-safe for hot groups).
+    ``exact=True``: :func:`exact_quantiles` (range-partitioned prefix counts; a hot
+    group is spread over many tasks).
     ``exact=False``: ``percentile_approx`` (one pass, bounded memory per group).
     """
     if exact:

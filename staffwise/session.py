@@ -30,6 +30,32 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "sta
     return spark
 
 
+def cluster_conf(total_cores: int, input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run sized to the data.
+
+    * shuffle partitions: enough for ~``target_partition_bytes`` per task of the
+      input volume, and at least 3 waves of the cores, so a shuffle stage
+      neither spills huge partitions nor idles cores; adaptive execution then
+      coalesces small partitions and splits skewed ones at run time.
+    * scan splits of ``target_partition_bytes`` for parquet/CSV.
+    * broadcast threshold kept at a few tens of MB: size-estimated broadcasts
+      above it fall back to shuffle joins.
+    """
+    parts = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+        "spark.sql.autoBroadcastJoinThreshold": str(32 << 20),
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.ui.enabled": "false",
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder.
 
