@@ -25,9 +25,15 @@ def snapshot_diff(df: DataFrame, key: str, date_col: str, fields: Sequence[str],
     """Field changes between adjacent existing snapshots for keys present in both.
 
     Output: ``key, <date>_old, <date>, field, change, <f>_old, <f>_new`` for each
-    field, where change is ``added`` (null -> value), ``deleted`` (value -> null)
-    or ``modified``; unchanged fields give no row.  Keys that enter or leave give
-    no row; a key repeated within a snapshot pairs many-to-many.
+    field, and ``n_pairs``, where change is ``added`` (null -> value), ``deleted``
+    (value -> null) or ``modified``; unchanged fields give no row.  Keys that
+    enter or leave give no row.
+
+    A key repeated within a snapshot pairs many-to-many, as in the source; copies
+    are not multiplied out: identical rows are first combined with their count,
+    distinct rows are paired, and ``n_pairs`` (old copies x new copies) says how
+    many pairs each output row stands for.  With one row per key and snapshot it
+    is always 1.
 
     Plan: one join of each row to its next snapshot's rows on (key, date) —
     a single shuffle on the key — then one ``explode`` over the fields.
@@ -35,12 +41,13 @@ def snapshot_diff(df: DataFrame, key: str, date_col: str, fields: Sequence[str],
     d = df.filter(F.col(date_col).isNotNull())
     if not null_safe:
         d = d.filter(F.col(key).isNotNull())
-    d = d.select(key, date_col, *fields)
+    d = d.groupBy(key, date_col, *fields).agg(F.count(F.lit(1)).alias("__copies"))
     pairs = snapshot_pairs(d, date_col)
     old = d.join(pairs, on=date_col).select(
         F.col(key).alias("__ok"), F.col(date_col).alias(f"{date_col}_old"), F.col("__next"),
-        *[F.col(f).alias(f"{f}_old") for f in fields])
-    new = d.select(F.col(key).alias("__nk"), F.col(date_col), *[F.col(f).alias(f"{f}_new") for f in fields])
+        F.col("__copies").alias("__oc"), *[F.col(f).alias(f"{f}_old") for f in fields])
+    new = d.select(F.col(key).alias("__nk"), F.col(date_col), F.col("__copies").alias("__nc"),
+                   *[F.col(f).alias(f"{f}_new") for f in fields])
     kc = old["__ok"].eqNullSafe(new["__nk"]) if null_safe else old["__ok"] == new["__nk"]
     joined = old.join(new, kc & (old["__next"] == new[date_col]), "inner")
     changes = []
@@ -54,4 +61,5 @@ def snapshot_diff(df: DataFrame, key: str, date_col: str, fields: Sequence[str],
             .filter(F.col("__c.change").isNotNull())
             .select(F.col("__ok").alias(key), f"{date_col}_old", date_col,
                     F.col("__c.field").alias("field"), F.col("__c.change").alias("change"),
-                    *[c for f in fields for c in (f"{f}_old", f"{f}_new")]))
+                    *[c for f in fields for c in (f"{f}_old", f"{f}_new")],
+                    (F.col("__oc") * F.col("__nc")).alias("n_pairs")))

@@ -131,33 +131,43 @@ def day_runs(df: DataFrame, key: str, day_col: str) -> DataFrame:
     (0 at a run start, +1 for each following row at most one day after the
     previous; rows on the same day count as consecutive).
 
-    Rows are first combined to one row per (key, day) with their multiplicity, so
-    the ordered window runs over at most one row per calendar day per key.
+    No group is ever handled by one task as a whole:
+
+    * rows are first combined to one row per (key, day) with their count, so
+      the ordered window over a key has at most one row per calendar day;
+    * identical rows (copies) are combined into one row with a copy count; only
+      the distinct rows of a (key, day) are ordered, and the copies are
+      regenerated with ``posexplode`` from their count, each with its own
+      streak position.
     """
     d = F.to_date(F.col(day_col))
+    cols = [F.col(f"`{c}`") for c in df.columns]
     per_day = df.groupBy(key, d.alias("__day")).agg(F.count(F.lit(1)).alias("__n"))
     w = Window.partitionBy(key).orderBy("__day")
-    prev = F.lag("__day").over(w)
     days = (
-        per_day.withColumn("__gap", F.datediff("__day", prev))
+        per_day.withColumn("__gap", F.datediff("__day", F.lag("__day").over(w)))
         .withColumn("__brk", F.when(F.col("__gap").isNull() | (F.col("__gap") > 1), 1).otherwise(0))
         .withColumn("run_id", F.sum("__brk").over(w.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("__before", F.coalesce(F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     )
     run_w = Window.partitionBy(key, "run_id")
-    days = days.withColumn("__base", F.col("__before") - F.min("__before").over(run_w))
-    rows = df.withColumn("__day", d)
-    j = rows.join(days, on=[key, "__day"], how="left")
-    within = Window.partitionBy(key, "__day").orderBy(*[F.col(f"`{c}`") for c in df.columns])
-    rn = F.row_number().over(within) - 1
+    days = days.withColumn("__base", F.col("__before") - F.min("__before").over(run_w)).select(
+        F.col(key).alias("__k"), F.col("__day").alias("__d"), "__gap", "run_id", "__base")
+    copies = df.groupBy(*cols, d.alias("__day")).agg(F.count(F.lit(1)).alias("__copies"))
+    within = Window.partitionBy(key, "__day").orderBy(*cols)
+    copies = copies.withColumn("__prior", F.coalesce(
+        F.sum("__copies").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    j = copies.join(days, (F.col(key).eqNullSafe(F.col("__k"))) & (F.col("__day") == F.col("__d")), "left")
+    j = j.select("*", F.posexplode(F.sequence(F.lit(0), F.col("__copies") - 1)).alias("__pos", "__unused"))
+    rank_in_day = F.col("__prior") + F.col("__pos")
     # the first row of a day carries the gap to the previous day; repeats have gap 0
-    gap_days = F.when(rn == 0, F.col("__gap")).otherwise(F.lit(0))
+    gap_days = F.when(rank_in_day == 0, F.col("__gap")).otherwise(F.lit(0))
     return j.select(
-        *[F.col(f"`{c}`") for c in df.columns],
+        *cols,
         gap_days.alias("gap_days"),
         F.coalesce(gap_days > 1, F.lit(False)).alias("gap"),
         F.col("run_id"),
-        (F.col("__base") + rn).cast("int").alias("streak"),
+        (F.col("__base") + rank_in_day).cast("int").alias("streak"),
     )
 
 

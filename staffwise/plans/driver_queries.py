@@ -545,7 +545,8 @@ def snapshot_diff_q(spark, sf):
     o = _orders(spark, sf).withColumn("eom", D.end_of_month("o_orderdate"))
     per_month = W.dedupe(o.select("o_custkey", "eom", "o_orderkey", "o_orderpriority", "o_orderstatus"),
                          ["o_custkey", "eom"], [By("o_orderkey")], keep="last")
-    return snapshot_diff(per_month, "o_custkey", "eom", ["o_orderpriority", "o_orderstatus"])
+    # one row per (customer, month) after the dedupe, so every n_pairs is 1
+    return snapshot_diff(per_month, "o_custkey", "eom", ["o_orderpriority", "o_orderstatus"]).drop("n_pairs")
 
 
 # ---------------------------------------------------------------- rules

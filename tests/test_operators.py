@@ -87,6 +87,14 @@ def test_day_runs_gaps_overlaps_and_streaks(spark):
         (2, d(2024, 1, 2), None, False, 0), (2, d(2024, 1, 3), 1, False, 1)], key=repr)
 
 
+def test_day_runs_many_copies(spark):
+    rows = [(1, d(2024, 1, 1), "x")] * 50 + [(1, d(2024, 1, 1), "y")] * 2 + [(1, d(2024, 1, 2), "x")]
+    out = W.day_runs(spark.createDataFrame(rows, "p int, day date, t string"), "p", "day")
+    streaks = sorted(r["streak"] for r in out.collect())
+    assert streaks == list(range(53))
+    assert sorted(r["gap_days"] for r in out.collect() if r["gap_days"] is not None) == [0] * 51 + [1]
+
+
 def test_layer_depth_chains_cycles_orphans(spark):
     edges = [("root", None)]
     prev = "root"
@@ -129,6 +137,14 @@ def test_snapshot_diff_cases(spark):
                           (3, m2, "g", "modified"), (6, m3, "f", "modified")], key=repr)
 
 
+def test_snapshot_diff_copies_are_counted_not_multiplied(spark):
+    m1, m2 = d(2024, 1, 31), d(2024, 2, 29)
+    rows = [(1, m1, "A")] * 3 + [(1, m1, "B")] + [(1, m2, "C")] * 2
+    out = snapshot_diff(spark.createDataFrame(rows, "k int, eom date, f string"), "k", "eom", ["f"])
+    got = sorted((r["f_old"], r["f_new"], r["n_pairs"]) for r in out.collect())
+    assert got == [("A", "C", 6), ("B", "C", 2)]  # 8 pandas pairs, 2 rows
+
+
 def test_lookup_null_safe_suffix_and_duplicates(spark):
     df = spark.createDataFrame([(1, "a", "x"), (2, None, "y"), (3, "zz", "w")], "id int, k string, name string")
     ref = spark.createDataFrame([("a", "A"), (None, "N")], "k string, name string")
