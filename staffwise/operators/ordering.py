@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -44,6 +45,42 @@ def _sort_key(order: Sequence[By]) -> Column:
     return F.struct(*parts)
 
 
+_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+
+
+def _ascending_form(df: DataFrame, o: By) -> tuple[Column, bool] | None:
+    """A column whose ascending order equals ``o``'s order (nulls handled
+    separately), or None when the type has no order-reversing map (text)."""
+    c = F.col(o.col)
+    if o.ascending:
+        return c, o.nulls_last
+    t = df.schema[o.col].dataType
+    if isinstance(t, _NUMERIC):
+        return -c, o.nulls_last
+    if isinstance(t, T.DateType):
+        return -F.unix_date(c), o.nulls_last
+    if isinstance(t, T.TimestampType):
+        return -F.unix_micros(c), o.nulls_last
+    if isinstance(t, T.TimestampNTZType):  # zone-free micros since the epoch
+        return -F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c), o.nulls_last
+    if isinstance(t, T.BooleanType):
+        return ~c, o.nulls_last
+    return None
+
+
+def mixed_sort_key(df: DataFrame, order: Sequence[By]) -> Column | None:
+    """Ascending struct key for an order with mixed directions, or None."""
+    parts = []
+    for i, o in enumerate(order):
+        form = _ascending_form(df, o)
+        if form is None:
+            return None
+        val, nulls_last = form
+        null_rank = F.col(o.col).isNull() if nulls_last else F.col(o.col).isNotNull()
+        parts += [null_rank.alias(f"n{i}"), val.alias(f"v{i}")]
+    return F.struct(*parts)
+
+
 def reverse(order: Sequence[By]) -> list[By]:
     return [By(o.col, not o.ascending, not o.nulls_last) for o in order]
 
@@ -62,8 +99,10 @@ def window_order(order: Sequence[By]) -> list[Column]:
 def pick(df: DataFrame, keys: Sequence[str], order: Sequence, keep: str = "first") -> DataFrame:
     """One row per ``keys``: the first (or last) under ``order``.
 
-    With all keys in one direction this is a partial aggregate; mixed
-    directions fall back to ``row_number`` over a window.  Include a unique
+    This is a partial aggregate for one-direction orders, and for mixed
+    directions whose descending keys are numbers, dates, timestamps or booleans
+    (negated into ascending keys); only a descending text key in a mixed order
+    falls back to ``row_number`` over a window.  Include a unique
     tie-break column in ``order`` for a deterministic result.
     """
     order = [as_by(o) for o in order]
@@ -72,11 +111,14 @@ def pick(df: DataFrame, keys: Sequence[str], order: Sequence, keep: str = "first
     elif keep != "first":
         raise ValueError(keep)
     cols = df.columns
+    row = F.struct(*[F.col(f"`{c}`") for c in cols])
     if len({o.ascending for o in order}) == 1:
         use_max = not order[0].ascending
-        row = F.struct(*[F.col(f"`{c}`") for c in cols])
         agg = (F.max_by if use_max else F.min_by)(row, _sort_key(order)).alias("__row")
         return df.groupBy(*keys).agg(agg).select("__row.*")
+    mixed = mixed_sort_key(df, order)
+    if mixed is not None:
+        return df.groupBy(*keys).agg(F.min_by(row, mixed).alias("__row")).select("__row.*")
     from pyspark.sql import Window
 
     w = Window.partitionBy(*keys).orderBy(*window_order(order))

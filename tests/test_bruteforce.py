@@ -32,6 +32,24 @@ def test_dedupe_matches_pandas(spark, seed, asc, keep):
     assert sorted(r["row"] for r in got.collect()) == sorted(expect["row"].tolist())
 
 
+@pytest.mark.parametrize("seed", [4, 8])
+@pytest.mark.parametrize("keep", ["first", "last"])
+def test_mixed_direction_dedupe_matches_pandas(spark, seed, keep):
+    import datetime as dt
+
+    pdf = _frame(seed)
+    pdf["d"] = [None if np.isnan(v) else dt.date(2024, 1, 1) + dt.timedelta(days=int(v)) for v in pdf["v"]]
+    pdf["t"] = [None if x is None else dt.datetime.combine(x, dt.time(12)) for x in pdf["d"]]
+    sdf = spark.createDataFrame(pdf.astype({"v": object, "k": object}).where(pdf.notna(), None)[["k", "d", "t", "row"]],
+                                "k long, d date, t timestamp_ntz, row long")
+    for col in ("d", "t"):
+        expect = (pdf.sort_values([col, "row"], ascending=[False, True], na_position="last", kind="mergesort")
+                  .drop_duplicates(subset=["k"], keep=keep))
+        got = W.dedupe(sdf, ["k"], [By(col, False, True), By("row", True, True)], keep=keep)
+        assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r["row"] for r in got.collect()) == sorted(expect["row"].tolist())
+
+
 def _walk(edges, root):
     mgr = dict(edges)
     out = {}
