@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .joins import bounded_broadcast
 
@@ -13,11 +14,16 @@ from .joins import bounded_broadcast
 def snapshot_pairs(df: DataFrame, date_col: str, max_rows: int = 1_000_000) -> DataFrame:
     """``(date, __next)``: each existing snapshot date and the next one.
 
-    One row per distinct snapshot date (bounded by the calendar), ranked in a
-    single small window; broadcast behind a row-count check.
+    One row per distinct snapshot date, ranked in a single small window.  For a
+    ``date`` column the table is bounded by the calendar (at most 3,652,059
+    dates in years 1-9999, two dates each: under 60 MB, and one row per
+    snapshot in practice), so it is broadcast without a check; other types go
+    through the row-count check.
     """
     snaps = df.select(date_col).filter(F.col(date_col).isNotNull()).distinct()
     nxt = snaps.withColumn("__next", F.lead(date_col).over(Window.orderBy(date_col))).filter(F.col("__next").isNotNull())
+    if isinstance(df.schema[date_col].dataType, T.DateType):
+        return F.broadcast(nxt)
     return bounded_broadcast(nxt, max_rows)
 
 

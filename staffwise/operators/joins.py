@@ -1,8 +1,13 @@
 """Look-ups and merges.
 
-Reference dimensions are broadcast only behind a row-count check
-(:func:`bounded_broadcast`); above the bound the join is left to the
-planner (sort-merge, with adaptive skew splitting).
+Broadcast policy.  By default the join strategy is left to Spark, which
+broadcasts a side only when its estimated size is under
+``spark.sql.autoBroadcastJoinThreshold`` and, with adaptive execution,
+re-checks against the real shuffle size
+(``spark.sql.adaptive.autoBroadcastJoinThreshold``); anything larger is a
+sort-merge join whose skewed partitions adaptive execution splits.  An explicit
+hint is used only for sides whose size is bounded by construction, or behind
+the row-count check of :func:`bounded_broadcast` when asked for.
 """
 
 from __future__ import annotations
@@ -33,7 +38,7 @@ def _keys(k: str | Sequence[str]) -> list[str]:
 
 def lookup(df: DataFrame, ref: DataFrame, left_on: str | Sequence[str], right_on: str | Sequence[str] | None = None,
            how: str = "left", null_safe: bool = True, suffix: str = "_ref", on_duplicate: str = "expand",
-           broadcast: bool | None = None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+           broadcast: bool | str | None = None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Equi look-up of ``ref`` onto ``df``.
 
     * same key names: one key column kept (the left one); different names: both kept (J2)
@@ -41,7 +46,9 @@ def lookup(df: DataFrame, ref: DataFrame, left_on: str | Sequence[str], right_on
     * ``null_safe=True`` makes null keys match each other (pandas merge parity)
     * ``on_duplicate``: ``"expand"`` keeps the fan-out (pandas), ``"error"``
       raises if a ref key repeats, ``"first"`` keeps one ref row per key
-    * ``broadcast``: ``None`` = broadcast behind the ``max_rows`` check
+    * ``broadcast``: ``None`` = the planner decides by size (see module notes);
+      ``True`` = hint (for a side small by construction); ``"checked"`` = hint
+      only if the ref has at most ``max_rows`` rows
     """
     lk = _keys(left_on)
     rk = _keys(right_on) if right_on is not None else lk
@@ -60,9 +67,9 @@ def lookup(df: DataFrame, ref: DataFrame, left_on: str | Sequence[str], right_on
             renames[c] = c + suffix
     r = ref.withColumnsRenamed(renames) if renames else ref
     rk2 = [renames.get(c, c) for c in rk]
-    if broadcast is None:
+    if broadcast == "checked":
         r = bounded_broadcast(r, max_rows)
-    elif broadcast:
+    elif broadcast is True:
         r = F.broadcast(r)
     cond = None
     for a, b in zip(lk, rk2):
@@ -84,16 +91,15 @@ def outer_merge(a: DataFrame, b: DataFrame, on: str | Sequence[str]) -> DataFram
 
 def map_by_key(df: DataFrame, per_key: DataFrame, key: str, right_key: str | None = None) -> DataFrame:
     """Series-lookup: attach a per-key table's columns, null when absent."""
-    rk = right_key or key
-    r = per_key.withColumnRenamed(rk, "__mk") if rk in df.columns or rk != key else per_key.withColumnRenamed(rk, "__mk")
-    return df.join(r, df[key] == r["__mk"], "left").drop("__mk")
+    r = per_key.withColumnRenamed(right_key or key, "__mk")
+    return df.join(r, F.col(key) == F.col("__mk"), "left").drop("__mk")
 
 
 def first_snapshot_rows(df: DataFrame, key: str, date_col: str) -> DataFrame:
     """Rows on each key's first snapshot date (J7); the group-min self-join as
     a partial aggregate + semi join."""
-    first = df.groupBy(key).agg(F.min(date_col).alias("__d"))
-    return df.join(first, (df[key] == first[key]) & (df[date_col] == first["__d"]), "left_semi")
+    first = df.groupBy(F.col(key).alias("__k")).agg(F.min(date_col).alias("__d"))
+    return df.join(first, (F.col(key) == F.col("__k")) & (F.col(date_col) == F.col("__d")), "left_semi")
 
 
 def overlay_update(base: DataFrame, updates: DataFrame, key: str | Sequence[str]) -> DataFrame:

@@ -79,10 +79,10 @@ def snapshot_consolidation(spark, sf):
     cust = _t(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation = _t(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = _t(spark, sf, "region").select("r_regionkey", "r_name")
-    x = J.lookup(listing, cust, "o_custkey", "c_custkey")
-    x = J.lookup(x, nation, "c_nationkey", "n_nationkey")
-    x = J.lookup(x, region, "n_regionkey", "r_regionkey")
-    x = J.lookup(x, first, "o_custkey", null_safe=False, broadcast=False)
+    x = J.lookup(listing, cust, "o_custkey", "c_custkey")  # grows with the data: the planner decides
+    x = J.lookup(x, nation, "c_nationkey", "n_nationkey", broadcast=True)  # fixed-size dimensions
+    x = J.lookup(x, region, "n_regionkey", "r_regionkey", broadcast=True)
+    x = J.lookup(x, first, "o_custkey", null_safe=False)
     x = x.withColumn("tenure", D.tenure_years("first_date", F.col("eom")))
     x = W.first_occurrence_flag(x, ["o_custkey"], [By("eom"), By("o_orderkey")], out="joiner_mark", method="window")
     return (x.groupBy("eom", "r_name", "src")
