@@ -27,3 +27,16 @@ def test_models(spark):
     assert all(0.0 <= r["auc"] <= 1.0 for r in rows)
     km = ml.kmeans_pick(T.parquet_table(spark, SF, "embeddings"), ks=(2, 3))
     assert [r["k"] for r in km.collect()] == [2, 3]
+
+
+def test_importances_and_save(spark, tmp_dir):
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.classification import RandomForestClassifier
+
+    data = ml.with_class_weights(ml._doc_features(T.parquet_table(spark, SF, "documents"), T.parquet_table(spark, SF, "labels")))
+    stages = ml.classification_stages(["lang"], ["log_chars"])
+    model = Pipeline(stages=[*stages, RandomForestClassifier(labelCol="label", weightCol="weight", numTrees=5, seed=1)]).fit(data)
+    imp = ml.feature_importances(model.stages[-1], [f"f{i}" for i in range(model.stages[-1].numFeatures)])
+    assert abs(sum(v for _, v in imp) - 1.0) < 1e-6
+    ml.save_model(model, f"{tmp_dir}/model")
+    assert PipelineModel.load(f"{tmp_dir}/model").transform(data).count() == data.count()
