@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -18,19 +19,53 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def format_shape(fmt: str) -> str | None:
+    """Regex of the text a numeric datetime format can produce (``dd/MM/yyyy`` ->
+    ``^\\d{1,2}/\\d{1,2}/\\d{4}$``), or None for formats with text fields."""
+    out, i = [], 0
+    while i < len(fmt):
+        ch = fmt[i]
+        j = i
+        while j < len(fmt) and fmt[j] == ch:
+            j += 1
+        run = j - i
+        if ch in "dMHhms":
+            if ch == "M" and run >= 3:
+                return None
+            out.append(r"\d{1,%d}" % max(run, 2))
+        elif ch in "yu":
+            out.append(r"\d{%d}" % run if run != 1 else r"\d{1,4}")
+        elif ch == "S":
+            out.append(r"\d{1,%d}" % run)
+        elif ch.isalpha():
+            return None
+        else:
+            out.append(re.escape(fmt[i:j]))
+        i = j
+    return "^" + "".join(out) + "$"
+
+
+def _try_formats(col: Column, formats: Sequence[str]) -> list[Column]:
+    tries = []
+    for fmt in formats:
+        parsed = F.try_to_timestamp(col, F.lit(fmt))
+        shape = format_shape(fmt)
+        # only text of the right shape is handed to the parser: a failed parse is expensive
+        tries.append(F.when(col.rlike(shape), parsed) if shape else parsed)
+    return tries
+
+
 def parse_date(c: Column | str, formats: Sequence[str] = DEFAULT_FORMATS) -> Column:
     """Text to date with the first format that fits; bad text -> null.
 
     One format = strict parse (D1); several = first that fits (D2, D3).
     """
-    col = F.trim(_c(c))
-    tries = [F.to_date(F.try_to_timestamp(col, F.lit(fmt))) for fmt in formats]
+    tries = [F.to_date(t) for t in _try_formats(F.trim(_c(c)), formats)]
     return tries[0] if len(tries) == 1 else F.coalesce(*tries)
 
 
 def parse_timestamp(c: Column | str, formats: Sequence[str]) -> Column:
-    col = F.trim(_c(c))
-    tries = [F.try_to_timestamp(col, F.lit(fmt)) for fmt in formats]
+    tries = _try_formats(F.trim(_c(c)), formats)
     return tries[0] if len(tries) == 1 else F.coalesce(*tries)
 
 

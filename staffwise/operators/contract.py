@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import DEFAULT_FORMATS, parse_date, parse_timestamp
 
@@ -45,9 +46,32 @@ def typed(c: Column, spec) -> Column:
     return F.trim(c.cast("string")).try_cast(t)
 
 
+def _already(dtype: T.DataType, spec) -> bool:
+    if isinstance(spec, DateSpec):
+        return isinstance(dtype, T.TimestampType if spec.timestamp else T.DateType)
+    name = {"long": "bigint", "category": "string"}.get(spec.lower(), spec.lower())
+    return dtype.simpleString() == name
+
+
+_DATETIME = (T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
 def apply_contract(df: DataFrame, contract: Mapping[str, object]) -> DataFrame:
-    """Cast the columns present to their declared types; others untouched."""
-    return df.withColumns({c: typed(F.col(c), spec) for c, spec in contract.items() if c in df.columns})
+    """Cast the columns present to their declared types; columns already of
+    their type and columns absent from the frame are left alone, and date or
+    timestamp columns declared as dates are converted, not re-parsed."""
+    out = {}
+    for c, spec in contract.items():
+        if c not in df.columns:
+            continue
+        dtype = df.schema[c].dataType
+        if _already(dtype, spec):
+            continue
+        if isinstance(spec, DateSpec) and isinstance(dtype, _DATETIME):
+            out[c] = F.col(c).cast("timestamp") if spec.timestamp else F.to_date(F.col(c))
+        else:
+            out[c] = typed(F.col(c), spec)
+    return df.withColumns(out)
 
 
 def all_strings(df: DataFrame) -> DataFrame:

@@ -111,6 +111,8 @@ def pick(df: DataFrame, keys: Sequence[str], order: Sequence, keep: str = "first
     elif keep != "first":
         raise ValueError(keep)
     cols = df.columns
+    if set(cols) <= set(keys):
+        return df.dropDuplicates(list(keys))  # rows of a group are identical: any one will do
     row = F.struct(*[F.col(f"`{c}`") for c in cols])
     if len({o.ascending for o in order}) == 1:
         use_max = not order[0].ascending

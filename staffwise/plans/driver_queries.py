@@ -482,6 +482,19 @@ def gaps_islands(spark, sf):
     return W.distinct_day_runs(e, "user_id", "day")
 
 
+def timeoff_runs(spark, sf):
+    """The time-off job (B2) on leave records derived from orders: person =
+    customer, leave type = priority, leave from the order date for
+    ``o_orderkey % 4`` more days.  Dedupe, day explosion, gaps, islands, streaks."""
+    from .jobs import timeoff_days
+
+    o = _orders(spark, sf)
+    leave = o.select(F.col("o_custkey").alias("persno"), F.col("o_orderpriority").alias("leave_type_code"),
+                     F.col("o_orderdate").alias("startdate"),
+                     F.date_add("o_orderdate", (F.col("o_orderkey") % 4).cast("int")).alias("enddate"))
+    return timeoff_days(leave)
+
+
 # ---------------------------------------------------------------- reshape
 
 
@@ -719,6 +732,7 @@ QUERIES = {
     "equals_group_max": equals_group_max,
     "dayrange_explode": dayrange_explode,
     "gaps_islands": gaps_islands,
+    "timeoff_runs": timeoff_runs,
     "unpivot_single": unpivot_single,
     "unpivot_groups": unpivot_groups,
     "union_by_name_missing": union_by_name_missing,

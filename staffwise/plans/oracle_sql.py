@@ -320,6 +320,32 @@ r AS (SELECT *, COALESCE(gap_days > 1, false) AS gap,
 SELECT user_id, day, gap_days, gap, run_id,
   CAST(row_number() OVER (PARTITION BY user_id, run_id ORDER BY day) - 1 AS INTEGER) AS streak
 FROM r""",
+    "timeoff_runs": """
+WITH l AS (
+  SELECT DISTINCT o_custkey AS persno, o_orderpriority AS leave_type_code, CAST(o_orderdate AS DATE) AS startdate,
+         CAST(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 4 AS INTEGER) AS DATE) AS enddate
+  FROM orders),
+x AS (
+  SELECT *, CAST(unnest(generate_series(CAST(startdate AS TIMESTAMP), CAST(enddate AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS leave_day
+  FROM l),
+dd AS (SELECT persno, leave_day FROM x GROUP BY 1, 2),
+g AS (SELECT persno, leave_day,
+             CAST(datediff('day', lag(leave_day) OVER (PARTITION BY persno ORDER BY leave_day), leave_day) AS INTEGER) AS gap
+      FROM dd),
+r AS (SELECT *, CAST(sum(CASE WHEN gap IS NULL OR gap > 1 THEN 1 ELSE 0 END)
+                     OVER (PARTITION BY persno ORDER BY leave_day ROWS UNBOUNDED PRECEDING) AS BIGINT) AS run_id FROM g),
+k AS (
+  SELECT x.*, r.gap, r.run_id,
+    row_number() OVER (PARTITION BY x.persno, r.run_id
+                       ORDER BY x.leave_day, x.leave_type_code NULLS FIRST, x.startdate NULLS FIRST, x.enddate NULLS FIRST) - 1 AS streak,
+    row_number() OVER (PARTITION BY x.persno, x.leave_day
+                       ORDER BY x.leave_type_code NULLS FIRST, x.startdate NULLS FIRST, x.enddate NULLS FIRST) AS rn_day
+  FROM x JOIN r ON x.persno = r.persno AND x.leave_day = r.leave_day)
+SELECT persno, leave_type_code, startdate, enddate, leave_day,
+  CASE WHEN rn_day = 1 THEN gap ELSE 0 END AS gap_days,
+  COALESCE(CASE WHEN rn_day = 1 THEN gap ELSE 0 END > 1, false) AS gap,
+  run_id, CAST(streak AS INTEGER) AS streak
+FROM k""",
     "unpivot_single": """
 WITH li AS (SELECT l_orderkey, l_linenumber, l_extendedprice, l_discount, l_tax, l_quantity FROM lineitem)
 SELECT l_orderkey, l_linenumber, measure, amount
