@@ -104,32 +104,38 @@ def claims_long(spark: SparkSession, paths, id_cols: Sequence[str], groups: Mapp
     return long
 
 
-# The recruitment tracker rule set (label, required columns, condition).
+# The recruitment tracker rule set:
+# (label, columns that must not be blank, condition as (column, values) or None).
 RECRUITMENT_RULES = (
     ("Cat A error", ("candidate_name", "date_of_application_received", "nationality", "bu", "job_grade",
                      "parent_department", "position", "source", "shortlisted_for_interview", "employment_type"), None),
-    ("Cat B error", ("date_of_interview", "final_interview_outcome"), "shortlisted_for_interview = 'YES'"),
-    ("Cat C error", ("reason_why_application_is_not_shortlisted_for_interview",), "shortlisted_for_interview = 'NO'"),
-    ("Cat D error", ("date_of_interview_outcome_communication", "offer_outcome"), "final_interview_outcome = 'SELECTED'"),
-    ("Cat E error", ("reason_for_rejecting_candidate",), "final_interview_outcome = 'REJECTED'"),
-    ("Cat F error", ("date_of_candidates_acceptance_rejection", "final_status"), "offer_outcome = 'ACCEPTED'"),
+    ("Cat B error", ("date_of_interview", "final_interview_outcome"), ("shortlisted_for_interview", ("YES",))),
+    ("Cat C error", ("reason_why_application_is_not_shortlisted_for_interview",), ("shortlisted_for_interview", ("NO",))),
+    ("Cat D error", ("date_of_interview_outcome_communication", "offer_outcome"), ("final_interview_outcome", ("SELECTED",))),
+    ("Cat E error", ("reason_for_rejecting_candidate",), ("final_interview_outcome", ("REJECTED",))),
+    ("Cat F error", ("date_of_candidates_acceptance_rejection", "final_status"), ("offer_outcome", ("ACCEPTED",))),
     ("Cat G error", ("date_of_candidates_acceptance_rejection", "reason_why_offer_is_rejected_by_candidate"),
-     "offer_outcome = 'REJECTED'"),
-    ("Cat H error", ("join_date",), "final_status IN ('JOINED', 'ACCEPTED OFFER AND PENDING TO JOIN', "
-                                    "'ACCEPTED OFFER AND PENDING FOR IPA/ENTRY APPROVAL', 'NO SHOW ON FIRST DAY')"),
+     ("offer_outcome", ("REJECTED",))),
+    ("Cat H error", ("join_date",), ("final_status", ("JOINED", "ACCEPTED OFFER AND PENDING TO JOIN",
+                                                      "ACCEPTED OFFER AND PENDING FOR IPA/ENTRY APPROVAL",
+                                                      "NO SHOW ON FIRST DAY"))),
 )
 
 
 def recruitment_checks(tracker: DataFrame, stamp: F.Column | None = None, zone: str = "Asia/Singapore",
                        report_by: Sequence[str] = ("tracker_source", "filename")) -> dict[str, DataFrame]:
     """Tracker text cleaned (ASCII, upper-cased), rules A-H applied, the
-    error report and error list, and a load stamp."""
-    text = [c for c in C.string_columns(tracker)]
-    t = tracker.select([F.upper(C.strip_ws(ascii_only(c))).alias(c) if c in text and c not in ("filename",) else F.col(c)
+    error report and error list, and a load stamp.  Rules whose columns the
+    tracker does not have are skipped."""
+    text = C.string_columns(tracker)
+    t = tracker.select([F.upper(C.strip_ws(ascii_only(c))).alias(c) if c in text and c != "filename" else F.col(c)
                         for c in tracker.columns])
     present = set(t.columns)
-    rules = [Q.Rule(label, [c for c in cols if c in present], cond) for label, cols, cond in RECRUITMENT_RULES
-             if all(c in present for c in cols) and (cond is None or all(w in present for w in _cond_cols(cond)))]
+    rules = []
+    for label, cols, cond in RECRUITMENT_RULES:
+        needed = set(cols) | ({cond[0]} if cond else set())
+        if needed <= present:
+            rules.append(Q.Rule(label, list(cols), F.col(cond[0]).isin(list(cond[1])) if cond else None))
     checked = Q.apply_rules(t, rules)
     instant = stamp if stamp is not None else D.utc_now()
     checked = checked.withColumn("load_stamp", D.load_stamp(instant, zone))
@@ -141,10 +147,6 @@ def recruitment_checks(tracker: DataFrame, stamp: F.Column | None = None, zone:
     }
 
 
-def _cond_cols(cond: str) -> list[str]:
-    return [cond.split()[0]]
-
-
 def consolidation_current(current: DataFrame, refs: Sequence[tuple[DataFrame, str, str | None]],
                           date_col: str = "todays_date", today: str | None = None) -> DataFrame:
     """Month-end snapshot of the daily listing, standardised text, chained
