@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordering import By, _sort_key, as_by, pick, reverse
+from .ordering import By, _sort_key, as_by, pick
 
 
 def month_end_snapshot(df: DataFrame, date_col: str, by: Sequence[str] = ()) -> DataFrame:
