@@ -1,6 +1,6 @@
 """Sort specifications turned into sort-key structs.
 
-``pick_first`` / ``pick_last`` choose one row per key with a partial
+:func:`pick` chooses the first or last row per key with a partial
 aggregate (``min_by`` / ``max_by`` over a struct key) instead of a window:
 the map side combines before the shuffle, so a key holding a large share of
 the rows costs one small record per map task rather than one huge sorted
@@ -45,7 +45,8 @@ def _sort_key(order: Sequence[By]) -> Column:
     return F.struct(*parts)
 
 
-_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 
 
 def _ascending_form(df: DataFrame, o: By) -> tuple[Column, bool] | None:
@@ -55,7 +56,9 @@ def _ascending_form(df: DataFrame, o: By) -> tuple[Column, bool] | None:
     if o.ascending:
         return c, o.nulls_last
     t = df.schema[o.col].dataType
-    if isinstance(t, _NUMERIC):
+    if isinstance(t, _INTEGRAL):  # ~x = -x - 1 reverses the order without overflow
+        return F.bitwise_not(c), o.nulls_last
+    if isinstance(t, _FRACTIONAL):
         return -c, o.nulls_last
     if isinstance(t, T.DateType):
         return -F.unix_date(c), o.nulls_last

@@ -83,3 +83,10 @@ def test_layer_depth_matches_walk(spark, seed):
     df = spark.createDataFrame(edges, "p long, m long")
     got = dict(layer_depth(df, "p", "m", 0).select("p", "layer").collect())
     assert got == _walk(edges, 0)
+
+
+def test_mixed_direction_extreme_integers(spark):
+    lo, hi = -(2 ** 63), 2 ** 63 - 1
+    df = spark.createDataFrame([(1, lo, "a"), (1, hi, "b"), (1, 0, "c"), (2, lo, "d")], "k int, v long, s string")
+    first = dict((r["k"], r["s"]) for r in W.dedupe(df, ["k"], [By("v", False), By("s", True)]).collect())
+    assert first == {1: "b", 2: "d"}
