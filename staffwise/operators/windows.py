@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordering import By, _sort_key, as_by, pick
+from .ordering import By, _sort_key, as_by, mixed_sort_key, pick
 
 
 def month_end_snapshot(df: DataFrame, date_col: str, by: Sequence[str] = ()) -> DataFrame:
@@ -87,16 +87,20 @@ def first_occurrence_flag(df: DataFrame, subset: Sequence[str], order: Sequence,
     bounded by the data model (e.g. one row per person per snapshot).
     """
     order = [as_by(o) for o in order]
-    if method == "aggregate" and len({o.ascending for o in order}) == 1:
+    if len({o.ascending for o in order}) == 1:
         key = _sort_key(order)
         agg = F.max(key) if not order[0].ascending else F.min(key)
+    else:
+        key = mixed_sort_key(df, order)
+        agg = F.min(key) if key is not None else None
+    if method == "aggregate" and agg is not None:
         firsts = df.groupBy(*[F.col(s).alias(f"__g_{s}") for s in subset]).agg(agg.alias("__k"))
         cond = None
         for s in subset:
             c = F.col(s).eqNullSafe(F.col(f"__g_{s}"))
             cond = c if cond is None else cond & c
         joined = df.join(firsts, cond, "left")
-        mark = _sort_key(order).eqNullSafe(F.col("__k"))
+        mark = key.eqNullSafe(F.col("__k"))
         return joined.select(*[F.col(f"`{c}`") for c in df.columns], mark.alias(out))
     from .ordering import window_order
 

@@ -90,3 +90,14 @@ def test_mixed_direction_extreme_integers(spark):
     df = spark.createDataFrame([(1, lo, "a"), (1, hi, "b"), (1, 0, "c"), (2, lo, "d")], "k int, v long, s string")
     first = dict((r["k"], r["s"]) for r in W.dedupe(df, ["k"], [By("v", False), By("s", True)]).collect())
     assert first == {1: "b", 2: "d"}
+
+
+@pytest.mark.parametrize("seed", [2, 9])
+def test_first_occurrence_mixed_matches_pandas(spark, seed):
+    pdf = _frame(seed)
+    sdf = spark.createDataFrame(pdf.astype({"v": object, "k": object}).where(pdf.notna(), None), "k long, v double, row long")
+    out = W.first_occurrence_flag(sdf, ["k"], [By("v", False, True), By("row", True, True)], out="m")
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
+    expect = set(pdf.sort_values(["v", "row"], ascending=[False, True], na_position="last", kind="mergesort")
+                 .drop_duplicates(subset=["k"], keep="first")["row"])
+    assert {r["row"] for r in out.collect() if r["m"]} == expect
