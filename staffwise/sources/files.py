@@ -21,11 +21,11 @@ from ..operators.reshape import union_by_name
 
 
 def list_files(spark: SparkSession, pattern: str) -> DataFrame:
-    """``(path, name, modified)`` of the files matching ``pattern``; the file
-    contents are not read (only the metadata columns are selected)."""
+    """``(path, name, modified, length)`` of the files matching ``pattern``; the
+    file contents are not read (only the metadata columns are selected)."""
     return (spark.read.format("binaryFile").load(pattern)
             .select("path", F.element_at(F.split("path", "/"), -1).alias("name"),
-                    F.col("modificationTime").alias("modified")))
+                    F.col("modificationTime").alias("modified"), "length"))
 
 
 def latest_file(spark: SparkSession, pattern: str) -> str | None:
@@ -34,12 +34,14 @@ def latest_file(spark: SparkSession, pattern: str) -> str | None:
     return row[0] if row else None
 
 
-def header_of(spark: SparkSession, path: str, record_no: int = 1, sep: str = ",",
-              max_lines: int = 50) -> tuple[list[str], bool]:
-    """Cells of CSV record ``record_no`` (1-based) of one file, and whether the
-    records up to it span more physical lines than records (quoted newlines).
-    Reads at most ``max_lines`` lines of the file."""
-    lines = [r[0] for r in spark.read.text(path).limit(max_lines).collect()]
+def _size_bytes(text: str) -> int:
+    """``'134217728'``, ``'128m'``, ``'128MB'``, ``'1g'`` -> bytes."""
+    t = str(text).strip().lower().rstrip("b")
+    scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(t[-1:], 1)
+    return int(float(t[:-1] if scale != 1 else t) * scale)
+
+
+def _header_from_lines(lines: list[str], record_no: int, sep: str) -> tuple[list[str], bool]:
     reader = csv.reader(io.StringIO("\n".join(lines)), delimiter=sep)
     cells: list[str] = []
     for i, rec in enumerate(reader, start=1):
@@ -49,6 +51,43 @@ def header_of(spark: SparkSession, path: str, record_no: int = 1, sep: str = ","
     return cells, reader.line_num > record_no
 
 
+def header_of(spark: SparkSession, path: str, record_no: int = 1, sep: str = ",",
+              max_lines: int = 50) -> tuple[list[str], bool]:
+    """Cells of CSV record ``record_no`` (1-based) of one file, and whether the
+    records up to it span more physical lines than records (quoted newlines).
+    Reads the first ``max_lines`` lines: a limited collect scans the file's
+    first split first and stops there."""
+    lines = [r[0] for r in spark.read.text(path).limit(max_lines).collect()]
+    return _header_from_lines(lines, record_no, sep)
+
+
+def headers_of(spark: SparkSession, files: Sequence[tuple[str, int]], record_no: int = 1, sep: str = ",",
+               max_lines: int = 50, batch: int = 200) -> dict[str, tuple[list[str], bool]]:
+    """:func:`header_of` for many ``(path, length)`` files.
+
+    Files that fit in one read split are done ``batch`` at a time in one job (a
+    union of single-split reads, each limited to its first lines, with the
+    line order taken before the limit); larger files use one limited collect
+    each, which stops after the first split.
+    """
+    split = _size_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    small = [p for p, n in files if n is not None and n <= split]
+    out = {p: header_of(spark, p, record_no, sep, max_lines) for p, n in files if p not in set(small)}
+    for i in range(0, len(small), batch):
+        chunk = small[i:i + batch]
+        parts = [spark.read.text(p).select(F.lit(j).alias("__i"), F.monotonically_increasing_id().alias("__o"),
+                                           "value").limit(max_lines)
+                 for j, p in enumerate(chunk)]
+        rows = union_by_name(*parts).collect()
+        by_file: dict[int, list] = {}
+        for r in rows:
+            by_file.setdefault(r["__i"], []).append(r)
+        for j, p in enumerate(chunk):
+            lines = [r["value"] for r in sorted(by_file.get(j, []), key=lambda r: r["__o"])]
+            out[p] = _header_from_lines(lines, record_no, sep)
+    return out
+
+
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], sep: str = ",", title_line: bool = False,
                    exclude: Iterable[str] = (), normalise: bool = True, encoding: str = "UTF-8",
                    multi_line: bool | None = None) -> DataFrame:
@@ -63,18 +102,20 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], sep: str = "
     stay splittable across tasks.
     """
     pattern_list = [paths] if isinstance(paths, str) else list(paths)
-    files = []
+    listed = []
     for p in pattern_list:
-        files += [r["path"] for r in list_files(spark, p).orderBy("path").collect()]
+        listed += [(r["path"], r["length"]) for r in list_files(spark, p).orderBy("path").collect()]
     skip = list(exclude)
-    files = [f for f in files if not any(s in f.rsplit("/", 1)[-1] for s in skip)]
+    listed = [(f, n) for f, n in listed if not any(s in f.rsplit("/", 1)[-1] for s in skip)]
+    files = [f for f, _ in listed]
     if not files:
         raise FileNotFoundError(f"no files match {paths}")
     record_no = 2 if title_line else 1
     groups: dict[tuple, list[str]] = {}
     spans: dict[tuple, bool] = {}
+    heads = headers_of(spark, listed, record_no, sep)
     for f in files:
-        cells, spanned = header_of(spark, f, record_no, sep)
+        cells, spanned = heads[f]
         head = tuple(cells)
         if head:
             groups.setdefault(head, []).append(f)

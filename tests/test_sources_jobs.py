@@ -188,3 +188,19 @@ def test_workbook_sheets(spark, tmp_dir):
         pd.DataFrame({"A": [3]}).to_excel(xw, sheet_name="Names Jan", index=False)
     rows = workbook.read_sheets(spark, f"{tmp_dir}/*.xlsx", sheet_regex="^name")
     assert workbook.cells_to_columns(rows).count() == 1
+
+
+def test_headers_batched_and_large_files(spark, tmp_dir):
+    for i in range(5):
+        write(f"{tmp_dir}/s{i}_hc.csv", f"Title {i}\nPers.No.,Grade\n{i},G{i}\n")
+    big_rows = "".join(f"{100 + k},GX\n" for k in range(2000))
+    write(f"{tmp_dir}/z_big_hc.csv", "Big title\nPers.No.,Grade,Extra\n" + big_rows)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")  # the big file now spans several splits
+    try:
+        df = S.read_delimited(spark, f"{tmp_dir}/*_hc.csv", title_line=True)
+        assert set(df.columns) == {"persno", "grade", "extra", "_file", "_row"}
+        assert df.count() == 5 + 2000
+        assert df.filter("persno = 'Pers.No.' OR persno LIKE 'Big%' OR persno LIKE 'Title%'").count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
