@@ -33,7 +33,11 @@ def layer_depth(df: DataFrame, person: str, manager: str, root, by: Sequence[str
     :func:`staffwise.operators.windows.dedupe` first to make the last edge win.
     Returns ``df`` with ``out`` added."""
     by = list(by)
-    edges = df.select(*by, F.col(person).alias("__node"), F.col(manager).alias("__mgr")).filter(F.col("__node").isNotNull())
+    # one edge per (by, person): a repeated person would fan the joins out round after
+    # round; the smallest manager is kept (dedupe beforehand for last-edge-wins)
+    edges = (df.select(*by, F.col(person).alias("__node"), F.col(manager).alias("__mgr"))
+             .filter(F.col("__node").isNotNull())
+             .groupBy(*by, "__node").agg(F.min("__mgr").alias("__mgr")))
     is_root = F.col("__node") == F.lit(root)
     state = edges.select(
         *by, "__node",

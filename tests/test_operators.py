@@ -231,3 +231,10 @@ def test_aggregates(spark):
     assert (s["min"], s["median"], s["max"], s["n"]) == (10.0, 15.0, 20.0, 2)
     prof = {r["column"]: r["nulls"] for r in A.null_profile(df).collect()}
     assert prof == {"g": 1, "p": 0, "v": 1}
+
+
+def test_layer_depth_repeated_person_does_not_fan_out(spark):
+    df = spark.createDataFrame([("r", None), ("a", "r"), ("a", "r"), ("b", "a"), ("b", "a")], "p string, m string")
+    out = layer_depth(df, "p", "m", "r")
+    assert out.count() == 5
+    assert sorted({(r["p"], r["layer"]) for r in out.collect()}) == [("a", 1), ("b", 2), ("r", 0)]
