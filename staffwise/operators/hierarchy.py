@@ -45,16 +45,19 @@ def layer_depth(df: DataFrame, person: str, manager: str, root, by: Sequence[str
         F.when(is_root, F.lit(0)).otherwise(F.lit(1)).cast("long").alias("__dist"),
         (is_root | F.coalesce(F.col("__mgr") == F.lit(root), F.lit(False))).alias("__done"),
     )
-    state = cut_lineage(state, "layers")
+    # the number of unresolved rows is observed while each state is written (no extra job)
+    is_active = ~F.col("__done") & F.col("__anc").isNotNull()
+    count_active = {"n_active": F.sum(is_active.cast("long"))}
+    state, seen = cut_lineage(state, "layers", count_active)
     if max_rounds is None:
         max_rounds = 64  # 2**64 hops exceeds any chain; the no-progress stop ends far earlier
     prev_active = None
     for _ in range(max_rounds):
-        active = state.filter(~F.col("__done") & F.col("__anc").isNotNull())
-        n_active = active.count()
+        n_active = seen["n_active"] or 0
         if n_active == 0 or n_active == prev_active:
             break
         prev_active = n_active
+        active = state.filter(is_active)
         look = state.select(*[F.col(b).alias(f"__t_{b}") for b in by], F.col("__node").alias("__t_node"),
                             F.col("__anc").alias("__t_anc"), F.col("__dist").alias("__t_dist"),
                             F.col("__done").alias("__t_done"))
@@ -69,7 +72,7 @@ def layer_depth(df: DataFrame, person: str, manager: str, root, by: Sequence[str
             F.coalesce(F.col("__t_done"), F.lit(False)).alias("__done"),
         )
         settled = state.filter(F.col("__done") | F.col("__anc").isNull())
-        state = cut_lineage(settled.unionByName(stepped), "layers")
+        state, seen = cut_lineage(settled.unionByName(stepped), "layers", count_active)
     depth = state.select(*[F.col(b).alias(f"__d_{b}") for b in by], F.col("__node").alias("__d_node"),
                          F.when(F.col("__done"), F.col("__dist")).alias(out))
     cond = df[person] == depth["__d_node"]

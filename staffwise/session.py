@@ -76,15 +76,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def cut_lineage(df: DataFrame, name: str = "state") -> DataFrame:
+def cut_lineage(df: DataFrame, name: str = "state", metrics: dict | None = None):
     """Write ``df`` as a parquet table under the shared checkpoint folder and
     read it back.
 
     One job, no recomputation (a reliable ``checkpoint()`` would run the plan
     twice unless cached), columnar re-reads, and the written files survive the
     loss of any executor.  ``localCheckpoint`` is never used.
+
+    ``metrics`` (``{name: aggregate column}``) are computed during the same
+    write through an ``Observation``; then ``(df, {name: value})`` is returned.
     """
+    from pyspark.sql import Observation
+
     base = checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/staffwise-{name}-{uuid.uuid4().hex}"
+    obs = None
+    if metrics:
+        obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
+        df = df.observe(obs, *[c.alias(k) for k, c in metrics.items()])
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    return (out, dict(obs.get)) if obs is not None else out
