@@ -25,24 +25,38 @@ def available() -> bool:
     return True
 
 
+def excel_book(content: bytes, header: int):
+    """Default parser: ``{sheet name: pandas frame of text}`` in sheet order."""
+    import io
+
+    import pandas as pd
+
+    book = pd.ExcelFile(io.BytesIO(content))
+    return {name: book.parse(name, header=header, dtype=str) for name in book.sheet_names}
+
+
 def read_sheets(spark: SparkSession, pattern: str, sheet: int | str | None = 0, sheet_regex: str | None = None,
-                header: int = 0) -> DataFrame:
+                header: int = 0, parser=None) -> DataFrame:
     """Rows of the chosen sheet (by index or name, S5/S7) or of every sheet whose
-    name matches ``sheet_regex`` case-insensitively (S6), as text."""
-    if not available():
-        raise ImportError("reading workbooks needs the openpyxl package on the executors")
+    name matches ``sheet_regex`` case-insensitively (S6), as text.
+
+    ``parser(content, header) -> {sheet: pandas frame}`` reads one workbook; the
+    default uses pandas' Excel reader (needs ``openpyxl`` on the executors).
+    """
+    if parser is None:
+        if not available():
+            raise ImportError("reading workbooks needs the openpyxl package on the executors")
+        parser = excel_book
     rx = re.compile(sheet_regex, re.IGNORECASE) if sheet_regex else None
 
     def parse(batches):
-        import io
-
         import pandas as pd
 
         for pdf in batches:
             out = []
             for path, content in zip(pdf["path"], pdf["content"]):
-                book = pd.ExcelFile(io.BytesIO(content))
-                names = book.sheet_names
+                book = parser(bytes(content), header)
+                names = list(book)
                 if rx is not None:
                     chosen = [n for n in names if rx.match(n)]
                 elif isinstance(sheet, int):
@@ -50,7 +64,7 @@ def read_sheets(spark: SparkSession, pattern: str, sheet: int | str | None = 0,
                 else:
                     chosen = [sheet] if sheet in names else []
                 for name in chosen:
-                    frame = book.parse(name, header=header, dtype=str)
+                    frame = book[name]
                     for i, rec in enumerate(frame.to_dict("records")):
                         cells = {str(k): (None if pd.isna(v) else str(v)) for k, v in rec.items()}
                         out.append((path.rsplit("/", 1)[-1], name, i, cells))

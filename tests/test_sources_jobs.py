@@ -181,6 +181,40 @@ def test_geo_enrich_job(spark):
     assert got == [("1", 0.1), ("2", 0.1)]
 
 
+def test_workbook_rows_through_spark(spark, tmp_dir):
+    # defined inside the test so that it is shipped to the Python workers by value
+    def _text_book(content, header):
+        """Stand-in workbook parser: sheets separated by '## name' lines, CSV inside."""
+        import io
+
+        book, name, buf = {}, None, []
+        for line in content.decode().splitlines():
+            if line.startswith("## "):
+                if name is not None:
+                    book[name] = pd.read_csv(io.StringIO("\n".join(buf)), header=header, dtype=str)
+                name, buf = line[3:], []
+            else:
+                buf.append(line)
+        if name is not None:
+            book[name] = pd.read_csv(io.StringIO("\n".join(buf)), header=header, dtype=str)
+        return book
+
+    write(f"{tmp_dir}/2024-01 monthly.book", "## Departure\npersno,date_left\n1,01/01/2024\n"
+          "## Names Jan\npersno,grade\n2,G1\n3,\n## Prom\npersno\n4\n")
+    write(f"{tmp_dir}/2024-02 monthly.book", "## NAMES feb\npersno,grade\n5,G2\n## departure\npersno,date_left\n6,\n")
+    rows = workbook.read_sheets(spark, f"{tmp_dir}/*.book", sheet_regex=r"^name", parser=_text_book)
+    wide = workbook.cells_to_columns(rows)
+    got = sorted((r["file"], r["sheet"], r["row_no"], r["persno"], r["grade"]) for r in wide.collect())
+    assert got == [("2024-01 monthly.book", "Names Jan", 0, "2", "G1"), ("2024-01 monthly.book", "Names Jan", 1, "3", None),
+                   ("2024-02 monthly.book", "NAMES feb", 0, "5", "G2")]
+    leavers = workbook.read_sheets(spark, f"{tmp_dir}/*.book", sheet_regex=r"^departure$", parser=_text_book)
+    assert leavers.count() == 2
+    first = workbook.read_sheets(spark, f"{tmp_dir}/*.book", sheet=0, parser=_text_book)
+    assert sorted(r["sheet"] for r in first.collect()) == ["Departure", "NAMES feb"]
+    by_name = workbook.read_sheets(spark, f"{tmp_dir}/*.book", sheet="Prom", parser=_text_book)
+    assert [r["cells"]["persno"] for r in by_name.collect()] == ["4"]
+
+
 @pytest.mark.skipif(not workbook.available(), reason="openpyxl is not installed")
 def test_workbook_sheets(spark, tmp_dir):
     with pd.ExcelWriter(f"{tmp_dir}/2024-01 book.xlsx") as xw:
