@@ -45,7 +45,7 @@ def layer_depth(df: DataFrame, person: str, manager: str, root, by: Sequence[str
         F.when(is_root, F.lit(0)).otherwise(F.lit(1)).cast("long").alias("__dist"),
         (is_root | F.coalesce(F.col("__mgr") == F.lit(root), F.lit(False))).alias("__done"),
     )
-    # the number of unresolved rows is observed while each state is written (no extra job)
+    # the number of unresolved rows is counted on each written state (two columns scanned)
     is_active = ~F.col("__done") & F.col("__anc").isNotNull()
     count_active = {"n_active": F.sum(is_active.cast("long"))}
     state, seen = cut_lineage(state, "layers", count_active)

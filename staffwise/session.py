@@ -84,17 +84,18 @@ def cut_lineage(df: DataFrame, name: str = "state", metrics: dict | None = None)
     twice unless cached), columnar re-reads, and the written files survive the
     loss of any executor.  ``localCheckpoint`` is never used.
 
-    ``metrics`` (``{name: aggregate column}``) are computed during the same
-    write through an ``Observation``; then ``(df, {name: value})`` is returned.
+    ``metrics`` (``{name: aggregate column}``) are computed over the written
+    table (a columnar scan of just the columns they use); then
+    ``(df, {name: value})`` is returned.  ``DataFrame.observe`` is avoided on
+    purpose: it leaves the session holding an object that cannot be
+    serialized, and later ``pyspark.ml`` models that keep a training summary
+    (logistic regression) then fail to transform.
     """
-    from pyspark.sql import Observation
-
     base = checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/staffwise-{name}-{uuid.uuid4().hex}"
-    obs = None
-    if metrics:
-        obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
-        df = df.observe(obs, *[c.alias(k) for k, c in metrics.items()])
     df.write.mode("overwrite").parquet(path)
     out = df.sparkSession.read.parquet(path)
-    return (out, dict(obs.get)) if obs is not None else out
+    if not metrics:
+        return out
+    row = out.agg(*[c.alias(k) for k, c in metrics.items()]).first()
+    return out, row.asDict()

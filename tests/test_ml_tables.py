@@ -40,3 +40,19 @@ def test_importances_and_save(spark, tmp_dir):
     assert abs(sum(v for _, v in imp) - 1.0) < 1e-6
     ml.save_model(model, f"{tmp_dir}/model")
     assert PipelineModel.load(f"{tmp_dir}/model").transform(data).count() == data.count()
+
+
+def test_logistic_after_layer_depth(spark):
+    # layer depth's per-round counts must leave the session usable for models that
+    # keep a training summary (an Observation would make the session unserializable)
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
+    from staffwise.operators.hierarchy import layer_depth
+
+    edges = spark.createDataFrame([("1", None), ("2", "1"), ("3", "2"), ("4", "3")], "p string, m string")
+    assert sorted(r["layer"] for r in layer_depth(edges, "p", "m", root="1").collect()) == [0, 1, 2, 3]
+    data = VectorAssembler(inputCols=["x"], outputCol="features").transform(
+        spark.createDataFrame([(float(i), float(i % 2)) for i in range(20)], "x double, label double"))
+    model = LogisticRegression(maxIter=5).fit(data)
+    assert len(model.transform(data).select("prediction", "probability").collect()) == 20
