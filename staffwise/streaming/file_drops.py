@@ -5,8 +5,12 @@ folder is a Structured Streaming file source: each run (``availableNow``
 trigger, e.g. from a daily scheduler) processes only files not seen before,
 hands them to a batch transform through ``foreachBatch``, and appends the
 result.  Progress is kept in a checkpoint under the shared checkpoint folder,
-so a failed or repeated run neither skips nor duplicates files.  There are no
-watermarks or state: the extracts are complete snapshots, not event streams.
+so a failed or repeated run skips no file.  ``foreachBatch`` itself is only
+at-least-once (a batch whose output was written but not yet committed to the
+checkpoint is run again), so each batch overwrites its own ``batch_id=<n>``
+folder of the sink: a replayed batch replaces its earlier output instead of
+adding to it.  There are no watermarks or state: the extracts are complete
+snapshots, not event streams.
 """
 
 from __future__ import annotations
@@ -20,6 +24,16 @@ from pyspark.sql.streaming import StreamingQuery
 from ..session import checkpoint_dir
 
 
+def write_epoch(df: DataFrame, epoch_id: int, sink_path: str, partition_by: Sequence[str] = ()) -> None:
+    """Write one micro-batch idempotently: overwrite ``sink_path/batch_id=<epoch_id>``.
+    Reading ``sink_path`` as parquet yields every batch once, with ``batch_id``
+    as a partition column."""
+    out = df.write.mode("overwrite")
+    if partition_by:
+        out = out.partitionBy(*partition_by)
+    out.parquet(f"{sink_path.rstrip('/')}/batch_id={int(epoch_id)}")
+
+
 def ingest_file_drops(spark: SparkSession, source_dir: str, schema: T.StructType | str, sink_path: str,
                       transform: Callable[[DataFrame], DataFrame] = lambda df: df, name: str = "drops",
                       fmt: str = "csv", options: Mapping[str, str] | None = None,
@@ -32,10 +46,7 @@ def ingest_file_drops(spark: SparkSession, source_dir: str, schema: T.StructType
     stream = reader.load(source_dir)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        out = transform(batch).write.mode("append")
-        if partition_by:
-            out = out.partitionBy(*partition_by)
-        out.parquet(sink_path)
+        write_epoch(transform(batch), epoch_id, sink_path, partition_by)
 
     ckpt = f"{checkpoint_dir(spark).rstrip('/')}/stream-{name}"
     return (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)

@@ -33,6 +33,18 @@ def test_file_drops_processed_once(spark, tmp_dir):
     assert out.filter(F.col("eom") == dt.date(2024, 3, 31)).count() == 1
 
 
+def test_replayed_batch_does_not_duplicate(spark, tmp_dir):
+    from staffwise.streaming.file_drops import write_epoch
+
+    batch = spark.createDataFrame([("1", dt.date(2024, 1, 31)), ("2", dt.date(2024, 1, 31))], "persno string, eom date")
+    sink = f"{tmp_dir}/sink"
+    write_epoch(batch, 0, sink, ["eom"])
+    write_epoch(batch, 0, sink, ["eom"])  # the same batch run again after a failure
+    write_epoch(batch.filter(F.col("persno") == "1"), 1, sink, ["eom"])
+    out = spark.read.parquet(sink)
+    assert sorted((r["batch_id"], r["persno"]) for r in out.collect()) == [(0, "1"), (0, "2"), (1, "1")]
+
+
 def test_entry_contract(spark):
     import __spark_entry__ as e
 
