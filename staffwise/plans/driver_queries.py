@@ -559,7 +559,7 @@ def snapshot_diff_q(spark, sf):
     per_month = W.dedupe(o.select("o_custkey", "eom", "o_orderkey", "o_orderpriority", "o_orderstatus"),
                          ["o_custkey", "eom"], [By("o_orderkey")], keep="last")
     # one row per (customer, month) after the dedupe, so every n_pairs is 1
-    return snapshot_diff(per_month, "o_custkey", "eom", ["o_orderpriority", "o_orderstatus"]).drop("n_pairs")
+    return snapshot_diff(per_month, "o_custkey", "eom", ["o_orderpriority", "o_orderstatus"]).drop("n_pairs", "n_old", "n_new")
 
 
 # ---------------------------------------------------------------- rules

@@ -101,3 +101,86 @@ def test_first_occurrence_mixed_matches_pandas(spark, seed):
     expect = set(pdf.sort_values(["v", "row"], ascending=[False, True], na_position="last", kind="mergesort")
                  .drop_duplicates(subset=["k"], keep="first")["row"])
     assert {r["row"] for r in out.collect() if r["m"]} == expect
+
+
+def _diff_fixture(seed, n=80):
+    rnd = random.Random(seed)
+    dates = ["2024-01-31", "2024-02-29", "2024-04-30"]
+    rows = []
+    for _ in range(n):
+        k = rnd.choice([0, 1, 1, 1, 2, 3])  # key 1 is hot and repeated within snapshots
+        f = rnd.choice(["A", "B", "C", None])
+        g = rnd.choice([1, 2])
+        rows.append((k, dates[rnd.randrange(3)], f, g))
+    return rows, dates
+
+
+def _side_rows(rows, k, dt):
+    return [(f, g) for kk, dd, f, g in rows if kk == k and dd == dt]
+
+
+@pytest.mark.parametrize("seed", [4, 5, 6])
+def test_snapshot_diff_pairs_and_values_match_brute_force(spark, seed):
+    import datetime as dt
+    from collections import Counter
+
+    from staffwise.operators.diff import snapshot_diff
+
+    rows, dates = _diff_fixture(seed)
+    present = sorted({r[1] for r in rows})
+    nxt = dict(zip(present, present[1:]))
+    sdf = spark.createDataFrame([(k, dt.date.fromisoformat(d), f, g) for k, d, f, g in rows], "k int, eom date, f string, g int")
+    keys = sorted({r[0] for r in rows})
+
+    def kind(o, n):
+        if o is None and n is not None:
+            return "added"
+        if o is not None and n is None:
+            return "deleted"
+        return "modified" if o is not None and o != n else None
+
+    # every key paired many-to-many (the bound is never reached): all pairs, copies counted
+    expect = Counter()
+    for k in keys:
+        for d0, d1 in nxt.items():
+            for (fo, go) in _side_rows(rows, k, d0):
+                for (fn, gn) in _side_rows(rows, k, d1):
+                    for field, o, n in (("f", fo, fn), ("g", go, gn)):
+                        if kind(o, n):
+                            expect[(k, d0, d1, field, kind(o, n), o, n)] += 1
+    out = snapshot_diff(sdf, "k", "eom", ["f", "g"], max_pairs=10**6).collect()
+    got = Counter()
+    for r in out:
+        o, n = r[f"{r['field']}_old"], r[f"{r['field']}_new"]
+        got[(r["k"], r["eom_old"].isoformat(), r["eom"].isoformat(), r["field"], r["change"], o, n)] += r["n_pairs"]
+    assert got == expect
+
+    # bound 1: repeated keys are compared as per-field value multisets
+    out = snapshot_diff(sdf, "k", "eom", ["f", "g"], max_pairs=1).collect()
+    got_values, got_pairs = {}, Counter()
+    for r in out:
+        key = (r["k"], r["eom_old"].isoformat(), r["eom"].isoformat(), r["field"])
+        if r["n_pairs"] is None:
+            v = r[f"{r['field']}_old"] if r["n_old"] > 0 else r[f"{r['field']}_new"]
+            got_values.setdefault(key, {})[v] = (r["n_old"], r["n_new"])
+        else:
+            got_pairs[key + (r["change"],)] += r["n_pairs"]
+    exp_values, exp_pairs = {}, Counter()
+    for k in keys:
+        for d0, d1 in nxt.items():
+            old, new = _side_rows(rows, k, d0), _side_rows(rows, k, d1)
+            if not old or not new:
+                continue
+            if len(set(old)) * len(set(new)) == 1:
+                for field, o, n in (("f", old[0][0], new[0][0]), ("g", old[0][1], new[0][1])):
+                    if kind(o, n):
+                        exp_pairs[(k, d0, d1, field, kind(o, n))] += len(old) * len(new)
+                continue
+            for i, field in enumerate(("f", "g")):
+                co, cn = Counter(r[i] for r in old), Counter(r[i] for r in new)
+                for v in set(co) | set(cn):
+                    if co[v] != cn[v]:
+                        exp_values.setdefault((k, d0, d1, field), {})[v] = (co[v], cn[v])
+    assert got_pairs == exp_pairs
+    assert got_values == exp_values
+    assert any(v for v in exp_values.values())  # the fixture does reach the value-level form

@@ -47,3 +47,19 @@ def test_headcount_hot_group(skewed):
     pdf, sdf = skewed
     got = {r["k"]: r["headcount"] for r in A.headcount(sdf, "row", ["k"]).collect()}
     assert got[0] == 1000 and sum(got.values()) == len(pdf)
+
+
+def test_snapshot_diff_hot_key_is_not_paired(spark):
+    import datetime as dt
+
+    from staffwise.operators.diff import snapshot_diff
+
+    m1, m2 = dt.date(2024, 1, 31), dt.date(2024, 2, 29)
+    hot = [(0, m1, f"a{i}", i % 3) for i in range(300)] + [(0, m2, f"a{i + 150}", i % 3) for i in range(300)]
+    cold = [(k, m, "x", 1) for k in range(1, 50) for m in (m1, m2)]
+    df = spark.createDataFrame(hot + cold, "k int, eom date, f string, g int")
+    out = snapshot_diff(df, "k", "eom", ["f", "g"])
+    # all-pairs would be 90,000 rows per field; per-field value counts are linear
+    assert out.count() == 300  # f: 150 removed + 150 added values; g: each value 100 old, 100 new
+    assert {r["change"] for r in out.collect()} == {"value_added", "value_removed"}
+    assert out.filter("k != 0").count() == 0  # unchanged single-row keys give nothing
