@@ -63,8 +63,9 @@ def snapshot_consolidation(spark, sf):
 
     Both slices come from one table, so they are one projection of one scan
     (the union-by-name of different extracts is ``union_by_name_missing``).
-    The joiner mark uses the one-pass window form: after the month-end filter a
-    customer's rows are bounded by the number of snapshots.
+    The joiner mark uses the skew-safe aggregate form: month-end keeps every row
+    on a month's last date, so a customer's rows are not bounded by the number
+    of snapshots, and a window would put a hot customer in one task.
     """
     orders = _orders(spark, sf)
     snap = W.month_end_snapshot(
@@ -84,7 +85,7 @@ def snapshot_consolidation(spark, sf):
     x = J.lookup(x, region, "n_regionkey", "r_regionkey", broadcast=True)
     x = J.lookup(x, first, "o_custkey", null_safe=False)
     x = x.withColumn("tenure", D.tenure_years("first_date", F.col("eom")))
-    x = W.first_occurrence_flag(x, ["o_custkey"], [By("eom"), By("o_orderkey")], out="joiner_mark", method="window")
+    x = W.first_occurrence_flag(x, ["o_custkey"], [By("eom"), By("o_orderkey")], out="joiner_mark")
     return (x.groupBy("eom", "r_name", "src")
             .agg(F.count_distinct("o_custkey").alias("headcount"),
                  F.sum(F.col("joiner_mark").cast("int")).alias("joiners"),
