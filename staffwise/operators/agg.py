@@ -50,45 +50,64 @@ def null_profile(df: DataFrame) -> DataFrame:
                     (F.col("__rows") > F.col("non_null")).alias("any_null")))
 
 
+def prefix_counts(df: DataFrame, by: Sequence[str], order: Sequence[str], weight: str, name: str = "prefix",
+                  partitions: int | None = None) -> DataFrame:
+    """Running totals inside groups without ordering a group in one task.
+
+    Adds ``__start`` (total ``weight`` of the rows before the row in its ``by``
+    group, ascending on ``order`` with nulls first) and ``__n`` (the group's
+    total).  Rows should be unique on ``by + order``.
+
+    1. the rows are range-partitioned on (group, order) and written once to the
+       shared checkpoint folder, which pins each row's partition id: a group's
+       rows now lie in consecutive, balanced segments (one per partition);
+    2. per-segment totals (at most groups + partitions rows) give each segment
+       its offset inside its group;
+    3. a running total inside each (group, segment) plus the offset gives
+       every row its position, so a group holding most rows is spread over
+       many balanced tasks.
+    """
+    from ..session import cut_lineage
+
+    by, order = list(by), list(order)
+    q = lambda c: F.col(f"`{c}`")  # noqa: E731  (names, not paths)
+    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = cut_lineage(df.repartitionByRange(n_parts, *[q(c) for c in by + order])
+                         .withColumn("__pid", F.spark_partition_id()), name)
+    seg_keys = [f"__s_{i}" for i in range(len(by))]
+    seg = ranged.groupBy(*[q(b).alias(s) for b, s in zip(by, seg_keys)], F.col("__pid").alias("__s_pid")).agg(
+        F.sum(weight).alias("__seg"))
+    seg_order = Window.partitionBy(*seg_keys).orderBy("__s_pid")
+    seg = (seg.withColumn("__off", F.coalesce(F.sum("__seg").over(seg_order.rowsBetween(Window.unboundedPreceding, -1)),
+                                              F.lit(0)))
+           .withColumn("__n", F.sum("__seg").over(Window.partitionBy(*seg_keys))))
+    cond = F.col("__pid") == F.col("__s_pid")
+    for b, s in zip(by, seg_keys):
+        cond = cond & q(b).eqNullSafe(F.col(s))
+    within = Window.partitionBy(*[q(b) for b in by], "__pid").orderBy(*[q(c) for c in order])
+    end = F.col("__off") + F.sum(weight).over(within.rowsBetween(Window.unboundedPreceding, 0))
+    return (ranged.join(seg, cond, "inner")
+            .withColumn("__start", end - F.col(weight))
+            .drop("__pid", "__s_pid", "__seg", "__off", *seg_keys))
+
+
 def exact_quantiles(df: DataFrame, measure: str, probs: Sequence[float], by: Sequence[str] = (),
                     partitions: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (the ``percentile`` /
     ``quantile_cont`` definition), distributed even when one group holds most rows.
 
     1. rows are counted per (group, value) -- a partial aggregate;
-    2. the counts are range-partitioned on (group, value) and written once to the
-       shared checkpoint folder, which pins each row's partition id: a group's
-       values now lie in consecutive, balanced segments (one per partition);
-    3. per-segment totals (at most groups + partitions rows) give each segment
-       its offset inside its group;
-    4. a running count inside each (group, segment) plus the offset gives every
-       value its global rank range, so no task ever sorts a whole group;
-    5. the two ranks around ``p * (n - 1)`` are picked with a conditional
+    2. :func:`prefix_counts` gives every value its rank range inside its group
+       (range-partitioned segments, so no task ever sorts a whole group);
+    3. the two ranks around ``p * (n - 1)`` are picked with a conditional
        ``max`` and interpolated.
 
     Output: ``by..., n, q0, q1, ...`` (one ``q`` per probability).
     """
-    from ..session import cut_lineage
-
-    spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     counts = (df.filter(F.col(measure).isNotNull())
               .groupBy(*by, F.col(measure).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__c")))
-    ranged = cut_lineage(counts.repartitionByRange(n_parts, *[F.col(b) for b in by], F.col("__v"))
-                         .withColumn("__pid", F.spark_partition_id()), "quantiles")
-    seg = ranged.groupBy(*[F.col(b).alias(f"__s_{b}") for b in by], F.col("__pid").alias("__s_pid")).agg(
-        F.sum("__c").alias("__seg"))
-    seg_order = Window.partitionBy(*[f"__s_{b}" for b in by]).orderBy("__s_pid")
-    seg = (seg.withColumn("__off", F.coalesce(F.sum("__seg").over(seg_order.rowsBetween(Window.unboundedPreceding, -1)),
-                                              F.lit(0)))
-           .withColumn("__n", F.sum("__seg").over(Window.partitionBy(*[f"__s_{b}" for b in by]))))
-    cond = F.col("__pid") == F.col("__s_pid")
-    for b in by:
-        cond = cond & F.col(b).eqNullSafe(F.col(f"__s_{b}"))
-    within = Window.partitionBy(*by, "__pid").orderBy("__v")
-    ranked = (ranged.join(seg, cond, "inner")
-              .withColumn("__end", F.col("__off") + F.sum("__c").over(within.rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("__start", F.col("__end") - F.col("__c")))
+    ranked = prefix_counts(counts, by, ["__v"], "__c", "quantiles", partitions)
+    ranked = ranked.withColumn("__end", F.col("__start") + F.col("__c"))
     aggs = [F.max("__n").alias("n")]
     for i, p in enumerate(probs):
         pos = F.lit(float(p)) * (F.col("__n") - 1)

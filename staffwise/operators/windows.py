@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .agg import prefix_counts
 from .ordering import By, _sort_key, as_by, mixed_sort_key, pick
 
 
@@ -139,10 +140,11 @@ def day_runs(df: DataFrame, key: str, day_col: str) -> DataFrame:
 
     * rows are first combined to one row per (key, day) with their count, so
       the ordered window over a key has at most one row per calendar day;
-    * identical rows (copies) are combined into one row with a copy count; only
-      the distinct rows of a (key, day) are ordered, and the copies are
-      regenerated with ``posexplode`` from their count, each with its own
-      streak position.
+    * identical rows (copies) are combined into one row with a copy count; the
+      distinct rows of a (key, day) get their positions from range-partitioned
+      prefix counts (:func:`staffwise.operators.agg.prefix_counts`), and the
+      copies are regenerated with ``posexplode`` from their count, each with
+      its own streak position.
     """
     d = F.to_date(F.col(day_col))
     cols = [F.col(f"`{c}`") for c in df.columns]
@@ -158,9 +160,10 @@ def day_runs(df: DataFrame, key: str, day_col: str) -> DataFrame:
     days = days.withColumn("__base", F.col("__before") - F.min("__before").over(run_w)).select(
         F.col(key).alias("__k"), F.col("__day").alias("__d"), "__gap", "run_id", "__base")
     copies = df.groupBy(*cols, d.alias("__day")).agg(F.count(F.lit(1)).alias("__copies"))
-    within = Window.partitionBy(key, "__day").orderBy(*cols)
-    copies = copies.withColumn("__prior", F.coalesce(
-        F.sum("__copies").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    # position of each distinct row inside its (key, day): range-partitioned prefix
+    # counts, so a (key, day) holding most rows is spread over many tasks
+    copies = (prefix_counts(copies, [key, "__day"], list(df.columns), "__copies", "day-runs")
+              .withColumnRenamed("__start", "__prior").drop("__n"))
     j = copies.join(days, (F.col(key).eqNullSafe(F.col("__k"))) & (F.col("__day") == F.col("__d")), "left")
     j = j.select("*", F.posexplode(F.sequence(F.lit(0), F.col("__copies") - 1)).alias("__pos", "__unused"))
     rank_in_day = F.col("__prior") + F.col("__pos")
