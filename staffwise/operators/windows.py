@@ -128,7 +128,28 @@ def duplicates_only(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     return df.join(counts, cond, "left_semi")
 
 
-def day_runs(df: DataFrame, key: str, day_col: str) -> DataFrame:
+# Rows of one (key, day) that may be ordered in one task; a (key, day) above it
+# takes the range-partitioned prefix counts instead.
+MAX_WINDOW_ROWS = 100_000
+
+
+def _day_table(per_day: DataFrame, key: str) -> DataFrame:
+    """One row per (key, day) with ``__n`` rows: gap to the previous day, run
+    number and the rows before it in its run.  The window over a key holds at
+    most one row per calendar day."""
+    w = Window.partitionBy(key).orderBy("__day")
+    days = (
+        per_day.withColumn("__gap", F.datediff("__day", F.lag("__day").over(w)))
+        .withColumn("__brk", F.when(F.col("__gap").isNull() | (F.col("__gap") > 1), 1).otherwise(0))
+        .withColumn("run_id", F.sum("__brk").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("__before", F.coalesce(F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    )
+    run_w = Window.partitionBy(key, "run_id")
+    return days.withColumn("__base", F.col("__before") - F.min("__before").over(run_w)).select(
+        F.col(key).alias("__k"), F.col("__day").alias("__d"), "__gap", "run_id", "__base")
+
+
+def day_runs(df: DataFrame, key: str, day_col: str, max_window_rows: int = MAX_WINDOW_ROWS) -> DataFrame:
     """Gap and streak columns per key over days.
 
     Adds ``gap_days`` (days since the previous row of the key, null on the first),
@@ -136,34 +157,31 @@ def day_runs(df: DataFrame, key: str, day_col: str) -> DataFrame:
     (0 at a run start, +1 for each following row at most one day after the
     previous; rows on the same day count as consecutive).
 
-    No group is ever handled by one task as a whole:
+    No unbounded group is ever handled by one task:
 
     * rows are first combined to one row per (key, day) with their count, so
       the ordered window over a key has at most one row per calendar day;
-    * identical rows (copies) are combined into one row with a copy count; the
-      distinct rows of a (key, day) get their positions from range-partitioned
-      prefix counts (:func:`staffwise.operators.agg.prefix_counts`), and the
-      copies are regenerated with ``posexplode`` from their count, each with
-      its own streak position.
+    * identical rows (copies) are combined into one row with a copy count, and
+      regenerated with ``posexplode`` from their count, each with its own
+      streak position;
+    * the distinct rows of a (key, day) are ordered by a window when no
+      (key, day) holds more than ``max_window_rows`` rows (one small check
+      job); otherwise they get their positions from range-partitioned prefix
+      counts (:func:`staffwise.operators.agg.prefix_counts`), which spread a
+      (key, day) holding most rows over many tasks.
     """
     d = F.to_date(F.col(day_col))
     cols = [F.col(f"`{c}`") for c in df.columns]
     per_day = df.groupBy(key, d.alias("__day")).agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.partitionBy(key).orderBy("__day")
-    days = (
-        per_day.withColumn("__gap", F.datediff("__day", F.lag("__day").over(w)))
-        .withColumn("__brk", F.when(F.col("__gap").isNull() | (F.col("__gap") > 1), 1).otherwise(0))
-        .withColumn("run_id", F.sum("__brk").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("__before", F.coalesce(F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    )
-    run_w = Window.partitionBy(key, "run_id")
-    days = days.withColumn("__base", F.col("__before") - F.min("__before").over(run_w)).select(
-        F.col(key).alias("__k"), F.col("__day").alias("__d"), "__gap", "run_id", "__base")
+    days = _day_table(per_day, key)
     copies = df.groupBy(*cols, d.alias("__day")).agg(F.count(F.lit(1)).alias("__copies"))
-    # position of each distinct row inside its (key, day): range-partitioned prefix
-    # counts, so a (key, day) holding most rows is spread over many tasks
-    copies = (prefix_counts(copies, [key, "__day"], list(df.columns), "__copies", "day-runs")
-              .withColumnRenamed("__start", "__prior").drop("__n"))
+    if per_day.filter(F.col("__n") > max_window_rows).limit(1).count():
+        copies = (prefix_counts(copies, [key, "__day"], list(df.columns), "__copies", "day-runs")
+                  .withColumnRenamed("__start", "__prior").drop("__n"))
+    else:
+        within = Window.partitionBy(key, "__day").orderBy(*cols)
+        copies = copies.withColumn("__prior", F.coalesce(
+            F.sum("__copies").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     j = copies.join(days, (F.col(key).eqNullSafe(F.col("__k"))) & (F.col("__day") == F.col("__d")), "left")
     j = j.select("*", F.posexplode(F.sequence(F.lit(0), F.col("__copies") - 1)).alias("__pos", "__unused"))
     rank_in_day = F.col("__prior") + F.col("__pos")
@@ -179,5 +197,15 @@ def day_runs(df: DataFrame, key: str, day_col: str) -> DataFrame:
 
 
 def distinct_day_runs(df: DataFrame, key: str, day_col: str) -> DataFrame:
-    """``day_runs`` on the distinct (key, day) pairs only."""
-    return day_runs(df.select(key, F.to_date(F.col(day_col)).alias(day_col)).distinct(), key, day_col)
+    """``day_runs`` on the distinct (key, day) pairs only: one row per (key, day),
+    so the per-day table is the whole answer (no positions inside a day)."""
+    per_day = (df.select(key, F.to_date(F.col(day_col)).alias("__day")).distinct()
+               .withColumn("__n", F.lit(1).cast("long")))
+    days = _day_table(per_day, key)
+    return days.select(
+        F.col("__k").alias(key), F.col("__d").alias(day_col),
+        F.col("__gap").alias("gap_days"),
+        F.coalesce(F.col("__gap") > 1, F.lit(False)).alias("gap"),
+        F.col("run_id"),
+        F.col("__base").cast("int").alias("streak"),
+    )

@@ -65,14 +65,15 @@ def test_snapshot_diff_hot_key_is_not_paired(spark):
     assert out.filter("k != 0").count() == 0  # unchanged single-row keys give nothing
 
 
-def test_day_runs_hot_key_day_positions(spark):
+@pytest.mark.parametrize("max_window_rows", [100, 100_000])  # prefix-count path / bounded window path
+def test_day_runs_hot_key_day_positions(spark, max_window_rows):
     import datetime as dt
 
     day = dt.date(2024, 3, 1)
     hot = [("hot", day, f"r{i:05d}") for i in range(3000)] + [("hot", day, "r00007")] * 5  # copies too
     rest = [("hot", dt.date(2024, 2, 29), "prev")] + [(f"k{i}", day, "x") for i in range(50)]
     df = spark.createDataFrame(hot + rest, "k string, d date, note string")
-    out = W.day_runs(df, "k", "d").filter("k = 'hot' AND d = DATE'2024-03-01'")
+    out = W.day_runs(df, "k", "d", max_window_rows=max_window_rows).filter("k = 'hot' AND d = DATE'2024-03-01'")
     streaks = sorted(r["streak"] for r in out.collect())
     # the previous day starts the run (streak 0); the 3005 rows of the hot day follow it
     assert streaks == list(range(1, 3006))
