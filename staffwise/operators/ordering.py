@@ -51,7 +51,8 @@ _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 
 def _ascending_form(df: DataFrame, o: By) -> tuple[Column, bool] | None:
     """A column whose ascending order equals ``o``'s order (nulls handled
-    separately), or None when the type has no order-reversing map (text)."""
+    separately), or None when the type has no order-reversing map (e.g. text
+    under a non-binary collation, arrays, structs)."""
     c = F.col(o.col)
     if o.ascending:
         return c, o.nulls_last
@@ -68,9 +69,20 @@ def _ascending_form(df: DataFrame, o: By) -> tuple[Column, bool] | None:
         return -F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c), o.nulls_last
     if isinstance(t, T.BooleanType):
         return ~c, o.nulls_last
+    if _byte_ordered(t):
+        # bytes reversed: hex digits complemented, then a terminator above every
+        # digit, so that a text sorts after the longer texts it is a prefix of
+        return F.concat(F.translate(F.hex(c), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("Z")), o.nulls_last
     return None
 
 
+def _byte_ordered(t: T.DataType) -> bool:
+    """Binary, or text compared by its UTF-8 bytes (the default collation)."""
+    if isinstance(t, T.BinaryType):
+        return True
+    return isinstance(t, T.StringType) and getattr(t, "collation", "UTF8_BINARY") == "UTF8_BINARY"
+
+
 def mixed_sort_key(df: DataFrame, order: Sequence[By]) -> Column | None:
     """Ascending struct key for an order with mixed directions, or None."""
     parts = []
@@ -103,9 +115,10 @@ def pick(df: DataFrame, keys: Sequence[str], order: Sequence, keep: str = "first
     """One row per ``keys``: the first (or last) under ``order``.
 
     This is a partial aggregate for one-direction orders, and for mixed
-    directions whose descending keys are numbers, dates, timestamps or booleans
-    (negated into ascending keys); only a descending text key in a mixed order
-    falls back to ``row_number`` over a window.  Include a unique
+    directions whose descending keys are numbers, dates, timestamps, booleans
+    (negated into ascending keys) or text and binary (bytes reversed); only a
+    descending key of another type (or text under a non-binary collation) in a
+    mixed order falls back to ``row_number`` over a window.  Include a unique
     tie-break column in ``order`` for a deterministic result.
     """
     order = [as_by(o) for o in order]

@@ -184,3 +184,24 @@ def test_snapshot_diff_pairs_and_values_match_brute_force(spark, seed):
     assert got_pairs == exp_pairs
     assert got_values == exp_values
     assert any(v for v in exp_values.values())  # the fixture does reach the value-level form
+
+
+@pytest.mark.parametrize("seed", [7, 8])
+@pytest.mark.parametrize("nulls_last", [True, False])
+@pytest.mark.parametrize("keep", ["first", "last"])
+def test_descending_text_in_mixed_order_is_exact(spark, seed, nulls_last, keep):
+    rnd = random.Random(seed)
+    words = ["", "a", "ab", "abc", "b", "ba", "é", "éa", "ß", "中", "中文", "a\x00", "Z", "z", None]
+    data = [(rnd.randrange(5), rnd.choice(words), i) for i in range(120)]
+    sdf = spark.createDataFrame(data, "k int, t string, row int")
+    got = {r["k"]: r["row"] for r in W.dedupe(sdf, ["k"], [By("t", False, nulls_last), By("row", True)], keep).collect()}
+    expect = {}
+    for k in {d[0] for d in data}:
+        grp = sorted((d for d in data if d[0] == k), key=lambda d: d[2])
+        vals = sorted((d for d in grp if d[1] is not None), key=lambda d: d[1].encode("utf-8"), reverse=True)
+        nulls = [d for d in grp if d[1] is None]
+        ordered = vals + nulls if nulls_last else nulls + vals
+        expect[k] = (ordered[0] if keep == "first" else ordered[-1])[2]
+    assert got == expect
+    plan = W.dedupe(sdf, ["k"], [By("t", False, nulls_last), By("row", True)], keep)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan  # a partial aggregate, not a window
