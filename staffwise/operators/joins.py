@@ -7,29 +7,45 @@ re-checks against the real shuffle size
 (``spark.sql.adaptive.autoBroadcastJoinThreshold``); anything larger is a
 sort-merge join whose skewed partitions adaptive execution splits.  An explicit
 hint is used only for sides whose size is bounded by construction, or behind
-the row-count check of :func:`bounded_broadcast` when asked for.
+the row-count and byte checks of :func:`bounded_broadcast` when asked for.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Largest reference table broadcast without further thought (rows).
+# Largest reference table broadcast by the checked hint: rows, and estimated bytes.
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 
-def bounded_broadcast(ref: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint when ``ref`` has at most ``max_rows`` rows, else ``ref`` as is.
+def _row_bytes(ref: DataFrame) -> Column:
+    """Estimated in-memory size of a row: 8 bytes per field plus the bytes of its
+    text, binary and nested values."""
+    size = F.lit(8 * (len(ref.columns) + 1))
+    for f in ref.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(c)), F.lit(0))
+    return size
 
-    The check counts at most ``max_rows + 1`` rows of the (small, usually
-    dimension) side.
+
+def bounded_broadcast(ref: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast hint when ``ref`` has at most ``max_rows`` rows and at most
+    ``max_bytes`` estimated bytes, else ``ref`` as is (left to the planner).
+
+    One aggregate pass over ``ref`` (partial per split; only two numbers reach
+    the driver).
     """
-    n = ref.limit(max_rows + 1).count()
-    return F.broadcast(ref) if n <= max_rows else ref
+    n, size = ref.agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(ref)), F.lit(0))).first()
+    return F.broadcast(ref) if n <= max_rows and size <= max_bytes else ref
 
 
 def _keys(k: str | Sequence[str]) -> list[str]:
@@ -48,7 +64,8 @@ def lookup(df: DataFrame, ref: DataFrame, left_on: str | Sequence[str], right_on
       raises if a ref key repeats, ``"first"`` keeps one ref row per key
     * ``broadcast``: ``None`` = the planner decides by size (see module notes);
       ``True`` = hint (for a side small by construction); ``"checked"`` = hint
-      only if the ref has at most ``max_rows`` rows
+      only if the ref has at most ``max_rows`` rows and ``BROADCAST_MAX_BYTES``
+      estimated bytes
     """
     lk = _keys(left_on)
     rk = _keys(right_on) if right_on is not None else lk

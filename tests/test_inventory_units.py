@@ -190,3 +190,14 @@ def test_validation_table_one_pass(spark):  # Q4
 def test_drop_null_columns_on_empty_and_sparse(spark, how, expected):  # P4 P5
     df = spark.createDataFrame([(1, None, "x"), (2, None, None)], "k int, none_ string, some string")
     assert C.drop_null_columns(df, how=how).columns == expected
+
+
+def test_bounded_broadcast_checks_rows_and_bytes(spark):  # J1 broadcast="checked"
+    small = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    wide = spark.createDataFrame([(1, "x" * 5000), (2, "y" * 5000)], "k int, v string")
+    assert J.bounded_broadcast(small) is not small  # hinted
+    assert J.bounded_broadcast(small, max_rows=1) is small  # too many rows: left to the planner
+    assert J.bounded_broadcast(wide, max_bytes=8000) is wide  # two rows, but ~10 kB
+    assert J.bounded_broadcast(wide, max_bytes=20000) is not wide
+    out = J.lookup(spark.createDataFrame([(1,), (3,)], "k int"), small, "k", broadcast="checked")
+    assert rows(out, "k", "v") == [(1, "a"), (3, None)]
