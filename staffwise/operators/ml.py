@@ -75,7 +75,12 @@ def classify_compare(documents: DataFrame, labels: DataFrame, seed: int = 7, tun
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
-    data = with_class_weights(_doc_features(documents, labels))
+    from pyspark import StorageLevel
+
+    # persisted once: the iterative fits below would otherwise recompute the join for
+    # every pass, and randomSplit over a recomputed (shuffled, so unordered) input can
+    # give overlapping train/test rows; a lost block is recomputed from the lineage
+    data = with_class_weights(_doc_features(documents, labels)).persist(StorageLevel.MEMORY_AND_DISK)
     train, test = data.randomSplit([0.75, 0.25], seed=seed)
     stages = classification_stages(["lang", "source"], ["log_chars"])
     ev = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
@@ -86,10 +91,16 @@ def classify_compare(documents: DataFrame, labels: DataFrame, seed: int = 7, tun
     }
     spark = documents.sparkSession
     n_train, n_test = train.count(), test.count()
-    rows = []
-    for name, est in models.items():
-        fitted = Pipeline(stages=[*stages, est]).fit(train)
-        rows.append((name, float(ev.evaluate(fitted.transform(test))), n_train, n_test))
+    def fit_and_score(item):
+        name, est = item  # own feature stages per thread: no estimator object is shared
+        fitted = Pipeline(stages=[*classification_stages(["lang", "source"], ["log_chars"]), est]).fit(train)
+        return name, float(ev.evaluate(fitted.transform(test))), n_train, n_test
+
+    from concurrent.futures import ThreadPoolExecutor
+
+    # the fixed list of model kinds is fitted concurrently: each fit is its own set of Spark jobs
+    with ThreadPoolExecutor(max_workers=len(models)) as pool:
+        rows = list(pool.map(fit_and_score, models.items()))
     if tune:
         best_name, _, _, _ = max(rows, key=lambda r: r[1])
         est = models[best_name]
@@ -99,12 +110,13 @@ def classify_compare(documents: DataFrame, labels: DataFrame, seed: int = 7, tun
         else:
             grid = grid.addGrid(est.maxDepth, [3, 5])
         cv = CrossValidator(estimator=Pipeline(stages=[*stages, est]), estimatorParamMaps=grid.build(),
-                            evaluator=ev, numFolds=3, seed=seed)
+                            evaluator=ev, numFolds=3, seed=seed, parallelism=2)
         tuned = cv.fit(train).bestModel
         auc = float(ev.evaluate(tuned.transform(test)))
         best_auc = max(r[1] for r in rows)
         if auc > best_auc:
             rows.append((f"{best_name}_tuned", auc, n_train, n_test))
+    data.unpersist()
     return spark.createDataFrame(rows, "model string, auc double, n_train long, n_test long")
 
 
