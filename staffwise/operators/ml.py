@@ -140,10 +140,14 @@ def kmeans_pick(embeddings: DataFrame, ks: Sequence[int] = (2, 3, 4, 5, 6), seed
 
     vec = embeddings.select("vec_id", array_to_vector("embedding").alias("raw"))
     scaled = StandardScaler(inputCol="raw", outputCol="features", withMean=True).fit(vec).transform(vec).cache()
-    ev = ClusteringEvaluator(featuresCol="features")
-    rows = []
-    for k in ks:
+    def fit_and_score(k):
         model = KMeans(k=k, seed=seed, featuresCol="features").fit(scaled)
-        rows.append((int(k), float(ev.evaluate(model.transform(scaled)))))
+        return int(k), float(ClusteringEvaluator(featuresCol="features").evaluate(model.transform(scaled)))
+
+    from concurrent.futures import ThreadPoolExecutor
+
+    # the fixed list of cluster counts is fitted concurrently over the cached vectors
+    with ThreadPoolExecutor(max_workers=min(len(ks), 4)) as pool:
+        rows = list(pool.map(fit_and_score, ks))
     scaled.unpersist()
     return embeddings.sparkSession.createDataFrame(rows, "k int, silhouette double")
