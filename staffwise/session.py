@@ -76,6 +76,34 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path under the shared checkpoint folder.
+
+    All of an application's paths sit in one folder named after its id, which
+    the file system removes when the application ends (``deleteOnExit``), so
+    nothing written by :func:`cut_lineage` outlives it.
+    """
+    base = f"{checkpoint_dir(spark).rstrip('/')}/staffwise-{spark.sparkContext.applicationId}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(base)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(folder)
+    fs.deleteOnExit(folder)
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_cut(df: DataFrame) -> None:
+    """Remove the files behind a frame returned by :func:`cut_lineage`.
+
+    For loops: call it on a state once the next state has been written from
+    it and nothing else reads it.  Frames not made by ``cut_lineage`` are left
+    alone.
+    """
+    path = getattr(df, "_staffwise_cut", None)
+    if path:
+        p = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def cut_lineage(df: DataFrame, name: str = "state", metrics: dict | None = None):
     """Write ``df`` as a parquet table under the shared checkpoint folder and
     read it back.
@@ -91,10 +119,10 @@ def cut_lineage(df: DataFrame, name: str = "state", metrics: dict | None = None)
     serialized, and later ``pyspark.ml`` models that keep a training summary
     (logistic regression) then fail to transform.
     """
-    base = checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/staffwise-{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    out = df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._staffwise_cut = path
     if not metrics:
         return out
     row = out.agg(*[c.alias(k) for k, c in metrics.items()]).first()
