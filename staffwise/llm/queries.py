@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, toxicity
+from . import langid, simhash, toxicity
 from .common import fold
 from .line_dedup import line_dedup
 from .url_filter import url_filter
@@ -34,6 +34,12 @@ def op3_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return docs.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"), "n_removed")
 
 
+def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    groups = simhash.simhash_groups(_table(spark, sf, "documents").select("doc_id", "text"), words=4, radius=4, seed=42)
+    return groups.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+                         F.col("component").alias("component_id"))
+
+
 def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, _table(spark, sf, "labels"))
@@ -53,6 +59,7 @@ def op8_language_id(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op3_line_dedup": op3_line_dedup,
+    "op4_simhash": op4_simhash,
     "op6_toxicity": op6_toxicity,
     "op8_language_id": op8_language_id,
 }
