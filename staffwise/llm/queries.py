@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, simhash, toxicity
+from . import langid, packing, simhash, toxicity
 from .common import fold
 from .line_dedup import line_dedup
 from .url_filter import url_filter
@@ -56,10 +57,17 @@ def op8_language_id(spark: SparkSession, sf: str) -> DataFrame:
             .select("doc_id", held.alias("held_out"), "lang_pred", "score"))
 
 
+def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    out = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=2)
+    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op3_line_dedup": op3_line_dedup,
     "op4_simhash": op4_simhash,
     "op6_toxicity": op6_toxicity,
     "op8_language_id": op8_language_id,
+    "op9_packing": op9_packing,
 }
