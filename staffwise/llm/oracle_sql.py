@@ -39,3 +39,35 @@ built AS (
 SELECT doc_id, built.text, lang, source, CAST(length(built.text) AS BIGINT) AS n_chars, coalesce(n_removed, 0) AS n_removed
 FROM pages_ LEFT JOIN built USING (rid)
 """
+
+# every window that shares a shingle with an item, compared with the item directly
+ORACLE_SQL["op10_decontamination"] = r"""
+WITH dw AS (
+    SELECT rid, doc_id, w, len(w) AS len_w FROM (
+        SELECT row_number() OVER () AS rid, doc_id,
+            list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> '') AS w
+        FROM documents WHERE text IS NOT NULL) WHERE len(w) >= 5),
+iw AS (
+    SELECT item_id, w, len(w) AS n FROM (
+        SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> '') AS w
+        FROM benchmark WHERE text IS NOT NULL) WHERE len(w) >= 5),
+ds AS (SELECT rid, doc_id, len_w, p, array_to_string(w[p + 1 : p + 5], ' ') AS s
+       FROM (SELECT *, unnest(range(0, len_w - 4)) AS p FROM dw)),
+isg AS (SELECT item_id, n, q, array_to_string(w[q + 1 : q + 5], ' ') AS s
+        FROM (SELECT *, unnest(range(0, n - 4)) AS q FROM iw)),
+near AS (
+    SELECT DISTINCT ds.rid, ds.doc_id, isg.item_id, isg.n, len_w, st AS start_word
+    FROM ds JOIN isg ON ds.s = isg.s, unnest(range(greatest(0, ds.p - isg.n + 5), greatest(0, least(ds.p, len_w - isg.n)) + 1)) AS u(st)),
+ws AS (
+    SELECT near.rid, near.item_id, near.start_word, ds.s, count(*) AS c FROM near JOIN ds ON ds.rid = near.rid
+        AND ds.p >= near.start_word AND ds.p <= near.start_word + least(near.n, near.len_w) - 5
+    GROUP BY ALL),
+ic AS (SELECT item_id, s, count(*) AS d FROM isg GROUP BY ALL),
+common AS (
+    SELECT rid, item_id, start_word, sum(least(c, d)) AS k FROM ws JOIN ic USING (item_id, s) GROUP BY ALL),
+sim AS (
+    SELECT near.*, k / (least(n, len_w) - 4 + n - 4 - k) AS similarity FROM near JOIN common USING (rid, item_id, start_word))
+SELECT doc_id, item_id, round(max(similarity), 9) AS similarity,
+    CAST(arg_min(start_word, (-similarity, start_word)) AS INTEGER) AS start_word, CAST(any_value(n) AS INTEGER) AS n_words
+FROM sim WHERE similarity >= 0.8 GROUP BY rid, doc_id, item_id
+"""

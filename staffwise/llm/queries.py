@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import langid, packing, simhash, toxicity
 from .common import fold
+from .decontaminate import contaminated
 from .line_dedup import line_dedup
 from .url_filter import url_filter
 
@@ -63,6 +64,13 @@ def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    hits = contaminated(_table(spark, sf, "documents").select("doc_id", "text"), _table(spark, sf, "benchmark"),
+                        shingle=5, threshold=0.8, radius=20)
+    return hits.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), F.round("similarity", 9).alias("similarity"),
+                       F.col("start").alias("start_word"), "n_words")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op3_line_dedup": op3_line_dedup,
@@ -70,4 +78,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
+    "op10_decontamination": op10_decontamination,
 }

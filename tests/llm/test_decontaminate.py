@@ -1,0 +1,95 @@
+"""Decontamination against every window of every document."""
+
+import random
+import re
+from collections import Counter
+
+from staffwise.llm import decontaminate as D
+
+SPLIT = re.compile(r"[^\w]+|_+")
+
+
+def words(t):
+    return [w for w in SPLIT.split((t or "").lower()) if w]
+
+
+def brute(docs, items, k=5):
+    """{(doc index, item index): best similarity} of at least 0.8."""
+    out = {}
+    for d, t in enumerate(docs):
+        w = words(t)
+        for i, it in enumerate(items):
+            v = words(it)
+            if len(v) < k or len(w) < k:
+                continue
+            b = Counter(tuple(v[j:j + k]) for j in range(len(v) - k + 1))
+            n = min(len(v), len(w))
+            for s in range(len(w) - n + 1):
+                a = Counter(tuple(w[s + j:s + j + k]) for j in range(n - k + 1))
+                same = sum((a & b).values())
+                sim = same / sum((a | b).values())
+                if sim >= 0.8 and sim > out.get((d, i), 0):
+                    out[d, i] = sim
+    return out
+
+
+def table(rng):
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randint(2, 5)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    items = [text(n) for n in (5, 6, 14, 14, 20, 33, 59, 120)] + ["la la la la la la la la ho", "too few words here", "", None, "Één, twee! drie vier vijf zes"]
+    docs = [None, "", "short", text(400), text(30_000)]
+    for it in items:
+        if not it:
+            continue
+        v = it.split()
+        for edits in (0, 0, 1, 1, 2, 3):
+            e = list(v)
+            for _ in range(edits):
+                j = rng.randrange(len(e))
+                kind = rng.randrange(3)
+                if kind == 0:
+                    e[j] = word()
+                elif kind == 1:
+                    e.insert(j, word())
+                elif len(e) > 1:
+                    e.pop(j)
+            inner = rng.choice([" ", ", ", "\n"]).join(e)
+            docs += [inner.upper(), text(20) + " " + inner + " " + text(10), inner + "\n" + text(3), text(2) + "-" + inner]
+        docs.append(" ".join(v[1:]))
+    docs += ["la " * 500, items[4] + " " + items[5] + " " + items[4]] * 2
+    return docs, items
+
+
+def test_matches_brute_force(spark):
+    docs, items = table(random.Random(11))
+    df = spark.createDataFrame([(i, t, "x", "y") for i, t in enumerate(docs)], "doc_id long, text string, item string, w string").repartition(3)
+    bench = spark.createDataFrame([(i, t) for i, t in enumerate(items)], "item_id long, text string")
+    got = {(r["id"], r["item"]): r["similarity"] for r in D.contaminated(df, bench).collect()}
+    want = brute(docs, items)
+    assert set(got) == set(want) and len(want) > 80
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    kept = D.decontaminate(df, bench)
+    assert kept.columns == df.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(range(len(docs))) - {d for d, _ in want})
+
+
+def test_slices_and_shuffled_list_change_nothing(spark, monkeypatch):
+    docs, items = table(random.Random(4))
+    docs = docs[:60]
+    df = spark.createDataFrame([(i % 7 or None, t) for i, t in enumerate(docs)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, t) for i, t in enumerate(items)], "item_id long, text string")
+    want = sorted(r["text"] or "" for r in D.decontaminate(df, bench).collect())
+    hit = {d for d, _ in brute(docs, items)}
+    assert want == sorted(t or "" for i, t in enumerate(docs) if i not in hit)
+    monkeypatch.setattr(D, "SLICE_ROWS", 50)
+    assert sorted(r["text"] or "" for r in D.decontaminate(df, bench, broadcast_rows=0).collect()) == want
+
+
+def test_empty_tables(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "one two three four five six")], "item_id long, text string")
+    assert D.contaminated(empty, bench).count() == 0
+    docs = spark.createDataFrame([(1, "one two three four five six")], "doc_id long, text string")
+    assert D.contaminated(docs, bench.limit(0)).count() == 0
+    assert D.decontaminate(docs, bench.limit(0)).count() == 1
+    assert D.decontaminate(docs, bench).count() == 0
