@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,3 +76,26 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     # settled: every non-root node has one link, to its root
     return (state.select(u.alias("node"), v.alias("component"))
             .unionByName(state.select(v.alias("node"), v.alias("component")).distinct()))
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """The groups of rows sorted by the first ``keys`` (integer) columns, each
+    as one table; holds one group at a time."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        k = np.stack([b.column(i).to_numpy().astype(np.int64) for i in range(keys)])
+        ends = np.flatnonzero((k[:, 1:] != k[:, :-1]).any(0)) + 1
+        if held and (k[:, 0] != last).any():
+            yield pa.Table.from_batches(held)
+            held = []
+        start = 0
+        for end in ends:
+            yield pa.Table.from_batches([*held, b.slice(start, end - start)])
+            held, start = [], end
+        held.append(b.slice(start))
+        last = k[:, -1]
+    if held:
+        yield pa.Table.from_batches(held)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, packing, simhash, toxicity
+from . import embed_dedup, langid, packing, simhash, toxicity
 from .common import fold
 from .decontaminate import contaminated
 from .line_dedup import line_dedup
@@ -42,6 +42,10 @@ def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
                          F.col("component").alias("component_id"))
 
 
+def op5_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return embed_dedup.embedding_groups(_table(spark, sf, "embeddings"), threshold=0.95)
+
+
 def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, _table(spark, sf, "labels"))
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op3_line_dedup": op3_line_dedup,
     "op4_simhash": op4_simhash,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op6_toxicity": op6_toxicity,
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
