@@ -2,6 +2,28 @@
 
 ORACLE_SQL: dict[str, str] = {}
 
+# units and their offsets from the pieces' lengths; runs as islands of consecutive repeats
+ORACLE_SQL["op1_substring_dedup"] = r"""
+WITH d AS (SELECT row_number() OVER (ORDER BY doc_id, text) AS rid, doc_id, text FROM documents WHERE text IS NOT NULL),
+p AS (
+    SELECT rid, doc_id, unnest(regexp_extract_all(text, '[^.!?\n]*[.!?\n]+|[^.!?\n]+')) AS piece,
+        generate_subscripts(regexp_extract_all(text, '[^.!?\n]*[.!?\n]+|[^.!?\n]+'), 1) AS k FROM d),
+o AS (
+    SELECT *, sum(length(piece)) OVER (PARTITION BY rid ORDER BY k) AS e,
+        trim(regexp_replace(lower(piece), '\s+', ' ', 'g'), ' ') AS norm FROM p),
+u AS (
+    SELECT *, e - length(piece) AS s, row_number() OVER (PARTITION BY rid ORDER BY k) AS unit,
+        len(string_split(norm, ' ')) AS words FROM o WHERE norm <> ''),
+f AS (
+    SELECT *, first_value(doc_id) OVER w AS kept_id, first_value(s) OVER w AS kept_s, row_number() OVER w AS nth
+    FROM u WINDOW w AS (PARTITION BY norm ORDER BY rid, unit)),
+r AS (SELECT *, unit - row_number() OVER (PARTITION BY rid ORDER BY unit) AS run FROM f WHERE nth > 1)
+SELECT any_value(doc_id) AS doc_id, CAST(min(s) AS INTEGER) AS start_char, CAST(max(e) AS INTEGER) AS end_char,
+    CAST(count(*) AS INTEGER) AS n_units, CAST(sum(words) AS INTEGER) AS n_words,
+    arg_min(kept_id, unit) AS kept_doc_id, CAST(arg_min(kept_s, unit) AS INTEGER) AS kept_start_char
+FROM r GROUP BY rid, run HAVING sum(words) >= 15
+"""
+
 ORACLE_SQL["op2_url_filter"] = """
 WITH rules(r_host, r_path, r_verdict) AS (VALUES
     ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),

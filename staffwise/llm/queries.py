@@ -12,6 +12,7 @@ from . import embed_dedup, langid, packing, simhash, toxicity
 from .common import fold
 from .decontaminate import contaminated
 from .line_dedup import line_dedup
+from .substring_dedup import repeated_spans
 from .url_filter import url_filter
 
 #: The rules that the url filter's query judges by.
@@ -25,6 +26,12 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    spans = repeated_spans(_table(spark, sf, "documents").select("doc_id", "text"), min_words=15)
+    return spans.select(F.col("id").alias("doc_id"), F.col("start").alias("start_char"), F.col("end").alias("end_char"), "n_units", "n_words",
+                        F.col("kept_id").alias("kept_doc_id"), F.col("kept_start").alias("kept_start_char"))
+
+
 def op2_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     pages = _table(spark, sf, "pages").select("page_id", "url")
@@ -76,6 +83,7 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_url_filter": op2_url_filter,
     "op3_line_dedup": op3_line_dedup,
     "op4_simhash": op4_simhash,
