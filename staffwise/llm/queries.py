@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embed_dedup, langid, packing, simhash, toxicity
+from . import embed_dedup, langid, packing, simhash, toxicity, warc
 from .common import fold
 from .decontaminate import contaminated
 from .line_dedup import line_dedup
@@ -61,6 +61,10 @@ def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
                                                (F.col("score") >= 0.5).cast("int").alias("predicted")))
 
 
+def op7_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.derivatives(warc.responses(_table(spark, sf, "pages")), key="page_id")
+
+
 def op8_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").select("doc_id", "text", "lang")
     held = F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False))
@@ -89,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
     "op5_embedding_dedup": op5_embedding_dedup,
     "op6_toxicity": op6_toxicity,
+    "op7_warc": op7_warc,
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_decontamination": op10_decontamination,
