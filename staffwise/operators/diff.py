@@ -9,92 +9,67 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut_lineage
-from .joins import bounded_broadcast
+from .agg import prefix_counts
 
 
-def snapshot_pairs(df: DataFrame, date_col: str, max_rows: int = 1_000_000) -> DataFrame:
+def snapshot_pairs(df: DataFrame, date_col: str) -> DataFrame:
     """``(date, __next)``: each existing snapshot date and the next one.
 
-    One row per distinct snapshot date, ranked in a single small window.  For a
-    ``date`` column the table is bounded by the calendar (at most 3,652,059
-    dates in years 1-9999, two dates each: under 60 MB, and one row per
-    snapshot in practice), so it is broadcast without a check; other types go
-    through the row-count check.
+    A ``date`` column is bounded by the calendar (at most 3,652,059 dates in
+    years 1-9999), so its distinct values are ranked in one window and the
+    pairs broadcast: under 60 MB at the bound, one row per snapshot in
+    practice.  Any other type is unbounded: its distinct values get their
+    positions from range-partitioned prefix counts, and each is joined to the
+    following position.
     """
     snaps = df.select(date_col).filter(F.col(date_col).isNotNull()).distinct()
-    nxt = snaps.withColumn("__next", F.lead(date_col).over(Window.orderBy(date_col))).filter(F.col("__next").isNotNull())
     if isinstance(df.schema[date_col].dataType, T.DateType):
-        return F.broadcast(nxt)
-    return bounded_broadcast(nxt, max_rows)
-
-
-# Largest number of distinct-row pairs one (key, snapshot pair) is compared row by
-# row; a group above it is compared value by value (exact and linear in its rows).
-MAX_PAIRS = 64
+        nxt = snaps.withColumn("__next", F.lead(date_col).over(Window.orderBy(date_col)))
+        return F.broadcast(nxt.filter(F.col("__next").isNotNull()))
+    placed = prefix_counts(snaps.withColumn("__one", F.lit(1)), [], [date_col], "__one", "snapshots")
+    a = placed.select(date_col, (F.col("__start") + 1).alias("__at"))
+    b = placed.select(F.col(date_col).alias("__next"), F.col("__start").alias("__at"))
+    return a.join(b, "__at").select(date_col, "__next")
 
 
 def _key_eq(a, b, null_safe: bool):
     return a.eqNullSafe(b) if null_safe else a == b
 
 
-def _field_changes(df: DataFrame, key: str, date_col: str, fields: Sequence[str]) -> DataFrame:
-    """Rows ``__k, <date>_old, <date>, <f>_old, <f>_new..., __oc, __nc`` (one old
-    row paired with one new row) to one output row per changed field."""
-    changes = []
-    for f in fields:
-        o, n = F.col(f"{f}_old"), F.col(f"{f}_new")
-        kind = (F.when(o.isNull() & n.isNotNull(), F.lit("added"))
-                .when(o.isNotNull() & n.isNull(), F.lit("deleted"))
-                .when(o.isNotNull() & n.isNotNull() & (o != n), F.lit("modified")))
-        changes.append(F.struct(F.lit(f).alias("field"), kind.alias("change")))
-    return (df.select("*", F.explode(F.array(*changes)).alias("__c"))
-            .filter(F.col("__c.change").isNotNull())
-            .select(F.col("__k").alias(key), f"{date_col}_old", date_col,
-                    F.col("__c.field").alias("field"), F.col("__c.change").alias("change"),
-                    *[c for f in fields for c in (f"{f}_old", f"{f}_new")],
-                    (F.col("__oc") * F.col("__nc")).alias("n_pairs"),
-                    F.col("__oc").alias("n_old"), F.col("__nc").alias("n_new")))
-
-
 def snapshot_diff(df: DataFrame, key: str, date_col: str, fields: Sequence[str], null_safe: bool = False,
-                  max_pairs: int = MAX_PAIRS) -> DataFrame:
+                  carry: Sequence[str] = ()) -> DataFrame:
     """Field changes between adjacent existing snapshots for keys present in both.
 
-    Output: ``key, <date>_old, <date>, field, change, <f>_old, <f>_new`` for each
-    field, then ``n_pairs, n_old, n_new``.  Keys that enter or leave give no row;
-    unchanged fields give no row.
-
-    * One row per key in both snapshots (the data model): the two rows are
-      compared field by field; ``change`` is ``added`` (null -> value),
-      ``deleted`` (value -> null) or ``modified``.
-    * A key repeated within a snapshot pairs many-to-many, as in the source, as
-      long as it has at most ``max_pairs`` distinct-row pairs: each distinct old
-      row is compared with each distinct new row.  Identical rows (copies) are
-      combined first: ``n_old`` / ``n_new`` are the copies and ``n_pairs``
-      (``n_old * n_new``) the pairs the output row stands for.
-    * A key with more distinct-row pairs is not paired (that would be quadratic
-      in its rows): each field's values are compared as multisets instead.  One
-      row per distinct value whose count differs, with ``change``
-      ``value_added`` / ``value_removed`` / ``value_count``, the value in
-      ``<f>_old`` (if ``n_old > 0``) and ``<f>_new`` (if ``n_new > 0``), and
-      ``n_pairs`` null.  Every pair count follows from these counts.
-
-    Plan: the distinct rows are written once (shared checkpoint folder); then
-    one partial aggregate per (key, snapshot) (count of distinct rows and
-    the row itself), one join of each such row to the key's next-snapshot row
-    (never more than one partner), and, only when some key repeats within a
-    snapshot (checked by one small job), one join of the rows to their
-    (key, snapshot) group; a hot key is absorbed by the partial
-    aggregates and spread over its values in the value-level form.
+    Output: ``key, <date>_old, <date>, field, change``, ``<c>_old, <c>_new``
+    for each field and each ``carry`` column, then ``n_old, n_new``.  Keys
+    that enter or leave give no row; unchanged fields give no row.
+
+    * A key with one distinct row in each of the two snapshots (the data
+      model): the rows are compared field by field; ``change`` is ``added``
+      (null -> value), ``deleted`` (value -> null) or ``modified``, and every
+      ``carry`` column comes along.  ``n_old`` / ``n_new`` are the rows' copies.
+    * A key that repeats in either snapshot, however often: pairing its rows
+      would be quadratic, so each field's values are compared as multisets.
+      One row per distinct value whose count differs: ``value_added``,
+      ``value_removed`` or ``value_count``, the value in ``<f>_old`` (if
+      ``n_old > 0``) and ``<f>_new`` (if ``n_new > 0``).  Every pair count
+      follows from these counts.  ``carry`` columns are null, since a value
+      has no one row.
+
+    Plan: the distinct rows are written once (shared checkpoint folder), with
+    their copies; one partial aggregate per (key, snapshot) counts them and
+    keeps one; one join of each such row to the key's next-snapshot row (never
+    more than one partner) gives the first form.  Only when some key repeats
+    within a snapshot (checked by one small job), one join of the rows to
+    their (key, snapshot) group and one aggregate per value give the second.
     """
-    fields = list(fields)
+    fields, carry = list(fields), [c for c in carry if c not in (key, date_col, *fields)]
+    shown = fields + carry
     d = df.filter(F.col(date_col).isNotNull())
     if not null_safe:
         d = d.filter(F.col(key).isNotNull())
-    # distinct rows with their copies, written once to the shared checkpoint folder:
-    # the repeat check and every branch below read it instead of recomputing the input
-    d = cut_lineage(d.groupBy(key, date_col, *fields).agg(F.count(F.lit(1)).alias("__copies")), "diff-rows")
-    row = F.struct(*[F.col(f) for f in fields], F.col("__copies"))
+    d = cut_lineage(d.groupBy(key, date_col, *shown).agg(F.count(F.lit(1)).alias("__copies")), "diff-rows")
+    row = F.struct(*[F.col(c) for c in shown], F.col("__copies"))
     per = d.groupBy(key, date_col).agg(F.count(F.lit(1)).alias("__nd"), F.min(row).alias("__row"))
     pairs = snapshot_pairs(per, date_col)
     po = per.join(pairs, on=date_col).select(
@@ -103,59 +78,49 @@ def snapshot_diff(df: DataFrame, key: str, date_col: str, fields: Sequence[str],
     pn = per.select(F.col(key).alias("__nk"), F.col(date_col), F.col("__nd").alias("__ndn"),
                     F.col("__row").alias("__rn"))
     g = po.join(pn, _key_eq(po["__k"], pn["__nk"], null_safe) & (po["__next"] == pn[date_col]), "inner")
-    single = F.col("__ndo") * F.col("__ndn") == 1
-
-    # one distinct row on each side: compare the two rows carried by the aggregate
-    one = g.filter(single).select(
-        "__k", f"{date_col}_old", date_col,
-        *[F.col(f"__ro.{f}").alias(f"{f}_old") for f in fields], *[F.col(f"__rn.{f}").alias(f"{f}_new") for f in fields],
-        F.col("__ro.__copies").alias("__oc"), F.col("__rn.__copies").alias("__nc"))
-    out = _field_changes(one, key, date_col, fields)
-    # one small job: does any (key, snapshot) hold several distinct rows?  If not
-    # (one row per key and snapshot, the data model) the result is complete here
+    single = (F.col("__ndo") == 1) & (F.col("__ndn") == 1)
+
+    changes = []
+    for f in fields:
+        o, n = F.col(f"__ro.{f}"), F.col(f"__rn.{f}")
+        kind = (F.when(o.isNull() & n.isNotNull(), F.lit("added"))
+                .when(o.isNotNull() & n.isNull(), F.lit("deleted"))
+                .when(o.isNotNull() & n.isNotNull() & (o != n), F.lit("modified")))
+        changes.append(F.struct(F.lit(f).alias("field"), kind.alias("change")))
+    out = (g.filter(single).select("*", F.explode(F.array(*changes)).alias("__c"))
+           .filter(F.col("__c.change").isNotNull())
+           .select(F.col("__k").alias(key), f"{date_col}_old", date_col,
+                   F.col("__c.field").alias("field"), F.col("__c.change").alias("change"),
+                   *[x for c in shown for x in (F.col(f"__ro.{c}").alias(f"{c}_old"), F.col(f"__rn.{c}").alias(f"{c}_new"))],
+                   F.col("__ro.__copies").alias("n_old"), F.col("__rn.__copies").alias("n_new")))
+    # does any (key, snapshot) hold several distinct rows?  If not, the result is complete here
     if not per.filter(F.col("__nd") > 1).limit(1).count():
         return out
 
     # repeated keys: tag every row of such a group with its role (old / new side)
-    grp = g.filter(~single).select(
-        "__k", F.col(f"{date_col}_old").alias("__do"), F.col(date_col).alias("__dn"),
-        (F.col("__ndo") * F.col("__ndn") <= max_pairs).alias("__paired"))
-    roles = grp.select("__k", "__do", "__dn", "__paired", F.explode(F.array(
-        F.struct(F.lit("old").alias("role"), F.col("__do").alias("at")),
-        F.struct(F.lit("new").alias("role"), F.col("__dn").alias("at")))).alias("__r"))
+    roles = g.filter(~single).select(
+        "__k", F.col(f"{date_col}_old").alias("__do"), F.col(date_col).alias("__dn")).select("*", F.explode(F.array(
+            F.struct(F.lit("old").alias("role"), F.col("__do").alias("at")),
+            F.struct(F.lit("new").alias("role"), F.col("__dn").alias("at")))).alias("__r"))
     tagged = d.join(roles, _key_eq(d[key], roles["__k"], null_safe) & (d[date_col] == roles["__r.at"]), "inner").select(
-        "__k", "__do", "__dn", "__paired", F.col("__r.role").alias("__role"), "__copies", *fields)
-
-    # few pairs: each distinct old row with each distinct new row of the group
-    paired = tagged.filter(F.col("__paired"))
-    o = paired.filter(F.col("__role") == "old").select(
-        "__k", "__do", "__dn", F.col("__copies").alias("__oc"), *[F.col(f).alias(f"{f}_old") for f in fields])
-    n = paired.filter(F.col("__role") == "new").select(
-        F.col("__k").alias("__nk"), F.col("__do").alias("__ndo_"), F.col("__dn").alias("__ndn_"),
-        F.col("__copies").alias("__nc"), *[F.col(f).alias(f"{f}_new") for f in fields])
-    pj = o.join(n, _key_eq(o["__k"], n["__nk"], null_safe) & (o["__do"] == n["__ndo_"]) & (o["__dn"] == n["__ndn_"]),
-                "inner").select("__k", F.col("__do").alias(f"{date_col}_old"), F.col("__dn").alias(date_col),
-                                *[f"{f}_old" for f in fields], *[f"{f}_new" for f in fields], "__oc", "__nc")
-    out = out.unionByName(_field_changes(pj, key, date_col, fields))
-
-    # many pairs: per field, distinct values counted on each side (one aggregate)
-    types = {f: d.schema[f].dataType for f in fields}
+        "__k", "__do", "__dn", F.col("__r.role").alias("__role"), "__copies", *fields)
+    # per field, distinct values counted on each side (one aggregate)
+    types = {c: d.schema[c].dataType for c in shown}
     per_field = F.array(*[F.struct(
         F.lit(f).alias("field"), F.to_json(F.struct(F.col(f).alias("v"))).alias("vk"),
         *[(F.col(h) if h == f else F.lit(None).cast(types[h])).alias(h) for h in fields]) for f in fields])
-    long = (tagged.filter(~F.col("__paired"))
-            .select("__k", "__do", "__dn", "__role", "__copies", F.explode(per_field).alias("__v")))
+    long = tagged.select("__k", "__do", "__dn", "__role", "__copies", F.explode(per_field).alias("__v"))
     is_old = F.col("__role") == "old"
     counted = long.groupBy("__k", "__do", "__dn", F.col("__v.field").alias("field"), F.col("__v.vk").alias("__vk")).agg(
         F.sum(F.when(is_old, F.col("__copies")).otherwise(F.lit(0))).alias("n_old"),
         F.sum(F.when(~is_old, F.col("__copies")).otherwise(F.lit(0))).alias("n_new"),
         *[F.first(F.col(f"__v.{f}"), ignorenulls=True).alias(f"__val_{f}") for f in fields])
+    value = {f: F.col(f"__val_{f}") for f in fields} | {c: F.lit(None).cast(types[c]) for c in carry}
     values = counted.filter(F.col("n_old") != F.col("n_new")).select(
         F.col("__k").alias(key), F.col("__do").alias(f"{date_col}_old"), F.col("__dn").alias(date_col), "field",
         F.when(F.col("n_old") == 0, F.lit("value_added")).when(F.col("n_new") == 0, F.lit("value_removed"))
         .otherwise(F.lit("value_count")).alias("change"),
-        *[c for f in fields for c in (
-            F.when(F.col("n_old") > 0, F.col(f"__val_{f}")).alias(f"{f}_old"),
-            F.when(F.col("n_new") > 0, F.col(f"__val_{f}")).alias(f"{f}_new"))],
-        F.lit(None).cast("long").alias("n_pairs"), "n_old", "n_new")
+        *[x for c in shown for x in (F.when(F.col("n_old") > 0, value[c]).alias(f"{c}_old"),
+                                     F.when(F.col("n_new") > 0, value[c]).alias(f"{c}_new"))],
+        "n_old", "n_new")
     return out.unionByName(values)

@@ -559,8 +559,13 @@ def snapshot_diff_q(spark, sf):
     o = _orders(spark, sf).withColumn("eom", D.end_of_month("o_orderdate"))
     per_month = W.dedupe(o.select("o_custkey", "eom", "o_orderkey", "o_orderpriority", "o_orderstatus"),
                          ["o_custkey", "eom"], [By("o_orderkey")], keep="last")
-    # one row per (customer, month) after the dedupe, so every n_pairs is 1
-    return snapshot_diff(per_month, "o_custkey", "eom", ["o_orderpriority", "o_orderstatus"]).drop("n_pairs", "n_old", "n_new")
+    return snapshot_diff(per_month, "o_custkey", "eom", ["o_orderpriority", "o_orderstatus"], carry=["o_orderkey"])
+
+
+def snapshot_diff_repeated(spark, sf):
+    """Orders as they are: a customer repeats within a month."""
+    o = _orders(spark, sf).withColumn("eom", D.end_of_month("o_orderdate"))
+    return snapshot_diff(o, "o_custkey", "eom", ["o_orderpriority", "o_orderstatus"])
 
 
 # ---------------------------------------------------------------- rules
@@ -740,6 +745,7 @@ QUERIES = {
     "span_of_control": span_of_control,
     "layer_depth": layer_depth_q,
     "snapshot_diff": snapshot_diff_q,
+    "snapshot_diff_repeated": snapshot_diff_repeated,
     "dq_rules": dq_rules,
     "dq_report": dq_report,
     "dq_list": dq_list,

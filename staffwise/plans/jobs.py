@@ -168,12 +168,13 @@ def consolidation_current(current: DataFrame, refs: Sequence[tuple[DataFrame, st
 def history_diff(history: DataFrame, current: DataFrame, flexi_values: Sequence[str] = (),
                  fields: Sequence[str] = ("orgunit", "job")) -> dict[str, DataFrame]:
     """Full history = history + current (by name), flexi flag, and the
-    month-to-month change list of active staff."""
+    month-to-month change list of active staff, with every column of the
+    listing as ``<column>_old`` and ``<column>_new``."""
     full = C.upper_strings(R.union_by_name(history, current))
     if "employee_group" in full.columns:
         full = full.withColumn("flexi", FL.in_list("employee_group", flexi_values))
-    active = full.filter(F.col("active")).select("persno", "eom", *fields)
-    return {"listing": full, "diff": snapshot_diff(active, "persno", "eom", list(fields))}
+    active = full.filter(F.col("active"))
+    return {"listing": full, "diff": snapshot_diff(active, "persno", "eom", list(fields), carry=full.columns)}
 
 
 def benchmark_rates(spark: SparkSession, paths, records: str = "result.records") -> DataFrame:

@@ -380,7 +380,8 @@ s AS (SELECT eom, lead(eom) OVER (ORDER BY eom) AS nxt FROM (SELECT DISTINCT eom
 j AS (
   SELECT a.o_custkey, a.eom AS eom_old, b.eom,
          a.o_orderpriority AS o_orderpriority_old, b.o_orderpriority AS o_orderpriority_new,
-         a.o_orderstatus AS o_orderstatus_old, b.o_orderstatus AS o_orderstatus_new
+         a.o_orderstatus AS o_orderstatus_old, b.o_orderstatus AS o_orderstatus_new,
+         a.o_orderkey AS o_orderkey_old, b.o_orderkey AS o_orderkey_new
   FROM pm a JOIN s ON a.eom = s.eom JOIN pm b ON a.o_custkey = b.o_custkey AND b.eom = s.nxt
   WHERE a.o_custkey IS NOT NULL),
 c AS (
@@ -393,8 +394,39 @@ c AS (
     CASE WHEN o_orderstatus_old IS NULL AND o_orderstatus_new IS NOT NULL THEN 'added'
          WHEN o_orderstatus_old IS NOT NULL AND o_orderstatus_new IS NULL THEN 'deleted'
          WHEN o_orderstatus_old <> o_orderstatus_new THEN 'modified' END FROM j)
-SELECT o_custkey, eom_old, eom, field, change, o_orderpriority_old, o_orderpriority_new, o_orderstatus_old, o_orderstatus_new
+SELECT o_custkey, eom_old, eom, field, change, o_orderpriority_old, o_orderpriority_new, o_orderstatus_old, o_orderstatus_new,
+    o_orderkey_old, o_orderkey_new, CAST(1 AS BIGINT) AS n_old, CAST(1 AS BIGINT) AS n_new
 FROM c WHERE change IS NOT NULL""",
+    # each group of a customer in two adjacent months: one distinct row a side is compared, else values are counted
+    "snapshot_diff_repeated": f"""
+WITH o AS (SELECT o_custkey AS k, last_day(o_orderdate) AS eom, o_orderpriority AS p, o_orderstatus AS st FROM {_ORDERS}
+           WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL),
+s AS (SELECT eom, lead(eom) OVER (ORDER BY eom) AS nxt FROM (SELECT DISTINCT eom FROM o)),
+h AS (SELECT k, eom, count(*) AS n, count(DISTINCT coalesce(p, '~') || '|' || coalesce(st, '~')) AS nd,
+             any_value(p) AS p, any_value(st) AS st FROM o GROUP BY k, eom),
+g AS (SELECT a.k, a.eom AS eom_old, b.eom, a.nd = 1 AND b.nd = 1 AS single, a.n AS na, b.n AS nb,
+             a.p AS po, b.p AS pn, a.st AS so, b.st AS sn
+      FROM h a JOIN s ON a.eom = s.eom JOIN h b ON a.k = b.k AND b.eom = s.nxt),
+one AS (
+  SELECT k, eom_old, eom, 'o_orderpriority' AS field, po AS x, pn AS y, po, pn, so, sn, na, nb FROM g WHERE single
+  UNION ALL
+  SELECT k, eom_old, eom, 'o_orderstatus', so, sn, po, pn, so, sn, na, nb FROM g WHERE single),
+v AS (
+  SELECT g.k, g.eom_old, g.eom, f.field, CASE f.field WHEN 'o_orderpriority' THEN o.p ELSE o.st END AS val,
+         count(*) FILTER (WHERE o.eom = g.eom_old) AS n_old, count(*) FILTER (WHERE o.eom = g.eom) AS n_new
+  FROM g JOIN o ON o.k = g.k AND o.eom IN (g.eom_old, g.eom), (VALUES ('o_orderpriority'), ('o_orderstatus')) f(field)
+  WHERE NOT g.single GROUP BY ALL)
+SELECT k AS o_custkey, eom_old, eom, field,
+    CASE WHEN x IS NULL THEN 'added' WHEN y IS NULL THEN 'deleted' ELSE 'modified' END AS change,
+    po AS o_orderpriority_old, pn AS o_orderpriority_new, so AS o_orderstatus_old, sn AS o_orderstatus_new, na AS n_old, nb AS n_new
+FROM one WHERE x IS DISTINCT FROM y
+UNION ALL
+SELECT k, eom_old, eom, field,
+    CASE WHEN n_old = 0 THEN 'value_added' WHEN n_new = 0 THEN 'value_removed' ELSE 'value_count' END,
+    CASE WHEN field = 'o_orderpriority' AND n_old > 0 THEN val END, CASE WHEN field = 'o_orderpriority' AND n_new > 0 THEN val END,
+    CASE WHEN field = 'o_orderstatus' AND n_old > 0 THEN val END, CASE WHEN field = 'o_orderstatus' AND n_new > 0 THEN val END,
+    n_old, n_new
+FROM v WHERE n_old <> n_new""",
     "dq_rules": f"SELECT o_orderkey, error FROM {_DQ_ERR}",
     "dq_report": f"""
 SELECT o_orderstatus, error, count(error) AS n_errors FROM {_DQ_ERR} WHERE error IS NOT NULL GROUP BY 1, 2""",

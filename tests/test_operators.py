@@ -1,4 +1,5 @@
 import datetime as dt
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -141,8 +142,24 @@ def test_snapshot_diff_copies_are_counted_not_multiplied(spark):
     m1, m2 = d(2024, 1, 31), d(2024, 2, 29)
     rows = [(1, m1, "A")] * 3 + [(1, m1, "B")] + [(1, m2, "C")] * 2
     out = snapshot_diff(spark.createDataFrame(rows, "k int, eom date, f string"), "k", "eom", ["f"])
-    got = sorted((r["f_old"], r["f_new"], r["n_pairs"]) for r in out.collect())
-    assert got == [("A", "C", 6), ("B", "C", 2)]  # 8 pandas pairs, 2 rows
+    got = sorted((r["change"], r["f_old"], r["f_new"], r["n_old"], r["n_new"]) for r in out.collect())
+    assert got == [("value_added", None, "C", 0, 2), ("value_removed", "A", None, 3, 0), ("value_removed", "B", None, 1, 0)]
+
+
+@pytest.mark.parametrize("n", [2, 8, 9, 40])
+def test_snapshot_diff_repeated_keys_give_one_kind_of_rows(spark, n):
+    m1, m2 = d(2024, 1, 31), d(2024, 2, 29)
+    rows = [(1, m1, f"a{i}", i) for i in range(n)] + [(1, m2, f"b{i}", i) for i in range(n)] + [(2, m1, "x", 5), (2, m2, "y", 6)]
+    out = snapshot_diff(spark.createDataFrame(rows, "k int, eom date, f string, pay int"), "k", "eom", ["f"], carry=["pay", "k"]).collect()
+    assert Counter((r["k"], r["change"]) for r in out) == {(1, "value_removed"): n, (1, "value_added"): n, (2, "modified"): 1}
+    assert [(r["pay_old"], r["pay_new"]) for r in out if r["k"] == 2] == [(5, 6)]
+
+
+def test_snapshot_diff_by_timestamp(spark):
+    rows = [(k, dt.datetime(2024, 1, 1, h), f"v{h // 3}") for k in (1, 2) for h in range(9) if (k, h) != (2, 4)]
+    df = spark.createDataFrame(rows, "k int, at timestamp, f string")
+    got = sorted((r["k"], r["at"].hour, r["f_old"], r["f_new"]) for r in snapshot_diff(df, "k", "at", ["f"]).collect())
+    assert got == [(1, 3, "v0", "v1"), (1, 6, "v1", "v2"), (2, 3, "v0", "v1"), (2, 6, "v1", "v2")]
 
 
 def test_lookup_null_safe_suffix_and_duplicates(spark):
