@@ -19,6 +19,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +49,7 @@ class Encoder:
     """
 
     def __init__(self, path: str):
-        self.plain = Tokenizer.from_file(path)
-        self.fast, self.exact = None, None
+        self.path, self.fast, self.exact = path, None, None
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, pre = spec["model"], spec["pre_tokenizer"] or {}
@@ -71,6 +71,16 @@ class Encoder:
             return self.fast.encode_to_numpy(text, disallowed_special=())
         return np.array(self.plain.encode(text, add_special_tokens=False).ids, np.uint32)
 
+    @cached_property
+    def plain(self) -> Tokenizer:
+        return Tokenizer.from_file(self.path)
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """One encoder for all tasks of a Python worker."""
+    return Encoder(path)
+
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of ``n`` tokens; only the first may be shorter."""
@@ -91,7 +101,7 @@ def tokenised_pieces(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text
     src = df.select(col(id_col), F.coalesce(col(text).cast("string"), F.lit("")).alias("text_"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, task = Encoder(tokenizer), TaskContext.get().partitionId()
+        encode, task = encoder(tokenizer), TaskContext.get().partitionId()
         met = np.zeros(capacity + 1, np.int64)
         for b in batches:
             ids: list[np.ndarray] = []
