@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .agg import prefix_counts
 from .ordering import By, _sort_key, as_by, mixed_sort_key, pick
 
@@ -77,30 +78,35 @@ def latest_per_key(df: DataFrame, key: Sequence[str] | str, date_col: str, null_
 
 
 def first_occurrence_flag(df: DataFrame, subset: Sequence[str], order: Sequence, out: str = "first_mark",
-                          method: str = "aggregate") -> DataFrame:
-    """True on the first row of each ``subset`` group under ``order``.
-
-    ``order`` must end in a unique tie-break so exactly one row per group is marked.
+                          method: str = "aggregate", unique_order: bool = False) -> DataFrame:
+    """True on exactly one row of each ``subset`` group: the first under
+    ``order`` (W5).  Of rows that tie for first, any one is marked.
 
     ``method="aggregate"`` (default): partial ``min`` of the sort key per group
-    joined back -- skew-safe, but the input is evaluated twice.
+    joined back -- skew-safe.  Unless ``unique_order`` says that no two rows of
+    a group tie, the rows are first written to the shared checkpoint folder
+    with a row number that breaks ties.
     ``method="window"``: one pass with ``row_number``; use it when a group is
     bounded by the data model (e.g. one row per person per snapshot).
     """
     order = [as_by(o) for o in order]
     if len({o.ascending for o in order}) == 1:
         key = _sort_key(order)
-        agg = F.max(key) if not order[0].ascending else F.min(key)
+        pick_first = F.max if not order[0].ascending else F.min
     else:
         key = mixed_sort_key(df, order)
-        agg = F.min(key) if key is not None else None
-    if method == "aggregate" and agg is not None:
-        firsts = df.groupBy(*[F.col(s).alias(f"__g_{s}") for s in subset]).agg(agg.alias("__k"))
+        pick_first = F.min if key is not None else None
+    if method == "aggregate" and pick_first is not None:
+        src = df
+        if not unique_order:
+            src = cut_lineage(df.withColumn("__row_id", F.monotonically_increasing_id()), "marks")
+            key = F.struct(key.alias("k"), F.col("__row_id").alias("r"))
+        firsts = src.groupBy(*[F.col(s).alias(f"__g_{s}") for s in subset]).agg(pick_first(key).alias("__k"))
         cond = None
         for s in subset:
             c = F.col(s).eqNullSafe(F.col(f"__g_{s}"))
             cond = c if cond is None else cond & c
-        joined = df.join(firsts, cond, "left")
+        joined = src.join(firsts, cond, "left")
         mark = key.eqNullSafe(F.col("__k"))
         return joined.select(*[F.col(f"`{c}`") for c in df.columns], mark.alias(out))
     from .ordering import window_order

@@ -85,7 +85,7 @@ def snapshot_consolidation(spark, sf):
     x = J.lookup(x, region, "n_regionkey", "r_regionkey", broadcast=True)
     x = J.lookup(x, first, "o_custkey", null_safe=False)
     x = x.withColumn("tenure", D.tenure_years("first_date", F.col("eom")))
-    x = W.first_occurrence_flag(x, ["o_custkey"], [By("eom"), By("o_orderkey")], out="joiner_mark")
+    x = W.first_occurrence_flag(x, ["o_custkey"], [By("eom"), By("o_orderkey")], out="joiner_mark", unique_order=True)
     return (x.groupBy("eom", "r_name", "src")
             .agg(F.count_distinct("o_custkey").alias("headcount"),
                  F.sum(F.col("joiner_mark").cast("int")).alias("joiners"),
@@ -459,13 +459,35 @@ def latest_per_key_nulls(spark, sf):
     return C.tag(pass_, variant="pass").unionByName(C.tag(pay, variant="pay"))
 
 
+VALUE_HEADERS = ["Café Fee", "Prämie (Netto)", "Año - Salario", "Date Joined: DD.MM", "Employee's Grade", "Überstunden/Std"]
+
+
+def value_name_join(spark, sf):
+    """Values written like headers (case, blanks, tabs and line ends vary) join
+    to the cleaned names of those headers."""
+    header = F.element_at(F.array(*[F.lit(h) for h in VALUE_HEADERS]), (F.col("c_custkey") % len(VALUE_HEADERS) + 1).cast("int"))
+    raw = (F.when(F.col("c_custkey") % 4 == 0, F.upper(header)).when(F.col("c_custkey") % 4 == 1, F.concat(F.lit("\t "), header))
+           .when(F.col("c_custkey") % 4 == 2, F.concat(header, F.lit(" \r\n"))).otherwise(header))
+    names = spark.createDataFrame([(normalise_name(h), i) for i, h in enumerate(VALUE_HEADERS)], "name string, header_no int")
+    values = _t(spark, sf, "customer").select("c_custkey", normalise_value(raw).alias("name"))
+    return values.join(F.broadcast(names), "name").groupBy("name", "header_no").agg(F.count(F.lit(1)).alias("n"))
+
+
 def joiner_mark(spark, sf):
     o = _orders(spark, sf).select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     x = W.first_occurrence_flag(o, ["o_custkey", "o_orderpriority"], [By("o_orderdate"), By("o_orderkey")],
-                                out="joiner_mark")
+                                out="joiner_mark", unique_order=True)
     return x.select("o_orderkey", "joiner_mark")
 
 
+def joiner_mark_ties(spark, sf):
+    """Marks per group where the order ties: all orders of a month do."""
+    o = _orders(spark, sf).select("o_orderstatus", D.end_of_month("o_orderdate").alias("eom"))
+    x = W.first_occurrence_flag(o, ["o_orderstatus"], [By("eom")], out="mark")
+    return x.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("mark").cast("long")).alias("n_marks"),
+                                          F.min(F.when(F.col("mark"), F.col("eom"))).alias("marked_month"))
+
+
 def equals_group_max(spark, sf):
     o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     return W.equals_group_max(o, "o_custkey", "o_totalprice", "is_max").select("o_orderkey", "is_max")
@@ -735,6 +757,8 @@ QUERIES = {
     "duplicates_only": duplicates_only,
     "latest_per_key_nulls": latest_per_key_nulls,
     "joiner_mark": joiner_mark,
+    "joiner_mark_ties": joiner_mark_ties,
+    "value_name_join": value_name_join,
     "equals_group_max": equals_group_max,
     "dayrange_explode": dayrange_explode,
     "gaps_islands": gaps_islands,

@@ -398,6 +398,15 @@ SELECT o_custkey, eom_old, eom, field, change, o_orderpriority_old, o_orderprior
     o_orderkey_old, o_orderkey_new, CAST(1 AS BIGINT) AS n_old, CAST(1 AS BIGINT) AS n_new
 FROM c WHERE change IS NOT NULL""",
     # each group of a customer in two adjacent months: one distinct row a side is compared, else values are counted
+    "joiner_mark_ties": f"""
+SELECT o_orderstatus, count(*) AS n_rows, CAST(1 AS BIGINT) AS n_marks, min(last_day(o_orderdate)) AS marked_month
+FROM {_ORDERS} GROUP BY o_orderstatus""",
+    # the expected names are written out, not derived
+    "value_name_join": """
+SELECT n.name, n.header_no, count(*) AS n
+FROM customer c JOIN (VALUES ('cafe_fee', 0), ('pramie_netto', 1), ('ano_salario', 2), ('date_joined_ddmm', 3), ('employees_grade', 4),
+    ('uberstunden_std', 5)) n(name, header_no) ON c.c_custkey % 6 = n.header_no
+GROUP BY 1, 2""",
     "snapshot_diff_repeated": f"""
 WITH o AS (SELECT o_custkey AS k, last_day(o_orderdate) AS eom, o_orderpriority AS p, o_orderstatus AS st FROM {_ORDERS}
            WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL),

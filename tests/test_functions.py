@@ -6,7 +6,7 @@ from staffwise.functions import dates as D
 from staffwise.functions import flags as FL
 from staffwise.functions import text as TX
 from staffwise.functions.ids import canonical_id
-from staffwise.functions.names import dedupe_names, duplicated_names, normalise_name, normalise_value
+from staffwise.functions.names import dedupe_names, normalise_name, normalise_value
 
 
 def one_col(spark, values, t="string"):
@@ -30,11 +30,12 @@ def test_normalise_name_rules():
 def test_dedupe_and_find_duplicate_names():
     assert dedupe_names(["a", "b", "a", "a"]) == ["a", "b", "a_1", "a_2"]
     assert dedupe_names(["a", "a_1", "a"]) == ["a", "a_1", "a_2"]
-    assert duplicated_names(["a", "b", "a"]) == ["a"]
 
 
 def test_normalise_value_matches_name_rule(spark):
-    raw = [" Date Joined (DD.MM)", "Pers.No.", "Line\nTwo - x", "a  b"]
+    raw = [" Date Joined (DD.MM)", "Pers.No.", "Line\nTwo - x", "a  b", "Café Fee", "CAFÉ", "Air Fee\n", "\t\x0b Air\u3000", "Ǟ ø ß İ ﬁ ½ 漢", "\xa0x\x85",
+           "", " ", "a\tb", "e\u0301te", *[f"a{chr(c)}b{chr(c)}" for c in range(1, 0x250)]]
+    assert normalise_name("Café Fee") == "cafe_fee" and normalise_name("Air Fee\n") == "air_fee"
     got = [r[0] for r in one_col(spark, raw).select(normalise_value("x")).collect()]
     assert got == [normalise_name(v) for v in raw]
 
