@@ -9,9 +9,10 @@ driver: the file list (path, modification time) and each file's header line.
 from __future__ import annotations
 
 import csv
-import io
+import re
 from collections.abc import Iterable, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +23,8 @@ from ..operators.reshape import union_by_name
 
 def list_files(spark: SparkSession, pattern: str) -> DataFrame:
     """``(path, name, modified, length)`` of the files matching ``pattern``; the
-    file contents are not read (only the metadata columns are selected)."""
+    file contents are not read (only the metadata columns are selected).  Files of
+    zero bytes are not listed: they hold no header and no rows."""
     return (spark.read.format("binaryFile").load(pattern)
             .select("path", F.element_at(F.split("path", "/"), -1).alias("name"),
                     F.col("modificationTime").alias("modified"), "length"))
@@ -34,67 +36,75 @@ def latest_file(spark: SparkSession, pattern: str) -> str | None:
     return row[0] if row else None
 
 
-def _size_bytes(text: str) -> int:
-    """``'134217728'``, ``'128m'``, ``'128MB'``, ``'1g'`` -> bytes."""
-    t = str(text).strip().lower().rstrip("b")
-    scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(t[-1:], 1)
-    return int(float(t[:-1] if scale != 1 else t) * scale)
+def _same_path(path: str) -> str:
+    """``file:///x`` and ``file:/x`` are one path."""
+    return re.sub(r"^(\w+):/+", r"\1:/", path)
 
 
-def _header_from_lines(lines: list[str], record_no: int, sep: str) -> tuple[list[str], bool]:
-    reader = csv.reader(io.StringIO("\n".join(lines)), delimiter=sep)
-    cells: list[str] = []
-    for i, rec in enumerate(reader, start=1):
-        if i == record_no:
-            cells = rec
-            break
-    return cells, reader.line_num > record_no
-
-
-def header_of(spark: SparkSession, path: str, record_no: int = 1, sep: str = ",",
-              max_lines: int = 50) -> tuple[list[str], bool]:
-    """Cells of CSV record ``record_no`` (1-based) of one file, and whether the
+def headers_of(spark: SparkSession, paths: Sequence[str], record_no: int = 1, sep: str = ",") -> dict[str, tuple[list[str], bool]]:
+    """Cells of CSV record ``record_no`` (1-based) of each file, and whether the
     records up to it span more physical lines than records (quoted newlines).
-    Reads the first ``max_lines`` lines: a limited collect scans the file's
-    first split first and stops there."""
-    lines = [r[0] for r in spark.read.text(path).limit(max_lines).collect()]
-    return _header_from_lines(lines, record_no, sep)
-
 
-def headers_of(spark: SparkSession, files: Sequence[tuple[str, int]], record_no: int = 1, sep: str = ",",
-               max_lines: int = 50, batch: int = 200) -> dict[str, tuple[list[str], bool]]:
-    """:func:`header_of` for many ``(path, length)`` files.
-
-    Files that fit in one read split are done ``batch`` at a time in one job (a
-    union of single-split reads, each limited to its first lines, with the
-    line order taken before the limit); larger files use one limited collect
-    each, which stops after the first split.
+    One job for all files: each file is a read task of its own, which takes
+    lines from the file's start until the record is complete, however many
+    lines that needs, and then stops.  Only the header cells reach the driver.
+    A file that ends before the record does raises with its name.
     """
-    split = _size_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    small = [p for p, n in files if n is not None and n <= split]
-    out = {p: header_of(spark, p, record_no, sep, max_lines) for p, n in files if p not in set(small)}
-    for i in range(0, len(small), batch):
-        chunk = small[i:i + batch]
-        parts = [spark.read.text(p).select(F.lit(j).alias("__i"), F.monotonically_increasing_id().alias("__o"),
-                                           "value").limit(max_lines)
-                 for j, p in enumerate(chunk)]
-        rows = union_by_name(*parts).collect()
-        by_file: dict[int, list] = {}
-        for r in rows:
-            by_file.setdefault(r["__i"], []).append(r)
-        for j, p in enumerate(chunk):
-            lines = [r["value"] for r in sorted(by_file.get(j, []), key=lambda r: r["__o"])]
-            out[p] = _header_from_lines(lines, record_no, sep)
+    def first_record(batches):
+        path = None
+
+        def lines():
+            nonlocal path
+            for b in batches:
+                for value, file, start in zip(*(c.to_pylist() for c in b.columns)):
+                    if start:
+                        return
+                    if path is None:
+                        path = file
+                    if file != path:
+                        return
+                    yield value + "\n"
+
+        rows = csv.reader(lines(), delimiter=sep, strict=True)
+        cells, error = [], None
+        try:
+            for _ in range(record_no):
+                cells = next(rows)
+        except (StopIteration, csv.Error) as exc:
+            cells, error = [], str(exc) or "the file ends first"
+        if path is not None:
+            spanned = rows.line_num > record_no
+            yield pa.RecordBatch.from_pydict({"path": [path], "cells": pa.array([cells], pa.list_(pa.string())),
+                                              "spanned": [spanned], "error": pa.array([error], pa.string())})
+
+    # a session of its own, whose reads never pack two files into one task
+    probe = spark.newSession()
+    probe.conf.set("spark.sql.files.openCostInBytes", probe.conf.get("spark.sql.files.maxPartitionBytes"))
+    found = (probe.read.text(list(paths)).select("value", "_metadata.file_path", "_metadata.file_block_start")
+             .mapInArrow(first_record, "path string, cells array<string>, spanned boolean, error string").collect())
+    by_path = {_same_path(r["path"]): r for r in found}
+    out = {}
+    for p in paths:
+        r = by_path.get(_same_path(p))
+        if r is None or r["error"] or not r["cells"]:
+            raise ValueError(f"no complete header record {record_no} in {p}: {(r and r['error']) or 'the file is empty there'}")
+        out[p] = (list(r["cells"]), r["spanned"])
     return out
 
 
+def header_of(spark: SparkSession, path: str, record_no: int = 1, sep: str = ",") -> tuple[list[str], bool]:
+    """:func:`headers_of` for one file."""
+    return headers_of(spark, [path], record_no, sep)[path]
+
+
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], sep: str = ",", title_line: bool = False,
                    exclude: Iterable[str] = (), normalise: bool = True, encoding: str = "UTF-8",
                    multi_line: bool | None = None) -> DataFrame:
     """Read delimited text files whose header is line 1, or line 2 after a title
     line (S1, S4).  Files with different headers are read per header group and
     unioned by name (missing columns null).  Adds ``_file`` (file name, S9) and
-    ``_row`` (increasing within a file, for keep-first/last dedupes).
+    ``_row`` (increasing within a file, for keep-first/last dedupes; order by
+    ``_file, _row`` across files).
 
     ``exclude``: skip files whose name contains any of these substrings (S3).
     ``multi_line``: parse quoted newlines inside values.  ``None`` turns it on
@@ -104,22 +114,20 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], sep: str = "
     pattern_list = [paths] if isinstance(paths, str) else list(paths)
     listed = []
     for p in pattern_list:
-        listed += [(r["path"], r["length"]) for r in list_files(spark, p).orderBy("path").collect()]
+        listed += [r["path"] for r in list_files(spark, p).orderBy("path").select("path").collect()]
     skip = list(exclude)
-    listed = [(f, n) for f, n in listed if not any(s in f.rsplit("/", 1)[-1] for s in skip)]
-    files = [f for f, _ in listed]
+    files = [f for f in listed if not any(s in f.rsplit("/", 1)[-1] for s in skip)]
     if not files:
         raise FileNotFoundError(f"no files match {paths}")
     record_no = 2 if title_line else 1
     groups: dict[tuple, list[str]] = {}
     spans: dict[tuple, bool] = {}
-    heads = headers_of(spark, listed, record_no, sep)
+    heads = headers_of(spark, files, record_no, sep)
     for f in files:
         cells, spanned = heads[f]
         head = tuple(cells)
-        if head:
-            groups.setdefault(head, []).append(f)
-            spans[head] = spans.get(head, False) or spanned
+        groups.setdefault(head, []).append(f)
+        spans[head] = spans.get(head, False) or spanned
     frames = []
     for head, group in groups.items():
         ml = spans[head] if multi_line is None else multi_line

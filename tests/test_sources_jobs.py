@@ -238,3 +238,32 @@ def test_headers_batched_and_large_files(spark, tmp_dir):
         assert df.filter("persno = 'Pers.No.' OR persno LIKE 'Big%' OR persno LIKE 'Title%'").count() == 0
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_long_headers_and_titles_keep_every_column_and_file(spark, tmp_dir):
+    names = [f"Name\nno {i}" for i in range(60)]
+    header = ",".join(f'"{n}"' for n in names)
+    with open(os.path.join(tmp_dir, "a.csv"), "w") as f:
+        f.write(header + "\n" + ",".join(str(i) for i in range(60)) + "\n")
+    got = S.read_delimited(spark, os.path.join(tmp_dir, "a.csv"))
+    assert len(got.columns) == 62 and got.first()[59] == "59"
+
+    os.mkdir(os.path.join(tmp_dir, "t"))
+    with open(os.path.join(tmp_dir, "t", "long.csv"), "w") as f:
+        f.write('"' + "title\n" * 60 + '"\nx,y\n1,2\n')
+    with open(os.path.join(tmp_dir, "t", "short.csv"), "w") as f:
+        f.write("title\nx,y\n3,4\n")
+    heads = S.headers_of(spark, [r["path"] for r in S.list_files(spark, os.path.join(tmp_dir, "t", "*.csv")).collect()], 2)
+    assert [h for h, _ in heads.values()] == [["x", "y"], ["x", "y"]]
+    assert sorted(spanned for _, spanned in heads.values()) == [False, True]
+    rows = S.read_delimited(spark, os.path.join(tmp_dir, "t", "*.csv"), title_line=True).select("x", "y", "_file").collect()
+    assert sorted(map(tuple, rows)) == [("1", "2", "long.csv"), ("3", "4", "short.csv")]
+
+
+@pytest.mark.parametrize("text", ["only a title\n", 'title\n"x,y\n1,2\n'])
+def test_missing_or_unfinished_header_raises_with_the_file_name(spark, tmp_dir, text):
+    for name, t in (("good.csv", "title\nx,y\n1,2\n"), ("bad.csv", text)):
+        with open(os.path.join(tmp_dir, name), "w") as f:
+            f.write(t)
+    with pytest.raises(ValueError, match="bad.csv"):
+        S.read_delimited(spark, os.path.join(tmp_dir, "*.csv"), title_line=True)
