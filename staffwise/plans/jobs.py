@@ -30,8 +30,12 @@ from ..sources import json as SJ
 
 # Typed columns of the people extracts.
 LISTING_DATES = ("date_joined", "birth_date", "service_date", "position_entry_date", "confirmation_date",
-                 "probation_end_date", "contract_end_date", "date_left")
+                 "probation_end_date", "probation_extension_end_date", "contract_end_date", "leave_eligibility_start_date",
+                 "date_left")
 ID_COLUMNS = ("persno", "reporting_officer")
+GROUP_IDS = ("orgunit", "personnel_subarea", "persno", "reporting_officer", "zip_code")
+NO_MANAGER = "NO_MANAGER"
+OFFICE_SCHEDULE = "Office Work Schedule"
 
 
 def _typed_listing(df: DataFrame) -> DataFrame:
@@ -41,11 +45,31 @@ def _typed_listing(df: DataFrame) -> DataFrame:
 
 
 def _group_cleaning(df: DataFrame) -> DataFrame:
-    """Ids canonical, managerial grades replaced by pay-scale group."""
-    df = C.canonicalise_ids(df, ID_COLUMNS)
-    if "personnel_subarea" in df.columns and "pay_scale_group" in df.columns:
-        df = df.withColumn("personnel_subarea", FL.override_when_contains(
-            "personnel_subarea", "pay_scale_group", "MANAGERIAL GRADE", ["Def for NA", "OTHERS"]))
+    """Ids canonical; subarea trimmed and upper-cased, then managerial grades
+    replaced by the pay-scale group; no manager as null; missing fund type as
+    ``NA``; shift flag.  Columns the extract does not have are left out."""
+    have = set(df.columns)
+    df = C.canonicalise_ids(df, GROUP_IDS)
+    if "personnel_subarea" in have:
+        df = df.withColumn("personnel_subarea", F.upper(C.strip_ws("personnel_subarea")))
+        if "pay_scale_group" in have:
+            df = df.withColumn("personnel_subarea", FL.override_when_contains(
+                "personnel_subarea", "pay_scale_group", "MANAGERIAL GRADE", ["Def for NA", "OTHERS"]))
+    if "reporting_officer" in have:
+        df = df.withColumn("reporting_officer", FL.sentinel_to_null("reporting_officer", NO_MANAGER))
+    if "fund_type" in have:
+        df = C.fill(df, {"fund_type": "NA"})
+    if "work_schedule" in have:
+        df = df.withColumn("on_shift", FL.present_and_not("work_schedule", OFFICE_SCHEDULE))
+    return df
+
+
+def _date_parts(df: DataFrame) -> DataFrame:
+    """Month, year (as text) and fiscal label of the joining and leaving dates."""
+    for c, tag in (("date_joined", "_datejoined"), ("date_left", "_dateleft")):
+        if c in df.columns:
+            df = df.withColumns({f"{tag}_month": F.month(c), f"{tag}_year": F.year(c).cast("string"),
+                                 f"{tag}_fy": D.fiscal_label(F.month(c), F.year(c))})
     return df
 
 
@@ -53,17 +77,22 @@ def daily_listing(spark: SparkSession, headcount: str, leavers: str, ref_geo: Da
                   root_id: str | None = None, exclude: Sequence[str] = ("ml_pipeline",)) -> DataFrame:
     """B1: daily headcount files (title line + header) unioned with the latest
     leavers file; span of control and layer depth per snapshot file; latest
-    join date put on every row; month end; geo look-up by zip code."""
+    join date put on every row; cleaned groups; date parts; month end; geo
+    look-up by zip code.  Every listing row stays: a person listed twice in a
+    file (two org units) keeps both rows, with one layer."""
     hc = C.trim_strings(S.read_delimited(spark, headcount, title_line=True, exclude=exclude))
     hc = C.null_tokens_to_null(hc)
     hc = C.canonicalise_ids(hc, ID_COLUMNS)
     hc = W.dedupe(hc, ["_file", "persno", "personnel_number", "orgunit"], [By("_row")], keep="first")
     hc = A.span_of_control(hc, "persno", "reporting_officer", by=["_file"])
     if root_id is not None:
-        hc = layer_depth(W.dedupe(hc, ["_file", "persno"], [By("_row")], keep="last"),
-                         "persno", "reporting_officer", root_id, by=["_file"])
+        # the last edge of a person in a file wins; its layer goes to all of the person's rows
+        edges = W.dedupe(hc.select("_file", "persno", "reporting_officer", "_row"), ["_file", "persno"], [By("_row")], keep="last")
+        layer = layer_depth(edges, "persno", "reporting_officer", root_id, by=["_file"]).select(
+            F.col("_file").alias("__f"), F.col("persno").alias("__p"), "layer")
+        hc = hc.join(layer, hc["_file"].eqNullSafe(layer["__f"]) & hc["persno"].eqNullSafe(layer["__p"]), "left").drop("__f", "__p")
     hc = _typed_listing(hc)
-    hc = W.latest_attribute(hc, "persno", "date_joined", [By("todays_date"), By("_row")])
+    hc = W.latest_attribute(hc, "persno", "date_joined", [By("todays_date"), By("_file"), By("_row")])
     hc = hc.withColumn("active", F.lit(True))
 
     latest = S.latest_file(spark, leavers)
@@ -72,22 +101,72 @@ def daily_listing(spark: SparkSession, headcount: str, leavers: str, ref_geo: Da
     lv = W.dedupe(C.canonicalise_ids(lv, ID_COLUMNS), ["persno", "personnel_number", "date_left"], [By("_row")])
     lv = _typed_listing(lv).withColumn("active", F.lit(False))
 
-    out = _group_cleaning(R.union_by_name(hc, lv))
+    out = _date_parts(_group_cleaning(R.union_by_name(hc, lv)))
     out = out.withColumn("source", F.lit("SF Direct")).withColumn("eom", D.end_of_month("todays_date"))
     if ref_geo is not None:
         out = J.lookup(out, ref_geo, "zip_code", null_safe=False)
     return out
 
 
+def daily_promotions(spark: SparkSession, pattern: str) -> DataFrame:
+    """B1: the latest promotions file, dates typed, ids canonical, the first
+    row of each (person, personnel number, start date)."""
+    p = C.null_tokens_to_null(C.trim_strings(S.read_delimited(spark, S.latest_file(spark, pattern), title_line=True)))
+    p = apply_contract(p, {"start_date": DateSpec(D.DEFAULT_FORMATS), "todays_date": DateSpec(D.DEFAULT_FORMATS)})
+    return W.dedupe(C.canonicalise_ids(p, ["persno"]), ["persno", "personnel_number", "start_date"], [By("_row")], keep="first")
+
+
 def timeoff_days(timeoff: DataFrame, key: str = "persno") -> DataFrame:
     """B2: leave records deduplicated, exploded to one row per day, with the
-    gap to the previous leave day and the consecutive-day streak."""
+    gap to the previous leave day and the consecutive-day streak.
+
+    A record with a reversed or missing range stays as one row without a day:
+    no gap, streak 0."""
     t = _typed_listing(timeoff) if "startdate" not in timeoff.columns else apply_contract(
         timeoff, {"startdate": DateSpec(), "enddate": DateSpec(), "todays_date": DateSpec()})
     subset = [c for c in (key, "leave_type_code", "startdate", "enddate") if c in t.columns]
     t = W.dedupe(t, subset, [By(c) for c in t.columns if c not in subset] or [By(key)])
-    days = R.explode_days(t, "startdate", "enddate", "leave_day").filter(F.col("leave_day").isNotNull())
-    return W.day_runs(days, key, "leave_day")
+    days = R.explode_days(t, "startdate", "enddate", "leave_day")
+    runs = W.day_runs(days.filter(F.col("leave_day").isNotNull()), key, "leave_day")
+    types = {f.name: f.dataType for f in runs.schema}
+    none = days.filter(F.col("leave_day").isNull()).select(
+        "*", F.lit(None).cast(types["gap_days"]).alias("gap_days"), F.lit(False).alias("gap"),
+        F.lit(None).cast(types["run_id"]).alias("run_id"), F.lit(0).cast(types["streak"]).alias("streak"))
+    return runs.unionByName(none)
+
+
+def timeoff_records(days: DataFrame, key: str = "persno") -> DataFrame:
+    """B2: the last day of each leave record (person, leave type, range,
+    duration) with its gap and streak."""
+    subset = [c for c in (key, "leave_type_code", "startdate", "enddate", "duration_days") if c in days.columns]
+    return W.dedupe(days, subset, [By("leave_day", True, False), By("streak")], keep="last")
+
+
+def dependants(spark: SparkSession, pattern: str, asof: F.Column | None = None) -> DataFrame:
+    """B2: the latest dependants file: rows with a relationship, first of each
+    (person, relationship, first name, birth date), age in years as of a date
+    (today)."""
+    t = C.null_tokens_to_null(C.trim_strings(S.read_delimited(spark, S.latest_file(spark, pattern), title_line=True)))
+    t = C.drop_rows_with_nulls(t, ["relationship"])
+    t = apply_contract(t, {"dependent_date_of_birth": DateSpec(D.DEFAULT_FORMATS)})
+    t = W.dedupe(t, ["persno", "relationship", "dependent_first_name", "dependent_date_of_birth"], [By("_row")], keep="first")
+    day = asof if asof is not None else F.current_date()
+    return t.withColumn("todays_date", day).withColumn("d_age", D.age_years("dependent_date_of_birth", day))
+
+
+def education(spark: SparkSession, pattern: str) -> DataFrame:
+    """B2: the latest education file: rows with a qualification; ``latest_qual``
+    marks those attained on the person's latest date (ties all)."""
+    t = C.null_tokens_to_null(C.trim_strings(S.read_delimited(spark, S.latest_file(spark, pattern), title_line=True)))
+    t = apply_contract(t, {"date_attained": DateSpec(D.DEFAULT_FORMATS), "end_date": DateSpec(D.DEFAULT_FORMATS)})
+    return W.equals_group_max(C.drop_rows_with_nulls(t, ["qualification"]), "persno", "date_attained", "latest_qual")
+
+
+def work_passes(spark: SparkSession, pattern: str) -> DataFrame:
+    """B2: the latest work-pass file: each person's pass with the latest issue date."""
+    t = C.null_tokens_to_null(C.trim_strings(S.read_delimited(spark, S.latest_file(spark, pattern), title_line=True)))
+    t = apply_contract(t, {c: DateSpec(D.DEFAULT_FORMATS) for c in ("expiry_date", "issue_date", "todays_date")})
+    return W.latest_per_key(t, "persno", "issue_date", tie_break=["_row"])
 
 
 def claims_long(spark: SparkSession, paths, id_cols: Sequence[str], groups: Mapping[str, Sequence[str]],
@@ -125,17 +204,16 @@ RECRUITMENT_RULES = (
 def recruitment_checks(tracker: DataFrame, stamp: F.Column | None = None, zone: str = "Asia/Singapore",
                        report_by: Sequence[str] = ("tracker_source", "filename")) -> dict[str, DataFrame]:
     """Tracker text cleaned (ASCII, upper-cased), rules A-H applied, the
-    error report and error list, and a load stamp.  Rules whose columns the
-    tracker does not have are skipped."""
+    error report and error list, and a load stamp.  A tracker that lacks a
+    column of a rule raises: its rows could not be judged."""
+    needed = {c for _, cols, cond in RECRUITMENT_RULES for c in (*cols, *([cond[0]] if cond else []))}
+    if missing := sorted(needed - set(tracker.columns)):
+        raise ValueError(f"the tracker lacks columns that rules need: {', '.join(missing)}")
     text = C.string_columns(tracker)
     t = tracker.select([F.upper(C.strip_ws(ascii_only(c))).alias(c) if c in text and c != "filename" else F.col(c)
                         for c in tracker.columns])
     present = set(t.columns)
-    rules = []
-    for label, cols, cond in RECRUITMENT_RULES:
-        needed = set(cols) | ({cond[0]} if cond else set())
-        if needed <= present:
-            rules.append(Q.Rule(label, list(cols), F.col(cond[0]).isin(list(cond[1])) if cond else None))
+    rules = [Q.Rule(label, list(cols), F.col(cond[0]).isin(list(cond[1])) if cond else None) for label, cols, cond in RECRUITMENT_RULES]
     checked = Q.apply_rules(t, rules)
     instant = stamp if stamp is not None else D.utc_now()
     checked = checked.withColumn("load_stamp", D.load_stamp(instant, zone))
@@ -150,19 +228,27 @@ def recruitment_checks(tracker: DataFrame, stamp: F.Column | None = None, zone:
 def consolidation_current(current: DataFrame, refs: Sequence[tuple[DataFrame, str, str | None]],
                           date_col: str = "todays_date", today: str | None = None) -> DataFrame:
     """Month-end snapshot of the daily listing, standardised text, chained
-    reference look-ups (``(ref, left_key, right_key)``), age and tenure as of
-    the leaving date or month end, joiner mark."""
+    reference look-ups (``(ref, left_key, right_key)``), missing gender as
+    ``M``, age and tenure as of the leaving date or month end, joiner mark
+    (one row of each person and joining date, whatever ties)."""
     snap = W.month_end_snapshot(current, date_col)
     snap = C.upper_strings(snap)
     for ref, lk, rk in refs:
         snap = J.lookup(snap, ref, lk, rk)
+    if "gender_key" in snap.columns:
+        snap = C.fill(snap, {"gender_key": "M"})
     if "eom" not in snap.columns:
         snap = snap.withColumn("eom", D.end_of_month(date_col))
     asof = F.lit(today).cast("date") if today else D.as_of("date_left", "eom")
     snap = snap.withColumn("age", D.age_years("birth_date", asof)).withColumn("tenure", D.tenure_years("date_joined", asof))
-    return W.first_occurrence_flag(snap, ["persno", "date_joined"], [By("persno"), By("eom"), By("active"), By("_row")]
-                                   if "_row" in snap.columns else [By("persno"), By("eom"), By("active")],
-                                   out="joiner_mark")
+    order = [By(c) for c in ("persno", "eom", "active", "_file", "_row") if c in snap.columns]
+    return W.first_occurrence_flag(snap, ["persno", "date_joined"], order, out="joiner_mark")
+
+
+def consolidation_promotions(old: DataFrame, monthly: DataFrame, daily: DataFrame, date_col: str = "todays_date") -> DataFrame:
+    """All promotions: the old list, tagged, the monthly ones, and the
+    daily ones as listed on the last day of each month."""
+    return R.union_by_name(C.tag(old, source="Old"), monthly, W.month_end_snapshot(daily, date_col))
 
 
 def history_diff(history: DataFrame, current: DataFrame, flexi_values: Sequence[str] = (),
@@ -177,17 +263,22 @@ def history_diff(history: DataFrame, current: DataFrame, flexi_values: Sequence[
     return {"listing": full, "diff": snapshot_diff(active, "persno", "eom", list(fields), carry=full.columns)}
 
 
-def benchmark_rates(spark: SparkSession, paths, records: str = "result.records") -> DataFrame:
+# The market rows that are compared with.
+BENCHMARK_INDUSTRIES = ("food, beverages and tobacco", "air transport and supporting services", "total")
+
+
+def benchmark_rates(spark: SparkSession, paths, records: str = "result.records",
+                    industries: Sequence[str] = BENCHMARK_INDUSTRIES) -> DataFrame:
     """Labour-market rates from landed JSON: records flattened, columns
-    with any null dropped, quarter split to year/quarter, rates as fractions."""
-    recs = SJ.read_records(spark, paths, records)
-    recs = C.drop_null_columns(recs, how="any")
-    year, q = F.split("quarter", "-", 2)[0], F.split("quarter", "-", 2)[1]
-    out = recs.withColumns({"year": year.try_cast("int"), "qtr": q})
-    for c in ("recruitment_rate", "resignation_rate"):
-        if c in out.columns:
-            out = out.withColumn(c, FL.scale(FL.to_number(c), 0.01))
-    return out.orderBy("year", "qtr")
+    with any null dropped, all occupations of the chosen industries, quarter
+    split into year and quarter number, both rates as numbers and the
+    resignation rate as a fraction; latest quarter first."""
+    recs = C.drop_null_columns(SJ.read_records(spark, paths, records), how="any")
+    out = recs.filter((F.col("occupation1") == "total") & F.col("industry3").isin(list(industries)))
+    part = F.split("quarter", "-Q", 2)
+    out = out.withColumns({"year": F.get(part, F.lit(0)).try_cast("int"), "q": F.get(part, F.lit(1)).try_cast("int")})
+    out = out.withColumns({c: FL.to_number(c) for c in ("recruitment_rate", "resignation_rate")})
+    return out.withColumn("resignation_rate", FL.scale("resignation_rate", 0.01)).orderBy(F.col("year").desc(), F.col("q").desc())
 
 
 def geo_enrich(listing: DataFrame, resolver: Callable, zip_col: str = "zip_code") -> DataFrame:

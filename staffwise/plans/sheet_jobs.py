@@ -88,6 +88,13 @@ def salary_ranges(range_map: DataFrame, ranges: DataFrame) -> DataFrame:
     return J.outer_merge(rm, rg, "salary_range")
 
 
+def job_maps(jobs: DataFrame, families: DataFrame) -> dict[str, DataFrame]:
+    """The grade workbook's job map and job-family map: names cleaned, text
+    trimmed, empty rows and columns dropped."""
+    return {name: C.drop_null_columns(C.drop_empty_rows(C.null_tokens_to_null(C.trim_strings(C.normalise_columns(sheet)))))
+            for name, sheet in (("jobmap", jobs), ("jobfammap", families))}
+
+
 # ----------------------------------------------------------------- B4 monthly non-system listing
 
 # Sheet-name patterns (case-insensitive) of the monthly workbooks.
@@ -161,6 +168,15 @@ def fee_reference(ref: DataFrame, name_col: str = "name") -> DataFrame:
     return ref.select(normalise_value(name_col).alias("fees"))
 
 
+def credit_notes(notes: DataFrame, file_col: str = "file") -> DataFrame:
+    """Credit-note sheets of all files: names cleaned, text trimmed, empty rows
+    and columns dropped, with the name of the file they came from."""
+    n = C.null_tokens_to_null(C.trim_strings(C.normalise_columns(notes)))
+    data = [c for c in n.columns if c != file_col]
+    n = n.filter(F.coalesce(*[F.col(f"`{c}`").cast("string") for c in data]).isNotNull())
+    return C.drop_null_columns(n).withColumnRenamed(file_col, "filename")
+
+
 # ----------------------------------------------------------------- B8 reference dimensions
 
 # Organisation-structure column renames.

@@ -100,3 +100,14 @@ def test_reference_dimensions(spark):
     assert out["company"].first()["company_code"] == "C1"
     assert sorted(r["estab_grade_sort"] for r in out["grade"].collect()) == [0, 2]
     assert out["jobgroup"].first()[0] == "ENG" and out["attrition"].first()[0] == "RESIGNED"
+
+
+def test_job_maps_and_credit_notes(spark):
+    from staffwise.plans import sheet_jobs as SH
+
+    sheet = spark.createDataFrame([(" A1 ", "x", None), (None, "", None)], "`Job Code` string, `Job (Title)` string, empty string")
+    maps = SH.job_maps(sheet, sheet)
+    assert [tuple(r) for r in maps["jobmap"].collect()] == [("A1", "x")] and maps["jobfammap"].columns == ["job_code", "job_title"]
+    notes = spark.createDataFrame([("f1.xlsx", " 12 ", None), ("f2.xlsx", None, None)], "file string, `Credit Note No.` string, Void string")
+    got = SH.credit_notes(notes)
+    assert got.columns == ["filename", "credit_note_no"] and [tuple(r) for r in got.collect()] == [("f1.xlsx", "12")]

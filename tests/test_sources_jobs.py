@@ -112,19 +112,99 @@ def test_timeoff_days_job(spark):
         ("1", "SL", "03/01/2024", "03/01/2024"), ("1", "AL", "06/01/2024", "05/01/2024"),
         ("2", "AL", "10/01/2024", "11/01/2024")], "persno string, leave_type_code string, startdate string, enddate string")
     out = jobs.timeoff_days(t)
-    got = sorted((r["persno"], r["leave_day"], r["streak"]) for r in out.collect())
+    got = sorted((r["persno"], r["leave_day"], r["streak"]) for r in out.collect() if r["leave_day"])
+    assert out.count() == len(got) + 1  # the reversed record stays, without a day
     assert got == [("1", d(2024, 1, 1), 0), ("1", d(2024, 1, 2), 1), ("1", d(2024, 1, 3), 2),
                    ("2", d(2024, 1, 10), 0), ("2", d(2024, 1, 11), 1)]
 
 
+def test_timeoff_keeps_reversed_and_missing_ranges(spark):
+    t = spark.createDataFrame([
+        ("1", "AL", "06/01/2024", "05/01/2024"), ("1", "SL", None, "05/01/2024"), ("1", "AL", "01/01/2024", "03/01/2024")],
+        "persno string, leave_type_code string, startdate string, enddate string")
+    days = jobs.timeoff_days(t)
+    none = days.filter("leave_day is null").collect()
+    assert len(none) == 2 and all(r["gap_days"] is None and not r["gap"] and r["streak"] == 0 for r in none)
+    records = jobs.timeoff_records(days).collect()  # one row a record, its last day
+    assert sorted((r["leave_type_code"], str(r["leave_day"]), r["streak"]) for r in records) == [
+        ("AL", "2024-01-03", 2), ("AL", "None", 0), ("SL", "None", 0)]
+
+
+def test_dependants_education_and_work_passes(spark, tmp_dir):
+    write(f"{tmp_dir}/Dependant.csv", "t\nPersno,Relationship,Dependent First Name,Dependent Date of Birth\n"
+          "1,Child,Al,01/02/2010\n1,Child,Al,01/02/2010\n1,,Bo,01/02/2012\n2,Spouse,Cy,bad\n")
+    got = sorted((r["persno"], r["dependent_first_name"], r["d_age"])
+                 for r in jobs.dependants(spark, f"{tmp_dir}/*Dependant*.csv", F.lit("2024-02-02").cast("date")).collect())
+    assert got == [("1", "Al", 14), ("2", "Cy", 0)]  # no birth date: age 0
+    write(f"{tmp_dir}/Education.csv", "t\nPersno,Qualification,Date Attained,End Date\n"
+          "1,BA,01/02/2010,\n1,MA,01/02/2014,\n1,MSc,01/02/2014,\n1,,01/02/2020,\n2,BA,,\n")
+    got = sorted((r["persno"], r["qualification"], r["latest_qual"]) for r in jobs.education(spark, f"{tmp_dir}/*Education*.csv").collect())
+    assert got == [("1", "BA", False), ("1", "MA", True), ("1", "MSc", True), ("2", "BA", False)]
+    write(f"{tmp_dir}/workpermit.csv", "t\nPersno,Issue Date,Expiry Date,Todays Date,Doc Type\n"
+          "1,01/01/2020,01/01/2022,,EP\n1,01/01/2023,01/01/2025,,SP\n2,,,,WP\n")
+    got = sorted((r["persno"], r["doc_type"]) for r in jobs.work_passes(spark, f"{tmp_dir}/*workpermit*.csv").collect())
+    assert got == [("1", "SP"), ("2", "WP")]
+
+
+def test_promotions(spark, tmp_dir):
+    write(f"{tmp_dir}/promotion.csv", "t\nPersno,Personnel Number,Start Date,Todays Date\n"
+          "12.0,A,01/01/2024,30/01/2024\n12,A,01/01/2024,31/01/2024\n13,B,05/01/2024,31/01/2024\n")
+    daily = jobs.daily_promotions(spark, f"{tmp_dir}/*promotion*.csv")
+    assert sorted((r["persno"], r["start_date"], r["todays_date"]) for r in daily.collect()) == [
+        ("12", d(2024, 1, 1), d(2024, 1, 30)), ("13", d(2024, 1, 5), d(2024, 1, 31))]
+    old = spark.createDataFrame([("9", d(2022, 1, 1))], "persno string, start_date date")
+    monthly = spark.createDataFrame([("8", d(2023, 1, 1), "Non-SF")], "persno string, start_date date, source string")
+    got = sorted((r["persno"], r["source"]) for r in jobs.consolidation_promotions(old, monthly, daily).collect())
+    assert got == [("13", None), ("8", "Non-SF"), ("9", "Old")]  # the daily row of the 30th is not the month's last
+
+
+def test_daily_listing_keeps_every_row_and_cleans_groups(spark, tmp_dir):
+    header = HC_HEADER.replace("Todays Date", "Fund Type,Work Schedule,Leave Eligibility Start Date,Todays Date")
+    rows = [["1", "A1", "100.0", "NO_MANAGER", "Managerial Grade 1", "H5", "00100", "01/05/2020", "", "", "Office Work Schedule", "02/05/2020"],
+            ["2", "A2", "200.0", "1", "managerial grade 2", "OTHERS", "1", "01/03/2021", "", "X", "Shift", ""],
+            ["2", "A2", "300", "1", " staff ", "", "1", "01/03/2021", "", "X", "", ""],
+            ["3", "A3", "300", "2", "STAFF", "", "1", "", "", "", "", ""]]
+    write(f"{tmp_dir}/d_Headcount.csv", "\n".join(["t", header] + [",".join(r + ["31/01/2024"]) for r in rows]) + "\n")
+    write(f"{tmp_dir}/x_leavers.csv", "Leavers\n" + header + ",Date Left\n" + "9,A9,1,1,S,,100,01/01/2019,,,,,31/01/2024,15/04/2024\n")
+    for root in (None, "1"):
+        out = jobs.daily_listing(spark, f"{tmp_dir}/*Headcount.csv", f"{tmp_dir}/*_leavers.csv", root_id=root).collect()
+        assert len(out) == 5
+    by = {(r["persno"], r["orgunit"]): r for r in out}
+    assert set(by) == {("1", "100"), ("2", "200"), ("2", "300"), ("3", "300"), ("9", "1")}
+    assert by[("2", "200")]["layer"] == by[("2", "300")]["layer"] == 1 and by[("3", "300")]["layer"] == 2
+    a, b = by[("1", "100")], by[("2", "200")]
+    assert a["personnel_subarea"] == "H5" and b["personnel_subarea"] == "MANAGERIAL GRADE 2" and by[("2", "300")]["personnel_subarea"] == "STAFF"
+    assert a["reporting_officer"] is None and a["zip_code"] == "100" and a["fund_type"] == "NA" and b["fund_type"] == "X"
+    assert [r["on_shift"] for r in (a, b, by[("2", "300")])] == [False, True, False]
+    assert a["leave_eligibility_start_date"] == d(2020, 5, 2)
+    assert (a["_datejoined_month"], a["_datejoined_year"], a["_datejoined_fy"]) == (5, "2020", "2021")
+    lv = by[("9", "1")]
+    assert (lv["_dateleft_month"], lv["_dateleft_year"], lv["_dateleft_fy"]) == (4, "2024", "2425")
+
+
+def test_consolidation_marks_one_row_of_ties(spark):
+    rows = [("1", d(2024, 1, 31), d(2020, 1, 1), u, True, None) for u in ("OU1", "OU2", "OU2")]
+    df = spark.createDataFrame(rows, "persno string, todays_date date, date_joined date, orgunit string, active boolean, gender_key string")
+    df = df.withColumn("birth_date", F.lit(None).cast("date")).withColumn("date_left", F.lit(None).cast("date"))
+    out = jobs.consolidation_current(df, []).collect()
+    assert [r["joiner_mark"] for r in out].count(True) == 1 and {r["gender_key"] for r in out} == {"M"}
+
+
+def test_recruitment_missing_rule_column_raises(spark):
+    tr = spark.createDataFrame([("Ann", "YES")], "candidate_name string, shortlisted_for_interview string")
+    with pytest.raises(ValueError, match="date_of_interview"):
+        jobs.recruitment_checks(tr)
+
+
 def test_recruitment_rules_job(spark):
     cols = ["candidate_name", "date_of_application_received", "nationality", "bu", "job_grade", "parent_department",
             "position", "source", "shortlisted_for_interview", "employment_type", "date_of_interview",
             "final_interview_outcome", "reason_why_application_is_not_shortlisted_for_interview", "filename",
             "tracker_source"]
-    full = ["Ann", "1/1/24", "SG", "BU", "G1", "PD", "P", "web", "yes", "perm", "2/1/24", "selected", "", "f1", "main"]
+    later = sorted({c for _, cs, cond in jobs.RECRUITMENT_RULES for c in (*cs, *([cond[0]] if cond else []))} - set(cols))
+    full = ["Ann", "1/1/24", "SG", "BU", "G1", "PD", "P", "web", "yes", "perm", "2/1/24", "pending", "", "f1", "main"]
     rows = [full, full[:0] + ["Bé", ""] + full[2:], full[:8] + ["no"] + full[9:]]
-    tr = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols))
+    tr = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols)).withColumns({c: F.lit(None).cast("string") for c in later})
     res = jobs.recruitment_checks(tr, stamp=F.lit(dt.datetime(2024, 1, 1, 0, 0, 30)))
     errs = [r["error"] for r in res["tracker"].orderBy("candidate_name").collect()]
     assert errs == [None, "Cat C error; ", "Cat A error; "]
@@ -155,11 +235,15 @@ def test_history_diff_and_consolidation(spark):
 
 def test_json_records_and_pages(spark, tmp_dir):
     write(f"{tmp_dir}/rates.json", json.dumps({"result": {"records": [
-        {"quarter": "2023-Q1", "occupation1": "A", "recruitment_rate": "2.5", "resignation_rate": "1.0", "note": None},
-        {"quarter": "2023-Q2", "occupation1": "B", "recruitment_rate": "na", "resignation_rate": "1.5", "note": "x"}]}}))
+        {"quarter": "2023-Q1", "occupation1": "total", "industry3": "total", "recruitment_rate": "2.5", "resignation_rate": "1.0", "note": None},
+        {"quarter": "2022-Q4", "occupation1": "total", "industry3": "food, beverages and tobacco", "recruitment_rate": "1", "resignation_rate": "2", "note": "x"},
+        {"quarter": "2023-Q4", "occupation1": "total", "industry3": "retail", "recruitment_rate": "1", "resignation_rate": "2", "note": "x"},
+        {"quarter": "2023-Q4", "occupation1": "clerks", "industry3": "total", "recruitment_rate": "1", "resignation_rate": "2", "note": "x"},
+        {"quarter": "2023-Q2", "occupation1": "total", "industry3": "total", "recruitment_rate": "na", "resignation_rate": "1.5", "note": "x"}]}}))
     out = jobs.benchmark_rates(spark, f"{tmp_dir}/rates.json")
     assert "note" not in out.columns
-    assert [(r["year"], r["qtr"], r["recruitment_rate"]) for r in out.collect()] == [(2023, "Q1", 0.025), (2023, "Q2", None)]
+    assert [(r["year"], r["q"], r["recruitment_rate"], r["resignation_rate"]) for r in out.collect()] == [
+        (2023, 2, None, 0.015), (2023, 1, 2.5, 0.01), (2022, 4, 1.0, 0.02)]
     for i, nxt in enumerate(["page2", None]):
         page = {"d": {"results": [{"personIdExternal": f"p{i}", "startDate": "/Date(1704067200000)/",
                                    "meta": {"uri": f"u{i}"}}], "__next": nxt}}
