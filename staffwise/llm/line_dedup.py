@@ -13,7 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col
+from ..session import cut_lineage
+from .common import col, fresh
+
+BROADCAST_LINES = 500_000  # digests of boilerplate lines that are broadcast; more are joined by a shuffle
 
 
 def _clean(line: Column) -> Column:
@@ -51,11 +54,15 @@ def line_dedup(df: DataFrame, host: str = "source", text: str = "text", max_rati
     a host stay as they are.  ``removed`` names a count of dropped lines that
     is added (replacing a column of that name; None: not added).
     """
-    common = boilerplate_lines(df, host, text, max_ratio, min_pages).toDF("__bp_host", "__bp_lines")
-    joined = df.join(common, col(host) == F.col("__bp_host"), "left")
+    a, b = fresh(df, "bp_host", "bp_lines")
+    common, seen = cut_lineage(boilerplate_lines(df, host, text, max_ratio, min_pages), "boilerplate", {"n": F.sum(F.size("lines"))})
+    common = common.toDF(a, b)
+    if (seen["n"] or 0) <= BROADCAST_LINES:
+        common = F.broadcast(common)
+    joined = df.join(common, col(host) == F.col(a), "left")
     lines = F.split(col(text), "\n")
-    keep = F.filter(lines, lambda x: ~F.array_contains(F.col("__bp_lines"), _digest(_clean(x))))
-    has = F.col("__bp_lines").isNotNull()
+    keep = F.filter(lines, lambda x: ~F.array_contains(F.col(b), _digest(_clean(x))))
+    has = F.col(b).isNotNull()
     out = {text: F.when(has, F.array_join(keep, "\n")).otherwise(col(text))}
     if removed:
         out[removed] = F.when(has & col(text).isNotNull(), F.size(lines) - F.size(keep)).otherwise(F.lit(0))
