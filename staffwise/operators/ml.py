@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 # Nation keys treated as "local" for the local flag.
 LOCAL_NATIONS = (1, 2)
+# The columns of :func:`attrition_features` that models use.
+CATEGORICAL = ("segment", "nation")
+NUMERIC = ("n_orders", "total_spend", "avg_price", "n_urgent", "local", "acctbal")
 
 
 def attrition_features(orders: DataFrame, customer: DataFrame, horizon_days: int = 365) -> DataFrame:
@@ -40,90 +43,142 @@ def attrition_features(orders: DataFrame, customer: DataFrame, horizon_days: int
         F.coalesce(F.col("c_nationkey").isin(list(LOCAL_NATIONS)), F.lit(False)).cast("int").alias("local"),
         (F.col("c_mktsegment") == "BUILDING").cast("int").alias("seg_building"),
         F.round(F.col("c_acctbal"), 2).alias("acctbal"),
+        F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").cast("string").alias("nation"),
         (F.datediff("__last", "last_order") <= horizon_days).cast("int").alias("active"),
     )
     return out.dropna(how="any")
 
 
-def _doc_features(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    d = documents.select("doc_id", "lang", "source", F.log1p(F.col("n_chars").cast("double")).alias("log_chars"))
-    return d.join(labels.select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
+def hash_share(id_col: str, parts: int, salt: str = "") -> F.Column:
+    """A number from 0 to ``parts - 1`` fixed by the id: the first 8 hex digits
+    of the md5 of its text (and a salt).  A split by it stays the same however
+    often and wherever the input is recomputed."""
+    digest = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(salt)).cast("binary"))
+    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(parts))
+
+
+def with_class_weights(df: DataFrame, label: str = "label", out: str = "weight", by: Sequence[str] = ()) -> DataFrame:
+    """Inverse-frequency weights so each class carries equal total weight (ML2),
+    within each ``by`` group."""
+    n = df.groupBy(*by, label).agg(F.count(F.lit(1)).alias("__n"))
+    if by:
+        total = n.groupBy(*by).agg(F.sum("__n").alias("__all"), F.count(F.lit(1)).alias("__classes"))
+        n = n.join(total, list(by))
+    else:
+        n = n.withColumns({"__all": df.select(F.count(F.lit(1))).scalar(), "__classes": df.select(F.count_distinct(label)).scalar()})
+    w = n.select(*by, label, (F.col("__all") / (F.col("__classes") * F.col("__n"))).alias(out))
+    return df.join(w, [*by, label])
+
+
+def model_sets(data: DataFrame, id_col: str, label: str, test_of: int = 4) -> DataFrame:
+    """``data`` with ``part`` (``test`` for one in ``test_of`` ids, else
+    ``train``), ``fold`` (0-2) and the class weights of its part."""
+    part = F.when(hash_share(id_col, test_of) == 0, F.lit("test")).otherwise(F.lit("train"))
+    marked = data.withColumns({"part": part, "fold": hash_share(id_col, 3, "fold").cast("int")})
+    return with_class_weights(marked, label, by=["part"])
 
 
 def classification_stages(categorical: Sequence[str], numeric: Sequence[str]):
     from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 
     idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in categorical]
-    enc = OneHotEncoder(inputCols=[f"{c}_idx" for c in categorical], outputCols=[f"{c}_vec" for c in categorical])
+    enc = OneHotEncoder(inputCols=[f"{c}_idx" for c in categorical], outputCols=[f"{c}_vec" for c in categorical], handleInvalid="keep")
     asm = VectorAssembler(inputCols=[f"{c}_vec" for c in categorical] + list(numeric), outputCol="features")
     return [*idx, enc, asm]
 
 
-def with_class_weights(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
-    """Inverse-frequency weights so each class carries equal total weight (ML2)."""
-    total = df.select(F.count(F.lit(1))).scalar()
-    w = df.groupBy(label).agg((total / (F.lit(2.0) * F.count(F.lit(1)))).alias(out))
-    return df.join(F.broadcast(w), label)  # one row per class value
+def _models(label: str, seed: int) -> dict:
+    from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 
+    return {
+        "logistic": LogisticRegression(labelCol=label, weightCol="weight", maxIter=30),
+        "random_forest": RandomForestClassifier(labelCol=label, weightCol="weight", numTrees=20, seed=seed),
+        "gbt": GBTClassifier(labelCol=label, weightCol="weight", maxIter=8, maxDepth=4, seed=seed),
+    }
 
-def classify_compare(documents: DataFrame, labels: DataFrame, seed: int = 7, tune: bool = True) -> DataFrame:
-    """Fit several classifiers, evaluate on a held-out split, return one row per
-    model (ML2-ML5): ``model, auc, n_train, n_test``; the tuned best model is
-    added as ``<name>_tuned`` and kept only if it beats the untuned one."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
-    from pyspark import StorageLevel
+def _grid(name: str, est):
+    from pyspark.ml.tuning import ParamGridBuilder
 
-    # persisted once: the iterative fits below would otherwise recompute the join for
-    # every pass, and randomSplit over a recomputed (shuffled, so unordered) input can
-    # give overlapping train/test rows; a lost block is recomputed from the lineage
-    data = with_class_weights(_doc_features(documents, labels)).persist(StorageLevel.MEMORY_AND_DISK)
-    train, test = data.randomSplit([0.75, 0.25], seed=seed)
-    stages = classification_stages(["lang", "source"], ["log_chars"])
-    ev = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
-    models = {
-        "logistic": LogisticRegression(labelCol="label", weightCol="weight", maxIter=50),
-        "random_forest": RandomForestClassifier(labelCol="label", weightCol="weight", numTrees=20, seed=seed),
-        "gbt": GBTClassifier(labelCol="label", weightCol="weight", maxIter=10, seed=seed),
-    }
-    spark = documents.sparkSession
-    n_train, n_test = train.count(), test.count()
-    def fit_and_score(item):
-        name, est = item  # own feature stages per thread: no estimator object is shared
-        fitted = Pipeline(stages=[*classification_stages(["lang", "source"], ["log_chars"]), est]).fit(train)
-        return name, float(ev.evaluate(fitted.transform(test))), n_train, n_test
+    grid = ParamGridBuilder()
+    return (grid.addGrid(est.regParam, [0.01, 0.1]) if name == "logistic" else grid.addGrid(est.maxDepth, [3, 6])).build()
+
+
+def classify_compare(data: DataFrame, id_col: str = "c_custkey", label: str = "active", categorical: Sequence[str] = CATEGORICAL,
+                     numeric: Sequence[str] = NUMERIC, seed: int = 7, tune: bool = True) -> DataFrame:
+    """Compare classifiers on a feature table (ML2-ML4): one row per model,
+    ``model, cv_auc, chosen, test_auc, n_train, n_test``.
 
+    The training rows alone choose: every model, and then the tuned settings
+    of the best one, are judged by three-fold cross-validation, and a tuned
+    model is chosen only if its cross-validated AUC is higher.  The test rows
+    are used once, for the chosen model; ``test_auc`` is null for the others.
+    """
     from concurrent.futures import ThreadPoolExecutor
 
-    # the fixed list of model kinds is fitted concurrently: each fit is its own set of Spark jobs
-    with ThreadPoolExecutor(max_workers=len(models)) as pool:
-        rows = list(pool.map(fit_and_score, models.items()))
+    from pyspark import StorageLevel
+    from pyspark.ml import Pipeline
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    spark = data.sparkSession
+    sets = model_sets(data.withColumn(label, F.col(label).cast("double")), id_col, label).persist(StorageLevel.MEMORY_AND_DISK)
+    train, test = sets.filter("part = 'train'"), sets.filter("part = 'test'")
+    size = {r["part"]: r["n"] for r in sets.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
+    ev = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
+
+    def validated(name, grid):
+        est = _models(label, seed)[name]
+        cv = CrossValidator(estimator=Pipeline(stages=[*classification_stages(categorical, numeric), est]), evaluator=ev,
+                            estimatorParamMaps=grid(est), numFolds=3, foldCol="fold", parallelism=2)
+        return cv.fit(train)
+
+    # the fixed list of model kinds is judged concurrently: each fit is its own set of Spark jobs
+    names = list(_models(label, seed))
+    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+        fitted = dict(zip(names, pool.map(lambda n: validated(n, lambda est: ParamGridBuilder().build()), names)))
+    auc = {n: float(m.avgMetrics[0]) for n, m in fitted.items()}
+    best = max(auc, key=lambda n: (auc[n], n))
+    model = fitted[best].bestModel
     if tune:
-        best_name, _, _, _ = max(rows, key=lambda r: r[1])
-        est = models[best_name]
-        grid = ParamGridBuilder()
-        if best_name == "logistic":
-            grid = grid.addGrid(est.regParam, [0.0, 0.1])
-        else:
-            grid = grid.addGrid(est.maxDepth, [3, 5])
-        cv = CrossValidator(estimator=Pipeline(stages=[*stages, est]), estimatorParamMaps=grid.build(),
-                            evaluator=ev, numFolds=3, seed=seed, parallelism=2)
-        tuned = cv.fit(train).bestModel
-        auc = float(ev.evaluate(tuned.transform(test)))
-        best_auc = max(r[1] for r in rows)
-        if auc > best_auc:
-            rows.append((f"{best_name}_tuned", auc, n_train, n_test))
-    data.unpersist()
-    return spark.createDataFrame(rows, "model string, auc double, n_train long, n_test long")
-
-
-def feature_importances(model, names: Sequence[str]) -> list[tuple[str, float]]:
-    """``(feature, importance)`` pairs of a fitted tree model (ML5)."""
-    imp = model.featureImportances.toArray()
-    return sorted(zip(names, map(float, imp)), key=lambda t: -t[1])
+        tuned = validated(best, lambda est: _grid(best, est))
+        auc[f"{best}_tuned"] = float(max(tuned.avgMetrics))
+        if auc[f"{best}_tuned"] > auc[best]:
+            best, model = f"{best}_tuned", tuned.bestModel
+    test_auc = float(ev.evaluate(model.transform(test)))
+    sets.unpersist()
+    rows = [(n, a, n == best, test_auc if n == best else None, size.get("train", 0), size.get("test", 0)) for n, a in auc.items()]
+    return spark.createDataFrame(rows, "model string, cv_auc double, chosen boolean, test_auc double, n_train long, n_test long")
+
+
+def feature_names(transformed: DataFrame, features: str = "features") -> list[str]:
+    """The name of every slot of a feature vector, one-hot slots included."""
+    groups = transformed.schema[features].metadata["ml_attr"]["attrs"]
+    slots = sorted((a["idx"], a["name"]) for g in groups.values() for a in g)
+    assert [i for i, _ in slots] == list(range(len(slots)))
+    return [n for _, n in slots]
+
+
+def feature_importances(model, transformed: DataFrame) -> DataFrame:
+    """``(feature, importance)`` for every slot of a fitted pipeline's last
+    stage (ML5): a tree model's importances, a linear one's absolute weights."""
+    last = model.stages[-1]
+    values = last.featureImportances.toArray() if hasattr(last, "featureImportances") else abs(last.coefficients.toArray())
+    names = feature_names(transformed)
+    if len(names) != len(values):
+        raise ValueError(f"{len(values)} importances for {len(names)} features")
+    rows = [(n, float(v)) for n, v in zip(names, values)]
+    return transformed.sparkSession.createDataFrame(rows, "feature string, importance double").orderBy(F.col("importance").desc(), "feature")
+
+
+def attrition_importances(data: DataFrame, id_col: str = "c_custkey", label: str = "active", categorical: Sequence[str] = CATEGORICAL,
+                          numeric: Sequence[str] = NUMERIC, seed: int = 7) -> DataFrame:
+    """Importances of a random forest fitted on the training rows (ML5)."""
+    from pyspark.ml import Pipeline
+
+    train = model_sets(data.withColumn(label, F.col(label).cast("double")), id_col, label).filter("part = 'train'")
+    model = Pipeline(stages=[*classification_stages(categorical, numeric), _models(label, seed)["random_forest"]]).fit(train)
+    return feature_importances(model, model.transform(train))
 
 
 def save_model(model, path: str) -> None:
@@ -131,23 +186,27 @@ def save_model(model, path: str) -> None:
     model.write().overwrite().save(path)
 
 
-def kmeans_pick(embeddings: DataFrame, ks: Sequence[int] = (2, 3, 4, 5, 6), seed: int = 7) -> DataFrame:
-    """Standardise vectors, fit k-means for each k, report silhouette (ML7)."""
+def kmeans_pick(data: DataFrame, categorical: Sequence[str] = CATEGORICAL, numeric: Sequence[str] = NUMERIC,
+                ks: Sequence[int] = (2, 3, 4, 5, 6), seed: int = 7) -> DataFrame:
+    """One-hot and standardise the features of all rows, fit k-means for each
+    k, report silhouette and row count (ML7)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark.ml import Pipeline
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.evaluation import ClusteringEvaluator
     from pyspark.ml.feature import StandardScaler
-    from pyspark.ml.functions import array_to_vector
 
-    vec = embeddings.select("vec_id", array_to_vector("embedding").alias("raw"))
-    scaled = StandardScaler(inputCol="raw", outputCol="features", withMean=True).fit(vec).transform(vec).cache()
-    def fit_and_score(k):
-        model = KMeans(k=k, seed=seed, featuresCol="features").fit(scaled)
-        return int(k), float(ClusteringEvaluator(featuresCol="features").evaluate(model.transform(scaled)))
+    scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True)
+    prepared = Pipeline(stages=[*classification_stages(categorical, numeric), scaler]).fit(data).transform(data).select("scaled").cache()
 
-    from concurrent.futures import ThreadPoolExecutor
+    def fit_and_score(k):
+        model = KMeans(k=k, seed=seed, featuresCol="scaled").fit(prepared)
+        return int(k), float(ClusteringEvaluator(featuresCol="scaled").evaluate(model.transform(prepared))), model.summary.trainingCost
 
     # the fixed list of cluster counts is fitted concurrently over the cached vectors
     with ThreadPoolExecutor(max_workers=min(len(ks), 4)) as pool:
-        rows = list(pool.map(fit_and_score, ks))
-    scaled.unpersist()
-    return embeddings.sparkSession.createDataFrame(rows, "k int, silhouette double")
+        rows = [(k, s, float(c)) for k, s, c in pool.map(fit_and_score, ks)]
+    n = prepared.count()
+    prepared.unpersist()
+    return data.sparkSession.createDataFrame([(k, s, c, n) for k, s, c in rows], "k int, silhouette double, cost double, n_rows long")

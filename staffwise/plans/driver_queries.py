@@ -696,16 +696,30 @@ def attrition_features(spark, sf):
     return feats(_orders(spark, sf), _t(spark, sf, "customer"))
 
 
+def model_sets(spark, sf):
+    """Sizes and class weights of the training and test parts."""
+    from ..operators.ml import model_sets as sets
+
+    parts = sets(attrition_features(spark, sf), "c_custkey", "active")
+    return parts.groupBy("part", "active").agg(F.count(F.lit(1)).alias("n"), F.round(F.max("weight"), 9).alias("weight"))
+
+
 def classify_compare(spark, sf):
     from ..operators.ml import classify_compare as cc
 
-    return cc(_t(spark, sf, "documents"), _t(spark, sf, "labels"))
+    return cc(attrition_features(spark, sf))
+
+
+def attrition_importances(spark, sf):
+    from ..operators.ml import attrition_importances as imp
+
+    return imp(attrition_features(spark, sf))
 
 
 def kmeans_pick(spark, sf):
     from ..operators.ml import kmeans_pick as kp
 
-    return kp(_t(spark, sf, "embeddings"))
+    return kp(attrition_features(spark, sf))
 
 
 QUERIES = {
@@ -780,6 +794,8 @@ QUERIES = {
     "trim_upper_all": trim_upper_all,
     "json_records": json_records,
     "attrition_features": attrition_features,
+    "model_sets": model_sets,
     "classify_compare": classify_compare,
+    "attrition_importances": attrition_importances,
     "kmeans_pick": kmeans_pick,
 }

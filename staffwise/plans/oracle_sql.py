@@ -36,6 +36,19 @@ def _norm(expr: str) -> str:
     return f"regexp_replace({e}, '_+', '_', 'g')"
 
 
+_ATTRITION = f"""WITH o AS {_ORDERS},
+per AS (SELECT o_custkey, count(*) AS n_orders, sum(CAST(round(o_totalprice * 100) AS BIGINT)) / 100 AS total_spend,
+               round(sum(CAST(round(o_totalprice * 100) AS BIGINT)) / count(*)) / 100 AS avg_price, CAST(sum(CAST(o_orderpriority = '1-URGENT' AS INTEGER)) AS BIGINT) AS n_urgent,
+               max(o_orderdate) AS last_order FROM o GROUP BY 1)
+SELECT c.c_custkey, n_orders, total_spend, avg_price, n_urgent,
+  CAST(COALESCE(c.c_nationkey IN (1, 2), false) AS INTEGER) AS local,
+  CAST(c.c_mktsegment = 'BUILDING' AS INTEGER) AS seg_building,
+  round(c.c_acctbal, 2) AS acctbal, c.c_mktsegment AS segment, CAST(c.c_nationkey AS VARCHAR) AS nation,
+  CAST(datediff('day', last_order, (SELECT max(o_orderdate) FROM o)) <= 365 AS INTEGER) AS active
+FROM per JOIN customer c ON per.o_custkey = c.c_custkey
+WHERE c.c_nationkey IS NOT NULL AND c.c_mktsegment IS NOT NULL AND c.c_acctbal IS NOT NULL
+  AND total_spend IS NOT NULL AND avg_price IS NOT NULL AND n_urgent IS NOT NULL AND last_order IS NOT NULL"""
+
 ORACLE_SQL: dict[str, str] = {
     "snapshot_consolidation": f"""
 WITH o AS {_ORDERS},
@@ -466,17 +479,10 @@ SELECT c_custkey, upper(trim('  ' || lower(c_name) || ' ')) AS name, trim(lower(
        'SF' AS source FROM customer""",
     "json_records": """
 SELECT event_id, TRY_CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""",
-    "attrition_features": f"""
-WITH o AS {_ORDERS},
-per AS (SELECT o_custkey, count(*) AS n_orders, sum(CAST(round(o_totalprice * 100) AS BIGINT)) / 100 AS total_spend,
-               round(sum(CAST(round(o_totalprice * 100) AS BIGINT)) / count(*)) / 100 AS avg_price, CAST(sum(CAST(o_orderpriority = '1-URGENT' AS INTEGER)) AS BIGINT) AS n_urgent,
-               max(o_orderdate) AS last_order FROM o GROUP BY 1)
-SELECT c.c_custkey, n_orders, total_spend, avg_price, n_urgent,
-  CAST(COALESCE(c.c_nationkey IN (1, 2), false) AS INTEGER) AS local,
-  CAST(c.c_mktsegment = 'BUILDING' AS INTEGER) AS seg_building,
-  round(c.c_acctbal, 2) AS acctbal,
-  CAST(datediff('day', last_order, (SELECT max(o_orderdate) FROM o)) <= 365 AS INTEGER) AS active
-FROM per JOIN customer c ON per.o_custkey = c.c_custkey
-WHERE c.c_nationkey IS NOT NULL AND c.c_mktsegment IS NOT NULL AND c.c_acctbal IS NOT NULL
-  AND total_spend IS NOT NULL AND avg_price IS NOT NULL AND n_urgent IS NOT NULL AND last_order IS NOT NULL""",
+    "attrition_features": _ATTRITION,
+    "model_sets": f"""
+WITH f AS ({_ATTRITION}),
+p AS (SELECT *, CASE WHEN CAST('0x' || substr(md5(CAST(c_custkey AS VARCHAR)), 1, 8) AS BIGINT) % 4 = 0 THEN 'test' ELSE 'train' END AS part FROM f),
+g AS (SELECT part, active, count(*) AS n FROM p GROUP BY 1, 2)
+SELECT part, active, n, round(sum(n) OVER (PARTITION BY part) / (count(*) OVER (PARTITION BY part) * n), 9) AS weight FROM g""",
 }

@@ -20,26 +20,42 @@ def test_attrition_features(spark):
     assert set(r[0] for r in f.select("active").distinct().collect()) <= {0, 1}
 
 
+def features(spark):
+    o = T.parquet_table(spark, SF, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
+    return ml.attrition_features(o, T.parquet_table(spark, SF, "customer"))
+
+
 def test_models(spark):
-    res = ml.classify_compare(T.parquet_table(spark, SF, "documents"), T.parquet_table(spark, SF, "labels"), tune=True)
-    rows = res.collect()
-    assert {"logistic", "random_forest", "gbt"} <= {r["model"] for r in rows}
-    assert all(0.0 <= r["auc"] <= 1.0 for r in rows)
-    km = ml.kmeans_pick(T.parquet_table(spark, SF, "embeddings"), ks=(2, 3))
-    assert [r["k"] for r in km.collect()] == [2, 3]
+    rows = ml.classify_compare(features(spark)).collect()
+    assert {"logistic", "random_forest", "gbt"} <= {r["model"] for r in rows} and any(r["model"].endswith("_tuned") for r in rows)
+    chosen = [r for r in rows if r["chosen"]]
+    assert len(chosen) == 1 and chosen[0]["cv_auc"] == max(r["cv_auc"] for r in rows)
+    assert all((r["test_auc"] is not None) == r["chosen"] for r in rows)  # the test rows are used once
+    assert rows[0]["n_train"] + rows[0]["n_test"] == features(spark).count()
+    km = ml.kmeans_pick(features(spark), ks=(2, 3)).collect()
+    assert [(r["k"], r["n_rows"]) for r in km] == [(2, features(spark).count()), (3, features(spark).count())]
+
+
+def test_class_weights_for_any_number_of_classes(spark):
+    df = spark.createDataFrame([(i, i % 3 if i < 9 else 0) for i in range(12)], "id int, label int")
+    w = {r["label"]: r["weight"] for r in ml.with_class_weights(df).collect()}
+    assert w == {0: 12 / (3 * 6), 1: 12 / (3 * 3), 2: 12 / (3 * 3)}
 
 
 def test_importances_and_save(spark, tmp_dir):
     from pyspark.ml import Pipeline, PipelineModel
-    from pyspark.ml.classification import RandomForestClassifier
 
-    data = ml.with_class_weights(ml._doc_features(T.parquet_table(spark, SF, "documents"), T.parquet_table(spark, SF, "labels")))
-    stages = ml.classification_stages(["lang"], ["log_chars"])
-    model = Pipeline(stages=[*stages, RandomForestClassifier(labelCol="label", weightCol="weight", numTrees=5, seed=1)]).fit(data)
-    imp = ml.feature_importances(model.stages[-1], [f"f{i}" for i in range(model.stages[-1].numFeatures)])
-    assert abs(sum(v for _, v in imp) - 1.0) < 1e-6
+    data = features(spark)
+    imp = ml.attrition_importances(data).collect()
+    segments = {r[0] for r in data.select("segment").distinct().collect()}
+    names = {r["feature"] for r in imp}
+    assert {f"segment_vec_{s}" for s in segments} | set(ml.NUMERIC) <= names
+    assert abs(sum(r["importance"] for r in imp) - 1.0) < 1e-6
+    sets = ml.model_sets(data.withColumn("active", F.col("active").cast("double")), "c_custkey", "active")
+    model = Pipeline(stages=[*ml.classification_stages(ml.CATEGORICAL, ml.NUMERIC), ml._models("active", 1)["logistic"]]).fit(sets)
+    assert ml.feature_importances(model, model.transform(sets)).count() == len(names)
     ml.save_model(model, f"{tmp_dir}/model")
-    assert PipelineModel.load(f"{tmp_dir}/model").transform(data).count() == data.count()
+    assert PipelineModel.load(f"{tmp_dir}/model").transform(sets).count() == sets.count()
 
 
 def test_logistic_after_layer_depth(spark):
