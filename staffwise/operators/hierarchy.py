@@ -5,10 +5,13 @@ round replaces the pointer with the ancestor's pointer (one equi-join of
 the unresolved rows against the state), so a chain of length L resolves in
 ``ceil(log2 L)`` rounds.  Nodes that reach the root get their depth; nodes
 whose chain breaks (missing or null manager) get null; nodes on or behind a
-cycle never resolve and are null.  The state is checkpointed to the shared checkpoint folder each
-round: this cuts the self-join lineage (which would otherwise double per
-round) and lets a lost executor be recovered without recomputing earlier
-rounds.  Only a count per round reaches the driver.
+cycle never resolve and are null.
+
+Each round writes the rows it advanced, and only those, to the shared
+checkpoint folder: settled rows are written once and then only read, as the
+look-up of later rounds.  This cuts the self-join lineage (which would
+otherwise double per round) and lets a lost executor be recovered without
+recomputing earlier rounds.  Only a count per round reaches the driver.
 
 Early stop: while acyclic chains remain unresolved, every round settles at
 least one node (the deepest chain has a node at each depth, and a broken
@@ -29,7 +32,8 @@ from ..session import cut_lineage
 def layer_depth(df: DataFrame, person: str, manager: str, root, by: Sequence[str] = (), out: str = "layer",
                 max_rounds: int | None = None) -> DataFrame:
     """Hops from each person up to ``root`` (root = 0), per ``by`` group
-    (e.g. snapshot).  ``df`` must hold one edge per (by, person); use
+    (e.g. snapshot).  Raises if rows remain active after ``max_rounds`` (None: no limit
+    is needed, see above).  ``df`` must hold one edge per (by, person); use
     :func:`staffwise.operators.windows.dedupe` first to make the last edge win.
     Returns ``df`` with ``out`` added."""
     by = list(by)
@@ -45,20 +49,18 @@ def layer_depth(df: DataFrame, person: str, manager: str, root, by: Sequence[str
         F.when(is_root, F.lit(0)).otherwise(F.lit(1)).cast("long").alias("__dist"),
         (is_root | F.coalesce(F.col("__mgr") == F.lit(root), F.lit(False))).alias("__done"),
     )
-    # the number of unresolved rows is counted on each written state (two columns scanned)
+    # the number of unresolved rows is counted on each written table (two columns scanned)
     is_active = ~F.col("__done") & F.col("__anc").isNotNull()
     count_active = {"n_active": F.sum(is_active.cast("long"))}
-    state, seen = cut_lineage(state, "layers", count_active)
-    if max_rounds is None:
-        max_rounds = 64  # 2**64 hops exceeds any chain; the no-progress stop ends far earlier
-    prev_active = None
-    for _ in range(max_rounds):
-        n_active = seen["n_active"] or 0
-        if n_active == 0 or n_active == prev_active:
-            break
-        prev_active = n_active
-        active = state.filter(is_active)
-        look = state.select(*[F.col(b).alias(f"__t_{b}") for b in by], F.col("__node").alias("__t_node"),
+    written, seen = cut_lineage(state, "layers", count_active)
+    settled, active = written.filter(~is_active), written.filter(is_active)
+    prev_active, n_active, rounds = None, seen["n_active"] or 0, 0
+    while n_active and n_active != prev_active:
+        if max_rounds is not None and rounds == max_rounds:
+            raise RuntimeError(f"{n_active} rows have no layer yet after {max_rounds} rounds")
+        rounds, prev_active = rounds + 1, n_active
+        known = settled.unionByName(active)
+        look = known.select(*[F.col(b).alias(f"__t_{b}") for b in by], F.col("__node").alias("__t_node"),
                             F.col("__anc").alias("__t_anc"), F.col("__dist").alias("__t_dist"),
                             F.col("__done").alias("__t_done"))
         cond = active["__anc"] == look["__t_node"]
@@ -71,8 +73,10 @@ def layer_depth(df: DataFrame, person: str, manager: str, root, by: Sequence[str
             F.when(found, F.col("__dist") + F.col("__t_dist")).otherwise(F.col("__dist")).alias("__dist"),
             F.coalesce(F.col("__t_done"), F.lit(False)).alias("__done"),
         )
-        settled = state.filter(F.col("__done") | F.col("__anc").isNull())
-        state, seen = cut_lineage(settled.unionByName(stepped), "layers", count_active)
+        # only the rows that were active are written; what has settled is never written again
+        written, seen = cut_lineage(stepped, "layers", count_active)
+        settled, active, n_active = settled.unionByName(written.filter(~is_active)), written.filter(is_active), seen["n_active"] or 0
+    state = settled.unionByName(active)
     depth = state.select(*[F.col(b).alias(f"__d_{b}") for b in by], F.col("__node").alias("__d_node"),
                          F.when(F.col("__done"), F.col("__dist")).alias(out))
     cond = df[person] == depth["__d_node"]

@@ -255,3 +255,29 @@ def test_layer_depth_repeated_person_does_not_fan_out(spark):
     out = layer_depth(df, "p", "m", "r")
     assert out.count() == 5
     assert sorted({(r["p"], r["layer"]) for r in out.collect()}) == [("a", 1), ("b", 2), ("r", 0)]
+
+
+def test_layer_depth_writes_only_active_rows_each_round(spark, monkeypatch):
+    from staffwise.operators import hierarchy
+
+    n, wide = 40, 300  # one long chain and many people right under the root
+    rows = [("0", None)] + [(str(i), str(i - 1)) for i in range(1, n)] + [(f"w{i}", "0") for i in range(wide)]
+    df = spark.createDataFrame(rows, "p string, m string")
+    sizes, real = [], hierarchy.cut_lineage
+
+    def counted(frame, *args):
+        out = real(frame, *args)
+        sizes.append(out[0].count())
+        return out
+
+    monkeypatch.setattr(hierarchy, "cut_lineage", counted)
+    got = {r["p"]: r["layer"] for r in layer_depth(df, "p", "m", root="0").collect()}
+    assert got == {"0": 0, **{str(i): i for i in range(1, n)}, **{f"w{i}": 1 for i in range(wide)}}
+    assert sizes[0] == len(rows) and sizes[1] == n - 2  # the root and its direct reports settle at once
+    assert all(a > b for a, b in zip(sizes, sizes[1:])) and len(sizes) <= 8
+
+
+def test_layer_depth_raises_at_the_round_limit(spark):
+    df = spark.createDataFrame([("0", None)] + [(str(i), str(i - 1)) for i in range(1, 30)], "p string, m string")
+    with pytest.raises(RuntimeError, match="no layer"):
+        layer_depth(df, "p", "m", root="0", max_rounds=2)
