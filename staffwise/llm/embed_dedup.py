@@ -12,8 +12,8 @@ A tree has one direction per level, from the seed.  Every vector is indexed.
 Equal vectors are compared once.  A leaf with more than ``SEGMENT`` vectors is
 cut into segments, and every pair of segments is a group of its own.  A pair
 that meets in several leaves is counted in the first one they share, which
-both rows can tell from the list of leaves they carry; so a task passes on a
-count per vector and a spanning forest of its links instead of pairs.
+the rows tell from the lists of leaves they carry; so a task passes on a
+count per vector and one edge per vector to its part's first one, not pairs.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,54 +93,42 @@ class Forest:
         return row[order], code[order]
 
 
-def _linked(x: np.ndarray, own: np.ndarray, cross: bool, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (i < j) with a cosine of at least the threshold; with ``cross``
-    only those of two segments."""
-    out_i, out_j = [], []
-    for s in range(0, len(x), 512):
-        c = x[s : s + 512] @ x.T
-        i, j = np.nonzero(c >= threshold)
-        i += s
-        use = i < j
-        if cross:
-            use &= own[i] != own[j]
-        out_i.append(i[use])
-        out_j.append(j[use])
-    return np.concatenate(out_i), np.concatenate(out_j)
-
-
-def _first_shared(i: np.ndarray, j: np.ndarray, leaves: np.ndarray) -> np.ndarray:
-    """For each pair the first leaf that both have (rows of sorted leaf
-    numbers, padded with -1)."""
-    found = np.full(len(i), -1, np.int64)
-    for s in range(0, len(i), 1 << 18):
-        a, b = leaves[i[s : s + (1 << 18)]], leaves[j[s : s + (1 << 18)]]
-        part = found[s : s + (1 << 18)]
-        for k in range(a.shape[1]):
-            hit = (part < 0) & (a[:, k] >= 0) & (b == a[:, k : k + 1]).any(1)
-            part[hit] = a[hit, k]
-    return found
-
-
-def _forest_edges(i: np.ndarray, j: np.ndarray, n: int) -> list[tuple[int, int]]:
-    root, out = list(range(n)), []
-
-    def find(v: int) -> int:
-        while root[v] != v:
-            root[v] = root[root[v]]
-            v = root[v]
-        return v
-
-    for a, b in zip(i.tolist(), j.tolist(), strict=True):
-        p, q = find(a), find(b)
-        if p != q:
-            root[max(p, q)] = min(p, q)
-            out.append((a, b))
-            if len(out) == n - 1:
-                break
+def _shared_before(lists: list[np.ndarray], leaf: int) -> np.ndarray:
+    """Whether two rows share a leaf numbered before ``leaf``: a matrix over
+    all pairs of rows, from products of their 0/1 membership in such leaves."""
+    row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    code = np.concatenate(lists)
+    early = code < leaf
+    row, code = row[early], code[early]
+    codes, at, n = np.unique(code, return_inverse=True, return_counts=True)
+    both = n[at] > 1  # a leaf that only one of the rows has is shared with none
+    column = np.cumsum(n > 1) - 1
+    row, at = row[both], column[at[both]]
+    out = np.zeros((len(lists), len(lists)), bool)
+    for s in range(0, int((n > 1).sum()), 1024):
+        here = (at >= s) & (at < s + 1024)
+        member = np.zeros((len(lists), 1024), np.float32)
+        member[row[here], at[here] - s] = 1
+        out |= (member @ member.T) > 0
     return out
 
 
+def _stars(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For a symmetric 0/1 matrix of links: every row but the first of each
+    connected part, and that first row."""
+    some = np.flatnonzero(linked.any(1))
+    linked = linked[np.ix_(some, some)]
+    label = np.arange(len(some))
+    while True:
+        low = np.minimum(label, np.where(linked, label, len(some)).min(1, initial=len(some)))
+        low = low[low]
+        if np.array_equal(low, label):
+            break
+        label = low
+    rest = np.flatnonzero(label != np.arange(len(some)))
+    return some[rest], some[label[rest]]
+
+
 def embedding_groups(df: DataFrame, id_col: str = "vec_id", vec: str = "embedding", threshold: float = 0.95, trees: int = 6,
                      leaf: int = 128, spill: float = 0.5, sample: int = 16384, seed: int = 29) -> DataFrame:
     """``(<id>, n_links, component_id, kept)`` per row of ``df``.
@@ -202,25 +191,24 @@ def embedding_groups(df: DataFrame, id_col: str = "vec_id", vec: str = "embeddin
         for g in sorted_groups(batches, 4):
             if g.num_rows < 2:
                 continue
-            leaf_no, cross = g["leaf"][0].as_py(), g["i"][0].as_py() != g["j"][0].as_py()
-            i, j = _linked(unit(matrix(g["v"])), g["own"].to_numpy(), cross, threshold)
-            if not len(i):
+            x = unit(matrix(g["v"]))
+            linked = x @ x.T >= threshold
+            np.fill_diagonal(linked, False)
+            if g["i"][0].as_py() != g["j"][0].as_py():  # two segments: only pairs across
+                own = g["own"].to_numpy()
+                linked &= own[:, None] != own[None, :]
+            if not linked.any():
                 continue
-            lists = g["leaves"].to_pylist()
-            padded = np.full((len(lists), max(map(len, lists))), -1, np.int64)
-            for r, x in enumerate(lists):
-                padded[r, : len(x)] = x
-            mine = _first_shared(i, j, padded) == leaf_no
-            copies = g["copies"].to_numpy()
-            links = (np.bincount(i[mine], copies[j[mine]], len(lists)) + np.bincount(j[mine], copies[i[mine]], len(lists))).astype(np.int64)
-            x, y = g["kx"].to_numpy(), g["ky"].to_numpy()
+            lists = np.split(g["leaves"].combine_chunks().flatten().to_numpy(), np.cumsum(pc.list_value_length(g["leaves"]).to_numpy())[:-1])
+            mine = linked & ~_shared_before(lists, g["leaf"][0].as_py())
+            links = (mine @ g["copies"].to_numpy().astype(float)).astype(np.int64)
+            kx, ky = g["kx"].to_numpy(), g["ky"].to_numpy()
             some = np.flatnonzero(links)
-            edges = np.array(_forest_edges(i, j, len(lists)), np.int64).reshape(-1, 2)
             none = pa.nulls(len(some), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(x[some]), pa.array(y[some]), none, none, pa.array(links[some])],
+            yield pa.RecordBatch.from_arrays([pa.array(kx[some]), pa.array(ky[some]), none, none, pa.array(links[some])],
                                              names=["ax", "ay", "bx", "by", "links"])
-            a, b = edges[:, 0], edges[:, 1]
-            yield pa.RecordBatch.from_arrays([pa.array(x[a]), pa.array(y[a]), pa.array(x[b]), pa.array(y[b]), pa.array(np.zeros(len(a), np.int64))],
+            a, b = _stars(linked)
+            yield pa.RecordBatch.from_arrays([pa.array(kx[a]), pa.array(ky[a]), pa.array(kx[b]), pa.array(ky[b]), pa.array(np.zeros(len(a), np.int64))],
                                              names=["ax", "ay", "bx", "by", "links"])
 
     found = cut_lineage(dealt.mapInArrow(compare, "ax long, ay long, bx long, by long, links long"), "embedding-links")
