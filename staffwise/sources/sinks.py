@@ -14,8 +14,9 @@ def write_table(df: DataFrame, path: str | None = None, table: str | None = None
     leaves an empty table, not the previous one).
 
     Catalog tables are refreshed through a staging table: the new data is
-    written completely first, then the old table is dropped and the staging
-    table renamed, so a failed load leaves the previous table in place.
+    written completely first, then the old table is renamed aside, the staging
+    table takes its name, and the old one is dropped.  A failed load leaves
+    the previous table in place, and a failed swap puts it back.
     ``partition_by`` (e.g. ``["eom"]``) lets later reads prune snapshots.
     """
     w = df.write.mode(mode).format(fmt)
@@ -28,8 +29,14 @@ def write_table(df: DataFrame, path: str | None = None, table: str | None = None
             return
         staging = f"{table}__staging_{uuid.uuid4().hex[:8]}"
         w.saveAsTable(staging)
-        spark.sql(f"DROP TABLE {table}")
-        spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+        old = f"{table}__old_{uuid.uuid4().hex[:8]}"
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+        try:
+            spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+        except Exception:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+            raise
+        spark.sql(f"DROP TABLE {old}")
     elif path is not None:
         w.save(path)
     else:

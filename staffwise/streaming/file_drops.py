@@ -4,8 +4,9 @@ The source jobs reload whatever files were dropped into a folder.  Here the
 folder is a Structured Streaming file source: each run (``availableNow``
 trigger, e.g. from a daily scheduler) processes only files not seen before,
 hands them to a batch transform through ``foreachBatch``, and appends the
-result.  Progress is kept in a checkpoint under the shared checkpoint folder,
-so a failed or repeated run skips no file.  ``foreachBatch`` itself is only
+result.  Progress is kept in a folder that the caller names and that every run
+must be given again: the next run is another application, so a folder made
+for one application would forget which files were read.  ``foreachBatch`` itself is only
 at-least-once (a batch whose output was written but not yet committed to the
 checkpoint is run again), so each batch overwrites its own ``batch_id=<n>``
 folder of the sink: a replayed batch replaces its earlier output instead of
@@ -21,8 +22,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..session import checkpoint_dir
-
 
 def write_epoch(df: DataFrame, epoch_id: int, sink_path: str, partition_by: Sequence[str] = ()) -> None:
     """Write one micro-batch idempotently: overwrite ``sink_path/batch_id=<epoch_id>``.
@@ -35,11 +34,12 @@ def write_epoch(df: DataFrame, epoch_id: int, sink_path: str, partition_by: Sequ
 
 
 def ingest_file_drops(spark: SparkSession, source_dir: str, schema: T.StructType | str, sink_path: str,
-                      transform: Callable[[DataFrame], DataFrame] = lambda df: df, name: str = "drops",
+                      progress_path: str, transform: Callable[[DataFrame], DataFrame] = lambda df: df,
                       fmt: str = "csv", options: Mapping[str, str] | None = None,
                       partition_by: Sequence[str] = ()) -> StreamingQuery:
     """Start one incremental run over the files not yet processed; returns the
-    query (call ``awaitTermination()``)."""
+    query (call ``awaitTermination()``).  ``progress_path`` is one fixed folder
+    on shared storage per sink, kept from run to run."""
     reader = spark.readStream.schema(schema).format(fmt)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
@@ -48,6 +48,5 @@ def ingest_file_drops(spark: SparkSession, source_dir: str, schema: T.StructType
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         write_epoch(transform(batch), epoch_id, sink_path, partition_by)
 
-    ckpt = f"{checkpoint_dir(spark).rstrip('/')}/stream-{name}"
-    return (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
+    return (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", progress_path)
             .trigger(availableNow=True).start())

@@ -76,6 +76,22 @@ def test_table_full_refresh_swaps(spark):
     assert [t.name for t in spark.catalog.listTables() if t.name.startswith("refresh_t")] == ["refresh_t"]
 
 
+def test_failed_swap_keeps_the_old_table(spark, monkeypatch):
+    sinks.write_table(spark.range(4), table="swap_t")
+    real = type(spark).sql
+
+    def failing(self, text, *args, **kw):
+        if "staging" in text:
+            raise RuntimeError("no swap")
+        return real(self, text, *args, **kw)
+
+    monkeypatch.setattr(type(spark), "sql", failing)
+    with pytest.raises(RuntimeError):
+        sinks.write_table(spark.range(2), table="swap_t")
+    monkeypatch.undo()
+    assert spark.read.table("swap_t").count() == 4
+
+
 def _hc_file(path, day, rows):
     lines = ["Headcount report", HC_HEADER] + [",".join(r + [day]) for r in rows]
     write(path, "\n".join(lines) + "\n")

@@ -19,13 +19,13 @@ def test_file_drops_processed_once(spark, tmp_dir):
         return df.withColumn("todays_date", D.parse_date("todays_date")).withColumn("eom", D.end_of_month("todays_date"))
 
     sink = f"{tmp_dir}/out"
-    q = ingest_file_drops(spark, src, "persno string, todays_date string", sink, transform, name=f"t{id(tmp_dir)}",
+    q = ingest_file_drops(spark, src, "persno string, todays_date string", sink, f"{tmp_dir}/progress", transform,
                           options={"header": "true"}, partition_by=["eom"])
     q.awaitTermination()
     assert spark.read.parquet(sink).count() == 4
     with open(f"{src}/d2.csv", "w") as fh:
         fh.write("persno,todays_date\n7,31/03/2024\n")
-    q = ingest_file_drops(spark, src, "persno string, todays_date string", sink, transform, name=f"t{id(tmp_dir)}",
+    q = ingest_file_drops(spark, src, "persno string, todays_date string", sink, f"{tmp_dir}/progress", transform,
                           options={"header": "true"}, partition_by=["eom"])
     q.awaitTermination()
     out = spark.read.parquet(sink)
@@ -33,6 +33,33 @@ def test_file_drops_processed_once(spark, tmp_dir):
     assert out.filter(F.col("eom") == dt.date(2024, 3, 31)).count() == 1
 
 
+RUN = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from staffwise.session import local_session
+from staffwise.streaming.file_drops import ingest_file_drops
+spark, top = local_session("2"), sys.argv[2]
+ingest_file_drops(spark, top + "/in", "k string, v int", top + "/out", top + "/progress", options={"header": "true"}).awaitTermination()
+"""
+
+
+def test_file_drops_over_two_applications(spark, tmp_dir):
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    os.makedirs(f"{tmp_dir}/in")
+    for i in range(2):
+        with open(f"{tmp_dir}/in/f{i}.csv", "w") as fh:
+            fh.write(f"k,v\na{i},{i}\n")
+        if i:  # the first file has been archived meanwhile
+            os.rename(f"{tmp_dir}/in/f0.csv", f"{tmp_dir}/f0.csv")
+        subprocess.run([sys.executable, "-c", RUN, repo, tmp_dir], check=True, capture_output=True, timeout=200)
+    out = spark.read.parquet(f"{tmp_dir}/out").collect()
+    assert sorted((r["k"], r["v"], r["batch_id"]) for r in out) == [("a0", 0, 0), ("a1", 1, 1)]
+
+
 def test_replayed_batch_does_not_duplicate(spark, tmp_dir):
     from staffwise.streaming.file_drops import write_epoch
 
@@ -53,7 +80,9 @@ def test_entry_contract(spark):
     assert df.count() > 0
     q, o = e.queries(), e.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"sample_rows", "classify_compare", "kmeans_pick"}
+    from staffwise.plans.driver_queries import QUERIES
+
+    assert set(QUERIES) - set(o) == {"classify_compare", "kmeans_pick", "attrition_importances"}
 
 
 def test_results_stable_across_partition_counts(spark):
