@@ -86,6 +86,7 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text: str = "text", mi
     unit = cut_lineage(unit_table(df, id_col, text), "units")
     rank = F.struct("id", "text_hash", "unit", "start")
     first = unit.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n"), F.min(rank).alias("first")).filter("n > 1").select("h", "g", "first")
+    first = cut_lineage(first, "repeated-units")  # written, so that a frequent unit's partition of the join can be split
     same = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.text_hash")) & (F.col("unit") == F.col("first.unit"))
     again = unit.join(first, ["h", "g"]).filter(~same).select(
         "id", "text_hash", "unit", "start", "end", "words", F.col("first.id").alias("kept_id"), F.col("first.start").alias("kept_start"))
