@@ -31,6 +31,8 @@ from ..operators.contract import DateSpec, all_strings, apply_contract
 from ..operators.diff import snapshot_diff
 from ..operators.hierarchy import layer_depth
 from ..operators.ordering import By
+from ..session import scratch_path
+from ..sources.json import read_pages, read_records
 from ..sources.tables import parquet_table
 
 
@@ -177,7 +179,13 @@ def top_n_sorted(spark, sf):
 
 
 def sample_rows(spark, sf):
-    return _t(spark, sf, "orders").select("o_orderkey", "o_custkey").sample(fraction=0.1, seed=7)
+    """A random sample of 200 orders, summed up: its size, distinct orders, and
+    how many of them are orders of the table."""
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    s = A.sample_n(o, 200)
+    known = s.join(o.withColumnRenamed("o_custkey", "k_custkey"), "o_orderkey").filter(F.col("o_custkey").eqNullSafe(F.col("k_custkey")))
+    return (s.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("o_orderkey").alias("n_orders"))
+            .crossJoin(known.agg(F.count(F.lit(1)).alias("n_known"))))  # one row each
 
 
 # ---------------------------------------------------------------- scalar functions
@@ -687,6 +695,29 @@ def json_records(spark, sf):
     return parsed.select("event_id", F.col("j.k").alias("k"))
 
 
+def _landed(spark, pages, name):
+    """JSON documents derived from a table, landed one per line."""
+    path = scratch_path(spark, name)
+    pages.select(F.to_json(F.struct("*"))).write.text(path)
+    return path
+
+
+def json_record_arrays(spark, sf):
+    """Landed payloads with a record array each, read back to one row per record."""
+    o = _orders(spark, sf)
+    rec = F.struct("o_orderkey", F.struct(F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority")).alias("info"))
+    docs = o.groupBy("o_custkey").agg(F.struct(F.collect_list(rec).alias("records")).alias("result"))
+    return read_records(spark, _landed(spark, docs, "payloads"), "result.records", multi_line=False)
+
+
+def json_pages(spark, sf):
+    """Landed pages with a next link each, read back to one row per result."""
+    o = _orders(spark, sf)
+    pages = o.groupBy("o_custkey").agg(F.collect_list(F.struct("o_orderkey", F.struct("o_orderstatus").alias("meta"))).alias("results"))
+    pages = pages.select(F.struct("results", F.concat(F.lit("page-"), F.col("o_custkey") + 1).alias("__next")).alias("d"))
+    return read_pages(spark, _landed(spark, pages, "pages"), multi_line=False).select("o_orderkey", "meta_o_orderstatus", F.col("_next").alias("next_page"))
+
+
 # ---------------------------------------------------------------- ML
 
 
@@ -793,6 +824,8 @@ QUERIES = {
     "drop_any_null_columns": drop_any_null_columns,
     "trim_upper_all": trim_upper_all,
     "json_records": json_records,
+    "json_record_arrays": json_record_arrays,
+    "json_pages": json_pages,
     "attrition_features": attrition_features,
     "model_sets": model_sets,
     "classify_compare": classify_compare,

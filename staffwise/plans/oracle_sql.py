@@ -480,6 +480,12 @@ SELECT c_custkey, upper(trim('  ' || lower(c_name) || ' ')) AS name, trim(lower(
     "json_records": """
 SELECT event_id, TRY_CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""",
     "attrition_features": _ATTRITION,
+    "sample_rows": """
+SELECT least(200, count(*)) AS n_rows, least(200, count(*)) AS n_orders, least(200, count(*)) AS n_known FROM orders""",
+    "json_record_arrays": """
+SELECT o_orderkey, o_orderstatus AS info_status, o_orderpriority AS info_priority FROM orders""",
+    "json_pages": """
+SELECT o_orderkey, o_orderstatus AS meta_o_orderstatus, 'page-' || (o_custkey + 1) AS next_page FROM orders""",
     "model_sets": f"""
 WITH f AS ({_ATTRITION}),
 p AS (SELECT *, CASE WHEN CAST('0x' || substr(md5(CAST(c_custkey AS VARCHAR)), 1, 8) AS BIGINT) % 4 = 0 THEN 'test' ELSE 'train' END AS part FROM f),

@@ -38,10 +38,11 @@ def read_records(spark: SparkSession, paths, records: str | None = None, schema:
     return flatten(doc)
 
 
-def read_pages(spark: SparkSession, paths, results: str = "d.results", next_link: str = "d.__next") -> DataFrame:
+def read_pages(spark: SparkSession, paths, results: str = "d.results", next_link: str = "d.__next", multi_line: bool = True) -> DataFrame:
     """Paged payloads already landed as files: the results of every page, in
-    one frame (S16).  ``_file`` and ``_next`` keep the page lineage."""
-    doc = spark.read.option("multiLine", True).json(paths)
+    one frame (S16).  ``_file`` and ``_next`` keep the page lineage.
+    ``multi_line``: one page per file; False: one page per line."""
+    doc = spark.read.option("multiLine", multi_line).json(paths)
     nxt = F.col(next_link) if next_link.split(".")[-1] in _leaf_names(doc.schema) else F.lit(None).cast("string")
     rows = doc.select(F.col("_metadata.file_name").alias("_file"), nxt.alias("_next"),
                       F.explode_outer(F.col(results)).alias("__rec"))

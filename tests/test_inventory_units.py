@@ -129,6 +129,10 @@ def test_top_n_and_sample(spark):  # L1 L2 L3
     s = df.sample(fraction=0.2, seed=3)
     n = s.count()
     assert 100 < n < 300 and s.count() == n  # seeded: same rows again
+    assert A.sample_n(df, 50).count() == A.sample_n(df, 50).select("id").distinct().count() == 50
+    assert A.sample_n(df, 5000).count() == 1000
+    near = A.distinct_counts(df, ["id", "v"], approx=True).first()
+    assert abs(near["n_id"] - 1000) < 80 and abs(near["n_v"] - 101) < 10
 
 
 def test_union_distinct_and_distinct(spark):  # U2 U3

@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 """A key holding a third of all rows: results must stay exact."""
 
 import numpy as np
@@ -75,6 +76,33 @@ def test_day_runs_hot_key_day_positions(spark, max_window_rows):
     df = spark.createDataFrame(hot + rest, "k string, d date, note string")
     out = W.day_runs(df, "k", "d", max_window_rows=max_window_rows).filter("k = 'hot' AND d = DATE'2024-03-01'")
     streaks = sorted(r["streak"] for r in out.collect())
+    full = sorted(map(tuple, W.day_runs(df, "k", "d", max_window_rows=max_window_rows).collect()), key=repr)
+    other = W.day_runs(df, "k", "d", max_window_rows=100 if max_window_rows > 100 else 100_000)
+    assert full == sorted(map(tuple, other.collect()), key=repr)  # both ways give the same rows on all columns
     # the previous day starts the run (streak 0); the 3005 rows of the hot day follow it
     assert streaks == list(range(1, 3006))
     assert out.filter("gap_days = 1").count() == 1 and out.filter("gap_days = 0").count() == 3004
+
+
+def test_join_back_of_a_hot_key_is_split(spark):
+    """With a third of the rows on one key and broadcasts off, adaptive
+    execution splits the join back of the per-key choices."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "8"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = (spark.range(0, 150_000, 1, 12).withColumn("k", F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 5000))
+              .withColumn("v", F.xxhash64("id")).withColumn("pad", F.sha2(F.col("id").cast("string"), 256)))
+        out = W.equals_group_max(df, "k", "v", "top")
+        assert out.filter("top").count() >= 4000
+        out.write.format("noop").mode("overwrite").save()
+        rows = out.select("k", "pad", "top")
+        rows.collect()
+        assert "skew=true" in rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
