@@ -1,0 +1,67 @@
+"""The pipeline, stage by stage, against brute force on the smallest tables."""
+
+import random
+
+import corpus_pipeline as P
+from staffwise.llm import toxicity
+from test_decontaminate import brute as brute_contaminated
+from test_line_dedup import brute as brute_lines
+from test_packing import brute_best_fit
+from test_packing import check as check_packed
+from test_simhash import brute_components, brute_fingerprint
+
+SF = "/root/testdata/sf0.001"
+
+
+def by_id(df):
+    return {r["doc_id"]: r for r in df.collect()}
+
+
+def test_each_stage_on_what_the_one_before_kept(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for k, (name, stage) in enumerate(P.STAGES):
+        before = docs.collect()
+        out = stage(spark, docs, SF)
+        if k < len(P.STAGES) - 1:
+            assert out.columns == P.COLUMNS
+        out.write.parquet(f"{tmp_path}/{k}")
+        now = spark.read.parquet(f"{tmp_path}/{k}")
+        if name == "toxicity":
+            m = toxicity.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+            z = {r["doc_id"]: m.bias + sum(m.weights.get(f, 0) for f in toxicity.text_features(r["text"])) for r in before}
+            assert set(by_id(now)) == {d for d, v in z.items() if v < 0}
+        elif name == "line_dedup":
+            want = brute_lines([(r["source"], r["text"]) for r in before], 0.2, 3)
+            got = by_id(now)
+            assert {r["doc_id"]: (t, len(t)) for r, (t, _) in zip(before, want)} == {d: (r["text"], r["n_chars"]) for d, r in got.items()}
+        elif name == "simhash_dedup":
+            comp = brute_components([(r["doc_id"], brute_fingerprint(r["text"])) for r in before])
+            assert sorted(by_id(now)) == sorted(set(comp)) and len(set(comp)) < len(before)
+        elif name == "decontamination":
+            items = [r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+            hit = {d for d, _ in brute_contaminated([r["text"] for r in before], items)}
+            assert hit and sorted(by_id(now)) == sorted(r["doc_id"] for i, r in enumerate(before) if i not in hit)
+        else:
+            rows = now.collect()
+            by_seq, want = check_packed(rows, [r["text"] for r in before], 1024)
+            assert sum(len(r["ids"]) for r in rows) == sum(map(len, want)) and {r["doc_id"] for r in rows} == {r["doc_id"] for r in before}
+            assert len(by_seq) <= brute_best_fit([r["length"] for r in rows], 1024)
+        docs = now
+    assert sorted(map(str, P.run(spark, SF).select("doc_id", "piece", "length", "ids_crc32").collect())) == sorted(
+        map(str, docs.select("doc_id", "piece", "length", "ids_crc32").collect()))
+
+
+def test_every_stage_on_odd_rows_and_none(spark):
+    rng = random.Random(3)
+    texts = [None, "", " \n ", "one", "line\n" * 30_000, "word " * 40_000] + [" ".join(rng.choices("abcdef", k=30)) for _ in range(10)]
+    rows = [(i if i % 4 else None, t, "en" if i % 3 else None, "s" if i % 2 else None, None, 1, "x") for i, t in enumerate(texts + texts[:8])]
+    odd = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score int, fp string")
+    for name, stage in P.STAGES:
+        assert stage(spark, odd.limit(0), SF).count() == 0, name
+        out = stage(spark, odd, SF)
+        n = out.count()
+        if name == "packing":
+            assert n >= len(rows)
+        else:
+            assert out.columns == P.COLUMNS
+            assert n == len(rows) if name != "simhash_dedup" else 0 < n < len(rows)
