@@ -2,8 +2,10 @@
 
 Per host, the share of pages that contain a line; a line on more than
 ``max_ratio`` of its host's pages is boilerplate and is dropped from them.
-Only line digests (96 bits) are shuffled, combined on the map side per
-(host, line).  A host has fewer than (mean lines of its pages / max_ratio)
+Rows of a host with equal texts are one page: a page that was taken many times
+says no more about the site than one taken once, and its own lines must not
+become boilerplate by it.  Only line and page digests are shuffled, combined
+on the map side.  A host has fewer than (mean lines of its pages / max_ratio)
 boilerplate lines, so the list that is joined back per host stays short
 however many pages the host has.
 """
@@ -31,16 +33,16 @@ def boilerplate_lines(df: DataFrame, host: str = "source", text: str = "text", m
                       min_pages: int = 3) -> DataFrame:
     """``(host, lines)``: digests of each host's boilerplate lines.
 
-    A page counts once for a line it repeats; rows that repeat count as pages
-    of their own.  Lines compare with blank runs collapsed; blank lines and
-    pages without a host are left out.  ``min_pages`` keeps a host of one or
-    two pages from losing every line.
+    A page counts once for a line it repeats; rows of a host with equal texts
+    (null texts too) are one page.  Lines compare with blank runs collapsed;
+    blank lines and pages without a host are left out.  ``min_pages`` keeps a
+    host of one or two pages from losing every line.
     """
-    pages = df.filter(col(host).isNotNull()).select(col(host).alias("host"), col(text).alias("text"))
+    pages = df.filter(col(host).isNotNull()).select(col(host).alias("host"), F.xxhash64(col(text)).alias("page"), col(text).alias("text"))
     lines = F.array_distinct(F.transform(F.filter(F.transform(F.split("text", "\n"), _clean), lambda x: x != ""), _digest))
-    seen = (pages.select("host", F.explode(lines).alias("line"))
+    seen = (pages.select("host", "page", F.explode(lines).alias("line")).distinct()
             .groupBy("host", "line").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= min_pages))
-    totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("total"))
+    totals = pages.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("total"))
     return (seen.join(totals, "host").filter(F.col("pages") > F.lit(max_ratio) * F.col("total"))
             .groupBy("host").agg(F.collect_list("line").alias("lines")))
 

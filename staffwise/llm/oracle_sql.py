@@ -48,11 +48,11 @@ lines AS (
     SELECT rid, source, unnest(string_split(text, chr(10))) AS line,
         generate_subscripts(string_split(text, chr(10)), 1) AS k FROM pages_ WHERE text IS NOT NULL),
 clean AS (SELECT *, trim(regexp_replace(line, '[ \t\r\f]+', ' ', 'g'), ' ') AS c FROM lines),
+total AS (SELECT source, count(DISTINCT text) + max(CAST(text IS NULL AS INTEGER)) AS n FROM documents GROUP BY source),
 share AS (
-    SELECT source, c FROM clean WHERE c <> '' AND source IS NOT NULL
+    SELECT source, c FROM clean JOIN pages_ USING (rid, source) WHERE c <> '' AND source IS NOT NULL
     GROUP BY source, c
-    HAVING count(DISTINCT rid) >= 3
-       AND count(DISTINCT rid) > 0.2 * (SELECT count(*) FROM documents d WHERE d.source = clean.source)),
+    HAVING count(DISTINCT text) >= 3 AND count(DISTINCT text) > 0.2 * (SELECT n FROM total t WHERE t.source = clean.source)),
 marked AS (SELECT clean.*, share.c IS NOT NULL AS gone FROM clean LEFT JOIN share ON clean.source = share.source AND clean.c = share.c),
 built AS (
     SELECT rid, coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (WHERE NOT gone), '') AS text,

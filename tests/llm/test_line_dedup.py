@@ -16,8 +16,8 @@ def clean(line):
 
 
 def brute(rows, ratio, least):
-    total, seen = Counter(h for h, _ in rows), Counter()
-    for h, t in rows:
+    total, seen = Counter(h for h, _ in set(rows)), Counter()
+    for h, t in set(rows):  # rows of a host with equal texts are one page
         if h is not None and t is not None:
             seen.update((h, x) for x in {clean(line) for line in t.split("\n")} if x)
     out = []
@@ -40,7 +40,7 @@ def test_matches_a_loop(spark):
         body = [f"line {rng.randint(0, 40)}" for _ in range(rng.randint(0, 6))] + [c for c in common if rng.random() < 0.25]
         rng.shuffle(body)
         rows.append((h, rng.choice(["\n", "\n\n", " \n"]).join(body)))
-    rows += rows[20:30]
+    rows += rows[20:30] + [("b", "a page\ntaken often")] * 90
     df = spark.createDataFrame([(i, h, t, "z", "y") for i, (h, t) in enumerate(rows)], "doc_id long, source string, text string, host string, lines string").repartition(3)
     for ratio, least in ((0.2, 3), (0.0, 1), (1.0, 1)):
         got = sorted(line_dedup(df, max_ratio=ratio, min_pages=least).collect())
