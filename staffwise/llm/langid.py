@@ -77,13 +77,18 @@ def _strings(column: pa.ChunkedArray | pa.Array) -> Iterator[str | None]:
         yield x.as_py()
 
 
-def fit_profiles(df: DataFrame, text: str, lang: str, n: int = 3, dim: int = 2048, seed: int = 17) -> tuple[list[str], np.ndarray]:
+def fit_profiles(df: DataFrame, text: str, lang: str, n: int = 3, dim: int = 2048, seed: int = 17,
+                 max_languages: int = 1000) -> tuple[list[str], np.ndarray]:
     """Languages in order and their prototypes (one unit row each).
 
     Each task bundles its rows into one vector per language; Spark sums them,
-    so the driver gets ``languages x dim`` numbers.  Rows with a null language
-    or a text without letters teach nothing.
+    so the driver gets ``languages x dim`` numbers; more than
+    ``max_languages`` languages raise, before any numbers are fetched.  Rows
+    with a null language or a text without letters teach nothing.
     """
+    several = df.select(col(lang)).distinct().limit(max_languages + 2).count()
+    if several > max_languages + 1:  # null counts as one here
+        raise ValueError(f"more than {max_languages} languages")
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, weights = letter_vectors(dim, seed), {}
         for b in batches:

@@ -1,6 +1,7 @@
 """Toxicity and language ID: held-out accuracy, bundling, odd rows."""
 
 import numpy as np
+import pytest
 
 from staffwise.llm import langid, queries, toxicity
 
@@ -53,6 +54,8 @@ def test_language_odd_rows(spark):
     assert all(0 <= r["score"] <= 1 for r in rows.values())
     assert {r["lang_pred"] for r in langid.predict(docs, [], np.zeros((0, 2048))).collect()} == {"und"}
     assert langid.fit_profiles(train.limit(0), "text", "lang")[0] == []
+    with pytest.raises(ValueError, match="languages"):
+        langid.fit_profiles(train, "text", "lang", max_languages=2)
 
 
 def test_score_is_the_cosine_of_the_bundled_vectors():
