@@ -51,23 +51,23 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     u, v = F.col("u"), F.col("v")
     e = (edges.select(F.greatest(col(a), col(b)).alias("u"), F.least(col(a), col(b)).alias("v"))
          .filter(col(a).isNotNull() & col(b).isNotNull() & (col(a) != col(b))).distinct())
-    metrics = {"n": F.count(F.lit(1)), "s": F.sum((F.xxhash64("u", "v") % 1_000_003).cast("long"))}
+    metrics = {"n": F.count(F.lit(1)), "s": F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))}
     state, seen = cut_lineage(e, "links", metrics)
     for _ in range(max_rounds):
         if not seen["n"]:
             break
         # large star: every neighbour above a node is linked to the node's smallest neighbour
         both = state.unionByName(state.select(v.alias("u"), u.alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), u).alias("m"))
+        # (written, so that the join partition of a node with very many links can be split)
+        low = cut_lineage(both.groupBy("u").agg(F.least(F.min("v"), u).alias("m")), "lowest")
         large = (both.filter(v > u).join(low, "u").select(v.alias("u"), F.col("m").alias("v")))
         large = large.distinct()
         # small star: a node's smaller neighbours are linked to the smallest of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        pairs = large.join(low, "u")
-        small = (pairs.filter(v != F.col("m")).select(v.alias("u"), F.col("m").alias("v"))
-                 .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        pairs = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
+        small = pairs.select(F.when(v == F.col("m"), u).otherwise(v).alias("u"), F.col("m").alias("v")).distinct()
         new, now = cut_lineage(small, "links", metrics)
         drop_cut(state)
+        drop_cut(low)
         done, state, seen = now == seen, new, now
         if done:
             break
