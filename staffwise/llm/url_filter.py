@@ -106,3 +106,10 @@ def url_filter(df: DataFrame, rules: DataFrame, url: str = "url", otherwise: str
     out = pages.join(best, (pages["host"] == best[new[0]]) & (pages["path"] == best[new[1]]), "left")
     return out.select(*[pages[f"`{c}`"] for c in kept], pages["host"], pages["path"], F.col(f"{new[2]}.rule").alias("rule"),
                       F.coalesce(F.col(f"{new[2]}.verdict"), F.lit(otherwise)).alias("verdict"))
+
+
+def listed_urls(df: DataFrame, url: str = "url", verdict: str = "block") -> DataFrame:
+    """Rules from a list of urls: each one's canonical host and path (see
+    :func:`url_parts`) with ``verdict``; urls without a host list nothing."""
+    host, path = url_parts(col(url))
+    return df.select(host.alias("host"), path.alias("path"), F.lit(verdict).alias("verdict")).filter("host <> ''").distinct()

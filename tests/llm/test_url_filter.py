@@ -3,7 +3,7 @@
 import random
 
 from staffwise.llm import queries
-from staffwise.llm.url_filter import bloom_blocks, url_filter
+from staffwise.llm.url_filter import bloom_blocks, listed_urls, url_filter
 
 ODD = [None, "", "no scheme.com/en/x", "http://", "https://COM", "https://com/", "ftp://a.EXAMPLE.com/en/1", "http://example.com/en", "http://example.com/en/",
        "http://example.com?x=/en/", "http://example.com/en/#top", "http://www.example.com/en/a?b#c", "http://notexample.com/en/a", "x://y.net/es/",
@@ -67,3 +67,11 @@ def test_empty_tables(spark):
     urls = spark.createDataFrame([("http://a.com/",)], "url string")
     assert url_filter(urls.limit(0), rules).count() == 0
     assert [tuple(r) for r in url_filter(urls, rules.limit(0), otherwise="block").collect()] == [("http://a.com/", "a.com", "/", None, "block")]
+
+
+def test_listed_urls_become_rules(spark):
+    listed = spark.createDataFrame([("HTTP://Bad.example/a?x=1",), ("http://bad.example/a#y",), (None,), ("nothing",)], "url string")
+    rules = listed_urls(listed)
+    assert [tuple(r) for r in rules.collect()] == [("bad.example", "/a", "block")]
+    urls = spark.createDataFrame([("https://m.BAD.example/abc",), ("https://bad.example/b",)], "url string")
+    assert sorted(r["verdict"] for r in url_filter(urls, rules).collect()) == ["allow", "block"]
