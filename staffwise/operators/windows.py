@@ -178,9 +178,10 @@ def day_runs(df: DataFrame, key: str, day_col: str, max_window_rows: int = MAX_W
     """
     d = F.to_date(F.col(day_col))
     cols = [F.col(f"`{c}`") for c in df.columns]
-    per_day = df.groupBy(key, d.alias("__day")).agg(F.count(F.lit(1)).alias("__n"))
+    # written once: the check, the per-day table and the positions all read it
+    copies = cut_lineage(df.groupBy(*cols, d.alias("__day")).agg(F.count(F.lit(1)).alias("__copies")), "day-rows")
+    per_day = copies.groupBy(key, "__day").agg(F.sum("__copies").alias("__n"))
     days = _day_table(per_day, key)
-    copies = df.groupBy(*cols, d.alias("__day")).agg(F.count(F.lit(1)).alias("__copies"))
     if per_day.filter(F.col("__n") > max_window_rows).limit(1).count():
         copies = (prefix_counts(copies, [key, "__day"], list(df.columns), "__copies", "day-runs")
                   .withColumnRenamed("__start", "__prior").drop("__n"))
