@@ -158,7 +158,7 @@ def predict(df: DataFrame, languages: list[str], profiles: np.ndarray, text: str
     to the first language in order.  A null text, one without letters, or a
     model without languages gives ``und`` and 0.
     """
-    kept = [c for c in df.columns if c not in out]
+    kept = [c for c in df.columns if c.lower() not in (out[0].lower(), out[1].lower())]
     (inner,) = fresh(df, "__text")
     src = df.select(*[col(c) for c in kept], col(text).cast("string").alias(inner))
 

@@ -68,6 +68,6 @@ def line_dedup(df: DataFrame, host: str = "source", text: str = "text", max_rati
     out = {text: F.when(has, F.array_join(keep, "\n")).otherwise(col(text))}
     if removed:
         out[removed] = F.when(has & col(text).isNotNull(), F.size(lines) - F.size(keep)).otherwise(F.lit(0))
-    names = [c for c in df.columns if c != removed]
+    names = [c for c in df.columns if not removed or c.lower() != removed.lower()]
     return joined.select(*[(out[c] if c in out else col(c)).alias(c) for c in names],
                          *([out[removed].alias(removed)] if removed else []))

@@ -104,7 +104,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", mi
     """``df`` with the repeated runs cut out of ``text`` and their original
     offsets added as ``spans``, an array of (start, end), empty where nothing
     went (a column of that name is replaced)."""
-    kept = [c for c in df.columns if c != spans]
+    kept = [c for c in df.columns if c.lower() != spans.lower()]
     a, b, c = fresh(df, "cut_id", "cut_hash", "cut_spans")
     cuts = (repeated_spans(df, id_col, text, min_words).groupBy("id", "text_hash")
             .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans")).toDF(a, b, c))

@@ -157,7 +157,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
 def score(df: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
     """``df`` with a score from 0 to 1 (a column of that name is replaced).
     Whole texts count; a null or empty text gets the score of no features."""
-    kept = [c for c in df.columns if c != out]
+    kept = [c for c in df.columns if c.lower() != out.lower()]
     (inner,) = fresh(df, "__text")
     src = df.select(*[col(c) for c in kept], col(text).cast("string").alias(inner))
     weights, bias = model.weights, model.bias

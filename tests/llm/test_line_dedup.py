@@ -41,7 +41,7 @@ def test_matches_a_loop(spark):
         rng.shuffle(body)
         rows.append((h, rng.choice(["\n", "\n\n", " \n"]).join(body)))
     rows += rows[20:30] + [("b", "a page\ntaken often")] * 90
-    df = spark.createDataFrame([(i, h, t, "z", "y") for i, (h, t) in enumerate(rows)], "doc_id long, source string, text string, host string, lines string").repartition(3)
+    df = spark.createDataFrame([(i, h, t, "z", "y") for i, (h, t) in enumerate(rows)], "doc_id long, source string, text string, host string, N_Removed string").repartition(3)
     for ratio, least in ((0.2, 3), (0.0, 1), (1.0, 1)):
         got = sorted(line_dedup(df, max_ratio=ratio, min_pages=least).collect())
         want = brute(rows, ratio, least)

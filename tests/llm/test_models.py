@@ -18,7 +18,7 @@ def test_toxicity_held_out(spark):
 
 
 def test_toxicity_odd_rows_and_no_labels(spark):
-    docs = spark.createDataFrame([(i % 5 or None, t, "s") for i, t in enumerate(ODD)], "doc_id long, text string, score string")
+    docs = spark.createDataFrame([(i % 5 or None, t, "s") for i, t in enumerate(ODD)], "doc_id long, text string, Score string")
     labels = spark.createDataFrame([(1, 1), (1, 0), (2, None), (None, 1), (3, 0)], "doc_id long, toxic int")
     for lab in (labels, labels.limit(0)):
         m = toxicity.fit(docs, lab)
@@ -47,7 +47,7 @@ def test_language_odd_rows(spark):
                                   "text string, lang string")
     languages, profiles = langid.fit_profiles(train, "text", "lang")
     assert languages == ["en", "fr"] and profiles.shape == (2, 2048)
-    docs = spark.createDataFrame([(i % 5 or None, t, "k") for i, t in enumerate(ODD + ["the mat", "la table"])], "doc_id long, text string, lang_pred string")
+    docs = spark.createDataFrame([(i % 5 or None, t, "k") for i, t in enumerate(ODD + ["the mat", "la table"])], "doc_id long, text string, Lang_Pred string")
     rows = {r["text"]: r for r in langid.predict(docs, languages, profiles).collect()}
     assert all(rows[t]["lang_pred"] == "und" and rows[t]["score"] == 0 for t in (None, "", " \n", "123 !?"))
     assert rows["the mat"]["lang_pred"] == "en" and rows["la table"]["lang_pred"] == "fr"
