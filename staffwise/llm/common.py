@@ -41,43 +41,47 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     """``(node, component)`` for every node of ``edges`` (two columns of one
     ordered type); ``component`` is the smallest node reachable.
 
-    Alternating large-star and small-star steps.  Every step is one partial
-    ``min`` per node and a join back, so a node with very many links is
-    combined on the map side and its join partition can be split.  Each round
-    is written to the shared checkpoint folder and replaces the last one;
-    only a row count and a checksum reach the driver.  Null ends and
-    self-links are ignored.
+    Alternating large-star and small-star steps, until the links are stars
+    around their smallest nodes.  Every step is one partial ``min`` per node
+    and a join back, so a node with very many links is combined on the map
+    side and its join partition can be split.  Each round is written to the
+    shared checkpoint folder and replaces the last one; only whether it was
+    the last reaches the driver.  Null ends and self-links are ignored.
     """
     u, v = F.col("u"), F.col("v")
     e = (edges.select(F.greatest(col(a), col(b)).alias("u"), F.least(col(a), col(b)).alias("v"))
          .filter(col(a).isNotNull() & col(b).isNotNull() & (col(a) != col(b))).distinct())
-    metrics = {"n": F.count(F.lit(1)), "s": F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))}
-    state, seen = cut_lineage(e, "links", metrics)
+    state = cut_lineage(e, "links")
     for _ in range(max_rounds):
-        if not seen["n"]:
+        if _are_stars(state):
             break
         # large star: every neighbour above a node is linked to the node's smallest neighbour
         both = state.unionByName(state.select(v.alias("u"), u.alias("v")))
         # (written, so that the join partition of a node with very many links can be split)
         low = cut_lineage(both.groupBy("u").agg(F.least(F.min("v"), u).alias("m")), "lowest")
-        large = (both.filter(v > u).join(low, "u").select(v.alias("u"), F.col("m").alias("v")))
-        large = large.distinct()
+        large = both.filter(v > u).join(low, "u").select(v.alias("u"), F.col("m").alias("v")).distinct()
         # small star: a node's smaller neighbours are linked to the smallest of them
         pairs = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
         small = pairs.select(F.when(v == F.col("m"), u).otherwise(v).alias("u"), F.col("m").alias("v")).distinct()
-        new, now = cut_lineage(small, "links", metrics)
+        new = cut_lineage(small, "links")
         drop_cut(state)
         drop_cut(low)
-        done, state, seen = now == seen, new, now
-        if done:
-            break
+        state = new
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    # settled: every non-root node has one link, to its root
+    # every node but the roots has one link, to its root
     return (state.select(u.alias("node"), v.alias("component"))
             .unionByName(state.select(v.alias("node"), v.alias("component")).distinct()))
 
 
+def _are_stars(links: DataFrame) -> bool:
+    """Whether every upper end ``u`` has one link and is no one's lower end."""
+    ends = links.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        links.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    other = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 OR (up = 1 AND down = 1)")
+    return other.limit(1).count() == 0
+
+
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
     """The groups of rows sorted by the first ``keys`` (integer) columns, each
     as one table; holds one group at a time."""

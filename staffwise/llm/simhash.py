@@ -15,8 +15,9 @@ Within a group the fingerprints lie vertically, one bit plane per bit, and one
 lane per row.  The planes are xor-ed with themselves shifted by ``s`` rows; the
 64 difference planes go through carry-save counters, which hold all lanes'
 distances to the row ``s`` further on, and blocks of 64 lanes are abandoned
-once all of them exceed the radius.  Of the links only a spanning forest leaves
-a task, so a large group of near copies gives no more rows than it has.
+once all of them exceed the radius.  Of a part that they connect, only one link
+per row leaves a task, so a large group of near copies gives no more rows than
+it has.
 """
 
 from __future__ import annotations
@@ -143,8 +144,9 @@ def near_pairs(fps: np.ndarray, group: np.ndarray, radius: int) -> Iterator[tupl
 
 
 def spanning_links(fps: np.ndarray, group: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the groups' links, as two arrays of fingerprints."""
-    root, a, b = np.arange(len(fps)), [], []
+    """For each part that the groups' links connect, links of its rows to one
+    of them, as two arrays of fingerprints."""
+    root = np.arange(len(fps))
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -160,11 +162,10 @@ def spanning_links(fps: np.ndarray, group: np.ndarray, radius: int) -> tuple[np.
             p, q = find(x), find(y)
             if p != q:
                 root[max(p, q)] = min(p, q)
-                a.append(fps[x])
-                b.append(fps[y])
         while not np.array_equal(root, up := root[root]):
             root[:] = up
-    return np.array(a, np.int64), np.array(b, np.int64)
+    rest = np.flatnonzero(root != np.arange(len(fps)))
+    return fps[rest], fps[root[rest]]
 
 
 def pieces_for(n: int, radius: int, most: int = 256) -> int:
