@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut_lineage, drop_cut
 
@@ -32,6 +33,19 @@ def col(name: str) -> Column:
     return F.col(quoted(name))
 
 
+def with_text(df: DataFrame, text: str, replaced: tuple[str, ...], keep: Sequence[str] | None) -> tuple[DataFrame, list[str], int]:
+    """The columns of ``df`` to pass on (``keep``, or all, but not those
+    ``replaced``), and the place of ``text`` as a string: its own column where
+    that is passed on as one, else an extra last column, so that no text is
+    sent twice."""
+    gone = {r.lower() for r in replaced}
+    kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in gone]
+    if text in kept and isinstance(df.schema[text].dataType, T.StringType):
+        return df.select(*[col(c) for c in kept]), kept, kept.index(text)
+    (inner,) = fresh(df, "__text")
+    return df.select(*[col(c) for c in kept], col(text).cast("string").alias(inner)), kept, len(kept)
+
+
 def fold(key: Column, folds: int) -> Column:
     """crc32 of the key as text modulo ``folds``; null for a null key."""
     return F.crc32(key.cast("string").cast("binary")) % F.lit(folds)

@@ -15,7 +15,7 @@ changes neither the order nor the score.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, fresh, quoted
+from .common import col, quoted, with_text
 
 SYMBOLS = 128  # 0 is the gap between words, 1-26 a-z, other letters share the rest
 CHUNK = 1 << 20  # letters handled at once
@@ -150,23 +150,21 @@ class _Scorer:
 
 
 def predict(df: DataFrame, languages: list[str], profiles: np.ndarray, text: str = "text", n: int = 3, dim: int = 2048,
-            seed: int = 17, out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """``df`` with the predicted language and a score (columns of these names
+            seed: int = 17, out: tuple[str, str] = ("lang_pred", "score"), keep: Sequence[str] | None = None) -> DataFrame:
+    """``df`` (its columns ``keep``; None: all) with the predicted language and a score (columns of these names
     are replaced).
 
     The score is the winner's share of all positive cosines, 0 to 1.  Ties go
     to the first language in order.  A null text, one without letters, or a
     model without languages gives ``und`` and 0.
     """
-    kept = [c for c in df.columns if c.lower() not in (out[0].lower(), out[1].lower())]
-    (inner,) = fresh(df, "__text")
-    src = df.select(*[col(c) for c in kept], col(text).cast("string").alias(inner))
+    src, kept, at = with_text(df, text, out, keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(profiles, n, dim, seed)
         for b in batches:
             names, scores = [], []
-            for t in _strings(b.column(b.num_columns - 1)):
+            for t in _strings(b.column(at)):
                 codes = ngram_codes(t, n)
                 near = np.maximum(scorer.dots(codes), 0) if len(codes) and languages else np.zeros(1)
                 k, all_ = int(near.argmax()), float(near.sum())
@@ -175,6 +173,6 @@ def predict(df: DataFrame, languages: list[str], profiles: np.ndarray, text: str
             cols = [b.column(i) for i in range(len(kept))]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*kept, *out])
 
-    schema = ", ".join([*[f"{quoted(f.name)} {f.dataType.simpleString()}" for f in src.schema if f.name != inner],
+    schema = ", ".join([*[f"{quoted(f.name)} {f.dataType.simpleString()}" for f in src.schema[: len(kept)]],
                         f"{quoted(out[0])} string", f"{quoted(out[1])} double"])
     return src.mapInArrow(run, schema)

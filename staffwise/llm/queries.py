@@ -57,7 +57,7 @@ def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, _table(spark, sf, "labels"))
     held = F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False))
-    return (toxicity.score(docs, model).select("doc_id", held.alias("held_out"), "score",
+    return (toxicity.score(docs, model, keep=["doc_id"]).select("doc_id", held.alias("held_out"), "score",
                                                (F.col("score") >= 0.5).cast("int").alias("predicted")))
 
 
@@ -69,7 +69,7 @@ def op8_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").select("doc_id", "text", "lang")
     held = F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False))
     languages, profiles = langid.fit_profiles(docs.filter(fold(F.col("doc_id"), 3) != 1), "text", "lang")
-    return (langid.predict(docs.select("doc_id", "text"), languages, profiles)
+    return (langid.predict(docs, languages, profiles, keep=["doc_id"])
             .select("doc_id", held.alias("held_out"), "lang_pred", "score"))
 
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, drop_cut
-from .common import col, fold, fresh, quoted
+from .common import col, fold, quoted, with_text
 
 WORD = re.compile(r"\w+")
 FLUSH = 400_000  # features that a task counts before it passes the counts on
@@ -154,19 +154,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     return Model({f: float(w[i]) for f, i in number.items() if abs(w[i]) > 1e-3}, b)
 
 
-def score(df: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
-    """``df`` with a score from 0 to 1 (a column of that name is replaced).
+def score(df: DataFrame, model: Model, text: str = "text", out: str = "score", keep: Sequence[str] | None = None) -> DataFrame:
+    """``df`` (its columns ``keep``; None: all) with a score from 0 to 1 (a column of that name is replaced).
     Whole texts count; a null or empty text gets the score of no features."""
-    kept = [c for c in df.columns if c.lower() != out.lower()]
-    (inner,) = fresh(df, "__text")
-    src = df.select(*[col(c) for c in kept], col(text).cast("string").alias(inner))
+    src, kept, at = with_text(df, text, (out,), keep)
     weights, bias = model.weights, model.bias
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[str, tuple[str, ...]] = {}  # of words met so far, the features that weigh
         for b in batches:
             scores = []
-            for t in b.column(b.num_columns - 1):
+            for t in b.column(at):
                 found: set[str] = set()
                 for w in set(WORD.findall((t.as_py() or "").lower())):
                     have = words.get(w)
@@ -180,5 +178,5 @@ def score(df: DataFrame, model: Model, text: str = "text", out: str = "score") -
                 scores.append(0.5 * (1 + float(np.tanh(z / 2))))
             yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(kept))], pa.array(scores, pa.float64())], names=[*kept, out])
 
-    schema = ", ".join([*[f"{quoted(f.name)} {f.dataType.simpleString()}" for f in src.schema if f.name != inner], f"{quoted(out)} double"])
+    schema = ", ".join([*[f"{quoted(f.name)} {f.dataType.simpleString()}" for f in src.schema[: len(kept)]], f"{quoted(out)} double"])
     return src.mapInArrow(run, schema)
