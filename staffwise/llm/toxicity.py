@@ -86,7 +86,7 @@ def fit_nnpu(rows: list[np.ndarray], positive: np.ndarray, n_features: int, prio
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
         folds: int = 5, held_out: int = 0, prior: float | None = None, max_positive: int = 8192,
-        max_unlabelled: int = 16384, max_features: int = 8192, min_count: int = 4, min_evidence: float = 12.0) -> Model:
+        max_unlabelled: int = 16384, max_features: int = 4096, min_count: int = 4, min_evidence: float = 12.0) -> Model:
     """Learn from documents whose crc32(id as text) mod ``folds`` is not
     ``held_out`` (rows with a null id are not learned from).
 
