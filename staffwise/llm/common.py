@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import sys
+from collections.abc import Callable, Iterator, Sequence
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -96,6 +98,19 @@ def _are_stars(links: DataFrame) -> bool:
     return other.limit(1).count() == 0
 
 
+def per_process(key: tuple, make: Callable[[], object]) -> object:
+    """One object per Python process and key, made on first use.
+
+    Kept outside this package's modules, so that it also lasts from task to
+    task in workers that get the package's functions sent along instead of
+    importing them."""
+    home = sys.modules.setdefault("_staffwise_worker_objects", ModuleType("_staffwise_worker_objects"))
+    objects = home.__dict__.setdefault("objects", {})
+    if key not in objects:
+        objects[key] = make()
+    return objects[key]
+
+
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
     """The groups of rows sorted by the first ``keys`` (integer) columns, each
     as one table; holds one group at a time."""

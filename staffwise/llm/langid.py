@@ -16,21 +16,24 @@ changes neither the order nor the score.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, quoted, with_text
+from .common import col, per_process, quoted, with_text
 
 SYMBOLS = 128  # 0 is the gap between words, 1-26 a-z, other letters share the rest
 CHUNK = 1 << 20  # letters handled at once
 
 
-@lru_cache(maxsize=1)
 def _symbol_table() -> np.ndarray:
+    """The symbol of every code point."""
+    return per_process(("symbols", SYMBOLS), _make_symbol_table)
+
+
+def _make_symbol_table() -> np.ndarray:
     table = np.zeros(0x110000, np.uint8)
     points = np.array([p for p in range(0x110000) if not 0xD800 <= p < 0xE000 and chr(p).isalpha()])
     table[points] = 27 + (points * 2654435761 >> 7) % (SYMBOLS - 27)

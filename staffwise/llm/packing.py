@@ -19,7 +19,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property, lru_cache
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ..session import cut_lineage
-from .common import col, quoted
+from .common import col, per_process, quoted
 
 FLUSH = 1 << 20  # tokens that a task holds before it passes pieces on
 
@@ -76,10 +76,9 @@ class Encoder:
         return Tokenizer.from_file(self.path)
 
 
-@lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
     """One encoder for all tasks of a Python worker."""
-    return Encoder(path)
+    return per_process(("encoder", path), lambda: Encoder(path))
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
