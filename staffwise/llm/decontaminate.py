@@ -4,11 +4,11 @@ Texts are lower-cased words (runs of letters, marks and digits); a benchmark
 item of ``n`` words is compared with windows of ``n`` words of a document
 (the whole document where that is shorter).
 
-1. Windows.  A window without any of an item's shingles has similarity 0, so
-   only windows around a shared shingle are built: for a shingle at place
-   ``p`` of the document and ``q`` of an item, the one that starts at
-   ``p - q``.  Shingles meet by their hash in a broadcast join whose table is
-   cut into slices of bounded size.
+1. Windows.  A window of which too few places hold a shingle of the items of
+   its length cannot reach the threshold, whatever else it holds; every other
+   window is built, at whatever place its shingles have in the item.  Shingles
+   meet by their hash in a broadcast join whose table is cut into slices of
+   bounded size; the places of a document then give the ranges of starts.
 2. SimHash.  Every distinct window gets a 64-bit fingerprint of its shingles,
    counted as often as they occur, and so does every item.
 3. Multi-index.  For radius ``r`` the fingerprint is cut into ``r + 1``
@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from .common import col, fresh
 
-SLICE_ROWS = 1_000_000  # rows of (shingle, length, place) broadcast at once
+SLICE_ROWS = 1_000_000  # rows of (shingle, length) broadcast at once
+BROADCAST_RANGES = 200_000  # ranges of starts up to which they are broadcast
 
 
 def words_of(text: Column) -> Column:
@@ -62,24 +63,44 @@ def _pieces(fp: Column, radius: int) -> Column:
                      for i in range(radius + 1)])
 
 
+def _starts(shingle: int, threshold: float) -> Column:
+    """Ranges (lo, hi) of the starts whose window of ``n`` words has enough of
+    the sorted places ``at`` in a text of ``size`` words: the similarity is at
+    most ``held / (window + item - held)``.  The ranges don't overlap."""
+    window = F.least("size", "n") - (shingle - 1)
+    least = F.greatest(F.lit(1), F.ceil((window + F.col("n") - (shingle - 1)) * F.lit(threshold / (1 + threshold)) - F.lit(1e-9)).cast("int"))
+    at = lambda i: F.get("at", i)
+    # the first place in the window is the i-th, so the start lies after the one before; the last one needed lies in the window, too
+    span = lambda i: F.struct(F.greatest(F.lit(0), at(i - 1) + 1, at(i + least - 1) - window + 1).alias("lo"),
+                              F.least(at(i), F.greatest(F.lit(0), F.col("size") - F.col("n"))).alias("hi"))
+    spans = F.when(F.size("at") >= least, F.transform(F.sequence(F.lit(0), F.size("at") - least), span))
+    return F.filter(F.coalesce(spans, F.array().cast("array<struct<lo:int,hi:int>>")), lambda r: r["lo"] <= r["hi"])
+
+
 def matched_windows(docs: DataFrame, items: DataFrame, id_col: str, text: str, item_id: str, item_text: str, shingle: int,
                     threshold: float, radius: int) -> DataFrame:
     """``(id, text_hash, item, similarity, distance, start, n)`` of windows that match."""
     item = (items.select(col(item_id).alias("item"), words_of(col(item_text)).alias("w"))
             .filter(F.size("w") >= shingle).withColumn("n", F.size("w")))
-    place = (item.select("n", F.posexplode(shingle_hashes(F.col("w"), shingle)).alias("q", "h")).distinct())
-    place = cut_lineage(place, "item-shingles")
+    place = cut_lineage(item.select("n", F.explode(shingle_hashes(F.col("w"), shingle)).alias("h")).distinct(), "item-shingles")
     slices = max(1, -(-place.count() // SLICE_ROWS))
 
     # one row per word, its shingle hashed in generated code; only rows that join leave it
-    doc = docs.filter(col(text).isNotNull()).select(col(id_col).alias("id"), F.xxhash64(col(text)).alias("text_hash"), words_of(col(text)).alias("w"))
-    placed = (doc.select("id", "text_hash", "w", F.posexplode("w").alias("p", "word")).filter(F.col("p") <= F.size("w") - shingle)
+    doc = docs.filter(col(text).isNotNull()).select(col(id_col).alias("id"), F.xxhash64(col(text)).alias("text_hash"), col(text).alias("text"))
+    placed = (doc.select("id", "text_hash", words_of(F.col("text")).alias("w")).select("id", "text_hash", "w", F.posexplode("w").alias("p", "word"))
+              .filter(F.col("p") <= F.size("w") - shingle)
               .withColumn("h", F.xxhash64(F.col("word"), *[F.get("w", F.col("p") + j) for j in range(1, shingle)])))
-    start = F.greatest(F.lit(0), F.least(F.col("p") - F.col("q"), F.size("w") - F.col("n")))
-    found = reduce(DataFrame.unionByName, [
-        placed.join(F.broadcast(place.filter(F.pmod("h", F.lit(slices)) == i)), "h")
-        .select("id", "text_hash", "n", start.alias("start"), F.array_join(F.slice("w", start + 1, F.col("n")), " ").alias("window"))
+    shared = reduce(DataFrame.unionByName, [
+        placed.join(F.broadcast(place.filter(F.pmod("h", F.lit(slices)) == i)), "h").select("id", "text_hash", F.size("w").alias("size"), "n", "p")
         for i in range(slices)])
+    shared = shared.groupBy("id", "text_hash", "size", "n").agg(F.sort_array(F.collect_set("p")).alias("at"))
+    ranges, seen = cut_lineage(shared.select("id", "text_hash", "n", _starts(shingle, threshold).alias("ranges")).filter(F.size("ranges") > 0),
+                               "window-starts", {"n": F.sum(F.size("ranges"))})
+    ranges = ranges.toDF("r_id", "r_hash", "n", "ranges").hint("broadcast" if (seen["n"] or 0) <= BROADCAST_RANGES else "shuffle_hash")
+    found = (doc.join(ranges, F.col("id").eqNullSafe(F.col("r_id")) & (F.col("text_hash") == F.col("r_hash")))
+             .select("id", "text_hash", "n", words_of(F.col("text")).alias("w"), F.explode("ranges").alias("r"))
+             .select("id", "text_hash", "n", "w", F.explode(F.sequence("r.lo", "r.hi")).alias("start"))
+             .select("id", "text_hash", "n", "start", F.array_join(F.slice("w", F.col("start") + 1, F.col("n")), " ").alias("window")))
     found = cut_lineage(found.distinct(), "windows")
 
     # distinct windows and items: fingerprints, then candidates that agree on a piece

@@ -73,6 +73,34 @@ def test_matches_brute_force(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(range(len(docs))) - {d for d, _ in want})
 
 
+def test_reordered_items_match_brute_force(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randint(3, 6)))
+    text = lambda n: [word() for _ in range(n)]
+    items, docs = [text(n) for n in (60, 90, 120, 200)], []
+    for v in items:
+        half, third = len(v) // 2, len(v) // 3
+        swapped = [v[half:] + v[:half], v[third:2 * third] + v[:third] + v[2 * third:], v[2 * third:] + v[third:2 * third] + v[:third]]
+        docs += [text(before) + e + text(after) for e in swapped for before, after in ((40, 30), (0, 25), (25, 0), (0, 0))]
+        docs.append(text(20) + v[half:] + text(len(v)) + v[:half])
+    docs, items = [" ".join(d) for d in docs], [" ".join(v) for v in items]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    want = brute(docs, items)
+    assert len(want) == 40
+    got = {(r["id"], r["item"]): r["similarity"] for r in D.contaminated(df, bench).collect()}
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_joined_ranges_change_nothing(spark, monkeypatch):
+    docs, items = table(random.Random(4))
+    df = spark.createDataFrame([(i % 7 or None, t) for i, t in enumerate(docs[:60])], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, t) for i, t in enumerate(items)], "item_id long, text string")
+    want = sorted(map(repr, D.contaminated(df, bench).collect()))
+    monkeypatch.setattr(D, "BROADCAST_RANGES", 0)
+    assert want and sorted(map(repr, D.contaminated(df, bench).collect())) == want
+
+
 def test_slices_and_shuffled_list_change_nothing(spark, monkeypatch):
     docs, items = table(random.Random(4))
     docs = docs[:60]
