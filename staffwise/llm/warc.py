@@ -29,7 +29,9 @@ from .common import col, fresh, quoted
 VERSION = "WARC/1.1"
 FIELDS = ["warc_type", "record_id", "refers_to", "target_uri", "warc_date", "content_type", "block_digest", "source_payload_digest", "block"]
 
-HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|svg|head)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+HIDDEN = re.compile(r"""<!--|<(script|style|template|noscript|svg|head)(?=[\s/>])(?:(?>[^<>"']+|"[^"]*"|'[^']*')*+>|[^>]*>)""", re.I)
+CLOSE = {n: re.compile(rf"</{n}(?=[\s/>])[^>]*>", re.I) for n in ("script", "style", "template", "noscript", "svg", "title", "noframes", "head")}
+IN_HEAD = re.compile(r"\s+|(?=<!--)|</?(?:meta|link|base|basefont|bgsound)(?=[\s/>])[^>]*>|<(title|script|style|template|noscript|noframes)(?=[\s/>])[^>]*>", re.I)
 TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
 TAG = re.compile(r"""<[a-z/!?](?>[^<>"']+|"[^"]*"|'[^']*')*+>""", re.I)
 BREAK = re.compile(r"""</?(?:address|article|aside|blockquote|body|br|caption|dd|details|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr
@@ -87,9 +89,45 @@ def body_text(body: bytes, content_type: str) -> tuple[str, str]:
     return body.decode("utf-8", "replace"), "utf-8"
 
 
+def without_hidden(page: str) -> str:
+    """The page with a blank for what isn't shown.  Comments, scripts and styles
+    without an end run to the end of the page.  A head ends at its end tag or
+    before the first thing that can't stand in one; of other elements without an
+    end tag, and of a self-closing svg, only the tag goes."""
+    closed: dict[str, re.Match | None] = {}
+
+    def after(name: str, at: int) -> int | None:  # each end tag is looked for once, however often its element opens
+        m = closed.get(name)
+        if name not in closed or m and m.start() < at:
+            m = closed[name] = CLOSE[name].search(page, at)
+        return m.end() if m else len(page) if name in ("script", "style") else None
+
+    def comment(at: int) -> int:
+        end = page.find("-->", at + 4)
+        return len(page) if end < 0 else end + 3
+
+    out, at = [], 0
+    while m := HIDDEN.search(page, at):
+        out += [page[at : m.start()], " "]
+        name, at = (m[1] or "").lower(), m.end()
+        if not name:
+            at = comment(m.start())
+        elif name == "head":
+            while part := IN_HEAD.match(page, at):
+                end = after(part[1].lower(), part.end()) if part[1] else comment(at) if not part[0] else part.end()
+                if end is None:
+                    break
+                at = end
+            if end := CLOSE["head"].match(page, at):
+                at = end.end()
+        elif not (name == "svg" and m[0].endswith("/>")):
+            at = after(name, at) or at
+    return "".join([*out, page[at:]])
+
+
 def page_text(page: str) -> str:
     """What a page shows, one line per block element, blank lines dropped."""
-    shown = TAG.sub("", BREAK.sub("\n", BLANKS.sub(" ", HIDDEN.sub(" ", page).replace("\n", " "))))
+    shown = TAG.sub("", BREAK.sub("\n", BLANKS.sub(" ", without_hidden(page).replace("\n", " "))))
     shown = html.unescape(shown) if "&" in shown else shown
     return "\n".join(x for line in shown.split("\n") if (x := BLANKS.sub(" ", line).strip()))
 

@@ -98,6 +98,27 @@ def test_odd_messages_and_round_trip(spark, tmp_path):
         assert f["WARC-Block-Digest"] == sha1(bytes(r["block"])) and f["WARC-Refers-To"] and f["WARC-Type"] in ("metadata", "conversion")
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<html><head><title>A</title><body><p>all of the text</p></body></html>", "all of the text"),
+    ("<html><head><meta charset=utf-8><title>A</title><!-- <p>no --><style>p {}</style><p>all</p><p>text</p>", "all\ntext"),
+    ("<head><title>A</title></head><p>x</p>", "x"),
+    ("<head>words", "words"),
+    ("<head><title>no end<p>x</p>", "no end\nx"),
+    ("<head-x>a</head-x><p>b</p>", "a\nb"),
+    ("<p>a</p><svg width='1>2' class=\"x\"/><p>b</p>", "a\nb"),
+    ("<p>a</p><svg><text>no</text></svg><p>b</p>", "a\nb"),
+    ("<p>a</p><svg><p>b</p>", "a\nb"),
+    ("<p>a</p><noscript><p>b</p>", "a\nb"),
+    ("<p>a</p><template><p>b</p>", "a\nb"),
+    ("<svg/>" * 50_000 + "<noscript>" * 50_000 + "<head>" * 50_000 + "b", "b"),
+    ("<p>a</p><script>b", "a"),
+    ("<p>a</p><style>b", "a"),
+    ("<p>a</p><!-- b", "a"),
+])
+def test_elements_without_an_end_tag(page, want):
+    assert warc.page_text(page) == want
+
+
 def test_empty_table(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.derivatives(warc.responses(pages), key="page_id").count() == 0
