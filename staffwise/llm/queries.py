@@ -27,7 +27,7 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    spans = repeated_spans(_table(spark, sf, "documents").select("doc_id", "text"), min_words=15)
+    spans = repeated_spans(_table(spark, sf, "documents").select("doc_id", "text"), min_words=15, whole_lines=True)
     return spans.select(F.col("id").alias("doc_id"), F.col("start").alias("start_char"), F.col("end").alias("end_char"), "n_units", "n_words",
                         F.col("kept_id").alias("kept_doc_id"), F.col("kept_start").alias("kept_start_char"))
 

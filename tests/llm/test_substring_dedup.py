@@ -67,6 +67,29 @@ def test_spans_and_cut_text(spark):
         assert r["text"] == t
 
 
+def test_short_whole_lines(spark):
+    rows = [(1, "Share this\nOne. Two!\nYes.\nA line of its own here."), (2, "Fresh one.\nshare  THIS\nOne. Two!\nmore text"),
+            (3, "Yes. share this"), (4, "Two! One.\nYes.\n\nYes.")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    text = dict(rows)
+    got = sorted((r["id"], text[r["id"]][r["start"]:r["end"]], r["kept_id"]) for r in S.repeated_spans(df, whole_lines=True).collect())
+    assert got == [(2, "share  THIS\nOne. Two!\n", 1), (4, "Yes.\n\nYes.", 1)]
+    assert [r["text"] for r in S.remove_repeats(df, whole_lines=True).orderBy("doc_id").collect()] == [rows[0][1], "Fresh one.\nmore text", rows[2][1], "Two! One.\n"]
+
+
+def test_whole_lines_of_a_corpus(spark):
+    rows = corpus()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {(r["id"], p) for r in S.repeated_spans(df, whole_lines=True).collect() for p in range(r["start"], r["end"])}
+    seen, want = set(), {(i, p) for i, s, e, *_ in brute(rows, 15) for p in range(s, e)}
+    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        for m in re.finditer(r"[^\n]+\n*", t or ""):
+            n = " ".join(m[0].lower().split())
+            want |= {(i, p) for p in range(*m.span())} if n in seen else set()
+            seen |= {n} - {""}
+    assert got == want
+
+
 def test_equal_rows_are_one_document(spark):
     long = " ".join(f"w{i}" for i in range(30)) + "."
     df = spark.createDataFrame([(1, long), (1, long), (2, "Fresh text of its own."), (1, "other " + long)], "doc_id long, text string")
