@@ -69,10 +69,15 @@ def decoded(body: bytes, encoding: str) -> bytes:
     """The body without gzip or deflate; as it is where it can't be undone."""
     if encoding.lower() not in ("gzip", "x-gzip", "deflate"):
         return body
+    out, rest = [], body
     try:
-        return zlib.decompressobj(zlib.MAX_WBITS | 32).decompress(body)
-    except zlib.error:
-        return body
+        while not out or rest[:2] == b"\x1f\x8b":  # one gzip member or many
+            z = zlib.decompressobj(zlib.MAX_WBITS | 32)
+            out.append(z.decompress(rest))
+            rest = z.unused_data
+    except zlib.error:  # members before a broken one stay
+        return b"".join(out) or body
+    return b"".join(out)
 
 
 def body_text(body: bytes, content_type: str) -> tuple[str, str]:

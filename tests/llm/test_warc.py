@@ -128,3 +128,10 @@ def test_empty_table(spark):
 def test_unpacked(members):
     assert warc.unpacked(b"".join(gzip.compress(b"ab") for _ in range(members))) == b"ab" * members
     assert warc.unpacked(b"plain") == b"plain" and warc.unpacked(b"") == b""
+
+
+def test_body_of_several_gzip_members():
+    two = gzip.compress(b"one ") + gzip.compress(b"two")
+    assert warc.decoded(two, "gzip") == b"one two"
+    assert warc.decoded(two + b"\x1f\x8bbroken", "gzip") == b"one two"
+    assert warc.decoded(b"not zipped", "gzip") == b"not zipped" and warc.decoded(b"", "gzip") == b""
