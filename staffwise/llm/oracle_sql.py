@@ -93,3 +93,63 @@ SELECT doc_id, item_id, round(max(similarity), 9) AS similarity,
     CAST(arg_min(start_word, (-similarity, start_word)) AS INTEGER) AS start_word, CAST(any_value(n) AS INTEGER) AS n_words
 FROM sim WHERE similarity >= 0.8 GROUP BY rid, doc_id, item_id
 """
+
+# crc32 byte by byte over a table of 256 values; letters of two bytes become one for the edit distance
+ORACLE_SQL["op12_spelling_variants"] = r"""
+WITH RECURSIVE crc AS (
+    SELECT list(list_reduce(list_prepend(v, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY v) AS tab
+    FROM range(256) AS t(v)),
+found AS (
+    SELECT CAST(doc_id AS VARCHAR) AS id,
+        unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run
+    FROM documents WHERE text IS NOT NULL),
+seen AS (SELECT id, run, count(*) AS k FROM found WHERE length(run) >= 6 GROUP BY id, run),
+bytes AS (
+    SELECT *, list_prepend(4294967295, flatten(list_transform(string_split(id || ':' || run, ''),
+        lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)] ELSE [195, CAST(unicode(x) - 64 AS BIGINT)] END))) AS b FROM seen),
+hashed AS (
+    SELECT run, k, xor(list_reduce(b, lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295) AS h FROM bytes, crc),
+typed AS (
+    SELECT k, CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed),
+words AS (
+    SELECT word, CAST(sum(k) AS BIGINT) AS n, length(word) AS m,
+        translate(word, 'ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖ×ØÙÚÛÜÝÞßàáâãäåæçèéêëìíîïðñòóôõö÷øùúûüýþÿ',
+            '!"#$%&()*+,-./0123456789:;<=>?@ABCDEFGHIJKLMNOPQRSTUVWXYZ[]^_{|}') AS one
+    FROM typed WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5),
+near AS (
+    SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM words a JOIN words b ON b.m BETWEEN a.m - 1 AND a.m + 1
+    WHERE a.word <> b.word AND levenshtein(a.one, b.one) = 1),
+best AS (
+    SELECT word, count(*) AS n_near, arg_min(near, (-near_n, near)) AS form, max(near_n) AS form_n, any_value(n) AS n FROM near GROUP BY word),
+forms AS (
+    SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * words.n THEN form END AS form,
+        CASE WHEN form_n >= 5 * words.n THEN form_n END AS form_n
+    FROM words LEFT JOIN best USING (word)),
+chain AS (
+    SELECT word, word AS root, form AS next FROM forms
+    UNION ALL SELECT chain.word, chain.next, forms.form FROM chain JOIN forms ON forms.word = chain.next)
+SELECT forms.word, forms.form, chain.root, forms.n, forms.n_near, forms.form_n
+FROM forms JOIN chain ON chain.word = forms.word AND chain.next IS NULL
+"""
+
+# every window of 400 bytes by its digest; spans as islands of covered bytes
+ORACLE_SQL["op13_suffix_dedup"] = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+parts AS (
+    SELECT rid, k, substr(x, 800 * k + 1, 1600) AS part FROM (SELECT rid, x, unnest(range(0, len(x) // 800)) AS k FROM d WHERE len(x) >= 800)),
+w AS (
+    SELECT rid, md5(substr(part, 2 * o + 1, 800)) AS h, 400 * k + o AS s
+    FROM (SELECT rid, k, part, unnest(range(0, least(400, len(part) // 2 - 399))) AS o FROM parts)),
+again AS (SELECT rid, s FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
+gaps AS (SELECT rid, s, CASE WHEN s <= lag(s) OVER (PARTITION BY rid ORDER BY s) + 400 THEN 0 ELSE 1 END AS gap FROM again),
+runs AS (SELECT rid, s, sum(gap) OVER (PARTITION BY rid ORDER BY s) AS run FROM gaps),
+spans AS (SELECT rid, min(s) AS a, max(s) + 400 AS b FROM runs GROUP BY rid, run),
+edges AS (SELECT rid, b, lead(a) OVER (PARTITION BY rid ORDER BY a) AS next FROM spans
+    UNION ALL SELECT rid, 0, min(a) FROM spans GROUP BY rid),
+kept AS (
+    SELECT rid, string_agg(substr(x, 2 * b + 1, 2 * (coalesce(next, len(x) // 2) - b)), '' ORDER BY b) AS k FROM edges JOIN d USING (rid) GROUP BY rid),
+gone AS (SELECT rid, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY rid)
+SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(coalesce(k, x))) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid) LEFT JOIN gone USING (rid)
+"""

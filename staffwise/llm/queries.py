@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embed_dedup, langid, packing, simhash, toxicity, warc
+from . import embed_dedup, langid, packing, simhash, spelling, toxicity, warc
 from .common import fold
 from .decontaminate import contaminated
 from .line_dedup import line_dedup
+from .runs import periodic_runs
 from .substring_dedup import repeated_spans
+from .suffix_dedup import remove_repeated_bytes
 from .url_filter import url_filter
 
 #: The rules that the url filter's query judges by.
@@ -86,6 +88,53 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
                        F.col("start").alias("start_word"), "n_words")
 
 
+def _id_hash(*rest: Column) -> Column:
+    """crc32 of the document id as text, with ``rest`` after it."""
+    return F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), *rest).cast("binary"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text", _id_hash().alias("h"))
+    # every tenth document's words repeat from some place on
+    g, w = F.floor(F.col("h") / 10), F.col("w")
+    n = F.size("w").cast("long")
+    p = F.lit(1) + F.floor((n - F.col("a")) / (F.lit(3) + g % 8))
+    docs = (docs.withColumn("w", F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))))
+            .withColumn("a", F.when(n > 0, g % n)).withColumn("p", F.when(n > 0, p)))
+    at = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    periodic = F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(w, at(i).cast("int"))), " ")
+    docs = docs.select("doc_id", F.when(F.col("a").isNotNull(), periodic).otherwise(F.col("text")).alias("text"))
+    out = periodic_runs(docs, min_exponent=4, min_length=6, keep=["doc_id"])
+    higher = lambda x, y: x["length"] * y["period"] > y["length"] * x["period"]  # noqa: E731  (exactly; the runs are in order of start, then period)
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda b, x: F.when(higher(x, b), x).otherwise(b))
+    row = lambda r: F.concat(*[F.concat(r[c].cast("string"), F.lit(end)) for c, end in (("start", ","), ("length", ","), ("period", "\n"))])
+    return (out.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", row), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.coalesce("collapsed", F.lit("")).cast("binary"), 256).alias("collapsed_sha256")))
+
+
+def op12_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", spelling.ascii_lower(F.col("text")).alias("text"))
+    word = (docs.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("([a-zÀ-ÿ]+)"), F.lit(1))).alias("run"))
+            .filter(F.length("run") >= 6)  # deleting a letter makes none longer
+            .select("run", _id_hash(F.lit(":"), F.col("run")).alias("h")))
+    at = (F.col("h") % F.length("run")).cast("int")
+    typo = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))
+    counts = (word.select(F.when(F.col("h") % 199 == 0, typo).otherwise(F.col("run")).alias("word")).filter(F.length("word") >= 6)
+              .groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter("n >= 5"))
+    return spelling.spelling_variants(counts, ratio=5).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    out = remove_repeated_bytes(_table(spark, sf, "documents").select("doc_id", "text"), length=400)
+    gone = F.aggregate("removed_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), gone.alias("n_removed"),
+                      F.size("removed_spans").cast("long").alias("n_spans"),
+                      F.sha2(F.coalesce("kept", F.lit("").cast("binary")), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_url_filter": op2_url_filter,
@@ -97,4 +146,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_decontamination": op10_decontamination,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
