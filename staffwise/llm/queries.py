@@ -117,8 +117,7 @@ def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
 
 def op12_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").select("doc_id", spelling.ascii_lower(F.col("text")).alias("text"))
-    word = (docs.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("([a-zÀ-ÿ]+)"), F.lit(1))).alias("run"))
-            .filter(F.length("run") >= 6)  # deleting a letter makes none longer
+    word = (docs.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("[a-zÀ-ÿ]{6,}"), F.lit(0))).alias("run"))  # deleting a letter makes none longer
             .select("run", _id_hash(F.lit(":"), F.col("run")).alias("h")))
     at = (F.col("h") % F.length("run")).cast("int")
     typo = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))

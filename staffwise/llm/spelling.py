@@ -6,12 +6,13 @@ replaced one two.  Words one edit apart are therefore within Hamming distance
 two, and an exact signature scheme finds them:
 
 1. Partition and enumerate.  The dimensions are dealt by a hash to ``n1``
-   parts of ``n2`` pieces.  Of ``radius`` differing bits some part has at most
-   ``radius // n1``, so it agrees on a set of ``n2 - radius // n1`` pieces; the
-   signatures are a word's bits on every such set of every part.
-2. Equi-join.  Words meet by equal signatures of one length class: a word of
-   ``m`` letters has the classes ``m`` and ``m + 1``, and a pair meets in the
-   class of its longer word only.
+   parts of ``n2`` pieces.  Of ``r`` differing bits some part has at most
+   ``r // n1``, so it agrees on a set of ``n2 - r // n1`` pieces; a word's
+   signatures are its bits on every such set of every part, with r = 2 for
+   words of its own length and r = 1 for those one letter longer or shorter.
+2. Equi-join.  Words meet by equal signatures.  Since one edit also leaves the
+   first or the last half of the letters in place, each signature is made
+   twice, with either half; so that few words meet that only share letters.
 3. Verification, in the join itself, by the edit distance of the words.
 
 Words are counted before anything is joined, so the text's size doesn't
@@ -38,7 +39,8 @@ def ascii_lower(text: Column) -> Column:
 
 def _bits(word: Column, cells: int) -> Column:
     """The word's dimensions in order: (letter, occurrence, cell they are dealt to)."""
-    letters = F.sort_array(F.transform(F.sequence(F.lit(1), F.length(word)), lambda i: F.substring(word, i, F.lit(1))))
+    places = F.when(F.length(word) > 0, F.sequence(F.lit(1), F.length(word))).otherwise(F.array().cast("array<int>"))
+    letters = F.sort_array(F.transform(places, lambda i: F.substring(word, i, F.lit(1))))
 
     def bit(c: Column, i: Column) -> Column:
         nth = i - F.array_position(letters, c).cast("int")
@@ -46,38 +48,33 @@ def _bits(word: Column, cells: int) -> Column:
     return F.transform(letters, bit)
 
 
-def signatures(words: DataFrame, n1: int = 1, n2: int = 7, radius: int = 2) -> DataFrame:
-    """``(sig, class, word, n)``: a word's signatures, once for each of its two length classes."""
-    if n1 < 1 or n2 <= radius // n1:
-        raise ValueError("n2 must exceed radius // n1")
-    sets = [(i, set(s)) for i in range(n1) for s in combinations(range(n2), n2 - radius // n1)]
-    on = lambda i, s: F.filter(F.col("bits"), lambda b: b["cell"].isin([i * n2 + j for j in s]))
-    sigs = F.array(*[F.xxhash64(F.lit(k), F.transform(on(i, s), lambda b: F.struct(b["c"], b["k"]))) for k, (i, s) in enumerate(sets)])
-    size = F.length("word")
-    return (words.filter(size > 0).select("word", "n", _bits(F.col("word"), n1 * n2).alias("bits"))
-            .select("word", "n", F.explode(sigs).alias("sig"), size.alias("m"))
-            .select("sig", F.explode(F.array("m", F.col("m") + 1)).alias("class"), "word", "n"))
-
+def signatures(words: DataFrame, n1: int = 1, n2: int = 4) -> DataFrame:
+    """``(sig, word, n)``: the signatures of distinct words with counts."""
+    if n1 < 1 or n2 <= 2 // n1:
+        raise ValueError("n2 must exceed 2 // n1")
+    piece = lambda cell: F.xxhash64(F.transform(F.filter("bits", lambda b: b["cell"] == cell), lambda b: F.struct(b["c"], b["k"])))
+    pieces = [piece(c) for c in range(n1 * n2)]
+    size = F.col("m")
+    made = []
+    for radius, longer in ((2, size), (1, size), (1, size + 1)):  # pairs of one length; pairs whose longer, whose shorter word this is
+        half = F.floor((longer - 1) / 2).cast("int")
+        for side, part in enumerate((F.substring("word", F.lit(1), half), F.substring("word", size - half + 1, half))):
+            made += [F.xxhash64(F.lit(radius), longer, F.lit(side), part, F.lit(i), *[F.lit(j) for j in s], *[F.get("pieces", F.lit(i * n2 + j)) for j in s])
+                     for i in range(n1) for s in combinations(range(n2), n2 - radius // n1)]
+    return (words.select("word", "n", F.length("word").alias("m"), _bits(F.col("word"), n1 * n2).alias("bits"))
+            .select("word", "n", "m", F.array(*pieces).alias("pieces"))
+            .select("word", "n", F.explode(F.array(*made)).alias("sig")))
+
+
+def near_pairs(words: DataFrame, n1: int = 1, n2: int = 4) -> DataFrame:
+    """``(a, n_a, b, n_b)``, ``a < b``: the pairs of ``words`` (distinct ``word``, ``n``) one edit apart."""
+    sig = cut_lineage(signatures(words, n1, n2), "signatures")  # written, so that a frequent signature's partition can be split
+    a = sig.select("sig", F.col("word").alias("a"), F.col("n").alias("n_a"))
+    b = sig.select("sig", F.col("word").alias("b"), F.col("n").alias("n_b"))
+    return a.join(b, "sig").filter((F.col("a") < F.col("b")) & (F.levenshtein("a", "b", 1) == 1)).select("a", "n_a", "b", "n_b").distinct()
 
-def near_pairs(words: DataFrame, n1: int = 1, n2: int = 7) -> DataFrame:
-    """``(a, n_a, b, n_b)``, ``a < b``: the pairs of ``words`` (distinct ``word``, ``n``) one edit apart.
 
-    A word of one letter and a word of none share no signature that is left
-    out: empty words are near every one-letter word and are joined by length.
-    """
-    sig = cut_lineage(signatures(words, n1, n2), "signatures")  # written, so that a frequent signature's partition can be split
-    a, b = sig.toDF("sig", "class", "a", "n_a"), sig.toDF("sig", "class", "b", "n_b")
-    near = (a.join(b, ["sig", "class"])
-            .filter((F.col("a") < F.col("b")) & (F.greatest(F.length("a"), F.length("b")) == F.col("class"))
-                    & (F.levenshtein("a", "b", 1) == 1))
-            .select("a", "n_a", "b", "n_b").distinct())
-    # (the empty word has no letters to sign; at most one row each side of it is not bounded, but it is one key)
-    empty = words.filter(F.col("word") == "").select(F.col("word").alias("a"), F.col("n").alias("n_a"), F.lit(1).alias("m"))
-    single = words.filter(F.length("word") == 1).select(F.col("word").alias("b"), F.col("n").alias("n_b"), F.lit(1).alias("m"))
-    return near.unionByName(empty.join(single, "m").drop("m"))
-
-
-def spelling_variants(words: DataFrame, word: str = "word", n: str = "n", ratio: int = 5, n1: int = 1, n2: int = 7) -> DataFrame:
+def spelling_variants(words: DataFrame, word: str = "word", n: str = "n", ratio: int = 5, n1: int = 1, n2: int = 4) -> DataFrame:
     """``(word, n, n_near, form, form_n, root)`` per distinct word.
 
     ``words`` holds words with counts; rows of one word are added up, null
