@@ -1,9 +1,8 @@
 """File sources.
 
-Files are read by Spark's CSV reader as text (every column a string), so a
-bad value never fails the load; types come later from a declared contract
-(:mod:`staffwise.operators.contract`).  Only file metadata reaches the
-driver: the file list (path, modification time) and each file's header line.
+Files are read as text (every column a string), so a bad value never fails the
+load; types come later from a declared contract
+(:mod:`staffwise.operators.contract`).
 """
 
 from __future__ import annotations
@@ -15,10 +14,8 @@ from collections.abc import Iterable, Mapping, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.names import dedupe_names, normalise_name
-from ..operators.reshape import union_by_name
+from .delimited import load_delimited
 
 
 def list_files(spark: SparkSession, pattern: str) -> DataFrame:
@@ -98,54 +95,27 @@ def header_of(spark: SparkSession, path: str, record_no: int = 1, sep: str = ","
 
 
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], sep: str = ",", title_line: bool = False,
-                   exclude: Iterable[str] = (), normalise: bool = True, encoding: str = "UTF-8",
-                   multi_line: bool | None = None) -> DataFrame:
-    """Read delimited text files whose header is line 1, or line 2 after a title
-    line (S1, S4).  Files with different headers are read per header group and
-    unioned by name (missing columns null).  Adds ``_file`` (file name, S9) and
-    ``_row`` (increasing within a file, for keep-first/last dedupes; order by
-    ``_file, _row`` across files).
+                   exclude: Iterable[str] = (), normalise: bool = True, encoding: str = "cp1252", rejects: str = "drop") -> DataFrame:
+    """The rows of delimited text files whose header is line 1, or line 2 after a
+    title line (S1, S4), as text columns matched by name.  Adds ``_file`` (file
+    name, S9) and ``_row`` (increasing within a file, for keep-first/last
+    dedupes; order by ``_file, _row`` across files).
+
+    The rows of :func:`staffwise.sources.delimited.load_delimited`, which see
+    for charsets (``encoding`` is its fallback for files that are not UTF-8 or
+    UTF-16), quoted newlines and the records that are kept apart; take the
+    load itself to see these.  A file that ends before its header record does
+    raises with its name (empty files are skipped); with ``rejects="error"`` any other reject does, too.
 
     ``exclude``: skip files whose name contains any of these substrings (S3).
-    ``multi_line``: parse quoted newlines inside values.  ``None`` turns it on
-    only for header groups whose header itself spans lines; otherwise files
-    stay splittable across tasks.
     """
-    pattern_list = [paths] if isinstance(paths, str) else list(paths)
-    listed = []
-    for p in pattern_list:
-        listed += [r["path"] for r in list_files(spark, p).orderBy("path").select("path").collect()]
-    skip = list(exclude)
-    files = [f for f in listed if not any(s in f.rsplit("/", 1)[-1] for s in skip)]
-    if not files:
-        raise FileNotFoundError(f"no files match {paths}")
-    record_no = 2 if title_line else 1
-    groups: dict[tuple, list[str]] = {}
-    spans: dict[tuple, bool] = {}
-    heads = headers_of(spark, files, record_no, sep)
-    for f in files:
-        cells, spanned = heads[f]
-        head = tuple(cells)
-        groups.setdefault(head, []).append(f)
-        spans[head] = spans.get(head, False) or spanned
-    frames = []
-    for head, group in groups.items():
-        ml = spans[head] if multi_line is None else multi_line
-        names = [normalise_name(h) for h in head] if normalise else list(head)
-        names = dedupe_names([n if n else "unnamed" for n in names])
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        df = (spark.read.schema(schema).option("header", True).option("sep", sep).option("encoding", encoding)
-              .option("multiLine", ml).option("mode", "PERMISSIVE").csv(group))
-        if title_line:
-            # the title line was consumed as "header"; the real header arrives as a row
-            is_header = None
-            for n, h in zip(names, head):
-                c = F.col(f"`{n}`").eqNullSafe(F.lit(h if h != "" else None))
-                is_header = c if is_header is None else is_header & c
-            df = df.filter(~is_header)
-        df = df.withColumn("_file", F.col("_metadata.file_name")).withColumn("_row", F.monotonically_increasing_id())
-        frames.append(df)
-    return union_by_name(*frames)
+    load = load_delimited(spark, paths, sep, title_line, exclude, normalise, encoding)
+    bad = load.files.filter("status IS NOT NULL AND lines > 0").orderBy("file").first()
+    if bad:
+        raise ValueError(f"{bad['status']} in {bad['file']}: the file ends first")
+    if rejects == "error" and (bad := load.rejects.first()):
+        raise ValueError(f"{bad['file']}, line {bad['row']}: {bad['reason']}")
+    return load.rows
 
 
 def tag_by_name(df: DataFrame, rules: Mapping[str, str], out: str = "source", file_col: str = "_file") -> DataFrame:
