@@ -2,21 +2,28 @@
 
 Texts are lower-cased words (runs of letters, marks and digits); a benchmark
 item of ``n`` words is compared with windows of ``n`` words of a document
-(the whole document where that is shorter).
+(the whole document where that is shorter).  An item of fewer words than a
+shingle is one shingle as a whole.
 
 1. Windows.  A window of which too few places hold a shingle of the items of
    its length cannot reach the threshold, whatever else it holds; every other
    window is built, at whatever place its shingles have in the item.  Shingles
-   meet by their hash in a broadcast join whose table is cut into slices of
-   bounded size; the places of a document then give the ranges of starts.
+   meet by their hash in one pass over the documents; the places of a document
+   then give the ranges of starts.
 2. SimHash.  Every distinct window gets a 64-bit fingerprint of its shingles,
    counted as often as they occur, and so does every item.
-3. Multi-index.  For radius ``r`` the fingerprint is cut into ``r + 1``
-   pieces; two that differ in at most ``r`` bits agree on at least one, so the
-   equi-join of windows and items of one length on (piece, value) misses none
-   within the radius; the rest is removed by the exact distance.
+3. Multi-index.  The fingerprint is cut into ``pieces``; two that differ in at
+   most ``radius`` bits have a piece that differs in at most ``radius //
+   pieces``, and every item lists the values so near to its own.  A pair that
+   reaches the threshold also shares one of the first few of its shingles in
+   order of their hashes (how few follows from the threshold), so an entry is
+   a piece's value together with one of those: windows and items without a
+   common shingle never meet, whatever their number.  The join of windows and
+   items of one length on these entries misses none within the radius; the
+   rest is removed by the exact distance.
 4. Verification.  Weighted shingle similarity of what remains: the sum of the
-   smaller counts over the sum of the larger ones, from the words themselves.
+   smaller counts over the sum of the larger ones, from the words themselves,
+   row by row.
 
 Distinct windows are fingerprinted and verified once, however many documents
 share them.
@@ -24,15 +31,16 @@ share them.
 
 from __future__ import annotations
 
-from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .common import col, fresh
+from .url_filter import _bits, bloom_blocks, build_filter
 
-SLICE_ROWS = 1_000_000  # rows of (shingle, length) broadcast at once
+BROADCAST_SHINGLES = 1_000_000  # rows of (shingle, length) up to which they are broadcast; more pass a Bloom filter and a shuffle
 BROADCAST_RANGES = 200_000  # ranges of starts up to which they are broadcast
 
 
@@ -41,12 +49,18 @@ def words_of(text: Column) -> Column:
 
 
 def shingle_hashes(words: Column, k: int) -> Column:
-    """Hashes of ``words``' shingles; ``words`` has at least ``k`` words."""
-    return F.transform(F.sequence(F.lit(0), F.size(words) - k), lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(k)]))
+    """Hashes of ``words``' shingles; fewer words than ``k`` are one shingle (a hash skips nulls)."""
+    return F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - k, F.lit(0))), lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(k)]))
 
 
 def shingles(words: Column, k: int) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.size(words) - k + 1), lambda i: F.array_join(F.slice(words, i, F.lit(k)), " "))
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - k + 1, F.lit(1))), lambda i: F.array_join(F.slice(words, i, F.lit(k)), " "))
+
+
+def _numbered(shingle: Column) -> Column:
+    """Shingles told apart by how often they occurred before."""
+    at = F.sort_array(shingle)
+    return F.transform(at, lambda x, i: F.concat(x, F.lit(" "), (i - F.array_position(at, x)).cast("string")))
 
 
 def simhash(hashes: Column) -> Column:
@@ -57,18 +71,51 @@ def simhash(hashes: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.lit(63)), F.lit(0).cast("long"), lambda acc, b: acc.bitwiseOR(bit(b)))
 
 
-def _pieces(fp: Column, radius: int) -> Column:
-    edge = [64 * i // (radius + 1) for i in range(radius + 2)]
+def _edges(pieces: int) -> list[int]:
+    return [64 * i // pieces for i in range(pieces + 1)]
+
+
+def _pieces(fp: Column, pieces: int) -> Column:
+    """(piece, value) of a fingerprint."""
+    edge = _edges(pieces)
     return F.array(*[F.struct(F.lit(i).alias("i"), F.shiftrightunsigned(fp, edge[i]).bitwiseAND(F.lit((1 << edge[i + 1] - edge[i]) - 1)).alias("v"))
-                     for i in range(radius + 1)])
+                     for i in range(pieces)])
+
+
+def _near_pieces(fp: Column, pieces: int, radius: int) -> Column:
+    """(piece, value) of all values that differ from the fingerprint's in at most ``radius // pieces`` bits."""
+    edge = _edges(pieces)
+    masks = [(i, sum(1 << b for b in bits)) for i in range(pieces) for d in range(radius // pieces + 1) for bits in combinations(range(edge[i + 1] - edge[i]), d)]
+    value = _pieces(fp, pieces)
+    return F.array(*[F.struct(F.lit(i).alias("i"), F.get(value, F.lit(i))["v"].bitwiseXOR(F.lit(m)).alias("v")) for i, m in masks])
+
+
+def _needed(window: Column, item: Column, threshold: float) -> Column:
+    """The least number of common shingles of a window and an item of so many that reach the threshold."""
+    return F.greatest(F.lit(1), F.ceil((window + item) * F.lit(threshold / (1 + threshold)) - F.lit(1e-9)).cast("int"))
+
+
+def _entries(pieces: Column, hashes: Column, first: Column) -> Column:
+    """Hashes of (length, piece, value, shingle) for the first shingles in order of their hashes."""
+    early = F.array_distinct(F.slice(F.sort_array(hashes), F.lit(1), first))
+    return F.flatten(F.transform(pieces, lambda p: F.transform(early, lambda h: F.xxhash64(F.col("n"), p["i"], p["v"], h))))
+
+
+def _similarity(window: Column, item: Column, shingle: int) -> Column:
+    """Weighted shingle similarity of two texts."""
+    a, b = shingles(window, shingle), shingles(item, shingle)
+    once = (F.size(F.array_distinct(a)) == F.size(a)) & (F.size(F.array_distinct(b)) == F.size(b))
+    both = F.when(once, F.size(F.array_intersect(a, b))).otherwise(F.size(F.array_intersect(_numbered(a), _numbered(b))))
+    return both / (F.size(a) + F.size(b) - both)
 
 
 def _starts(shingle: int, threshold: float) -> Column:
     """Ranges (lo, hi) of the starts whose window of ``n`` words has enough of
     the sorted places ``at`` in a text of ``size`` words: the similarity is at
     most ``held / (window + item - held)``.  The ranges don't overlap."""
-    window = F.least("size", "n") - (shingle - 1)
-    least = F.greatest(F.lit(1), F.ceil((window + F.col("n") - (shingle - 1)) * F.lit(threshold / (1 + threshold)) - F.lit(1e-9)).cast("int"))
+    width = lambda n: F.greatest(n - (shingle - 1), F.lit(1))
+    window = width(F.least("size", "n"))
+    least = _needed(window, width(F.col("n")), threshold)
     at = lambda i: F.get("at", i)
     # the first place in the window is the i-th, so the start lies after the one before; the last one needed lies in the window, too
     span = lambda i: F.struct(F.greatest(F.lit(0), at(i - 1) + 1, at(i + least - 1) - window + 1).alias("lo"),
@@ -77,74 +124,81 @@ def _starts(shingle: int, threshold: float) -> Column:
     return F.filter(F.coalesce(spans, F.array().cast("array<struct<lo:int,hi:int>>")), lambda r: r["lo"] <= r["hi"])
 
 
+def _shared_places(doc: DataFrame, item: DataFrame, shingle: int) -> DataFrame:
+    """``(id, text_hash, size, n, at)``: the places in a document, of ``size`` words, of shingles of items of ``n`` words."""
+    place, seen = cut_lineage(item.select("n", F.explode(shingle_hashes(F.col("w"), shingle)).alias("h")).distinct(), "item-shingles",
+                              {"rows": F.count(F.lit(1)), "short": F.sort_array(F.collect_set(F.when(F.col("n") < shingle, F.col("n"))))})
+    # one row per word, its shingles hashed in generated code; only rows that join leave it
+    word = doc.select("id", "text_hash", words_of(F.col("text")).alias("w")).select("id", "text_hash", "w", F.posexplode("w").alias("p", "word"))
+    starts = lambda k: F.when(F.col("p") <= F.size("w") - k, F.xxhash64("word", *[F.get("w", F.col("p") + j) for j in range(1, k)]))
+    short = seen["short"] or []  # lengths of items that are one shingle; few, if any
+    h = F.explode(F.array(*[starts(k) for k in [*short, shingle]])) if short else starts(shingle)
+    placed = word.select("id", "text_hash", F.size("w").alias("size"), "p", h.alias("h")).filter("h IS NOT NULL")
+    if seen["rows"] <= BROADCAST_SHINGLES:
+        shared = placed.join(F.broadcast(place), "h")
+    else:  # the documents are still read once: a filter of bounded size, then the exact join
+        blocks = bloom_blocks(seen["rows"], max_blocks=1 << 20)
+        block, masks = _bits(F.col("h"), F.col("h"), blocks)
+        passed = placed.withColumns({"block": block, **{f"m{i}": m for i, m in enumerate(masks)}}).join(
+            F.broadcast(build_filter(place.select("h").distinct(), "h", "h", blocks)), "block")
+        for i in range(len(masks)):
+            passed = passed.filter(F.col(f"w{i}").bitwiseAND(F.col(f"m{i}")) != 0)
+        shared = passed.select("id", "text_hash", "size", "p", "h").join(place, "h")
+    return shared.groupBy("id", "text_hash", "size", "n").agg(F.sort_array(F.collect_set("p")).alias("at"))
+
+
 def matched_windows(docs: DataFrame, items: DataFrame, id_col: str, text: str, item_id: str, item_text: str, shingle: int,
-                    threshold: float, radius: int) -> DataFrame:
+                    threshold: float, radius: int, pieces: int) -> DataFrame:
     """``(id, text_hash, item, similarity, distance, start, n)`` of windows that match."""
-    item = (items.select(col(item_id).alias("item"), words_of(col(item_text)).alias("w"))
-            .filter(F.size("w") >= shingle).withColumn("n", F.size("w")))
-    place = cut_lineage(item.select("n", F.explode(shingle_hashes(F.col("w"), shingle)).alias("h")).distinct(), "item-shingles")
-    slices = max(1, -(-place.count() // SLICE_ROWS))
-
-    # one row per word, its shingle hashed in generated code; only rows that join leave it
+    item = items.select(col(item_id).alias("item"), words_of(col(item_text)).alias("w")).filter(F.size("w") > 0).withColumn("n", F.size("w"))
     doc = docs.filter(col(text).isNotNull()).select(col(id_col).alias("id"), F.xxhash64(col(text)).alias("text_hash"), col(text).alias("text"))
-    placed = (doc.select("id", "text_hash", words_of(F.col("text")).alias("w")).select("id", "text_hash", "w", F.posexplode("w").alias("p", "word"))
-              .filter(F.col("p") <= F.size("w") - shingle)
-              .withColumn("h", F.xxhash64(F.col("word"), *[F.get("w", F.col("p") + j) for j in range(1, shingle)])))
-    shared = reduce(DataFrame.unionByName, [
-        placed.join(F.broadcast(place.filter(F.pmod("h", F.lit(slices)) == i)), "h").select("id", "text_hash", F.size("w").alias("size"), "n", "p")
-        for i in range(slices)])
-    shared = shared.groupBy("id", "text_hash", "size", "n").agg(F.sort_array(F.collect_set("p")).alias("at"))
-    ranges, seen = cut_lineage(shared.select("id", "text_hash", "n", _starts(shingle, threshold).alias("ranges")).filter(F.size("ranges") > 0),
-                               "window-starts", {"n": F.sum(F.size("ranges"))})
+    ranges, seen = cut_lineage(_shared_places(doc, item, shingle).select("id", "text_hash", "n", _starts(shingle, threshold).alias("ranges"))
+                               .filter(F.size("ranges") > 0), "window-starts", {"n": F.sum(F.size("ranges"))})
     ranges = ranges.toDF("r_id", "r_hash", "n", "ranges").hint("broadcast" if (seen["n"] or 0) <= BROADCAST_RANGES else "shuffle_hash")
     found = (doc.join(ranges, F.col("id").eqNullSafe(F.col("r_id")) & (F.col("text_hash") == F.col("r_hash")))
              .select("id", "text_hash", "n", words_of(F.col("text")).alias("w"), F.explode("ranges").alias("r"))
              .select("id", "text_hash", "n", "w", F.explode(F.sequence("r.lo", "r.hi")).alias("start"))
-             .select("id", "text_hash", "n", "start", F.array_join(F.slice("w", F.col("start") + 1, F.col("n")), " ").alias("window")))
-    found = cut_lineage(found.distinct(), "windows")
+             .select("id", "text_hash", "n", "start", F.array_join(F.slice("w", F.col("start") + 1, F.col("n")), " ").alias("window"))
+             .withColumns({"k1": F.xxhash64("n", "window"), "k2": F.xxhash64(F.lit(1), "window", "n")}))
+    found = cut_lineage(found, "windows")
 
-    # distinct windows and items: fingerprints, then candidates that agree on a piece
-    hashes = shingle_hashes(F.split("window", " "), shingle)
-    window = found.select("n", "window").distinct().withColumn("hashes", hashes).select("n", "window", simhash(F.col("hashes")).alias("fp"))
+    # distinct windows and items: fingerprints, then candidates that share an entry of the index
+    window = (found.groupBy("n", "k1", "k2").agg(F.first("window").alias("window")).withColumn("hashes", shingle_hashes(F.split("window", " "), shingle))
+              .withColumn("fp", simhash(F.col("hashes"))))
     window = cut_lineage(window, "window-fingerprints")  # else the plan works them out once per piece
-    item = item.withColumn("hashes", shingle_hashes(F.col("w"), shingle)).select(
-        "item", "n", F.array_join("w", " ").alias("item_words"), simhash(F.col("hashes")).alias("item_fp"))
-    item = cut_lineage(item, "items")
-    known = item.select("n", "item_words", "item_fp").distinct()
-    a = window.select("n", "window", "fp", F.explode(_pieces(F.col("fp"), radius)).alias("piece"))
-    b = known.select("n", "item_words", "item_fp", F.explode(_pieces(F.col("item_fp"), radius)).alias("piece"))
+    known = (item.withColumn("item_words", F.array_join("w", " ")).select("n", "item_words", shingle_hashes(F.col("w"), shingle).alias("hashes")).distinct()
+             .withColumn("item_fp", simhash(F.col("hashes"))))
+    known = cut_lineage(known, "items")
+    size, full = F.size("hashes"), F.greatest(F.col("n") - (shingle - 1), F.lit(1))
+    a = window.select("n", "k1", "k2", "fp", F.explode(_entries(_pieces(F.col("fp"), pieces), F.col("hashes"), size - _needed(size, full, threshold) + 1)).alias("e"))
+    # (the shortest window that can match, a whole document, needs the most of the item's first shingles)
+    low = _needed(F.ceil(size * F.lit(threshold) - F.lit(1e-9)), size, threshold)
+    b = known.select(F.col("n").alias("b_n"), "n", "item_words", "item_fp",
+                     F.explode(_entries(_near_pieces(F.col("item_fp"), pieces, radius), F.col("hashes"), size - low + 1)).alias("e"))
     distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
-    candidate = (a.join(b, ["n", "piece"]).withColumn("distance", distance).filter(F.col("distance") <= radius)
-                 .select("n", "window", "item_words", "distance").distinct())
-    candidate = cut_lineage(candidate, "candidates")
-
-    # weighted similarity from the shingles themselves
-    def counted(df: DataFrame, name: str, count: str) -> DataFrame:
-        return (df.select(name).distinct().select(name, F.explode(shingles(F.split(name, " "), shingle)).alias("s"))
-                .groupBy(name, "s").agg(F.count(F.lit(1)).alias(count)))
-
-    both = (candidate.select("window", "item_words").distinct().join(counted(candidate, "window", "c"), "window")
-            .join(counted(candidate, "item_words", "d"), ["item_words", "s"])
-            .groupBy("window", "item_words").agg(F.sum(F.least("c", "d")).alias("common")))
-    size = lambda c: F.size(F.split(c, " ")) - (shingle - 1)
-    similarity = F.col("common") / (size("window") + size("item_words") - F.col("common"))
-    verified = (candidate.join(both, ["window", "item_words"]).withColumn("similarity", similarity)
-                .filter(F.col("similarity") >= threshold).select("n", "window", "item_words", "distance", "similarity"))
-    named = verified.join(item.select("item", "item_words"), "item_words").select("n", "window", "item", "distance", "similarity")
-    return found.join(named, ["n", "window"]).select("id", "text_hash", "item", "similarity", "distance", "start", "n")
+    candidate = (a.join(b.drop("n"), "e").filter(F.col("n") == F.col("b_n")).withColumn("distance", distance).filter(F.col("distance") <= radius)
+                 .select("n", "k1", "k2", "item_words", "distance").distinct())
+
+    # weighted similarity from the words themselves
+    verified = (candidate.join(window.select("n", "k1", "k2", "window"), ["n", "k1", "k2"])
+                .withColumn("similarity", _similarity(F.split("window", " "), F.split("item_words", " "), shingle))
+                .filter(F.col("similarity") >= threshold).select("n", "k1", "k2", "item_words", "distance", "similarity"))
+    named = verified.join(item.select("item", F.array_join("w", " ").alias("item_words")).distinct(), "item_words").select("n", "k1", "k2", "item", "distance", "similarity")
+    return found.drop("window").join(named, ["n", "k1", "k2"]).select("id", "text_hash", "item", "similarity", "distance", "start", "n")
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text", item_id: str = "item_id",
-                 item_text: str = "text", shingle: int = 5, threshold: float = 0.8, radius: int = 20) -> DataFrame:
+                 item_text: str = "text", shingle: int = 5, threshold: float = 0.8, radius: int = 20, pieces: int = 11) -> DataFrame:
     """``(id, text_hash, item, similarity, distance, start, n_words)``: for
     each document text and item that match, the best window (the highest
     similarity, then the first).
 
     ``text_hash`` tells rows of a repeated id apart; equal rows give one
-    result.  Texts and items that are null or have fewer than ``shingle``
-    words match nothing; a null item id is reported as null.
+    result.  Texts and items that are null or have no words match nothing; an
+    item of fewer than ``shingle`` words matches where they stand in a
+    document, in a row.  A null item id is reported as null.
     """
-    hit = matched_windows(docs, items, id_col, text, item_id, item_text, shingle, threshold, radius)
+    hit = matched_windows(docs, items, id_col, text, item_id, item_text, shingle, threshold, radius, pieces)
     best = F.max_by(F.struct("similarity", "distance", "start", F.col("n").alias("n_words")), F.struct("similarity", -F.col("start")))
     return (hit.groupBy("id", "text_hash", "item").agg(best.alias("b"))
             .select("id", "text_hash", "item", "b.similarity", "b.distance", "b.start", "b.n_words"))

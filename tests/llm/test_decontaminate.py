@@ -20,12 +20,12 @@ def brute(docs, items, k=5):
         w = words(t)
         for i, it in enumerate(items):
             v = words(it)
-            if len(v) < k or len(w) < k:
+            if not v or not w:
                 continue
-            b = Counter(tuple(v[j:j + k]) for j in range(len(v) - k + 1))
+            b = Counter(tuple(v[j:j + k]) for j in range(max(len(v) - k + 1, 1)))
             n = min(len(v), len(w))
             for s in range(len(w) - n + 1):
-                a = Counter(tuple(w[s + j:s + j + k]) for j in range(n - k + 1))
+                a = Counter(tuple(w[s + j:min(s + j + k, s + n)]) for j in range(max(n - k + 1, 1)))
                 same = sum((a & b).values())
                 sim = same / sum((a | b).values())
                 if sim >= 0.8 and sim > out.get((d, i), 0):
@@ -101,7 +101,7 @@ def test_joined_ranges_change_nothing(spark, monkeypatch):
     assert want and sorted(map(repr, D.contaminated(df, bench).collect())) == want
 
 
-def test_slices_and_shuffled_list_change_nothing(spark, monkeypatch):
+def test_filtered_shingles_and_shuffled_list_change_nothing(spark, monkeypatch):
     docs, items = table(random.Random(4))
     docs = docs[:60]
     df = spark.createDataFrame([(i % 7 or None, t) for i, t in enumerate(docs)], "doc_id long, text string")
@@ -109,10 +109,39 @@ def test_slices_and_shuffled_list_change_nothing(spark, monkeypatch):
     want = sorted(r["text"] or "" for r in D.decontaminate(df, bench).collect())
     hit = {d for d, _ in brute(docs, items)}
     assert want == sorted(t or "" for i, t in enumerate(docs) if i not in hit)
-    monkeypatch.setattr(D, "SLICE_ROWS", 50)
+    monkeypatch.setattr(D, "BROADCAST_SHINGLES", 50)
     assert sorted(r["text"] or "" for r in D.decontaminate(df, bench, broadcast_rows=0).collect()) == want
 
 
+def test_index_entries_miss_no_pair_within_radius(spark):
+    rng = random.Random(6)
+    pairs = []
+    for _ in range(200):
+        a = rng.getrandbits(64)
+        b = a
+        for bit in rng.sample(range(64), rng.randint(0, 20)):
+            b ^= 1 << bit
+        pairs.append([x - (1 << 64) if x >> 63 else x for x in (a, b)])
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame(pairs, "a long, b long")
+    assert df.filter(F.arrays_overlap(D._pieces(F.col("a"), 11), D._near_pieces(F.col("b"), 11, 20))).count() == len(pairs)
+
+
+def test_candidates_grow_with_the_matches_only(spark, monkeypatch):
+    rng = random.Random(8)
+    seen = []
+    for n in (60, 240):
+        text = lambda: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(20))
+        items = [text() for _ in range(n)]
+        docs = [text() + " " + it + " " + text() for it in items]
+        monkeypatch.setattr(D, "_similarity", lambda *a: seen.append(n) or D.F.lit(1.0))
+        hits = D.contaminated(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"),
+                              spark.createDataFrame(list(enumerate(items)), "item_id long, text string"))
+        # every candidate counts as a match here: only an item and its own document are one
+        assert {(r["id"], r["item"]) for r in hits.collect()} == {(i, i) for i in range(n)}
+    assert seen
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     bench = spark.createDataFrame([(1, "one two three four five six")], "item_id long, text string")
