@@ -35,6 +35,13 @@ def col(name: str) -> Column:
     return F.col(quoted(name))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is worked out once, also where ``body`` uses
+    it in a function over array elements (a plain expression would be worked
+    out again for every element)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def with_text(df: DataFrame, text: str, replaced: tuple[str, ...], keep: Sequence[str] | None) -> tuple[DataFrame, list[str], int]:
     """The columns of ``df`` to pass on (``keep``, or all, but not those
     ``replaced``), and the place of ``text`` as a string: its own column where

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import col, fresh
+from .common import col, fresh, let
 from .url_filter import _bits, bloom_blocks, build_filter
 
 BROADCAST_SHINGLES = 1_000_000  # rows of (shingle, length) up to which they are broadcast; more pass a Bloom filter and a shuffle
@@ -50,17 +50,18 @@ def words_of(text: Column) -> Column:
 
 def shingle_hashes(words: Column, k: int) -> Column:
     """Hashes of ``words``' shingles; fewer words than ``k`` are one shingle (a hash skips nulls)."""
-    return F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - k, F.lit(0))), lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(k)]))
+    return let(words, lambda w: F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - k, F.lit(0))),
+                                            lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(k)])))
 
 
 def shingles(words: Column, k: int) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - k + 1, F.lit(1))), lambda i: F.array_join(F.slice(words, i, F.lit(k)), " "))
+    return let(words, lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - k + 1, F.lit(1))),
+                                            lambda i: F.array_join(F.slice(w, i, F.lit(k)), " ")))
 
 
 def _numbered(shingle: Column) -> Column:
     """Shingles told apart by how often they occurred before."""
-    at = F.sort_array(shingle)
-    return F.transform(at, lambda x, i: F.concat(x, F.lit(" "), (i - F.array_position(at, x)).cast("string")))
+    return let(F.sort_array(shingle), lambda at: F.transform(at, lambda x, i: F.concat(x, F.lit(" "), (i - F.array_position(at, x)).cast("string"))))
 
 
 def simhash(hashes: Column) -> Column:
@@ -86,8 +87,8 @@ def _near_pieces(fp: Column, pieces: int, radius: int) -> Column:
     """(piece, value) of all values that differ from the fingerprint's in at most ``radius // pieces`` bits."""
     edge = _edges(pieces)
     masks = [(i, sum(1 << b for b in bits)) for i in range(pieces) for d in range(radius // pieces + 1) for bits in combinations(range(edge[i + 1] - edge[i]), d)]
-    value = _pieces(fp, pieces)
-    return F.array(*[F.struct(F.lit(i).alias("i"), F.get(value, F.lit(i))["v"].bitwiseXOR(F.lit(m)).alias("v")) for i, m in masks])
+    return let(_pieces(fp, pieces), lambda own: F.array(*[
+        F.struct(F.lit(i).alias("i"), F.get(own, F.lit(i))["v"].bitwiseXOR(F.lit(m)).alias("v")) for i, m in masks]))
 
 
 def _needed(window: Column, item: Column, threshold: float) -> Column:
@@ -98,15 +99,17 @@ def _needed(window: Column, item: Column, threshold: float) -> Column:
 def _entries(pieces: Column, hashes: Column, first: Column) -> Column:
     """Hashes of (length, piece, value, shingle) for the first shingles in order of their hashes."""
     early = F.array_distinct(F.slice(F.sort_array(hashes), F.lit(1), first))
-    return F.flatten(F.transform(pieces, lambda p: F.transform(early, lambda h: F.xxhash64(F.col("n"), p["i"], p["v"], h))))
+    return let(pieces, lambda at: F.flatten(F.transform(early, lambda h: F.transform(at, lambda p: F.xxhash64(F.col("n"), p["i"], p["v"], h)))))
 
 
 def _similarity(window: Column, item: Column, shingle: int) -> Column:
     """Weighted shingle similarity of two texts."""
-    a, b = shingles(window, shingle), shingles(item, shingle)
-    once = (F.size(F.array_distinct(a)) == F.size(a)) & (F.size(F.array_distinct(b)) == F.size(b))
-    both = F.when(once, F.size(F.array_intersect(a, b))).otherwise(F.size(F.array_intersect(_numbered(a), _numbered(b))))
-    return both / (F.size(a) + F.size(b) - both)
+    def of(ab: Column) -> Column:
+        a, b = ab["a"], ab["b"]
+        once = (F.size(F.array_distinct(a)) == F.size(a)) & (F.size(F.array_distinct(b)) == F.size(b))
+        both = F.when(once, F.size(F.array_intersect(a, b))).otherwise(F.size(F.array_intersect(_numbered(a), _numbered(b))))
+        return both / (F.size(a) + F.size(b) - both)
+    return let(F.struct(shingles(window, shingle).alias("a"), shingles(item, shingle).alias("b")), of)
 
 
 def _starts(shingle: int, threshold: float) -> Column:

@@ -17,11 +17,23 @@ u AS (
 f AS (
     SELECT *, first_value(doc_id) OVER w AS kept_id, first_value(s) OVER w AS kept_s, row_number() OVER w AS nth
     FROM u WINDOW w AS (PARTITION BY norm ORDER BY rid, unit)),
-r AS (SELECT *, unit - row_number() OVER (PARTITION BY rid ORDER BY unit) AS run FROM f WHERE nth > 1)
+l AS (
+    SELECT rid, generate_subscripts(string_split(text, chr(10)), 1) AS line_no, unnest(string_split(text, chr(10))) AS line FROM d),
+lo AS (
+    SELECT *, sum(length(line) + 1) OVER (PARTITION BY rid ORDER BY line_no) AS line_end,
+        trim(regexp_replace(lower(line), '\s+', ' ', 'g'), ' ') AS line_norm FROM l),
+ln AS (
+    SELECT rid, line_end - length(line) - 1 AS line_start, line_end,
+        row_number() OVER (PARTITION BY line_norm ORDER BY rid, line_no) AS nth FROM lo WHERE line_norm <> ''),
+m AS (
+    SELECT f.*, ln.nth > 1 AS whole FROM f JOIN ln ON ln.rid = f.rid AND f.s >= ln.line_start AND f.s < ln.line_end WHERE f.nth > 1),
+r AS (SELECT *, unit - row_number() OVER (PARTITION BY rid ORDER BY unit) AS run FROM m),
+long AS (SELECT *, sum(words) OVER (PARTITION BY rid, run) >= 15 AS long FROM r),
+k AS (SELECT *, unit - row_number() OVER (PARTITION BY rid ORDER BY unit) AS part FROM long WHERE long OR whole)
 SELECT any_value(doc_id) AS doc_id, CAST(min(s) AS INTEGER) AS start_char, CAST(max(e) AS INTEGER) AS end_char,
     CAST(count(*) AS INTEGER) AS n_units, CAST(sum(words) AS INTEGER) AS n_words,
     arg_min(kept_id, unit) AS kept_doc_id, CAST(arg_min(kept_s, unit) AS INTEGER) AS kept_start_char
-FROM r GROUP BY rid, run HAVING sum(words) >= 15
+FROM k GROUP BY rid, part
 """
 
 ORACLE_SQL["op2_url_filter"] = """
@@ -48,11 +60,10 @@ lines AS (
     SELECT rid, source, unnest(string_split(text, chr(10))) AS line,
         generate_subscripts(string_split(text, chr(10)), 1) AS k FROM pages_ WHERE text IS NOT NULL),
 clean AS (SELECT *, trim(regexp_replace(line, '[ \t\r\f]+', ' ', 'g'), ' ') AS c FROM lines),
-total AS (SELECT source, count(DISTINCT text) + max(CAST(text IS NULL AS INTEGER)) AS n FROM documents GROUP BY source),
+total AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 share AS (
-    SELECT source, c FROM clean JOIN pages_ USING (rid, source) WHERE c <> '' AND source IS NOT NULL
-    GROUP BY source, c
-    HAVING count(DISTINCT text) >= 3 AND count(DISTINCT text) > 0.2 * (SELECT n FROM total t WHERE t.source = clean.source)),
+    SELECT source, c FROM clean WHERE c <> '' AND source IS NOT NULL GROUP BY source, c
+    HAVING count(DISTINCT rid) > 0.2 * (SELECT n FROM total t WHERE t.source = clean.source)),
 marked AS (SELECT clean.*, share.c IS NOT NULL AS gone FROM clean LEFT JOIN share ON clean.source = share.source AND clean.c = share.c),
 built AS (
     SELECT rid, coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (WHERE NOT gone), '') AS text,

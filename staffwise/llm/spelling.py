@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, drop_cut
-from .common import col
+from .common import col, let
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -40,12 +40,13 @@ def ascii_lower(text: Column) -> Column:
 def _bits(word: Column, cells: int) -> Column:
     """The word's dimensions in order: (letter, occurrence, cell they are dealt to)."""
     places = F.when(F.length(word) > 0, F.sequence(F.lit(1), F.length(word))).otherwise(F.array().cast("array<int>"))
-    letters = F.sort_array(F.transform(places, lambda i: F.substring(word, i, F.lit(1))))
 
-    def bit(c: Column, i: Column) -> Column:
-        nth = i - F.array_position(letters, c).cast("int")
-        return F.struct(c.alias("c"), nth.alias("k"), F.pmod(F.xxhash64(c, nth), F.lit(cells)).cast("int").alias("cell"))
-    return F.transform(letters, bit)
+    def bits(letters: Column) -> Column:
+        def bit(c: Column, i: Column) -> Column:
+            nth = i - F.array_position(letters, c).cast("int")
+            return F.struct(c.alias("c"), nth.alias("k"), F.pmod(F.xxhash64(c, nth), F.lit(cells)).cast("int").alias("cell"))
+        return F.transform(letters, bit)
+    return let(F.sort_array(F.transform(places, lambda i: F.substring(word, i, F.lit(1)))), bits)
 
 
 def signatures(words: DataFrame, n1: int = 1, n2: int = 4) -> DataFrame:
@@ -53,7 +54,7 @@ def signatures(words: DataFrame, n1: int = 1, n2: int = 4) -> DataFrame:
     if n1 < 1 or n2 <= 2 // n1:
         raise ValueError("n2 must exceed 2 // n1")
     piece = lambda cell: F.xxhash64(F.transform(F.filter("bits", lambda b: b["cell"] == cell), lambda b: F.struct(b["c"], b["k"])))
-    pieces = [piece(c) for c in range(n1 * n2)]
+    pieces = [piece(c) for c in range(n1 * n2)]  # (of a written table: an expression would be worked out for each)
     size = F.col("m")
     made = []
     for radius, longer in ((2, size), (1, size), (1, size + 1)):  # pairs of one length; pairs whose longer, whose shorter word this is
@@ -61,8 +62,8 @@ def signatures(words: DataFrame, n1: int = 1, n2: int = 4) -> DataFrame:
         for side, part in enumerate((F.substring("word", F.lit(1), half), F.substring("word", size - half + 1, half))):
             made += [F.xxhash64(F.lit(radius), longer, F.lit(side), part, F.lit(i), *[F.lit(j) for j in s], *[F.get("pieces", F.lit(i * n2 + j)) for j in s])
                      for i in range(n1) for s in combinations(range(n2), n2 - radius // n1)]
-    return (words.select("word", "n", F.length("word").alias("m"), _bits(F.col("word"), n1 * n2).alias("bits"))
-            .select("word", "n", "m", F.array(*pieces).alias("pieces"))
+    bits = cut_lineage(words.select("word", "n", F.length("word").alias("m"), _bits(F.col("word"), n1 * n2).alias("bits")), "bits")
+    return (cut_lineage(bits.select("word", "n", "m", F.array(*pieces).alias("pieces")), "pieces")
             .select("word", "n", F.explode(F.array(*made)).alias("sig")))
 
 

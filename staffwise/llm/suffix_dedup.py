@@ -36,12 +36,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut_lineage
-from .common import col, fresh
+from .common import col, fresh, let
 
 GRAM = 128  # bytes of an anchor; a third of a window or so
 GROUP_PIECES = 2_000  # different pieces of one anchor that a block takes whole
@@ -359,8 +359,11 @@ def remove_repeated_bytes(df: DataFrame, id_col: str = "doc_id", text: str = "te
     cut = repeated_bytes(texts, length, gram, group_pieces).toDF(tid, found)
     joined = df.join(cut, F.unhex(F.md5(raw)) == F.col(tid), "left")
     gone = F.col(found)
-    begins = F.concat(F.array(F.lit(0).cast("long")), F.transform(gone, lambda s: s["end"]))
-    ends = F.concat(F.transform(gone, lambda s: s["start"]), F.array(F.octet_length(col(text).cast("string")).cast("long")))
-    left = F.unhex(F.array_join(F.zip_with(begins, ends, lambda x, y: F.hex(F.substring(raw, (x + 1).cast("int"), (y - x).cast("int")))), ""))
+
+    def others(data: Column) -> Column:  # the bytes between two spans
+        begins = F.concat(F.array(F.lit(0).cast("long")), F.transform(gone, lambda s: s["end"]))
+        ends = F.concat(F.transform(gone, lambda s: s["start"]), F.array(F.octet_length(data).cast("long")))
+        return F.unhex(F.array_join(F.zip_with(begins, ends, lambda x, y: F.hex(F.substring(data, (x + 1).cast("int"), (y - x).cast("int")))), ""))
+    left = let(raw, others)
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
     return joined.select(*[col(n) for n in names], F.coalesce(gone, none).alias(spans), F.when(gone.isNull(), raw).otherwise(left).alias(kept))

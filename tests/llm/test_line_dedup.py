@@ -15,9 +15,10 @@ def clean(line):
     return "".join(out).strip(" ")
 
 
-def brute(rows, ratio, least):
-    total, seen = Counter(h for h, _ in set(rows)), Counter()
-    for h, t in set(rows):  # rows of a host with equal texts are one page
+def brute(rows, ratio, least=1, once=False):
+    pages = set(rows) if once else rows
+    total, seen = Counter(h for h, _ in pages), Counter()
+    for h, t in pages:
         if h is not None and t is not None:
             seen.update((h, x) for x in {clean(line) for line in t.split("\n")} if x)
     out = []
@@ -42,9 +43,26 @@ def test_matches_a_loop(spark):
         rows.append((h, rng.choice(["\n", "\n\n", " \n"]).join(body)))
     rows += rows[20:30] + [("b", "a page\ntaken often")] * 90
     df = spark.createDataFrame([(i, h, t, "z", "y") for i, (h, t) in enumerate(rows)], "doc_id long, source string, text string, host string, N_Removed string").repartition(3)
-    for ratio, least in ((0.2, 3), (0.0, 1), (1.0, 1)):
-        got = sorted(line_dedup(df, max_ratio=ratio, min_pages=least).collect())
-        want = brute(rows, ratio, least)
+    for options in ({}, {"max_ratio": 0.2, "min_pages": 3, "equal_texts_once": True}, {"max_ratio": 0.0}, {"max_ratio": 1.0}):
+        got = sorted(line_dedup(df, **options).collect())
+        want = brute(rows, options.get("max_ratio", 0.2), options.get("min_pages", 1), options.get("equal_texts_once", False))
         assert [(r["text"], r["n_removed"]) for r in got] == want
     assert line_dedup(df, removed=None).columns == df.columns
     assert line_dedup(df.limit(0)).count() == 0
+
+
+def test_pages_are_counted_not_texts(spark):
+    rows = [("h", "head\nown")] * 40 + [("h", f"page {i}") for i in range(60)] + [("two", "x\ny"), ("two", "x\nz")]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, source string, text string")
+    got = {(r["source"], r["n_removed"]) for r in line_dedup(df, max_ratio=0.5).collect()}
+    assert got == {("h", 0), ("two", 1)}
+    assert line_dedup(df, max_ratio=0.2).filter("source = 'h' AND n_removed = 2 AND text = ''").count() == 40
+
+
+def test_a_page_of_many_boilerplate_lines(spark, monkeypatch):
+    from staffwise.llm import line_dedup as L
+    monkeypatch.setattr(L, "BROADCAST_LINES", 10)
+    body = "\n".join(f"line {i}" for i in range(20_000))
+    df = spark.createDataFrame([(1, "h", body + "\n\nmine"), (2, "h", "\n" + body), (3, "h", "other")], "doc_id long, source string, text string")
+    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in line_dedup(df, max_ratio=0.5).collect()}
+    assert got == {1: ("\nmine", 20_000), 2: ("", 20_000), 3: ("other", 0)}
