@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Date formats tried, in order, when a column's format is not
@@ -64,6 +64,53 @@ def parse_date(c: Column | str, formats: Sequence[str] = DEFAULT_FORMATS) -> Col
     return tries[0] if len(tries) == 1 else F.coalesce(*tries)
 
 
+# Formats that a column's dates are tried in by vote, in order of preference.
+VOTED_FORMATS = (DAY_FIRST, "MM/dd/yyyy", ISO, "d-MMM-yy", "d MMM yyyy")
+
+
+def format_votes(df: DataFrame, columns: Sequence[str], by: str = "_file", formats: Sequence[str] = VOTED_FORMATS) -> DataFrame:
+    """``(by, column, format, n_values, n_read, chosen, tie)``: how many values of
+    each text column each format reads strictly, per file (D2).
+
+    One aggregate; the format that reads the most values is chosen (ties: the
+    first of ``formats``, with ``tie`` set on all that read as many), none
+    where no format reads any.  Null and blank values don't vote.
+    """
+    q = lambda c: F.col(f"`{c}`")
+    text = {c: F.nullif(F.trim(q(c)), F.lit("")) for c in columns}
+    aggs = []
+    for i, c in enumerate(columns):
+        aggs.append(F.count(text[c]).alias(f"n{i}"))
+        aggs += [F.count(parse_date(text[c], [f])).alias(f"r{i}_{j}") for j, f in enumerate(formats)]
+    rows = []
+    for i, c in enumerate(columns):
+        read = [F.col(f"r{i}_{j}") for j in range(len(formats))]
+        best = F.greatest(*read) if len(read) > 1 else read[0]
+        first = F.array_position(F.array(*read), best)
+        many = F.size(F.filter(F.array(*read), lambda r: r == best)) > 1
+        rows += [F.struct(F.lit(c).alias("column"), F.lit(f).alias("format"), F.col(f"n{i}").alias("n_values"), read[j].alias("n_read"),
+                          ((best > 0) & (first == j + 1)).alias("chosen"), ((best > 0) & (read[j] == best) & many).alias("tie"))
+                 for j, f in enumerate(formats)]
+    return df.groupBy(q(by).alias(by)).agg(*aggs).select(by, F.inline(F.array(*rows)))
+
+
+def parse_by_vote(df: DataFrame, columns: Sequence[str], by: str = "_file", formats: Sequence[str] = VOTED_FORMATS,
+                  votes: DataFrame | None = None) -> DataFrame:
+    """``df`` with its text ``columns`` as dates, each read by the one format that
+    :func:`format_votes` (or the given ``votes``) chose for it in its file; other values become null."""
+    votes = format_votes(df, columns, by, formats) if votes is None else votes
+    pick = [F.max(F.when(F.col("chosen") & (F.col("column") == c), F.col("format"))).alias(f"__f{i}") for i, c in enumerate(columns)]
+    per = votes.groupBy(F.col(f"`{by}`").alias("__by")).agg(*pick)
+    joined = df.join(per, F.col(f"`{by}`").eqNullSafe(F.col("__by")), "left")
+    out = {}
+    for i, c in enumerate(columns):
+        read = F.lit(None).cast("date")
+        for f in formats:
+            read = F.when(F.col(f"__f{i}") == f, parse_date(F.col(f"`{c}`"), [f])).otherwise(read)
+        out[c] = read
+    return joined.select(*[out[c].alias(c) if c in out else F.col(f"`{c}`") for c in df.columns])
+
+
 def parse_timestamp(c: Column | str, formats: Sequence[str]) -> Column:
     tries = _try_formats(F.trim(_c(c)), formats)
     return tries[0] if len(tries) == 1 else F.coalesce(*tries)

@@ -12,8 +12,11 @@ the row-count and byte checks of :func:`bounded_broadcast` when asked for.
 
 from __future__ import annotations
 
+import datetime as dt
+import time
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -159,3 +162,59 @@ def enrich_distinct(df: DataFrame, key: str, resolver: Callable, schema: T.Struc
     if drop_unresolved and extra:
         resolved = resolved.filter(" OR ".join(f"`{c}` IS NOT NULL" for c in extra))
     return df.join(resolved, on=key, how="inner" if drop_unresolved else "left")
+
+
+def resolve_keys(keys: DataFrame, key: str, resolver: Callable, schema: T.StructType, store: str, tries: int = 3, pause: float = 1.0,
+                 calls: int = 10, again: Sequence[str] = ()) -> DataFrame:
+    """Answers for the distinct ``keys``, kept in the parquet folder ``store``.
+
+    Keys that the store has an answer for are not asked again; the others are
+    split over ``calls`` tasks, so no more than that many calls run at a time
+    in the whole cluster.  ``resolver(value)`` returns a dict of the fields of
+    ``schema`` (None: there is no answer) and may raise; a raise is tried again after
+    ``pause`` seconds, ``tries`` times in all.  The store gets one row per new
+    key: ``key``, the fields, ``status`` (``found``, ``none`` or ``failed``),
+    ``tries``, ``error`` and ``at``.  ``again`` names statuses to ask anew,
+    for instance ``["failed"]``; the latest row of a key counts.
+
+    Returns the store's latest rows for ``keys``.  Null keys are left out.  A
+    task that is lost asks its keys again; what was written before stays.
+    """
+    spark = keys.sparkSession
+    wanted = keys.select(F.col(key).alias("key")).filter("key IS NOT NULL").distinct()
+    full = T.StructType([T.StructField("key", wanted.schema["key"].dataType), *schema.fields,
+                         *[T.StructField(n, t) for n, t in (("status", T.StringType()), ("tries", T.IntegerType()), ("error", T.StringType()), ("at", T.TimestampType()))]])
+    fields = schema.names
+
+    def ask(value):
+        error = None
+        for n in range(1, tries + 1):
+            try:
+                got = resolver(value)
+                return [*[(got or {}).get(f) for f in fields], "none" if got is None else "found", n, None]
+            except Exception as exc:  # noqa: BLE001  (a failing key is reported, not the end of the run)
+                error = f"{type(exc).__name__}: {exc}"
+                if n < tries:
+                    time.sleep(pause)
+        return [*[None] * len(fields), "failed", tries, error]
+
+    def run(batches):
+        for pdf in batches:
+            rows = [[v, *ask(v), dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)] for v in pdf["key"].tolist()]
+            yield pd.DataFrame(rows, columns=full.names)
+
+    path = spark._jvm.org.apache.hadoop.fs.Path(store)
+    exists = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    new = wanted
+    if exists:
+        known = _latest_answers(spark.read.schema(full).parquet(store)).filter(~F.col("status").isin(list(again)))
+        new = wanted.join(known, "key", "left_anti")
+    answers = new.repartition(calls).mapInPandas(run, full)
+    answers.write.mode("append").parquet(store)
+    return _latest_answers(spark.read.schema(full).parquet(store)).join(wanted, "key", "left_semi")
+
+
+def _latest_answers(store: DataFrame) -> DataFrame:
+    rest = [c for c in store.columns if c != "key"]
+    last = store.groupBy("key").agg(F.max_by(F.struct(*rest), F.struct("at", "tries")).alias("a"))
+    return last.select("key", *[F.col(f"a.`{c}`").alias(c) for c in rest])

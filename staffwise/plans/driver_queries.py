@@ -15,6 +15,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import dates as D
 from ..functions import flags as FL
@@ -27,12 +28,13 @@ from ..operators import joins as J
 from ..operators import reshape as R
 from ..operators import rules as Q
 from ..operators import windows as W
-from ..operators.contract import DateSpec, all_strings, apply_contract
-from ..operators.diff import snapshot_diff
+from ..operators.contract import DateSpec, all_strings, apply_contract, inferred_types
+from ..operators.diff import aligned_diff, snapshot_diff
 from ..operators.hierarchy import layer_depth
 from ..operators.ordering import By
 from ..session import scratch_path
-from ..sources.json import read_pages, read_records
+from ..sources.delimited import load_delimited
+from ..sources.json import page_chains, read_pages, read_records
 from ..sources.tables import parquet_table
 
 
@@ -198,6 +200,7 @@ def canonical_ids(spark, sf):
            .when(F.col("p_partkey") % 5 == 1, F.concat(k, F.lit(".0")))
            .when(F.col("p_partkey") % 5 == 2, F.concat(k, F.lit(".5")))
            .when(F.col("p_partkey") % 5 == 3, F.concat(F.lit(" "), k, F.lit(" ")))
+           .when(F.col("p_partkey") % 25 == 4, F.concat((F.lit(2**53 + 1) + F.col("p_partkey")).cast("string"), F.lit(".0")))
            .otherwise(F.col("p_name")))
     return p.select("p_partkey", raw.alias("raw")).withColumn("canonical", canonical_id("raw"))
 
@@ -358,8 +361,9 @@ def contract_typing(spark, sf):
         F.when(F.col("l_linenumber") == 5, F.lit("31/02/1999")).otherwise(F.date_format("l_shipdate", "dd/MM/yyyy")).alias("ship"),
         F.when(F.col("l_linenumber") == 6, F.lit("yes")).otherwise(F.lit("FALSE")).alias("flag"),
         "l_linenumber",
+        F.when(F.col("l_linenumber") == 3, F.lit("12.7")).otherwise(F.concat((F.lit(2**53 + 1) + F.col("l_orderkey")).cast("string"), F.lit(".00"))).alias("big"),
     ))
-    typed = apply_contract(raw, {"l_orderkey": "bigint", "qty": "double", "ship": DateSpec(["dd/MM/yyyy"]),
+    typed = apply_contract(raw, {"l_orderkey": "bigint", "qty": "double", "big": "bigint", "ship": DateSpec(["dd/MM/yyyy"]),
                                  "flag": "boolean", "l_linenumber": "int", "missing_col": "string"})
     return typed.withColumn("half_qty", F.bround(F.col("qty") / 2, 0))
 
@@ -689,6 +693,84 @@ def trim_upper_all(spark, sf):
     return C.tag(x, source="SF")
 
 
+def snapshot_diff_aligned(spark, sf):
+    """Orders as they are: the rows of a repeated customer are paired, the order key comes along."""
+    o = _orders(spark, sf).withColumn("eom", D.end_of_month("o_orderdate"))
+    return aligned_diff(o, "o_custkey", "eom", ["o_orderpriority", "o_orderstatus"], carry=["o_orderkey"])
+
+
+def _as_text(spark, sf):
+    """Orders as text columns of several kinds."""
+    o = _orders(spark, sf)
+    k = F.col("o_orderkey")
+    return o.select(
+        k.cast("string").alias("plain_id"), F.lpad(k.cast("string"), 12, "0").alias("zero_id"),
+        F.when(k % 3 == 0, F.lit(" ")).otherwise(F.date_format("o_orderdate", "dd/MM/yyyy")).alias("day_first"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("iso"), F.when(k % 2 == 0, F.lit("true")).otherwise(F.lit("FALSE")).alias("flag"),
+        F.concat(F.floor(F.col("o_totalprice")).cast("string"), F.lit(".5")).alias("price"),
+        F.when(k % 1000 == 1, F.lit("n/a")).otherwise(k.cast("string")).alias("mixed"), F.lit(None).cast("string").alias("nothing"),
+        (k + F.lit(2**53)).cast("string").alias("big"), "o_orderkey")
+
+
+def type_inference(spark, sf):
+    return inferred_types(_as_text(spark, sf))
+
+
+def _dated_files(spark, sf):
+    """Order dates as text, with a format of its own in each of three files."""
+    o = _orders(spark, sf)
+    day = F.date_format("o_orderdate", "dd/MM/yyyy")
+    text = (F.when(F.col("o_orderstatus") == "F", F.date_format("o_orderdate", "MM/dd/yyyy"))
+            .when(F.col("o_orderstatus") == "O", day).otherwise(F.date_format("o_orderdate", "d-MMM-yy")))
+    return o.filter("o_orderdate IS NOT NULL AND o_orderstatus IS NOT NULL").select(
+        "o_orderkey", F.col("o_orderstatus").alias("_file"), text.alias("text"), F.when(F.col("o_orderkey") % 10 == 0, F.lit("soon")).otherwise(day).alias("due"))
+
+
+def date_votes(spark, sf):
+    return D.format_votes(_dated_files(spark, sf), ["text", "due"])
+
+
+def voted_dates(spark, sf):
+    return D.parse_by_vote(_dated_files(spark, sf), ["text", "due"])
+
+
+def page_chain(spark, sf):
+    """Chains of customers with orders, fifty numbers each, with gaps, forks and circles."""
+    k = F.col("o_custkey")
+    p = _orders(spark, sf).select("o_custkey").filter("o_custkey IS NOT NULL").distinct()
+    last = F.when((F.floor(k / 50) % 3 == 0), k - 49)
+    nxt = F.when(k % 50 == 49, last).when(k % 50 == 7, k + 2).otherwise(k + 1)
+    return page_chains(p.select(k.alias("page"), nxt.alias("next")))
+
+
+def _zone_of(key):
+    """Stand-in service: a zone label for a nation; none for every fifth key, and an error for every seventh."""
+    if key % 7 == 0:
+        raise ValueError(f"no service for {key}")
+    return {"zone": f"zone-{key % 4}"} if key % 5 else None
+
+
+def kept_answers(spark, sf):
+    """The second run of a look-up asks only what the first did not: its store holds one row per key."""
+    keys = _t(spark, sf, "customer").select("c_nationkey")
+    schema, store = T.StructType([T.StructField("zone", T.StringType())]), scratch_path(spark, "answers")
+    J.resolve_keys(keys.filter("c_nationkey < 12"), "c_nationkey", _zone_of, schema, store, pause=0.0)
+    out = J.resolve_keys(keys, "c_nationkey", _zone_of, schema, store, pause=0.0)
+    return out.join(spark.read.parquet(store).groupBy("key").agg(F.count(F.lit(1)).alias("asked")), "key").select(
+        "key", "zone", "status", "tries", "error", "asked")
+
+
+def delimited_rows(spark, sf):
+    """Order notes with quotes, separators and newlines, written as delimited files and loaded back."""
+    o = _orders(spark, sf)
+    note = F.concat(F.lit('said "'), F.col("o_orderpriority"), F.lit('",\nthen '), F.col("o_orderstatus"), F.lit("\n\n"), F.col("o_orderkey").cast("string"))
+    path = scratch_path(spark, "notes")
+    o.select("o_orderkey", F.when(F.col("o_orderkey") % 3 == 0, note).otherwise(F.col("o_orderpriority")).alias("note")).write.option(
+        "header", True).option("escape", '"').csv(path)
+    load = load_delimited(spark, f"{path}/*.csv", normalise=False)
+    return load.rows.select("o_orderkey", "note")
+
+
 def json_records(spark, sf):
     e = _t(spark, sf, "events").select("event_id", "props")
     parsed = e.select("event_id", F.from_json("props", "k bigint").alias("j"))
@@ -770,6 +852,13 @@ QUERIES = {
     "top_n_sorted": top_n_sorted,
     "sample_rows": sample_rows,
     "canonical_id": canonical_ids,
+    "snapshot_diff_aligned": snapshot_diff_aligned,
+    "type_inference": type_inference,
+    "date_votes": date_votes,
+    "voted_dates": voted_dates,
+    "page_chain": page_chain,
+    "kept_answers": kept_answers,
+    "delimited_rows": delimited_rows,
     "fiscal_label": fiscal_label,
     "fiscal_label_padded": fiscal_label_padded,
     "calendar_from_fiscal": calendar_from_fiscal,

@@ -11,6 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import dates as D
 from ..functions import flags as FL
@@ -22,7 +23,7 @@ from ..operators import reshape as R
 from ..operators import rules as Q
 from ..operators import windows as W
 from ..operators.contract import DateSpec, apply_contract
-from ..operators.diff import snapshot_diff
+from ..operators.diff import aligned_diff
 from ..operators.hierarchy import layer_depth
 from ..operators.ordering import By
 from ..sources import files as S
@@ -254,13 +255,14 @@ def consolidation_promotions(old: DataFrame, monthly: DataFrame, daily: DataFram
 def history_diff(history: DataFrame, current: DataFrame, flexi_values: Sequence[str] = (),
                  fields: Sequence[str] = ("orgunit", "job")) -> dict[str, DataFrame]:
     """Full history = history + current (by name), flexi flag, and the
-    month-to-month change list of active staff, with every column of the
-    listing as ``<column>_old`` and ``<column>_new``."""
+    month-to-month change list of active staff, whole rows paired one to one
+    where a person repeats, with every column of the listing as
+    ``<column>_old`` and ``<column>_new``."""
     full = C.upper_strings(R.union_by_name(history, current))
     if "employee_group" in full.columns:
         full = full.withColumn("flexi", FL.in_list("employee_group", flexi_values))
     active = full.filter(F.col("active"))
-    return {"listing": full, "diff": snapshot_diff(active, "persno", "eom", list(fields), carry=full.columns)}
+    return {"listing": full, "diff": aligned_diff(active, "persno", "eom", list(fields), carry=full.columns)}
 
 
 # The market rows that are compared with.
@@ -281,9 +283,16 @@ def benchmark_rates(spark: SparkSession, paths, records: str = "result.records",
     return out.withColumn("resignation_rate", FL.scale("resignation_rate", 0.01)).orderBy(F.col("year").desc(), F.col("q").desc())
 
 
-def geo_enrich(listing: DataFrame, resolver: Callable, zip_col: str = "zip_code") -> DataFrame:
+def geo_enrich(listing: DataFrame, resolver: Callable, zip_col: str = "zip_code", store: str | None = None, calls: int = 10) -> DataFrame:
     """Each distinct zip code resolved once on the executors, joined back;
-    unresolved codes dropped."""
+    unresolved codes dropped.  With ``store``, ``resolver`` takes one code and
+    its answers are kept there (:func:`staffwise.operators.joins.resolve_keys`),
+    with at most ``calls`` calls at a time; a later run asks new codes only."""
+    if store:
+        schema = T.StructType([T.StructField(c, t) for c, t in (("lat", T.DoubleType()), ("long", T.DoubleType()),
+                                                                 ("road_name", T.StringType()), ("address", T.StringType()))])
+        answers = J.resolve_keys(listing, zip_col, resolver, schema, store, calls=calls)
+        return listing.join(answers.filter("status = 'found'").select(F.col("key").alias(zip_col), *schema.names), zip_col)
     return J.enrich_distinct(listing, zip_col, resolver,
                              f"{zip_col} string, lat double, long double, road_name string, address string")
 

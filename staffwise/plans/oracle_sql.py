@@ -140,10 +140,12 @@ WITH p AS (
          WHEN p_partkey % 5 = 1 THEN CAST(p_partkey AS VARCHAR) || '.0'
          WHEN p_partkey % 5 = 2 THEN CAST(p_partkey AS VARCHAR) || '.5'
          WHEN p_partkey % 5 = 3 THEN ' ' || CAST(p_partkey AS VARCHAR) || ' '
+         WHEN p_partkey % 25 = 4 THEN CAST(9007199254740993 + p_partkey AS VARCHAR) || '.0'
          ELSE p_name END AS raw
   FROM part)
 SELECT p_partkey, raw,
-  COALESCE(CAST(TRY_CAST(round_even(TRY_CAST(trim(raw) AS DOUBLE), 0) AS DECIMAL(38,0)) AS VARCHAR), raw) AS canonical
+  CASE WHEN p_partkey % 25 = 4 THEN CAST(9007199254740993 + p_partkey AS VARCHAR) ELSE
+    COALESCE(CAST(TRY_CAST(round_even(TRY_CAST(trim(raw) AS DOUBLE), 0) AS DECIMAL(38,0)) AS VARCHAR), raw) END AS canonical
 FROM p""",
     "fiscal_label": f"""
 WITH o AS {_ORDERS}
@@ -247,12 +249,13 @@ FROM x LEFT JOIN m ON lower(substr(trim(x.month_name), 1, 3)) = m.k""",
 WITH r AS (SELECT l_orderkey, l_linenumber,
   CASE WHEN l_linenumber = 4 THEN 'x' ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS qty,
   CASE WHEN l_linenumber = 5 THEN '31/02/1999' ELSE strftime(l_shipdate, '%d/%m/%Y') END AS ship,
-  CASE WHEN l_linenumber = 6 THEN 'yes' ELSE 'FALSE' END AS flag
+  CASE WHEN l_linenumber = 6 THEN 'yes' ELSE 'FALSE' END AS flag,
+  CASE WHEN l_linenumber <> 3 THEN 9007199254740993 + l_orderkey END AS big
   FROM lineitem)
 SELECT l_orderkey, TRY_CAST(qty AS DOUBLE) AS qty, CAST(try_strptime(trim(ship), '%d/%m/%Y') AS DATE) AS ship,
   CASE WHEN upper(trim(flag)) IN ('TRUE', 'T', 'YES', 'Y', '1') THEN true
        WHEN upper(trim(flag)) IN ('FALSE', 'F', 'NO', 'N', '0') THEN false END AS flag,
-  CAST(l_linenumber AS INTEGER) AS l_linenumber,
+  CAST(l_linenumber AS INTEGER) AS l_linenumber, CAST(big AS BIGINT) AS big,
   round_even(TRY_CAST(qty AS DOUBLE) / 2, 0) AS half_qty
 FROM r""",
     "filter_mix": f"""
@@ -449,6 +452,83 @@ SELECT k, eom_old, eom, field,
     CASE WHEN field = 'o_orderstatus' AND n_old > 0 THEN val END, CASE WHEN field = 'o_orderstatus' AND n_new > 0 THEN val END,
     n_old, n_new
 FROM v WHERE n_old <> n_new""",
+    "snapshot_diff_aligned": f"""
+WITH o AS (SELECT o_custkey AS k, last_day(o_orderdate) AS eom, o_orderpriority AS p, o_orderstatus AS st, o_orderkey AS ok FROM {_ORDERS}
+           WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL),
+s AS (SELECT eom, lead(eom) OVER (ORDER BY eom) AS nxt FROM (SELECT DISTINCT eom FROM o)),
+h AS (SELECT DISTINCT k, eom FROM o),
+g AS (SELECT a.k, a.eom AS eom_old, b.eom FROM h a JOIN s ON a.eom = s.eom JOIN h b ON a.k = b.k AND b.eom = s.nxt),
+sides AS (
+  SELECT g.k, g.eom_old, g.eom, 0 AS side, o.p, o.st, o.ok FROM g JOIN o ON o.k = g.k AND o.eom = g.eom_old
+  UNION ALL SELECT g.k, g.eom_old, g.eom, 1, o.p, o.st, o.ok FROM g JOIN o ON o.k = g.k AND o.eom = g.eom),
+n AS (
+  SELECT *, row_number() OVER (PARTITION BY k, eom_old, side, p, st ORDER BY ok NULLS FIRST) AS nth,
+    count(*) FILTER (WHERE side = 0) OVER (PARTITION BY k, eom_old, p, st) AS n_old,
+    count(*) FILTER (WHERE side = 1) OVER (PARTITION BY k, eom_old, p, st) AS n_new FROM sides),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY k, eom_old, side ORDER BY p NULLS FIRST, st NULLS FIRST, ok NULLS FIRST) AS rank
+  FROM n WHERE nth > least(n_old, n_new)),
+j AS (
+  SELECT coalesce(a.k, b.k) AS k, coalesce(a.eom_old, b.eom_old) AS eom_old, coalesce(a.eom, b.eom) AS eom, a.rank AS ra, b.rank AS rb,
+    a.p AS po, b.p AS pn, a.st AS so, b.st AS sn, a.ok AS oo, b.ok AS onew
+  FROM (SELECT * FROM r WHERE side = 0) a FULL JOIN (SELECT * FROM r WHERE side = 1) b ON a.k = b.k AND a.eom_old = b.eom_old AND a.rank = b.rank),
+c AS (
+  SELECT *, 'o_orderpriority' AS field, CASE WHEN po IS NULL THEN 'added' WHEN pn IS NULL THEN 'deleted' ELSE 'modified' END AS change
+  FROM j WHERE ra IS NOT NULL AND rb IS NOT NULL AND po IS DISTINCT FROM pn
+  UNION ALL SELECT *, 'o_orderstatus', CASE WHEN so IS NULL THEN 'added' WHEN sn IS NULL THEN 'deleted' ELSE 'modified' END
+  FROM j WHERE ra IS NOT NULL AND rb IS NOT NULL AND so IS DISTINCT FROM sn
+  UNION ALL SELECT *, NULL, CASE WHEN rb IS NULL THEN 'row_removed' ELSE 'row_added' END FROM j WHERE ra IS NULL OR rb IS NULL)
+SELECT k AS o_custkey, eom_old, eom, field, change, po AS o_orderpriority_old, pn AS o_orderpriority_new, so AS o_orderstatus_old,
+  sn AS o_orderstatus_new, oo AS o_orderkey_old, onew AS o_orderkey_new FROM c""",
+    # the expected types are written out; the counts come from the table
+    "type_inference": f"""
+WITH o AS {_ORDERS}, n AS (SELECT count(*) AS n, count(*) FILTER (WHERE o_orderkey % 3 <> 0 AND o_orderdate IS NOT NULL) AS d,
+  count(o_orderdate) AS dates, count(o_totalprice) AS prices FROM o)
+SELECT c."column", c.type, c.format, CAST(CASE c.kind WHEN 'd' THEN d WHEN 'i' THEN dates WHEN 'p' THEN prices WHEN '0' THEN 0 ELSE n END AS BIGINT) AS n_values,
+  CAST(n - CASE c.kind WHEN 'd' THEN d WHEN 'i' THEN dates WHEN 'p' THEN prices WHEN '0' THEN 0 ELSE n END AS BIGINT) AS n_empty
+FROM n, (VALUES ('plain_id', 'bigint', NULL, 'n'), ('zero_id', 'string', NULL, 'n'), ('day_first', 'date', 'dd/MM/yyyy', 'd'), ('iso', 'date', 'yyyy-MM-dd', 'i'),
+  ('flag', 'boolean', NULL, 'n'), ('price', 'double', NULL, 'p'), ('mixed', 'string', NULL, 'n'), ('nothing', 'string', NULL, '0'),
+  ('big', 'bigint', NULL, 'n'), ('o_orderkey', 'bigint', NULL, 'n')) c("column", type, format, kind)""",
+    "date_votes": f"""
+WITH o AS (SELECT o_orderkey, o_orderdate AS d, o_orderstatus AS f FROM {_ORDERS} WHERE o_orderdate IS NOT NULL AND o_orderstatus IS NOT NULL),
+t AS (
+  SELECT f, 'text' AS col, CASE f WHEN 'F' THEN strftime(d, '%m/%d/%Y') WHEN 'O' THEN strftime(d, '%d/%m/%Y') ELSE strftime(d, '%-d-%b-%y') END AS v FROM o
+  UNION ALL SELECT f, 'due', CASE WHEN o_orderkey % 10 = 0 THEN 'soon' ELSE strftime(d, '%d/%m/%Y') END FROM o),
+m AS (SELECT * FROM (VALUES ('dd/MM/yyyy', 1), ('MM/dd/yyyy', 2), ('yyyy-MM-dd', 3), ('d-MMM-yy', 4), ('d MMM yyyy', 5)) x(format, place)),
+c AS (
+  SELECT f, col, format, place, count(*) AS n_values, count(CASE place WHEN 1 THEN try_strptime(v, '%d/%m/%Y') WHEN 2 THEN try_strptime(v, '%m/%d/%Y')
+    WHEN 3 THEN try_strptime(v, '%Y-%m-%d') WHEN 4 THEN try_strptime(v, '%d-%b-%y') ELSE try_strptime(v, '%d %b %Y') END) AS n_read
+  FROM t, m GROUP BY ALL),
+b AS (SELECT *, max(n_read) OVER (PARTITION BY f, col) AS best FROM c)
+SELECT f AS _file, col AS "column", format, n_values, n_read,
+  best > 0 AND n_read = best AND place = min(CASE WHEN n_read = best THEN place END) OVER (PARTITION BY f, col) AS chosen,
+  best > 0 AND n_read = best AND count(CASE WHEN n_read = best THEN 1 END) OVER (PARTITION BY f, col) > 1 AS tie FROM b""",
+    "voted_dates": f"""
+SELECT o_orderkey, o_orderstatus AS _file,
+  CAST(CASE WHEN o_orderstatus NOT IN ('F', 'O') AND year(o_orderdate) < 2000 THEN o_orderdate + INTERVAL 100 YEAR ELSE o_orderdate END AS DATE) AS "text",
+  CASE WHEN o_orderkey % 10 <> 0 THEN o_orderdate END AS due
+FROM {_ORDERS} WHERE o_orderdate IS NOT NULL AND o_orderstatus IS NOT NULL""",
+    "page_chain": f"""
+WITH RECURSIVE p AS (
+  SELECT k AS page, CASE WHEN k % 50 = 49 THEN CASE WHEN (k // 50) % 3 = 0 THEN k - 49 END WHEN k % 50 = 7 THEN k + 2 ELSE k + 1 END AS next
+  FROM (SELECT DISTINCT o_custkey AS k FROM {_ORDERS} WHERE o_custkey IS NOT NULL)),
+i AS (SELECT next AS page, count(*) AS links FROM p WHERE next IS NOT NULL GROUP BY next),
+c AS (
+  SELECT p.page, p.page AS chain, CAST(0 AS BIGINT) AS position, p.next FROM p LEFT JOIN i USING (page) WHERE coalesce(links, 0) <> 1
+  UNION ALL SELECT p.page, c.chain, c.position + 1, p.next FROM c JOIN p ON p.page = c.next JOIN i ON i.page = p.page WHERE i.links = 1)
+SELECT p.page, c.chain, c.position, CASE WHEN c.page IS NULL THEN 'loop' WHEN i.links > 1 THEN 'fork'
+  WHEN p.next IS NOT NULL AND p.next NOT IN (SELECT page FROM p) THEN 'gap' END AS problem
+FROM p LEFT JOIN c USING (page) LEFT JOIN i ON i.page = p.page""",
+    "kept_answers": """
+SELECT DISTINCT CAST(c_nationkey AS INTEGER) AS key, CASE WHEN c_nationkey % 7 <> 0 AND c_nationkey % 5 <> 0 THEN 'zone-' || (c_nationkey % 4) END AS zone,
+  CASE WHEN c_nationkey % 7 = 0 THEN 'failed' WHEN c_nationkey % 5 = 0 THEN 'none' ELSE 'found' END AS status,
+  CASE WHEN c_nationkey % 7 = 0 THEN 3 ELSE 1 END AS tries,
+  CASE WHEN c_nationkey % 7 = 0 THEN 'ValueError: no service for ' || c_nationkey END AS error, CAST(1 AS BIGINT) AS asked
+FROM customer WHERE c_nationkey IS NOT NULL""",
+    "delimited_rows": f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CASE WHEN o_orderkey % 3 = 0
+  THEN 'said "' || o_orderpriority || '",' || chr(10) || 'then ' || o_orderstatus || chr(10) || chr(10) || o_orderkey ELSE o_orderpriority END AS note
+FROM {_ORDERS}""",
     "dq_rules": f"SELECT o_orderkey, error FROM {_DQ_ERR}",
     "dq_report": f"""
 SELECT o_orderstatus, error, count(error) AS n_errors FROM {_DQ_ERR} WHERE error IS NOT NULL GROUP BY 1, 2""",
