@@ -97,7 +97,7 @@ def _shared_before(lists: list[np.ndarray], leaf: int) -> np.ndarray:
     """Whether two rows share a leaf numbered before ``leaf``: a matrix over
     all pairs of rows, from products of their 0/1 membership in such leaves."""
     row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    code = np.concatenate(lists)
+    code = np.concatenate(lists) if lists else np.zeros(0, np.int64)
     early = code < leaf
     row, code = row[early], code[early]
     codes, at, n = np.unique(code, return_inverse=True, return_counts=True)
@@ -160,6 +160,9 @@ def embedding_groups(df: DataFrame, id_col: str = "vec_id", vec: str = "embeddin
         margin = spill * np.sqrt(max(0.0, 2 - 2 * threshold)) / np.sqrt(dim)
         forests[dim] = Forest(unit(matrix(picked)), dim, trees, depth, margin, seed)
 
+    small = all(f.trees << f.depth < 1 << 31 for f in forests.values())  # leaves' numbers fit four bytes
+    number = np.int32 if small else np.int64
+
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             dims = b.column(4).to_numpy()
@@ -168,16 +171,20 @@ def embedding_groups(df: DataFrame, id_col: str = "vec_id", vec: str = "embeddin
                 for s in range(0, of.num_rows, 2048):  # so that the copies of few rows are held at once
                     some = of.slice(s, 2048)
                     row, code = forests[int(dim)].leaves(unit(matrix(some.column(3))))
-                    start = np.searchsorted(row, np.arange(some.num_rows + 1))
-                    lists = pa.ListArray.from_arrays(pa.array(start.astype(np.int32)), pa.array(code))
+                    # a copy carries the leaves of its row that are numbered before its own
+                    start = np.searchsorted(row, row)
+                    before = np.arange(len(row)) - start
+                    offsets = np.r_[0, np.cumsum(before)]
+                    values = code[np.arange(offsets[-1]) - np.repeat(offsets[:-1] - start, before)].astype(number)
                     at = pa.array(row)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(row), dim, np.int32)), pa.array(code), *[some.column(i).take(at) for i in range(4)], lists.take(at)],
+                        [pa.array(np.full(len(row), dim, np.int32)), pa.array(code), *[some.column(i).take(at) for i in range(4)],
+                         pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))],
                         names=["dim", "leaf", "kx", "ky", "copies", "v", "leaves"])
 
     kind = distinct.schema["v"].dataType.simpleString()
     routed = cut_lineage(distinct.select("key.x", "key.y", "copies", "v", "dim").mapInArrow(
-        route, f"dim int, leaf long, kx long, ky long, copies long, v {kind}, leaves array<long>"), "leaves")
+        route, f"dim int, leaf long, kx long, ky long, copies long, v {kind}, leaves array<{'int' if small else 'long'}>"), "leaves")
     full = (routed.groupBy("dim", "leaf").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > SEGMENT)
             .select("dim", "leaf", F.ceil(F.col("n") / SEGMENT).cast("int").alias("parts")))
     parts = F.coalesce(F.col("parts"), F.lit(1))

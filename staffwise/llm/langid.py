@@ -157,7 +157,8 @@ def predict(df: DataFrame, languages: list[str], profiles: np.ndarray, text: str
     """``df`` (its columns ``keep``; None: all) with the predicted language and a score (columns of these names
     are replaced).
 
-    The score is the winner's share of all positive cosines, 0 to 1.  Ties go
+    The largest cosine wins, be it negative.  The score is its share of all
+    positive cosines, 0 to 1 (0 if none is positive).  Ties go
     to the first language in order.  A null text, one without letters, or a
     model without languages gives ``und`` and 0.
     """
@@ -169,10 +170,10 @@ def predict(df: DataFrame, languages: list[str], profiles: np.ndarray, text: str
             names, scores = [], []
             for t in _strings(b.column(at)):
                 codes = ngram_codes(t, n)
-                near = np.maximum(scorer.dots(codes), 0) if len(codes) and languages else np.zeros(1)
-                k, all_ = int(near.argmax()), float(near.sum())
+                dots = scorer.dots(codes) if len(codes) and languages else np.zeros(1)
+                k, near = int(dots.argmax()), np.maximum(dots, 0)
                 names.append(languages[k] if len(codes) and languages else "und")
-                scores.append(float(near[k] / all_) if all_ > 0 else 0.0)
+                scores.append(float(near[k] / near.sum()) if near.sum() > 0 else 0.0)
             cols = [b.column(i) for i in range(len(kept))]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*kept, *out])
 

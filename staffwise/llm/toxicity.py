@@ -6,12 +6,13 @@ corrected risk
 
     pi * R_P(+)  +  max(0, R_U(-) - pi * R_P(-))
 
-and scored over all texts in Spark.  Labels of 0 are never used.
+and scored over all texts in Spark.  Labels of 0 serve for the prior only,
+where none is given: the texts that have them are unlabelled ones.
 
 The fit is bounded: at most ``max_positive`` and ``max_unlabelled`` sampled
-texts (in the order of a hash of their id) and at most ``max_features``
-features.  Feature counts over the sample are made in Spark; the driver gets
-the chosen features and, per sampled text, the numbers of those it has.
+texts, in the order of a hash of their id, one row per id.  All features that
+pass the test are kept.  Feature counts over the sample are made in Spark; the
+driver gets the features and, per sampled text, the numbers of those it has.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -86,13 +88,14 @@ def fit_nnpu(rows: list[np.ndarray], positive: np.ndarray, n_features: int, prio
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
         folds: int = 5, held_out: int = 0, prior: float | None = None, max_positive: int = 8192,
-        max_unlabelled: int = 16384, max_features: int = 4096, min_count: int = 4, min_evidence: float = 12.0) -> Model:
+        max_unlabelled: int = 16384, min_count: int = 4, min_evidence: float = 12.0) -> Model:
     """Learn from documents whose crc32(id as text) mod ``folds`` is not
     ``held_out`` (rows with a null id are not learned from).
 
-    Features kept: those in at least ``min_count`` toxic texts, more than
+    Features kept: all in at least ``min_count`` toxic texts, more than
     their share of unlabelled texts lets expect by a Poisson deviance of
-    ``min_evidence``, the strongest ``max_features`` of them.
+    ``min_evidence``.  Of the rows of a sampled id the text with the smallest
+    hash is learned from.
 
     ``prior`` is the share of toxic texts; None: their share among the
     labelled rows that may be learned from.  Several labels of one id count as
@@ -112,7 +115,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     unl = everyone.orderBy(F.xxhash64("id", F.lit(1)), "id").limit(max_unlabelled).select("id", F.lit(0).alias("y"))
     picked = F.broadcast(pos.unionByName(unl))  # at most max_positive + max_unlabelled ids
     sample = cut_lineage(docs.select(col(id_col).alias("id"), col(text).cast("string").alias("text"))
-                         .join(picked, "id").select("text", "y"), "toxicity-sample")
+                         .join(picked, "id").groupBy("id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("text", "y"), "toxicity-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: tuple[Counter, Counter] = (Counter(), Counter())
@@ -139,7 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     expected = (F.col("u") + 1) * (n_p / max(n_u, 1))
     evidence = 2 * (F.col("p") * F.log(F.col("p") / expected) - (F.col("p") - expected))
     chosen = (counts.filter(F.col("p") > expected).withColumn("evidence", evidence).filter(F.col("evidence") >= min_evidence)
-              .orderBy(F.col("evidence").desc(), "f").limit(max_features).select("f").collect())
+              .orderBy(F.col("evidence").desc(), "f").select("f").collect())  # bounded by the sample
     number = {r["f"]: i for i, r in enumerate(chosen)}
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,7 +151,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(have, pa.list_(pa.int32()))], names=["y", "have"])
 
     data = sample.mapInArrow(rows, "y int, have array<int>").toArrow()
-    y, have = np.array(data["y"].to_pylist(), dtype=int), [np.array(r, dtype=np.int64) for r in data["have"].to_pylist()]
+    y, lists = data["y"].to_numpy(), data["have"].combine_chunks()
+    have = np.split(lists.flatten().to_numpy(), np.cumsum(pc.list_value_length(lists).to_numpy())[:-1]) if len(y) else []
     drop_cut(sample)
     w, b = fit_nnpu(have, y, len(number), prior)
     return Model({f: float(w[i]) for f, i in number.items() if abs(w[i]) > 1e-3}, b)

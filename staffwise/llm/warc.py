@@ -32,7 +32,8 @@ FIELDS = ["warc_type", "record_id", "refers_to", "target_uri", "warc_date", "con
 HIDDEN = re.compile(r"""<!--|<(script|style|template|noscript|svg|head)(?=[\s/>])(?:(?>[^<>"']+|"[^"]*"|'[^']*')*+>|[^>]*>)""", re.I)
 CLOSE = {n: re.compile(rf"</{n}(?=[\s/>])[^>]*>", re.I) for n in ("script", "style", "template", "noscript", "svg", "title", "noframes", "head")}
 IN_HEAD = re.compile(r"\s+|(?=<!--)|</?(?:meta|link|base|basefont|bgsound)(?=[\s/>])[^>]*>|<(title|script|style|template|noscript|noframes)(?=[\s/>])[^>]*>", re.I)
-TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
+TITLE = re.compile(r"<title(?=[\s/>])[^<>]*>", re.I)
+TEXTUAL = re.compile(r"\s*(?:text/|application/(?:[\w.-]+\+)?(?:xml|json|javascript|ecmascript)\b|[\w.-]+/[\w.-]+\+(?:xml|json)\b)", re.I)
 TAG = re.compile(r"""<[a-z/!?](?>[^<>"']+|"[^"]*"|'[^']*')*+>""", re.I)
 BREAK = re.compile(r"""</?(?:address|article|aside|blockquote|body|br|caption|dd|details|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr
     |html|legend|li|main|nav|ol|option|p|pre|section|select|summary|table|tbody|td|tfoot|th|thead|title|tr|ul)(?=[\s/>])(?>[^<>"']+|"[^"]*"|'[^']*')*+>""", re.I | re.X)
@@ -80,6 +81,23 @@ def decoded(body: bytes, encoding: str) -> bytes:
     return b"".join(out)
 
 
+def unchunked(body: bytes) -> bytes:
+    """The body without the sizes of chunked transfer; as it is where it isn't
+    chunked.  What stands before a broken chunk stays."""
+    out, at = [], 0
+    while True:
+        end = body.find(b"\n", at, at + 1024)
+        size = re.fullmatch(rb"\s*([0-9a-fA-F]{1,12})\s*(?:;.*)?\s*", body[at:end]) if end >= 0 else None
+        if not size:
+            return b"".join(out) or body
+        n = int(size[1], 16)
+        if not n:
+            return b"".join(out)
+        out.append(body[end + 1:end + 1 + n])
+        at = end + 1 + n
+        at += 2 if body[at:at + 2] == b"\r\n" else body[at:at + 1] == b"\n"
+
+
 def body_text(body: bytes, content_type: str) -> tuple[str, str]:
     """The body as text and the charset it was read in: that of the header,
     else of a meta element near the start, else UTF-8."""
@@ -94,8 +112,8 @@ def body_text(body: bytes, content_type: str) -> tuple[str, str]:
     return body.decode("utf-8", "replace"), "utf-8"
 
 
-def without_hidden(page: str) -> str:
-    """The page with a blank for what isn't shown.  Comments, scripts and styles
+def without_hidden(page: str, head: bool = False) -> str:
+    """The page with a blank for what isn't shown (but the head's other parts with ``head``).  Comments, scripts and styles
     without an end run to the end of the page.  A head ends at its end tag or
     before the first thing that can't stand in one; of other elements without an
     end tag, and of a self-closing svg, only the tag goes."""
@@ -117,6 +135,8 @@ def without_hidden(page: str) -> str:
         name, at = (m[1] or "").lower(), m.end()
         if not name:
             at = comment(m.start())
+        elif name == "head" and head:
+            pass
         elif name == "head":
             while part := IN_HEAD.match(page, at):
                 end = after(part[1].lower(), part.end()) if part[1] else comment(at) if not part[0] else part.end()
@@ -137,21 +157,37 @@ def page_text(page: str) -> str:
     return "\n".join(x for line in shown.split("\n") if (x := BLANKS.sub(" ", line).strip()))
 
 
+def page_title(page: str) -> str:
+    """The first title that is not hidden, one without an end being none."""
+    shown = without_hidden(page, head=True)
+    start = TITLE.search(shown)
+    end = CLOSE["title"].search(shown, start.end()) if start else None
+    return page_text(shown[start.end():end.start()]) if end else ""
+
+
 def derived(source: str, uri: str, date: str, block: bytes) -> list[tuple[str, ...]]:
-    """The metadata and the conversion record of one response, as ``FIELDS``."""
+    """The metadata and the conversion record of one response, as ``FIELDS``;
+    only the former for a body that is no text (by its type) or whose encoding
+    can't be undone, with the reason as ``conversionSkipped``."""
     status, fields, stored = http_message(block)
     first = {}
     for n, v in fields:
         first.setdefault(n.lower(), v)
-    body = decoded(stored, first.get("content-encoding", ""))
-    kind = first.get("content-type", "")
-    page, charset = body_text(body, kind)
-    plain = bool(re.match(r"\s*text/(?!html)", kind, re.I))
-    text = page.replace("\r\n", "\n") if plain else page_text(page)
-    title = TITLE.search(page) if not plain else None
+    body = unchunked(stored) if first.get("transfer-encoding", "").lower().endswith("chunked") else stored
+    kind, coding = first.get("content-type", ""), first.get("content-encoding", "").strip().lower()
     digest = sha1(stored)
+    skipped = (f"content-encoding {coding}" if coding not in ("", "identity", "gzip", "x-gzip", "deflate")
+               else f"content-type {kind}" if kind.strip() and not TEXTUAL.match(kind) else "")
+    if skipped:
+        info = [("sourceRecordId", source), ("sourceBlockDigest", sha1(block)), ("sourcePayloadDigest", digest), ("httpStatus", status),
+                *[("sourceHeader", f"{n}: {v}") for n, v in fields], ("conversionSkipped", skipped)]
+        meta = "".join(f"{n}: {field(v)}\r\n" for n, v in info)
+        return [("metadata", record_id("metadata", source), source, uri, date, "application/warc-fields", sha1(meta.encode()), digest, meta)]
+    page, charset = body_text(decoded(body, coding), kind)
+    plain = bool(kind.strip()) and not re.match(r"\s*(?:text/html|application/(?:[\w.-]+\+)?xml)", kind, re.I)
+    text = page.replace("\r\n", "\n") if plain else page_text(page)
     info = [("sourceRecordId", source), ("sourceBlockDigest", sha1(block)), ("sourcePayloadDigest", digest), ("httpStatus", status),
-            *[("sourceHeader", f"{n}: {v}") for n, v in fields], ("charset", charset), ("title", page_text(title[1]) if title else ""),
+            *[("sourceHeader", f"{n}: {v}") for n, v in fields], ("charset", charset), ("title", "" if plain else page_title(page)),
             ("conversionRecordId", record_id("conversion", source))]
     meta = "".join(f"{n}: {field(v)}\r\n" for n, v in info)
     return [(k, record_id(k, source), source, uri, date, t, sha1(b.encode()), digest, b)
@@ -159,7 +195,8 @@ def derived(source: str, uri: str, date: str, block: bytes) -> list[tuple[str, .
 
 
 def derivatives(df: DataFrame, key: str, record: str = "record_id", uri: str = "target_uri", date: str = "warc_date", block: str = "block") -> DataFrame:
-    """Two rows for each response in ``df``: ``key`` and the columns ``FIELDS``.
+    """Two rows for each response in ``df``, one where its body is no text (see
+    :func:`derived`): ``key`` and the columns ``FIELDS``.
 
     A null record id is replaced by one made from the uri and the block's
     digest; a null uri or date becomes empty, a null block an empty one.

@@ -86,6 +86,24 @@ def test_recall_of_the_forest():
     assert len(ra) / n < 6 * 4
 
 
+def test_recall_on_planted_pairs(spark):
+    """Half the vectors have a partner right above the threshold."""
+    rng = np.random.default_rng(3)
+    n, dim = 3000, 64
+    a = embed_dedup.unit(rng.standard_normal((n, dim)))
+    side = rng.standard_normal((n, dim))
+    side -= (side * a).sum(1, keepdims=True) * a
+    c = rng.uniform(0.9505, 0.97, (n, 1))
+    b = c * a + np.sqrt(1 - c**2) * embed_dedup.unit(side)
+    vecs = np.concatenate([a, b, embed_dedup.unit(rng.standard_normal((n, dim)))])
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vecs.tolist())], "vec_id long, embedding array<double>")
+    got = embed_dedup.embedding_groups(df, leaf=64).collect()
+    links, comp = brute(list(range(3 * n)), vecs.tolist())
+    assert sum(links) >= 2 * n and sum(r["n_links"] for r in got) >= 0.9 * sum(links)
+    assert all(r["n_links"] <= links[r["vec_id"]] for r in got)
+    assert sum(r["component_id"] == comp[r["vec_id"]] for r in got) >= 0.9 * len(got)
+
+
 def test_query_recall(spark):
     sf = "/root/testdata/sf0.01"
     rows = spark.read.parquet(f"{sf}/embeddings.parquet").collect()

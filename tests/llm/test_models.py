@@ -69,3 +69,90 @@ def test_score_is_the_cosine_of_the_bundled_vectors():
     c = langid.ngram_codes("abc", 3)[1:2]  # the n-gram a, b, c after the opening gap
     a, b, d = letters[1], letters[2], letters[3]
     assert (langid.ngram_vectors(c, 3, letters)[0] == np.roll(a, 2) * np.roll(b, 1) * d).all()
+
+
+def test_language_query_against_a_plain_loop(spark, tmp_dir):
+    import zlib
+    rng = np.random.default_rng(4)
+    alphabets = {"aa": "abcdef", "bb": "defghi", "cc": "xyzabc", None: "abcxyz"}
+    rows = [(i, " ".join("".join(rng.choice(list(alphabets[g]), 5)) for _ in range(rng.integers(0, 12))), g) for i in range(120) for g in [list(alphabets)[i % 4]]]
+    rows += [(200 + i, "".join(chr(0x430 + k) for k in rng.integers(0, 32, 9)), None) for i in range(60)] + [(300, None, "aa")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_dir}/documents.parquet")
+    letters = langid.letter_vectors(2048, 17)
+
+    def bundle(text, scaled=False):
+        codes = langid.ngram_codes(text or "", 3)
+        u, c = np.unique(codes, return_counts=True)
+        v = sum((k * x for k, x in zip(c, langid.ngram_vectors(u, 3, letters).astype(float))), np.zeros(2048))
+        return v / np.sqrt((c * c).sum()) if scaled and len(c) else v
+
+    held = lambda i: zlib.crc32(str(i).encode()) % 3 == 1
+    names = ["aa", "bb", "cc"]
+    protos = np.stack([sum(bundle(t, True) for i, t, g in rows if g == name and not held(i)) for name in names])
+    protos /= np.linalg.norm(protos, axis=1, keepdims=True)
+    got = {r["doc_id"]: r for r in queries.op8_language_id(spark, tmp_dir).collect()}
+    negative = 0
+    for i, t, _ in rows:
+        dots = protos @ bundle(t)
+        known = len(langid.ngram_codes(t or "", 3)) > 0
+        assert got[i]["held_out"] == held(i)
+        assert got[i]["lang_pred"] == (names[int(dots.argmax())] if known else "und")
+        near = np.maximum(dots, 0)
+        assert abs(got[i]["score"] - (near.max() / near.sum() if known and near.sum() > 0 else 0)) < 1e-9
+        negative += known and dots.max() < 0
+    assert len(got) == len(rows) and negative > 3
+
+
+def test_toxicity_query_against_a_plain_loop(spark, tmp_dir):
+    import math
+    import zlib
+    rng = np.random.default_rng(5)
+    mild, harsh = [f"word{i}" for i in range(60)], [f"harsh{i}" for i in range(6)]
+    docs, labels = [], []
+    for i in range(400):
+        toxic = i % 8 == 0
+        words = list(rng.choice(mild, 12)) + (list(rng.choice(harsh, 3)) if toxic else [])
+        docs.append((i, " ".join(words)))
+        if i % 2 == 0:
+            labels.append((i, int(toxic)))
+    docs.append((8, docs[8][1] + " harsh0"))  # an id of two rows
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_dir}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(f"{tmp_dir}/labels.parquet")
+    from pyspark.sql import functions as F
+    hashes = {r["text"]: r["h"] for r in spark.createDataFrame([(t,) for _, t in docs], "text string").select("text", F.xxhash64("text").alias("h")).collect()}
+
+    learn = lambda i: zlib.crc32(str(i).encode()) % 5 != 0
+    text = {}
+    for i, t in docs:
+        if i not in text or hashes[t] < hashes[text[i]]:
+            text[i] = t
+    pos = [text[i] for i, y in labels if y and learn(i)]
+    unl = [text[i] for i in text if learn(i)]
+    prior = np.mean([y for i, y in labels if learn(i)])
+    count = lambda texts: {f: sum(f in toxicity.text_features(t) for t in texts) for f in {f for t in texts for f in toxicity.text_features(t)}}
+    p, u = count(pos), count(unl)
+    chosen = []
+    for f, n in p.items():
+        expected = (u.get(f, 0) + 1) * len(pos) / len(unl)
+        if n >= 4 and n > expected and 2 * (n * math.log(n / expected) - (n - expected)) >= 12:
+            chosen.append(f)
+    number = {f: k for k, f in enumerate(sorted(chosen))}
+    rows = [np.array(sorted(number[f] for f in toxicity.text_features(t) if f in number), dtype=int) for t in pos + unl]
+    w, b = toxicity.fit_nnpu(rows, np.array([1] * len(pos) + [0] * len(unl)), len(number), prior)
+    got = {}
+    for r in queries.op6_toxicity(spark, tmp_dir).collect():
+        got.setdefault(r["doc_id"], []).append(r["score"])
+    want = {}
+    for i, t in docs:
+        z = b + sum(w[number[f]] for f in toxicity.text_features(t) if f in number and abs(w[number[f]]) > 1e-3)
+        want.setdefault(i, []).append(1 / (1 + math.exp(-z)))
+    assert len(number) >= 6 and all(np.allclose(sorted(got[i]), sorted(want[i]), atol=1e-5) for i in want)
+
+
+def test_toxicity_sample_is_bounded_in_rows(spark, monkeypatch):
+    docs = spark.createDataFrame([(7, f"bad words {i}") for i in range(300)] + [(i, "other text") for i in range(8, 40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(40)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "fit_nnpu", lambda rows, y, n, prior: seen.append((len(rows), int(sum(y)))) or (np.zeros(n), 0.0))
+    toxicity.fit(docs, labels, max_positive=5, max_unlabelled=9)
+    assert seen and seen[0][0] <= 14 and seen[0][1] <= 5

@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import time
 from html.parser import HTMLParser
 
 import pytest
@@ -119,6 +120,38 @@ def test_elements_without_an_end_tag(page, want):
     assert warc.page_text(page) == want
 
 
+def test_chunks_types_and_titles():
+    def both(head, body):
+        rows = {r[0]: r for r in warc.derived("<urn:x>", "u", "d", b"HTTP/1.1 200 OK\r\n" + head + b"\r\n\r\n" + body)}
+        return rows["metadata"][-1], rows["conversion"][-1] if "conversion" in rows else None
+
+    page = b"<title>T</title><p>hello there, you</p>"
+    chunks = b"".join(b"%x;x=1\r\n%s\r\n" % (len(c), c) for c in (page[:9], page[9:])) + b"0\r\nTrailer: x\r\n\r\n"
+    meta, text = both(b"Transfer-Encoding: chunked", chunks)
+    assert text == "T\nhello there, you" and "title: T\r\n" in meta and f"sourcePayloadDigest: {sha1(chunks)}\r\n" in meta
+    z = gzip.compress(page)
+    assert both(b"Transfer-Encoding: chunked\r\nContent-Encoding: gzip", b"%X\n%s\n0\n\n" % (len(z), z))[1] == "T\nhello there, you"
+    assert both(b"Transfer-Encoding: chunked", b"<p>not chunked</p>")[1] == "not chunked"
+    assert both(b"Transfer-Encoding: chunked", b"5\r\nhello")[1] == "hello"
+    for head, why in ((b"Content-Type: image/png", "content-type image/png"), (b"Content-Encoding: br", "content-encoding br")):
+        meta, text = both(head, b"\x89PNG\x00\xff")
+        assert text is None and f"conversionSkipped: {why}\r\n" in meta and "conversionRecordId" not in meta
+    assert both(b"Content-Type: application/json", b'{"a": "<b>"}')[1] == '{"a": "<b>"}'
+    assert both(b"Content-Type: application/xhtml+xml", b"<p>x</p>")[1] == "x"
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<!-- <title>no</title> --><title>yes &amp; so</title>", "yes & so"),
+    ("<head><svg><title>no</title></svg><script>'<title>no</title>'</script><title\n>yes</title></head>", "yes"),
+    ("<svg><title>no</title></svg>", ""), ("<title>never ends", ""), ("<titles>no</titles>", ""), ("", ""),
+    ("<title>" * 100_000, ""), ("<title " * 100_000, ""), ("<title>x</title>" + "<title>" * 100_000, "x"),
+])
+def test_titles_in_linear_time(page, want):
+    start = time.process_time()
+    assert warc.page_title(page) == want
+    assert time.process_time() - start < 5
+
+
 def test_empty_table(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.derivatives(warc.responses(pages), key="page_id").count() == 0
