@@ -124,14 +124,15 @@ def classify_compare(data: DataFrame, id_col: str = "c_custkey", label: str = "a
     spark = data.sparkSession
     sets = model_sets(data.withColumn(label, F.col(label).cast("double")), id_col, label).persist(StorageLevel.MEMORY_AND_DISK)
     train, test = sets.filter("part = 'train'"), sets.filter("part = 'test'")
+    # indexing and encoding look at no label: fitted once on the training rows, whose vectors all folds share
+    prepare = Pipeline(stages=classification_stages(categorical, numeric)).fit(train)
+    vectors = prepare.transform(train).select("features", label, "weight", "fold").persist(StorageLevel.MEMORY_AND_DISK)
     size = {r["part"]: r["n"] for r in sets.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
     ev = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
 
     def validated(name, grid):
         est = _models(label, seed)[name]
-        cv = CrossValidator(estimator=Pipeline(stages=[*classification_stages(categorical, numeric), est]), evaluator=ev,
-                            estimatorParamMaps=grid(est), numFolds=3, foldCol="fold", parallelism=2)
-        return cv.fit(train)
+        return CrossValidator(estimator=est, evaluator=ev, estimatorParamMaps=grid(est), numFolds=3, foldCol="fold", parallelism=2).fit(vectors)
 
     # the fixed list of model kinds is judged concurrently: each fit is its own set of Spark jobs
     names = list(_models(label, seed))
@@ -145,7 +146,8 @@ def classify_compare(data: DataFrame, id_col: str = "c_custkey", label: str = "a
         auc[f"{best}_tuned"] = float(max(tuned.avgMetrics))
         if auc[f"{best}_tuned"] > auc[best]:
             best, model = f"{best}_tuned", tuned.bestModel
-    test_auc = float(ev.evaluate(model.transform(test)))
+    test_auc = float(ev.evaluate(model.transform(prepare.transform(test))))
+    vectors.unpersist()
     sets.unpersist()
     rows = [(n, a, n == best, test_auc if n == best else None, size.get("train", 0), size.get("test", 0)) for n, a in auc.items()]
     return spark.createDataFrame(rows, "model string, cv_auc double, chosen boolean, test_auc double, n_train long, n_test long")
@@ -181,9 +183,101 @@ def attrition_importances(data: DataFrame, id_col: str = "c_custkey", label: str
     return feature_importances(model, model.transform(train))
 
 
-def save_model(model, path: str) -> None:
-    """Persist a fitted pipeline (ML6); ``path`` should be on shared storage."""
-    model.write().overwrite().save(path)
+def save_model(model, path: str, inputs: DataFrame | None = None) -> None:
+    """Persist a fitted pipeline (ML6); ``path`` should be on shared storage.
+
+    ``inputs`` (the table it was fitted on, or the columns to ask for) adds a
+    signature, the names and types that :func:`score_saved` checks."""
+    model.write().overwrite().save(f"{path}/model")
+    if inputs is not None:
+        rows = [(f.name, f.dataType.simpleString()) for f in inputs.schema.fields]
+        inputs.sparkSession.createDataFrame(rows, "name string, type string").coalesce(1).write.mode("overwrite").json(f"{path}/signature")
+
+
+def load_model(spark, path: str):
+    """The pipeline that :func:`save_model` wrote, and its signature ({name: type}, or None)."""
+    from pyspark.ml import PipelineModel
+
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/signature")
+    known = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+    signature = {r["name"]: r["type"] for r in spark.read.schema("name string, type string").json(f"{path}/signature").collect()} if known else None
+    return PipelineModel.load(f"{path}/model"), signature
+
+
+def score_saved(df: DataFrame, path: str, out: str = "score") -> DataFrame:
+    """``df`` with ``out``, the saved model's probability of class 1 (ML6).
+
+    A column of the signature that ``df`` lacks, or has in another type than a
+    number for a number or text for text, raises with its name before any job runs.
+    """
+    from pyspark.ml.functions import vector_to_array
+
+    model, signature = load_model(df.sparkSession, path)
+    have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    kind = lambda t: "number" if t.split("(")[0] in ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal") else t
+    for name, t in (signature or {}).items():
+        if name not in have:
+            raise ValueError(f"the model needs the column {name} ({t})")
+        if kind(have[name]) != kind(t):
+            raise ValueError(f"the model needs the column {name} as {t}, not {have[name]}")
+    scored = model.transform(df).withColumn(out, F.get(vector_to_array("probability"), F.lit(1)))
+    return scored.select(*[c for c in df.columns if c != out], out)
+
+
+def k_prototypes(data: DataFrame, categorical: Sequence[str], numeric: Sequence[str], k: int, gamma: float = 0.5, max_rounds: int = 30,
+                 seed: int = 7) -> tuple[DataFrame, list[dict]]:
+    """Clusters of rows with numbers and categories (ML7): ``data`` with
+    ``cluster``, and one dict per cluster: its ``size``, ``cost`` and centre.
+
+    The distance of a row to a centre is the squared difference of its
+    standardised numbers plus ``gamma`` for every category that differs;
+    centres are means and most frequent categories (ties: the first in
+    order).  No category becomes a vector.  Each round is one pass: rows take
+    the nearest centre (ties: the first), and one partial aggregate per
+    cluster gives the next centres; only those reach the driver.  The first
+    centres are the ``k`` distinct rows with the smallest seeded hash.  Stops
+    when the centres stay, or after ``max_rounds``.  Null numbers count as the
+    mean, null categories as a category of their own; a cluster that loses
+    its last row keeps its centre.
+    """
+    stats = data.agg(*[f(F.col(c).cast("double")).alias(f"{n}{i}") for i, c in enumerate(numeric) for n, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
+    mean = [stats[f"m{i}"] or 0.0 for i in range(len(numeric))]
+    scale = [stats[f"s{i}"] or 1.0 for i in range(len(numeric))]
+    x = [F.coalesce((F.col(c).cast("double") - m) / s, F.lit(0.0)).alias(f"__x{i}") for i, (c, m, s) in enumerate(zip(numeric, mean, scale))]
+    g = [F.coalesce(F.col(c).cast("string"), F.lit("\0")).alias(f"__g{i}") for i, c in enumerate(categorical)]
+    names = [f"__x{i}" for i in range(len(x))] + [f"__g{i}" for i in range(len(g))]
+    rows = data.select("*", *x, *g)
+    first = rows.select(*names).distinct().orderBy(F.xxhash64(F.lit(seed), *names), *names).limit(k).collect()
+    centres = [tuple(r) for r in first]
+
+    def cost(centre):
+        num = [(F.col(n) - F.lit(v)) * (F.col(n) - F.lit(v)) for n, v in zip(names[:len(x)], centre)]
+        cat = [F.when(F.col(n) != v, F.lit(gamma)).otherwise(F.lit(0.0)) for n, v in zip(names[len(x):], centre[len(x):])]
+        return sum([*num, *cat], F.lit(0.0))
+
+    def nearest(df):
+        costs = F.array(*[cost(c) for c in centres])
+        return df.withColumn("__costs", costs).withColumns({"__cost": F.array_min("__costs"), "cluster": (F.array_position("__costs", F.array_min("__costs")) - 1).cast("int")})
+
+    sizes: dict[int, tuple] = {}
+    for _ in range(max_rounds):
+        if not centres:
+            break
+        found = nearest(rows).groupBy("cluster").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("__cost").alias("cost"), *[F.avg(n).alias(n) for n in names[:len(x)]],
+            *[F.mode(F.col(n), True).alias(n) for n in names[len(x):]]).collect()
+        sizes = {r["cluster"]: (r["n"], r["cost"]) for r in found}
+        new = list(centres)
+        for r in found:
+            new[r["cluster"]] = tuple(r[n] for n in names)
+        if all(p[len(x):] == q[len(x):] and all(abs(a - b) < 1e-9 for a, b in zip(p[:len(x)], q[:len(x)])) for p, q in zip(centres, new)):
+            break
+        centres = new
+    out = nearest(rows).select(*data.columns, "cluster") if centres else data.withColumn("cluster", F.lit(None).cast("int"))
+    info = [{"cluster": i, "size": sizes.get(i, (0, 0.0))[0], "cost": sizes.get(i, (0, 0.0))[1],
+             **{c: v * s + m for c, v, s, m in zip(numeric, centre, scale, mean)},
+             **{c: None if v == "\0" else v for c, v in zip(categorical, centre[len(x):])}} for i, centre in enumerate(centres)]
+    return out, info
 
 
 def kmeans_pick(data: DataFrame, categorical: Sequence[str] = CATEGORICAL, numeric: Sequence[str] = NUMERIC,
@@ -197,7 +291,8 @@ def kmeans_pick(data: DataFrame, categorical: Sequence[str] = CATEGORICAL, numer
     from pyspark.ml.evaluation import ClusteringEvaluator
     from pyspark.ml.feature import StandardScaler
 
-    scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True)
+    # (k-means is the same without the means taken off, and one-hot slots stay sparse)
+    scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=False)
     prepared = Pipeline(stages=[*classification_stages(categorical, numeric), scaler]).fit(data).transform(data).select("scaled").cache()
 
     def fit_and_score(k):

@@ -1,3 +1,7 @@
+import random
+from collections import Counter
+
+import pytest
 from pyspark.sql import functions as F
 
 from staffwise.operators import ml
@@ -54,8 +58,35 @@ def test_importances_and_save(spark, tmp_dir):
     sets = ml.model_sets(data.withColumn("active", F.col("active").cast("double")), "c_custkey", "active")
     model = Pipeline(stages=[*ml.classification_stages(ml.CATEGORICAL, ml.NUMERIC), ml._models("active", 1)["logistic"]]).fit(sets)
     assert ml.feature_importances(model, model.transform(sets)).count() == len(names)
-    ml.save_model(model, f"{tmp_dir}/model")
-    assert PipelineModel.load(f"{tmp_dir}/model").transform(sets).count() == sets.count()
+    ml.save_model(model, f"{tmp_dir}/model", sets.select("c_custkey", *ml.CATEGORICAL, *ml.NUMERIC))
+    assert PipelineModel.load(f"{tmp_dir}/model/model").transform(sets).count() == sets.count()
+    scored = {r["c_custkey"]: r["score"] for r in ml.score_saved(data, f"{tmp_dir}/model").collect()}
+    assert scored == {r["c_custkey"]: r["probability"][1] for r in model.transform(sets).collect()}
+    with pytest.raises(ValueError, match=ml.NUMERIC[0]):
+        ml.score_saved(data.drop(ml.NUMERIC[0]), f"{tmp_dir}/model")
+    with pytest.raises(ValueError, match="not string"):
+        ml.score_saved(data.withColumn(ml.NUMERIC[0], F.lit("x")), f"{tmp_dir}/model")
+
+
+def test_k_prototypes_against_a_loop(spark):
+    rng = random.Random(2)
+    rows = [(i, rng.gauss(c * 4, 1), None if i == 3 else rng.choice("ab" if c else "bcd"), rng.choice(["u", "v", None]), c) for i in range(90) for c in [i % 3]]
+    df = spark.createDataFrame(rows, "id int, x double, g string, h string, c int").repartition(3)
+    out, info = ml.k_prototypes(df, ["g", "h"], ["x"], 3, gamma=0.7)
+    mean = sum(r[1] for r in rows) / 90
+    dev = (sum((r[1] - mean) ** 2 for r in rows) / 90) ** 0.5
+    got = {r["id"]: r["cluster"] for r in out.collect()}
+    of = lambda r, m: ((r[1] - m["x"]) / dev) ** 2 + 0.7 * ((r[2] != m["g"]) + (r[3] != m["h"]))
+    for r in rows:  # every row is with its nearest centre, and every centre is its rows' mean and mode
+        costs = [of(r, m) for m in info]
+        assert abs(costs[got[r[0]]] - min(costs)) < 1e-9
+    for m in info:
+        mine = [r for r in rows if got[r[0]] == m["cluster"]]
+        assert m["size"] == len(mine) and abs(m["x"] - sum(r[1] for r in mine) / len(mine)) < 1e-6
+        for j, c in ((2, "g"), (3, "h")):
+            n = Counter(r[j] for r in mine)
+            assert n[m[c]] == max(n.values())
+    assert ml.k_prototypes(df.limit(0), ["g"], ["x"], 2)[0].count() == 0
 
 
 def test_logistic_after_layer_depth(spark):
