@@ -771,6 +771,23 @@ def delimited_rows(spark, sf):
     return load.rows.select("o_orderkey", "note")
 
 
+def sketch_rollup_q(spark, sf):
+    """Customers with orders by year and by status, from sketches stored by month and status, within 3 % of the exact counts."""
+    o = _orders(spark, sf).filter("o_orderdate IS NOT NULL")
+    path = scratch_path(spark, "sketches")
+    A.distinct_sketches(o.withColumn("month", F.trunc("o_orderdate", "month")), ["o_custkey"], ["month", "o_orderstatus"]).write.parquet(path)
+    stored = spark.read.parquet(path)
+    out = None
+    for name, key in (("year", F.year("month").cast("string")), ("status", F.col("o_orderstatus"))):
+        exact = key if name == "status" else F.year("o_orderdate").cast("string")
+        rolled = A.sketch_rollup(stored.withColumn("value", key), ["value"])
+        known = o.groupBy(exact.alias("value")).agg(F.count_distinct("o_custkey").alias("n_exact"))
+        part = rolled.join(known, "value").select(F.lit(name).alias("level"), "value", "rows", "n_exact",
+                                                  (F.abs(F.col("n_o_custkey") - F.col("n_exact")) <= F.greatest(F.lit(2.0), 0.03 * F.col("n_exact"))).alias("close"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def json_records(spark, sf):
     e = _t(spark, sf, "events").select("event_id", "props")
     parsed = e.select("event_id", F.from_json("props", "k bigint").alias("j"))
@@ -859,6 +876,7 @@ QUERIES = {
     "page_chain": page_chain,
     "kept_answers": kept_answers,
     "delimited_rows": delimited_rows,
+    "sketch_rollup": sketch_rollup_q,
     "fiscal_label": fiscal_label,
     "fiscal_label_padded": fiscal_label_padded,
     "calendar_from_fiscal": calendar_from_fiscal,

@@ -525,6 +525,10 @@ SELECT DISTINCT CAST(c_nationkey AS INTEGER) AS key, CASE WHEN c_nationkey % 7 <
   CASE WHEN c_nationkey % 7 = 0 THEN 3 ELSE 1 END AS tries,
   CASE WHEN c_nationkey % 7 = 0 THEN 'ValueError: no service for ' || c_nationkey END AS error, CAST(1 AS BIGINT) AS asked
 FROM customer WHERE c_nationkey IS NOT NULL""",
+    "sketch_rollup": f"""
+WITH o AS (SELECT * FROM {_ORDERS} WHERE o_orderdate IS NOT NULL)
+SELECT 'year' AS level, CAST(year(o_orderdate) AS VARCHAR) AS value, count(*) AS rows, count(DISTINCT o_custkey) AS n_exact, true AS close FROM o GROUP BY 2
+UNION ALL SELECT 'status', o_orderstatus, count(*), count(DISTINCT o_custkey), true FROM o WHERE o_orderstatus IS NOT NULL GROUP BY 2""",
     "delimited_rows": f"""
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CASE WHEN o_orderkey % 3 = 0
   THEN 'said "' || o_orderpriority || '",' || chr(10) || 'then ' || o_orderstatus || chr(10) || chr(10) || o_orderkey ELSE o_orderpriority END AS note
