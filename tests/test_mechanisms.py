@@ -159,3 +159,20 @@ def test_aligned_diff_against_a_loop(spark):
                         want[k, b, name, "added" if o[j] is None else "deleted" if n[j] is None else "modified"] += 1
     got = Counter((r["k"], r["eom"], r["field"], r["change"]) for r in aligned_diff(df, "k", "eom", ["f", "g"], carry=["c"]).collect())
     assert got == want and len(want) > 10
+
+
+def test_stored_sketches_roll_up(spark):
+    from staffwise.operators import agg as A
+    rows = [(f"p{i % 700}", "a" if i % 3 else "b", i % 4) for i in range(6000)] + [(None, "c", 1)]
+    stored = A.distinct_sketches(spark.createDataFrame(rows, "p string, g string, m int"), ["p"], ["g", "m"])
+    one = A.sketch_rollup(stored).first()
+    assert one["rows"] == 6001 and abs(one["n_p"] - 700) <= 21
+    by = {r["g"]: (r["rows"], r["n_p"]) for r in A.sketch_rollup(stored, ["g"]).collect()}
+    assert by["c"] == (1, 0) and abs(by["a"][1] - 700) <= 21
+
+
+def test_aligned_diff_spreads_a_hot_key(spark):
+    m1, m2 = dt.date(2024, 1, 31), dt.date(2024, 2, 29)
+    rows = [(1, m, f"{m.month}-{i:05d}") for m in (m1, m2) for i in range(5000)] + [(k, m1, "x") for k in range(2, 200)]
+    out = aligned_diff(spark.createDataFrame(rows, "k int, eom date, f string"), "k", "eom", ["f"])
+    assert out.count() == 5000 and out.filter("substr(f_old, 3) = substr(f_new, 3)").count() == 5000
