@@ -31,7 +31,7 @@ def test_each_stage_on_what_the_one_before_kept(spark, tmp_path):
             z = {r["doc_id"]: m.bias + sum(m.weights.get(f, 0) for f in toxicity.text_features(r["text"])) for r in before}
             assert set(by_id(now)) == {d for d, v in z.items() if v < 0}
         elif name == "line_dedup":
-            want = brute_lines([(r["source"], r["text"]) for r in before], 0.2, 3)
+            want = brute_lines([(r["source"], r["text"]) for r in before], 0.2)
             got = by_id(now)
             assert {r["doc_id"]: (t, len(t)) for r, (t, _) in zip(before, want)} == {d: (r["text"], r["n_chars"]) for d, r in got.items()}
         elif name == "simhash_dedup":
