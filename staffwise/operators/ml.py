@@ -12,6 +12,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.flags import bool_to_int, in_list
+from ..session import cut_lineage
+from .clean import drop_rows_with_nulls, fill, strip_ws, trim_strings
+
+# The columns of the attrition set, and the fund types of local staff.
+ATTRITION_COLUMNS = ("active", "age", "local", "industry", "business", "business_unit", "parent_department", "grade", "job_grade", "on_shift",
+                     "marital_status", "gender_key", "nationality", "employee_group", "job")
+ATTRITION_CATEGORICAL = ("industry", "business", "business_unit", "parent_department", "grade", "job_grade", "marital_status", "gender_key",
+                         "nationality", "employee_group", "job")
+LOCAL_FUNDS = ("Central Provident Fund", "Scheme for Permanent Resident")
+ATTRITION_NUMERIC = ("age", "local", "on_shift")
+CLUSTER_CATEGORICAL = ("business_unit", "parent_department", "grade", "job_grade", "marital_status", "gender_key", "nationality")
+
 # Nation keys treated as "local" for the local flag.
 LOCAL_NATIONS = (1, 2)
 # The columns of :func:`attrition_features` that models use.
@@ -49,6 +62,30 @@ def attrition_features(orders: DataFrame, customer: DataFrame, horizon_days: int
     return out.dropna(how="any")
 
 
+def attrition_set(listing: DataFrame, left_since: str = "2022-01-01", source: str = "SF Direct", id_col: str = "persno") -> DataFrame:
+    """The attrition set of a consolidated listing (ML1): ``id_col``, then
+    ``ATTRITION_COLUMNS``, with ``active``, ``local`` and ``on_shift`` as 0 or 1.
+
+    Rows: the active staff of the latest ``eom`` of the whole listing, and those
+    who left on or after ``left_since``, of one ``source`` and without flexi
+    contracts; rows equal in every column (lineage columns aside) count once.
+    Text is trimmed; ``source`` and fund types are compared without regard to
+    case, since consolidation upper-cases text.  A missing marital status is an
+    empty text; a row with another of the columns null is dropped, and so is one
+    whose ``active`` or ``flexi`` is null.
+
+    One scan finds the month, one takes both slices; only the slices are shuffled.
+    """
+    last = listing.select(F.max(F.to_date("eom"))).scalar()
+    current = F.col("active") & (F.to_date("eom") == last)
+    left = ~F.col("active") & (F.to_date("date_left") >= F.lit(left_since).cast("date"))
+    mine = F.upper(strip_ws("source")) == source.upper()
+    rows = listing.drop("_file", "_row").filter((current | left) & mine & ~F.col("flexi")).distinct()
+    rows = trim_strings(rows).withColumn("local", in_list(F.upper("fund_type"), [f.upper() for f in LOCAL_FUNDS]))
+    rows = rows.withColumns({c: bool_to_int(c) for c in ("active", "local", "on_shift")})
+    return drop_rows_with_nulls(fill(rows, {"marital_status": ""}), ATTRITION_COLUMNS).select(id_col, *ATTRITION_COLUMNS)
+
+
 def hash_share(id_col: str, parts: int, salt: str = "") -> F.Column:
     """A number from 0 to ``parts - 1`` fixed by the id: the first 8 hex digits
     of the md5 of its text (and a salt).  A split by it stays the same however
@@ -79,12 +116,15 @@ def model_sets(data: DataFrame, id_col: str, label: str, test_of: int = 4) -> Da
 
 
 def classification_stages(categorical: Sequence[str], numeric: Sequence[str]):
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+    from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in categorical]
+    # (a slot needs a name, so an empty text becomes one)
+    texts = ", ".join(f"CASE WHEN `{c}` = '' THEN '(empty)' ELSE `{c}` END AS `{c}_text`" for c in categorical)
+    named = SQLTransformer(statement=f"SELECT *, {texts} FROM __THIS__")
+    idx = [StringIndexer(inputCol=f"{c}_text", outputCol=f"{c}_idx", handleInvalid="keep") for c in categorical]
     enc = OneHotEncoder(inputCols=[f"{c}_idx" for c in categorical], outputCols=[f"{c}_vec" for c in categorical], handleInvalid="keep")
     asm = VectorAssembler(inputCols=[f"{c}_vec" for c in categorical] + list(numeric), outputCol="features")
-    return [*idx, enc, asm]
+    return [named, *idx, enc, asm] if categorical else [asm]
 
 
 def _models(label: str, seed: int) -> dict:
@@ -106,8 +146,15 @@ def _grid(name: str, est):
 
 def classify_compare(data: DataFrame, id_col: str = "c_custkey", label: str = "active", categorical: Sequence[str] = CATEGORICAL,
                      numeric: Sequence[str] = NUMERIC, seed: int = 7, tune: bool = True) -> DataFrame:
+    """The table of :func:`choose_classifier` (ML2-ML4)."""
+    return choose_classifier(data, id_col, label, categorical, numeric, seed, tune)[0]
+
+
+def choose_classifier(data: DataFrame, id_col: str = "c_custkey", label: str = "active", categorical: Sequence[str] = CATEGORICAL,
+                      numeric: Sequence[str] = NUMERIC, seed: int = 7, tune: bool = True):
     """Compare classifiers on a feature table (ML2-ML4): one row per model,
-    ``model, cv_auc, chosen, test_auc, n_train, n_test``.
+    ``model, cv_auc, chosen, test_auc, n_train, n_test``; and the chosen
+    model, as one fitted pipeline from the columns of ``data`` to predictions.
 
     The training rows alone choose: every model, and then the tuned settings
     of the best one, are judged by three-fold cross-validation, and a tuned
@@ -117,7 +164,7 @@ def classify_compare(data: DataFrame, id_col: str = "c_custkey", label: str = "a
     from concurrent.futures import ThreadPoolExecutor
 
     from pyspark import StorageLevel
-    from pyspark.ml import Pipeline
+    from pyspark.ml import Pipeline, PipelineModel
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
@@ -150,7 +197,8 @@ def classify_compare(data: DataFrame, id_col: str = "c_custkey", label: str = "a
     vectors.unpersist()
     sets.unpersist()
     rows = [(n, a, n == best, test_auc if n == best else None, size.get("train", 0), size.get("test", 0)) for n, a in auc.items()]
-    return spark.createDataFrame(rows, "model string, cv_auc double, chosen boolean, test_auc double, n_train long, n_test long")
+    table = spark.createDataFrame(rows, "model string, cv_auc double, chosen boolean, test_auc double, n_train long, n_test long")
+    return table, PipelineModel(stages=[*prepare.stages, model])
 
 
 def feature_names(transformed: DataFrame, features: str = "features") -> list[str]:
@@ -232,9 +280,10 @@ def k_prototypes(data: DataFrame, categorical: Sequence[str], numeric: Sequence[
     The distance of a row to a centre is the squared difference of its
     standardised numbers plus ``gamma`` for every category that differs;
     centres are means and most frequent categories (ties: the first in
-    order).  No category becomes a vector.  Each round is one pass: rows take
-    the nearest centre (ties: the first), and one partial aggregate per
-    cluster gives the next centres; only those reach the driver.  The first
+    order).  No category becomes a vector.  The rows are written once; each
+    round is one scan of them: rows take the nearest centre (ties: the first),
+    and counts per cluster, column and value, made before the shuffle, give
+    the next centres; only those reach the driver.  The first
     centres are the ``k`` distinct rows with the smallest seeded hash.  Stops
     when the centres stay, or after ``max_rounds``.  Null numbers count as the
     mean, null categories as a category of their own; a cluster that loses
@@ -246,7 +295,7 @@ def k_prototypes(data: DataFrame, categorical: Sequence[str], numeric: Sequence[
     x = [F.coalesce((F.col(c).cast("double") - m) / s, F.lit(0.0)).alias(f"__x{i}") for i, (c, m, s) in enumerate(zip(numeric, mean, scale))]
     g = [F.coalesce(F.col(c).cast("string"), F.lit("\0")).alias(f"__g{i}") for i, c in enumerate(categorical)]
     names = [f"__x{i}" for i in range(len(x))] + [f"__g{i}" for i in range(len(g))]
-    rows = data.select("*", *x, *g)
+    rows = cut_lineage(data.select("*", *x, *g), "k-prototypes")
     first = rows.select(*names).distinct().orderBy(F.xxhash64(F.lit(seed), *names), *names).limit(k).collect()
     centres = [tuple(r) for r in first]
 
@@ -263,13 +312,24 @@ def k_prototypes(data: DataFrame, categorical: Sequence[str], numeric: Sequence[
     for _ in range(max_rounds):
         if not centres:
             break
-        found = nearest(rows).groupBy("cluster").agg(
-            F.count(F.lit(1)).alias("n"), F.sum("__cost").alias("cost"), *[F.avg(n).alias(n) for n in names[:len(x)]],
-            *[F.mode(F.col(n), True).alias(n) for n in names[len(x):]]).collect()
-        sizes = {r["cluster"]: (r["n"], r["cost"]) for r in found}
-        new = list(centres)
+        # slot -1 is the row itself, the others its categories
+        slots = F.array(F.struct(F.lit(-1).alias("i"), F.lit("").alias("v")),
+                        *[F.struct(F.lit(i).alias("i"), F.col(n).alias("v")) for i, n in enumerate(names[len(x):])])
+        own = lambda n: F.sum(F.when(F.col("slot.i") == -1, F.col(n))).alias(n)
+        values = (nearest(rows).select("cluster", "__cost", *names[:len(x)], F.explode(slots).alias("slot"))
+                  .groupBy("cluster", F.col("slot.i").alias("i"), F.col("slot.v").alias("v"))
+                  .agg(F.count(F.lit(1)).alias("n"), *[own(n) for n in ["__cost", *names[:len(x)]]]))
+        found = values.groupBy("cluster", "i").agg(F.min_by("v", F.struct(-F.col("n"), "v")).alias("v"), F.sum("n").alias("n"),
+                                                   *[F.sum(n).alias(n) for n in ["__cost", *names[:len(x)]]]).collect()
+        new = [list(c) for c in centres]
+        sizes = {}
         for r in found:
-            new[r["cluster"]] = tuple(r[n] for n in names)
+            if r["i"] < 0:
+                sizes[r["cluster"]] = (r["n"], r["__cost"])
+                new[r["cluster"]][:len(x)] = [r[n] / r["n"] for n in names[:len(x)]]
+            else:
+                new[r["cluster"]][len(x) + r["i"]] = r["v"]
+        new = [tuple(c) for c in new]
         if all(p[len(x):] == q[len(x):] and all(abs(a - b) < 1e-9 for a, b in zip(p[:len(x)], q[:len(x)])) for p, q in zip(centres, new)):
             break
         centres = new

@@ -826,6 +826,38 @@ def attrition_features(spark, sf):
     return feats(_orders(spark, sf), _t(spark, sf, "customer"))
 
 
+def _listing(spark, sf):
+    """A consolidated listing of the orders: a row is a person (the customer) in the month of an order."""
+    c = _t(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
+    key = F.col("o_custkey")
+    left = F.col("o_orderstatus") == "F"
+    return _orders(spark, sf).join(c, key == F.col("c_custkey")).select(
+        key.alias("persno"), D.end_of_month("o_orderdate").alias("eom"), (~left).alias("active"), F.when(left, F.col("o_orderdate")).alias("date_left"),
+        F.when(key % 5 == 0, "Other").when(key % 5 == 1, "SF DIRECT ").otherwise("SF Direct").alias("source"),
+        (F.col("o_orderpriority") == "5-LOW").alias("flexi"),
+        F.when(F.col("c_mktsegment") == "BUILDING", "Central Provident Fund ").when(F.col("c_mktsegment") == "MACHINERY", "SCHEME FOR PERMANENT RESIDENT")
+        .when(F.col("c_mktsegment") != "HOUSEHOLD", "NA").alias("fund_type"),
+        (key % 45 + 20).cast("int").alias("age"), F.col("c_mktsegment").alias("industry"), (F.col("c_nationkey") % 4).cast("string").alias("business"),
+        (F.col("c_nationkey") % 9).cast("string").alias("business_unit"), F.concat(F.lit(" D"), F.col("c_nationkey")).alias("parent_department"),
+        F.when(F.col("c_acctbal") >= 0, F.floor(F.col("c_acctbal") / 2500).cast("string")).alias("grade"), (key % 6).cast("string").alias("job_grade"),
+        (key % 2 == 0).alias("on_shift"), F.when(key % 3 > 0, (key % 3).cast("string")).alias("marital_status"),
+        F.when(key % 2 == 0, "M").otherwise("F").alias("gender_key"), F.col("c_nationkey").cast("string").alias("nationality"),
+        F.col("o_orderstatus").alias("employee_group"), F.col("o_orderpriority").alias("job"))
+
+
+def attrition_set(spark, sf):
+    from ..operators.ml import attrition_set as rows
+
+    return rows(_listing(spark, sf), left_since="1997-01-01")
+
+
+def attrition_clusters(spark, sf):
+    """The attrition set in four groups by its numbers and categories."""
+    from ..operators import ml
+
+    return ml.k_prototypes(attrition_set(spark, sf), ml.CLUSTER_CATEGORICAL, [*ml.ATTRITION_NUMERIC, "active"], 4)[0]
+
+
 def model_sets(spark, sf):
     """Sizes and class weights of the training and test parts."""
     from ..operators.ml import model_sets as sets
@@ -934,6 +966,8 @@ QUERIES = {
     "json_record_arrays": json_record_arrays,
     "json_pages": json_pages,
     "attrition_features": attrition_features,
+    "attrition_set": attrition_set,
+    "attrition_clusters": attrition_clusters,
     "model_sets": model_sets,
     "classify_compare": classify_compare,
     "attrition_importances": attrition_importances,

@@ -1,4 +1,4 @@
-"""Batch jobs composed from the operators.
+"""Batch jobs composed from the operators.
 
 Each job is a function from input paths/DataFrames to output DataFrames; the
 caller writes them with :func:`staffwise.sources.sinks.write_table`.  Column
@@ -19,6 +19,7 @@ from ..functions.text import ascii_only
 from ..operators import agg as A
 from ..operators import clean as C
 from ..operators import joins as J
+from ..operators import ml as ML
 from ..operators import reshape as R
 from ..operators import rules as Q
 from ..operators import windows as W
@@ -26,6 +27,7 @@ from ..operators.contract import DateSpec, apply_contract
 from ..operators.diff import aligned_diff
 from ..operators.hierarchy import layer_depth
 from ..operators.ordering import By
+from ..session import cut_lineage
 from ..sources import files as S
 from ..sources import json as SJ
 
@@ -297,6 +299,23 @@ def geo_enrich(listing: DataFrame, resolver: Callable, zip_col: str = "zip_code"
                              f"{zip_col} string, lat double, long double, road_name string, address string")
 
 
+def attrition_models(listing: DataFrame, model_path: str | None = None, left_since: str = "2022-01-01", source: str = "SF Direct",
+                     clusters: int = 4, tune: bool = True, id_col: str = "persno") -> dict[str, DataFrame]:
+    """The attrition set of a listing; classifiers compared on it, the best
+    one tuned, its importances, and the model saved under ``model_path`` with a
+    signature (see :func:`staffwise.operators.ml.score_saved`); and the set's
+    rows in ``clusters`` groups by numbers and categories, with their sizes."""
+    data = cut_lineage(ML.attrition_set(listing, left_since, source, id_col), "attrition-set")
+    compared, model = ML.choose_classifier(data, id_col, "active", ML.ATTRITION_CATEGORICAL, ML.ATTRITION_NUMERIC, tune=tune)
+    inputs = data.select(*ML.ATTRITION_CATEGORICAL, *ML.ATTRITION_NUMERIC)
+    if model_path:
+        ML.save_model(model, model_path, inputs)
+    grouped, centres = ML.k_prototypes(data, ML.CLUSTER_CATEGORICAL, [*ML.ATTRITION_NUMERIC, "active"], clusters)
+    sizes = listing.sparkSession.createDataFrame([(c["cluster"], c["size"], float(c["cost"])) for c in centres], "cluster int, n_rows long, cost double")
+    return {"set": data, "comparison": compared, "importances": ML.feature_importances(model, model.transform(data)),
+            "clustered": grouped, "clusters": sizes}
+
+
 def employment_pages(spark: SparkSession, paths) -> DataFrame:
     """Landed employment API pages to one flat table, ``/Date(ms)/`` parsed."""
     rows = SJ.read_pages(spark, paths)

@@ -570,6 +570,31 @@ SELECT least(200, count(*)) AS n_rows, least(200, count(*)) AS n_orders, least(2
 SELECT o_orderkey, o_orderstatus AS info_status, o_orderpriority AS info_priority FROM orders""",
     "json_pages": """
 SELECT o_orderkey, o_orderstatus AS meta_o_orderstatus, 'page-' || (o_custkey + 1) AS next_page FROM orders""",
+    "attrition_set": f"""
+WITH l AS (
+  SELECT o_custkey AS persno, last_day(o_orderdate) AS eom, o_orderstatus <> 'F' AS active,
+         CASE WHEN o_orderstatus = 'F' THEN o_orderdate END AS date_left,
+         CASE o_custkey % 5 WHEN 0 THEN 'Other' WHEN 1 THEN 'SF DIRECT ' ELSE 'SF Direct' END AS source,
+         o_orderpriority = '5-LOW' AS flexi,
+         CASE c_mktsegment WHEN 'BUILDING' THEN 'Central Provident Fund ' WHEN 'MACHINERY' THEN 'SCHEME FOR PERMANENT RESIDENT'
+              WHEN 'HOUSEHOLD' THEN NULL ELSE 'NA' END AS fund_type,
+         CAST(o_custkey % 45 + 20 AS INT) AS age, c_mktsegment AS industry, CAST(c_nationkey % 4 AS VARCHAR) AS business,
+         CAST(c_nationkey % 9 AS VARCHAR) AS business_unit, ' D' || c_nationkey AS parent_department,
+         CASE WHEN c_acctbal >= 0 THEN CAST(CAST(floor(c_acctbal / 2500) AS BIGINT) AS VARCHAR) END AS grade,
+         CAST(o_custkey % 6 AS VARCHAR) AS job_grade, o_custkey % 2 = 0 AS on_shift,
+         CASE WHEN o_custkey % 3 > 0 THEN CAST(o_custkey % 3 AS VARCHAR) END AS marital_status,
+         CASE WHEN o_custkey % 2 = 0 THEN 'M' ELSE 'F' END AS gender_key, CAST(c_nationkey AS VARCHAR) AS nationality,
+         o_orderstatus AS employee_group, o_orderpriority AS job
+  FROM {_ORDERS} JOIN customer ON o_custkey = c_custkey),
+u AS (
+  SELECT * FROM l WHERE eom = (SELECT max(eom) FROM l) AND active AND upper(trim(source)) = 'SF DIRECT' AND NOT flexi
+  UNION
+  SELECT * FROM l WHERE date_left >= DATE '1997-01-01' AND NOT active AND upper(trim(source)) = 'SF DIRECT' AND NOT flexi)
+SELECT persno, CAST(active AS INT) AS active, age,
+       CASE WHEN upper(trim(fund_type)) IN ('CENTRAL PROVIDENT FUND', 'SCHEME FOR PERMANENT RESIDENT') THEN 1 ELSE 0 END AS local,
+       industry, business, business_unit, trim(parent_department) AS parent_department, grade, job_grade, CAST(on_shift AS INT) AS on_shift,
+       coalesce(marital_status, '') AS marital_status, gender_key, nationality, employee_group, job
+FROM u WHERE grade IS NOT NULL""",
     "model_sets": f"""
 WITH f AS ({_ATTRITION}),
 p AS (SELECT *, CASE WHEN CAST('0x' || substr(md5(CAST(c_custkey AS VARCHAR)), 1, 8) AS BIGINT) % 4 = 0 THEN 'test' ELSE 'train' END AS part FROM f),

@@ -29,6 +29,54 @@ def features(spark):
     return ml.attrition_features(o, T.parquet_table(spark, SF, "customer"))
 
 
+def listing(spark):
+    """Persons of a consolidated listing: odd ones first, then enough to fit models on."""
+    base = {"eom": "2024-05-31", "active": True, "date_left": None, "source": "SF DIRECT", "flexi": False, "fund_type": "Central Provident Fund", "age": 30,
+            "industry": "air", "business": "b1", "business_unit": "u1", "parent_department": "d1", "grade": "G1", "job_grade": "J1", "on_shift": False,
+            "marital_status": "S", "gender_key": "F", "nationality": "n1", "employee_group": "Perm", "job": "x", "_file": "a.csv", "_row": 1}
+    gone = {"active": False, "eom": "2022-02-28"}
+    odd = [{}, {"_row": 2}, {"eom": "2024-04-30"}, {**gone, "date_left": "2022-01-01"}, {**gone, "date_left": "2021-12-31"}, {**gone},
+           {"source": " sf direct"}, {"source": "Agency"}, {"source": None}, {"flexi": True}, {"flexi": None}, {"active": None},
+           {"fund_type": "SCHEME FOR PERMANENT RESIDENT "}, {"fund_type": None}, {"marital_status": None}, {"grade": None}, {"on_shift": True, "job": " y "}]
+    rng = random.Random(4)
+    rows = [{**base, **o, "persno": str(1 if i < 2 else i)} for i, o in enumerate(odd)]
+    for i in range(240):
+        old = rng.random() < 0.5
+        rows.append({**base, "persno": str(1000 + i), "age": rng.randint(50, 64) if old else rng.randint(20, 40), "grade": rng.choice(["G1", "G2"]),
+                     "marital_status": rng.choice(["S", "M", None]), **({"active": False, "date_left": "2023-03-03"} if old == (rng.random() < 0.9) else {})})
+    types = {"active": "boolean", "flexi": "boolean", "on_shift": "boolean", "age": "int", "_row": "long"}
+    names = ["persno", *base]
+    return spark.createDataFrame([tuple(r[c] for c in names) for r in rows], ", ".join(f"{c} {types.get(c, 'string')}" for c in names)).repartition(3)
+
+
+def test_attrition_set(spark):
+    got = {r["persno"]: r for r in ml.attrition_set(listing(spark).filter("int(persno) < 1000")).collect()}
+    assert set(got) == {"1", "3", "6", "12", "13", "14", "16"}
+    assert ml.attrition_set(listing(spark).filter("persno = '1'")).count() == 1  # equal but for the lineage columns
+    assert tuple(got["1"].__fields__) == ("persno", *ml.ATTRITION_COLUMNS)
+    assert [got[p]["active"] for p in ("1", "3")] == [1, 0]
+    assert [got[p]["local"] for p in ("1", "12", "13")] == [1, 1, 0]
+    assert got["14"]["marital_status"] == "" and got["16"]["on_shift"] == 1 and got["16"]["job"] == "y"
+    assert ml.attrition_set(listing(spark).limit(0)).count() == 0
+
+
+def test_attrition_models(spark, tmp_dir):
+    from staffwise.plans.jobs import attrition_models
+
+    out = attrition_models(listing(spark), f"{tmp_dir}/m", clusters=3, tune=False)
+    chosen = [r for r in out["comparison"].collect() if r["chosen"]]
+    assert len(chosen) == 1 and chosen[0]["test_auc"] > 0.7
+    assert out["importances"].first()["feature"] == "age" or chosen[0]["model"] == "logistic"
+    scored = ml.score_saved(out["set"], f"{tmp_dir}/m").collect()
+    assert len(scored) == out["set"].count()
+    mean = lambda a: sum(r["score"] for r in scored if r["active"] == a) / sum(r["active"] == a for r in scored)
+    assert mean(1) > mean(0)
+    with pytest.raises(ValueError, match="job_grade"):
+        ml.score_saved(out["set"].drop("job_grade"), f"{tmp_dir}/m")
+    sizes = {r["cluster"]: r["n"] for r in out["clustered"].groupBy("cluster").agg(F.count("*").alias("n")).collect()}
+    assert sizes == {r["cluster"]: r["n_rows"] for r in out["clusters"].collect() if r["n_rows"]}
+
+
 def test_models(spark):
     rows = ml.classify_compare(features(spark)).collect()
     assert {"logistic", "random_forest", "gbt"} <= {r["model"] for r in rows} and any(r["model"].endswith("_tuned") for r in rows)
