@@ -225,11 +225,13 @@ def pack(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "tex
     every piece of every row of ``df`` with its place.
 
     Each row is a document of its own, also where ids repeat or are null.
-    An empty table packs into nothing.  The running counts per task and length
+    An empty table packs into nothing.  If ``id_col`` is named like one of the
+    other columns, whatever the case, that column's name ends in ``_``.  The running counts per task and length
     are broadcast while they are at most ``broadcast_rows``; above, they are
     joined by a shuffle.
     """
-    pieces = cut_lineage(tokenised_pieces(df, tokenizer, id_col, text, capacity, end_id), "pieces")
+    docs = df.select(col(id_col).alias("__id"), col(text).alias("text"))
+    pieces = cut_lineage(tokenised_pieces(docs, tokenizer, "__id", "text", capacity, end_id), "pieces")
     per_task = cut_lineage(pieces.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
     counts = per_task.groupBy("length").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows")).collect()  # one row a length
     placed = places(plan({r["length"]: r["n"] for r in counts}, capacity))
@@ -241,6 +243,6 @@ def pack(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "tex
     ranked = pieces.join(before, ["task", "length"]).withColumn("rank", F.col("before") + F.col("nth"))
     found = ranked.join(table, "length").filter((F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi")))
     step = F.col("rank") - F.col("lo")
-    return found.select(col(id_col), "piece", "start", "length", "ids", "ids_crc32",
-                        (F.col("first") + F.expr("(rank - lo) div copies")).alias("sequence_id"),
-                        (F.col("at") + step % F.col("copies") * F.col("length")).alias("offset"))
+    out = {**{c: F.col(c) for c in ("piece", "start", "length", "ids", "ids_crc32")},
+           "sequence_id": F.col("first") + F.expr("(rank - lo) div copies"), "offset": F.col("at") + step % F.col("copies") * F.col("length")}
+    return found.select(F.col("__id").alias(id_col), *[v.alias(f"{c}_" if c == id_col.lower() else c) for c, v in out.items()])

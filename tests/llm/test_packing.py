@@ -66,6 +66,14 @@ def test_repeated_null_ids_and_empty_table(spark):
     assert packing.pack(df.limit(0), FILE).count() == 0
 
 
+@pytest.mark.parametrize("name", ["Piece", "lo", "task"])
+def test_id_columns_named_like_others(spark, name):
+    df = spark.createDataFrame([(7, "one two"), (7, None), (8, "three")], f"{name} long, text string")
+    got = packing.pack(df, FILE, id_col=name, capacity=8)
+    assert got.columns == [name, "piece_" if name == "Piece" else "piece", "start", "length", "ids", "ids_crc32", "sequence_id", "offset"]
+    assert sorted(r[0] for r in got.collect()) == [7, 7, 8]
+
+
 def test_shuffled_counts_give_the_same_lengths(spark):
     df = spark.createDataFrame([(i, "w " * (i % 40)) for i in range(200)], "doc_id long, text string").repartition(3)
     a, b = (packing.pack(df, FILE, capacity=32, broadcast_rows=n).collect() for n in (10**6, 0))
