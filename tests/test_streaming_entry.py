@@ -82,7 +82,7 @@ def test_entry_contract(spark):
     assert set(o) <= set(q)
     from staffwise.plans.driver_queries import QUERIES
 
-    assert set(QUERIES) - set(o) == {"classify_compare", "kmeans_pick", "attrition_importances"}
+    assert set(QUERIES) - set(o) == {"classify_compare", "kmeans_pick", "attrition_importances", "attrition_clusters"}
 
 
 def test_results_stable_across_partition_counts(spark):
