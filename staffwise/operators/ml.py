@@ -30,6 +30,7 @@ LOCAL_NATIONS = (1, 2)
 # The columns of :func:`attrition_features` that models use.
 CATEGORICAL = ("segment", "nation")
 NUMERIC = ("n_orders", "total_spend", "avg_price", "n_urgent", "local", "acctbal")
+TASK_ROWS = 20_000  # training rows of a task: fitting runs hundreds of short jobs over them
 
 
 def attrition_features(orders: DataFrame, customer: DataFrame, horizon_days: int = 365) -> DataFrame:
@@ -115,6 +116,21 @@ def model_sets(data: DataFrame, id_col: str, label: str, test_of: int = 4) -> Da
     return with_class_weights(marked, label, by=["part"])
 
 
+def kept_sets(data: DataFrame, id_col: str, label: str) -> tuple[DataFrame, dict[str, int]]:
+    """:func:`model_sets` with a numeric label, written once, and the number of rows of each part.
+
+    Fitting scans them again and again; the work behind ``data`` (its joins and
+    broadcasts) and the weights run once, however many scans follow."""
+    rows = cut_lineage(data.withColumn(label, F.col(label).cast("double")), "model-rows")
+    return cut_lineage(model_sets(rows, id_col, label), "model-sets",
+                       {p: F.count_if(F.col("part") == p) for p in ("train", "test")})
+
+
+def sized(df: DataFrame, rows: int, task_rows: int = TASK_ROWS) -> DataFrame:
+    """``df`` of so many rows in a number of partitions that follows them, not the shuffle that made them."""
+    return df.coalesce(max(1, -(-rows // task_rows)))
+
+
 def classification_stages(categorical: Sequence[str], numeric: Sequence[str]):
     from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 
@@ -169,12 +185,11 @@ def choose_classifier(data: DataFrame, id_col: str = "c_custkey", label: str = "
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
     spark = data.sparkSession
-    sets = model_sets(data.withColumn(label, F.col(label).cast("double")), id_col, label).persist(StorageLevel.MEMORY_AND_DISK)
-    train, test = sets.filter("part = 'train'"), sets.filter("part = 'test'")
+    sets, size = kept_sets(data, id_col, label)
+    train, test = (sized(sets.filter(F.col("part") == p), size[p]) for p in ("train", "test"))
     # indexing and encoding look at no label: fitted once on the training rows, whose vectors all folds share
     prepare = Pipeline(stages=classification_stages(categorical, numeric)).fit(train)
     vectors = prepare.transform(train).select("features", label, "weight", "fold").persist(StorageLevel.MEMORY_AND_DISK)
-    size = {r["part"]: r["n"] for r in sets.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
     ev = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
 
     def validated(name, grid):
@@ -195,8 +210,7 @@ def choose_classifier(data: DataFrame, id_col: str = "c_custkey", label: str = "
             best, model = f"{best}_tuned", tuned.bestModel
     test_auc = float(ev.evaluate(model.transform(prepare.transform(test))))
     vectors.unpersist()
-    sets.unpersist()
-    rows = [(n, a, n == best, test_auc if n == best else None, size.get("train", 0), size.get("test", 0)) for n, a in auc.items()]
+    rows = [(n, a, n == best, test_auc if n == best else None, size["train"], size["test"]) for n, a in auc.items()]
     table = spark.createDataFrame(rows, "model string, cv_auc double, chosen boolean, test_auc double, n_train long, n_test long")
     return table, PipelineModel(stages=[*prepare.stages, model])
 

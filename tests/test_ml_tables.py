@@ -88,6 +88,32 @@ def test_models(spark):
     assert [(r["k"], r["n_rows"]) for r in km] == [(2, features(spark).count()), (3, features(spark).count())]
 
 
+def test_fits_run_over_few_partitions(spark, monkeypatch):
+    """The partitions that a fit scans follow the rows, not the shuffle that made them."""
+    from pyspark.ml.tuning import CrossValidator
+
+    class Seen(Exception):
+        pass
+
+    def fit(self, dataset, *_):
+        raise Seen(dataset.select("label").rdd.getNumPartitions())
+
+    monkeypatch.setattr(CrossValidator, "fit", fit)
+    data = spark.range(200).select("id", (F.col("id") % 2).alias("label"), F.rand(1).alias("x")).repartition(40, "id")
+    keys = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        with pytest.raises(Seen) as seen:
+            ml.classify_compare(data, "id", "label", [], ["x"])
+        assert seen.value.args == (1,)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert ml.sized(data, 200, 5).rdd.getNumPartitions() == 40  # more rows, more tasks
+
+
 def test_class_weights_for_any_number_of_classes(spark):
     df = spark.createDataFrame([(i, i % 3 if i < 9 else 0) for i in range(12)], "id int, label int")
     w = {r["label"]: r["weight"] for r in ml.with_class_weights(df).collect()}
