@@ -122,16 +122,18 @@ def first_snapshot_rows(df: DataFrame, key: str, date_col: str) -> DataFrame:
     return df.join(first, (F.col(key) == F.col("__k")) & (F.col(date_col) == F.col("__d")), "left_semi")
 
 
-def overlay_update(base: DataFrame, updates: DataFrame, key: str | Sequence[str]) -> DataFrame:
+def overlay_update(base: DataFrame, updates: DataFrame, key: str | Sequence[str], on_duplicate: str = "error") -> DataFrame:
     """Right non-null values replace left values for the same key.
 
-    Unmatched update rows and extra update columns are ignored; a repeated
-    update key raises (one value per cell must win).
+    Unmatched update rows and extra update columns are ignored.
+    ``on_duplicate``: ``"error"`` raises if an update key repeats (one value
+    per cell must win); ``"expand"`` gives a base row once per update of its key.
     """
+    if on_duplicate not in ("error", "expand"):
+        raise ValueError(f"on_duplicate: {on_duplicate}")
     keys = _keys(key)
     shared = [c for c in updates.columns if c in base.columns and c not in keys]
-    dup = updates.groupBy(*keys).count().filter("count > 1").limit(1).count()
-    if dup:
+    if on_duplicate == "error" and updates.groupBy(*keys).count().filter("count > 1").limit(1).count():
         raise ValueError("update keys repeat")
     u = updates.select(*[F.col(k).alias(f"__u_{k}") for k in keys], *[F.col(c).alias(f"__u_{c}") for c in shared])
     cond = None

@@ -397,13 +397,15 @@ def outer_merge(spark, sf):
 
 
 def overlay_update(spark, sf):
+    """Updates of parts, some moved to other keys; beyond a million parts a moved
+    update meets one of the part there, and both apply, a row each."""
     p = _t(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_size", "p_retailprice")
     upd = _t(spark, sf, "part").filter(F.col("p_size") > 45).select(
         F.when(F.col("p_size") == 50, F.col("p_partkey") + 1000000).otherwise(F.col("p_partkey")).alias("p_partkey"),
         F.concat(F.lit("Brand#X"), F.col("p_size").cast("string")).alias("p_brand"),
         F.lit(None).cast("double").alias("p_retailprice"),
         F.lit("ignored").alias("extra"))
-    return J.overlay_update(p, upd, "p_partkey")
+    return J.overlay_update(p, upd, "p_partkey", on_duplicate="expand")
 
 
 def two_key_left_join(spark, sf):

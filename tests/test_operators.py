@@ -184,6 +184,28 @@ def test_overlay_and_outer_merge(spark):
     assert rows(J.outer_merge(a, b, "k"), "k", "a", "b") == [(1, "x", None), (2, None, "y")]
 
 
+def test_overlay_with_repeated_update_keys(spark):
+    base = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0)], "k int, s string, v double")
+    upd = spark.createDataFrame([(1, "x", None), (1, "y", 9.0), (5, "q", 1.0), (5, "r", 1.0)], "k int, s string, v double")
+    with pytest.raises(ValueError, match="repeat"):
+        J.overlay_update(base, upd, "k")
+    assert rows(J.overlay_update(base, upd, "k", on_duplicate="expand"), "k", "s", "v") == [(1, "x", 1.0), (1, "y", 9.0), (2, "b", 2.0)]
+
+
+def test_overlay_query_beyond_a_million_parts(spark, tmp_dir):
+    import duckdb
+
+    from staffwise.plans.driver_queries import QUERIES
+    from staffwise.plans.oracle_sql import ORACLE_SQL
+
+    parts = [(5, "p", "B", 50, 1.0), (1000005, "q", "B", 47, 2.0), (6, "r", "B", 50, 3.0), (1000006, "s", "B", 1, 4.0), (7, "t", "B", 46, 5.0)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_size int, p_retailprice double").write.parquet(f"{tmp_dir}/part.parquet")
+    got = rows(QUERIES["overlay_update"](spark, tmp_dir), "p_partkey", "p_name", "p_brand", "p_size", "p_retailprice")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW part AS SELECT * FROM '{tmp_dir}/part.parquet/*.parquet'")
+    assert got == sorted(con.execute(ORACLE_SQL["overlay_update"]).fetchall(), key=repr) and len(got) == 6
+
+
 def test_enrich_distinct_drops_unresolved(spark):
     import pandas as pd
 
