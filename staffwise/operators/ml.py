@@ -105,7 +105,7 @@ def with_class_weights(df: DataFrame, label: str = "label", out: str = "weight",
     else:
         n = n.withColumns({"__all": df.select(F.count(F.lit(1))).scalar(), "__classes": df.select(F.count_distinct(label)).scalar()})
     w = n.select(*by, label, (F.col("__all") / (F.col("__classes") * F.col("__n"))).alias(out))
-    return df.join(w, [*by, label])
+    return df.join(F.broadcast(w), [*by, label])  # a row per class
 
 
 def model_sets(data: DataFrame, id_col: str, label: str, test_of: int = 4) -> DataFrame:
@@ -240,7 +240,8 @@ def attrition_importances(data: DataFrame, id_col: str = "c_custkey", label: str
     """Importances of a random forest fitted on the training rows (ML5)."""
     from pyspark.ml import Pipeline
 
-    train = model_sets(data.withColumn(label, F.col(label).cast("double")), id_col, label).filter("part = 'train'")
+    sets, size = kept_sets(data, id_col, label)
+    train = sized(sets.filter("part = 'train'"), size["train"])
     model = Pipeline(stages=[*classification_stages(categorical, numeric), _models(label, seed)["random_forest"]]).fit(train)
     return feature_importances(model, model.transform(train))
 

@@ -120,6 +120,20 @@ def test_class_weights_for_any_number_of_classes(spark):
     assert w == {0: 12 / (3 * 6), 1: 12 / (3 * 3), 2: 12 / (3 * 3)}
 
 
+def test_importances_read_their_input_once(spark):
+    """The work behind the features (joins, broadcasts to the driver) runs once, not for every scan of the fit."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    data = spark.range(300).select("id", (F.col("id") % 2).alias("label"), (F.col("id") % 7).cast("double").alias("x"))
+    imp = ml.attrition_importances(data.mapInArrow(count, data.schema), "id", "label", [], ["x"]).collect()
+    assert [r["feature"] for r in imp] == ["x"] and seen.value == 300
+
+
 def test_importances_and_save(spark, tmp_dir):
     from pyspark.ml import Pipeline, PipelineModel
 
