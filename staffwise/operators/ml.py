@@ -50,7 +50,8 @@ def attrition_features(orders: DataFrame, customer: DataFrame, horizon_days: int
     )
     cust = customer.select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
     x = per.withColumn("__last", last)
-    x = x.join(cust, x["o_custkey"] == cust["c_custkey"], "inner")
+    # both sides have a row per customer: joined in the tasks that hold the totals, never sent through the driver
+    x = x.join(cust.hint("shuffle_hash"), x["o_custkey"] == cust["c_custkey"], "inner")
     out = x.select(
         F.col("c_custkey"),
         "n_orders", "total_spend", "avg_price", "n_urgent",
